@@ -84,8 +84,9 @@ def not_constant_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def at_least_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refunds = F.when(F.col("event_type") == "purchase", F.col("value")).alias("paid")
-    return checks.at_least_one(table(spark, sf_dir, "events").select("user_id", refunds), "paid", ["user_id"])
+    paid = F.when(F.col("event_type") == "purchase", F.col("value")).alias("paid")
+    events = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), paid)
+    return checks.at_least_one(events, "paid", ["user_id", "day"])
 
 
 def at_least_one_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,11 +182,10 @@ def mutually_exclusive_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def singular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any query that should find nothing: here, order dates in the future of the last event."""
-    latest = table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    """Any query that should find nothing: here, conversations with a gap in their turns, or longer than ten turns."""
     return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("turns"), (F.max("turn") + 1).alias("expected_turns"), F.max(latest).alias("as_of")
-    ).filter((F.col("turns") != F.col("expected_turns")) | (F.col("turns") > 4))
+        F.count(F.lit(1)).alias("turns"), (F.max("turn") + 1).alias("expected_turns")
+    ).filter((F.col("turns") != F.col("expected_turns")) | (F.col("turns") > 10))
 
 
 QUERIES = {
@@ -266,8 +266,9 @@ ORACLE = {
     "check_not_constant_whole_table": """
         select count(distinct year(ts)) as filler_column from events having count(distinct year(ts)) = 1""",
     "check_at_least_one": """
-        select user_id, count(case when event_type = 'purchase' then value end) as filler_column from events
-        group by user_id having count(case when event_type = 'purchase' then value end) = 0""",
+        select user_id, cast(ts as date) as day, count(case when event_type = 'purchase' then value end) as filler_column
+        from events
+        group by 1, 2 having count(case when event_type = 'purchase' then value end) = 0""",
     "check_at_least_one_whole_table": """
         select count(case when event_type = 'absent' then value end) as filler_column from events
         having count(case when event_type = 'absent' then value end) = 0""",
@@ -342,6 +343,6 @@ ORACLE = {
         select * from judged
         where not (lower_bound_less_than_upper_bound and upper_bound_less_than_or_equal_to_next_lower_bound)""",
     "check_singular": """
-        select conv_id, count(*) as turns, max(turn) + 1 as expected_turns, (select max(ts) from events) as as_of
-        from conversations group by conv_id having count(*) <> max(turn) + 1 or count(*) > 4""",
+        select conv_id, count(*) as turns, max(turn) + 1 as expected_turns
+        from conversations group by conv_id having count(*) <> max(turn) + 1 or count(*) > 10""",
 }

@@ -71,15 +71,18 @@ def raw_supplies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STAGED = {
+    "stg_customers": lambda spark, sf_dir: staging.stg_customers(raw_customers(spark, sf_dir)),
+    "stg_locations": lambda spark, sf_dir: staging.stg_locations(raw_stores(spark, sf_dir)),
+    "stg_order_items": lambda spark, sf_dir: staging.stg_order_items(raw_items(spark, sf_dir)),
+    "stg_orders": lambda spark, sf_dir: staging.stg_orders(raw_orders(spark, sf_dir)),
+    "stg_products": lambda spark, sf_dir: staging.stg_products(raw_products(spark, sf_dir), FOOD_TYPE, DRINK_TYPE),
+    "stg_supplies": lambda spark, sf_dir: staging.stg_supplies(raw_supplies(spark, sf_dir)),
+}
+
+
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "stg_customers": staging.stg_customers(raw_customers(spark, sf_dir)),
-        "stg_locations": staging.stg_locations(raw_stores(spark, sf_dir)),
-        "stg_order_items": staging.stg_order_items(raw_items(spark, sf_dir)),
-        "stg_orders": staging.stg_orders(raw_orders(spark, sf_dir)),
-        "stg_products": staging.stg_products(raw_products(spark, sf_dir), FOOD_TYPE, DRINK_TYPE),
-        "stg_supplies": staging.stg_supplies(raw_supplies(spark, sf_dir)),
-    }
+    return {name: build(spark, sf_dir) for name, build in STAGED.items()}
 
 
 def item_mart(stg: dict[str, DataFrame]) -> DataFrame:

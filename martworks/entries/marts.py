@@ -1,13 +1,11 @@
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.checks import expression_is_true, run_checks
 from martworks.checks.suite import AcceptedValues, Expression, NotNull, Relationship, Unique
-from martworks.entries.mapping import item_mart, staged, with_tables
+from martworks.entries.mapping import STAGED, item_mart, staged, with_tables
 from martworks.plans import marts
 from martworks.plans.build import Step, gated_build
 from martworks.plans.declared import CHECKS
@@ -17,10 +15,6 @@ from martworks.session import written
 TAX_CHECK = "order_total - tax_paid = subtotal"
 
 
-def _staged(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(spark, sf_dir)[name]
-
-
 def mart_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_mart(staged(spark, sf_dir))
 
@@ -58,7 +52,7 @@ def _tax_left_in_cents(stg_orders: DataFrame) -> DataFrame:
 
 def broken_tax_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many orders stop adding up when their tax is left in cents."""
-    broken = _tax_left_in_cents(staged(spark, sf_dir)["stg_orders"])
+    broken = _tax_left_in_cents(STAGED["stg_orders"](spark, sf_dir))
     return expression_is_true(broken, TAX_CHECK).agg(F.count(F.lit(1)).alias("failing_orders"))
 
 
@@ -86,15 +80,13 @@ def gated_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    **{name: partial(_staged, name) for name in (
-        "stg_customers", "stg_locations", "stg_order_items", "stg_orders", "stg_products", "stg_supplies",
-    )},
+    **STAGED,
     "mart_order_items": mart_order_items,
     "mart_orders": mart_orders,
     "mart_customers": mart_customers,
-    "mart_locations": lambda spark, sf_dir: marts.locations(staged(spark, sf_dir)["stg_locations"]),
-    "mart_products": lambda spark, sf_dir: marts.products(staged(spark, sf_dir)["stg_products"]),
-    "mart_supplies": lambda spark, sf_dir: marts.supplies(staged(spark, sf_dir)["stg_supplies"]),
+    "mart_locations": lambda spark, sf_dir: marts.locations(STAGED["stg_locations"](spark, sf_dir)),
+    "mart_products": lambda spark, sf_dir: marts.products(STAGED["stg_products"](spark, sf_dir)),
+    "mart_supplies": lambda spark, sf_dir: marts.supplies(STAGED["stg_supplies"](spark, sf_dir)),
     "customer_type_summary": customer_type_summary,
     "check_suite": check_suite,
     "broken_tax_scenario": broken_tax_scenario,
