@@ -10,28 +10,31 @@ from pyspark.sql import types as T
 
 from martworks import fixed_values as fixed
 from martworks.operators.columns import filtered_columns, quoted
+from martworks.operators.ordered import repeat_rows
 from martworks.operators.setops import LEFT_ONLY, RIGHT_ONLY, symmetric_diff
 
 
 def relationships(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
     """Rows whose key has no parent, as `from_field`; null keys pass."""
-    return _orphans(df, column, to, field).select(F.col("_key").alias("from_field"))
+    return repeat_rows(orphans(df, column, to, field), "n_records").select(F.col("_key").alias("from_field"))
 
 
 def relationships_where(
     df: DataFrame, column: str, to: DataFrame, field: str, from_condition: str = "1=1", to_condition: str = "1=1"
 ) -> DataFrame:
     """`relationships` after filtering both sides: `id` of each orphan, and `right_id`, always null."""
-    orphans = _orphans(df.filter(from_condition), column, to.filter(to_condition), field)
-    return orphans.select(F.col("_key").alias("id"), F.lit(None).cast(to.schema[field].dataType).alias("right_id"))
+    found = repeat_rows(orphans(df.filter(from_condition), column, to.filter(to_condition), field), "n_records")
+    return found.select(F.col("_key").alias("id"), F.lit(None).cast(to.schema[field].dataType).alias("right_id"))
 
 
-def _orphans(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
-    # Parents are made distinct first: a key repeated there would otherwise meet every child row in one task. A key
-    # repeated among the children is left to adaptive skew splitting, which may split the left side of an anti-join.
-    children = df.select(quoted(column).alias("_key")).filter(F.col("_key").isNotNull())
-    parents = to.select(quoted(field).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-    return children.join(parents, "_key", "left_anti")
+def orphans(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
+    """Keys without a parent and how many rows have them (`_key`, `n_records`).
+
+    Both sides are reduced to distinct keys before the join, children with a count. So a frequent key crosses the
+    shuffle once per task on either side, and the join finds both sides partitioned by key already."""
+    children = df.groupBy(quoted(column).alias("_key")).agg(F.count(F.lit(1)).alias("n_records"))
+    parents = to.select(quoted(field).alias("_key")).distinct()
+    return children.filter(F.col("_key").isNotNull()).join(parents, "_key", "left_anti")
 
 
 def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martworks.checks.compare import orphans
 from martworks.checks.rows import expression_fails, null_fails
 from martworks.operators.columns import quoted
 
@@ -133,11 +134,8 @@ def _count_accepted_values(df: DataFrame, check: AcceptedValues) -> DataFrame:
 
 
 def _count_orphans(models: Mapping[str, DataFrame], check: Relationship) -> DataFrame:
-    """Child rows are counted per key before the join, so a frequent key crosses the shuffle as one row per task."""
-    child = quoted(check.column).alias("_key")
-    children = models[check.model].groupBy(child).agg(F.count(F.lit(1)).alias("_n")).filter("_key is not null")
-    parents = models[check.to].select(quoted(check.field).alias("_key")).distinct()
-    return _long(children.join(parents, "_key", "left_anti").agg(F.sum("_n").alias("c0")), [check])
+    found = orphans(models[check.model], check.column, models[check.to], check.field)
+    return _long(found.agg(F.sum("n_records").alias("c0")), [check])
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:

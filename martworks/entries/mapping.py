@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.functions import surrogate_key
-from martworks.plans import marts, staging
+from martworks.plans import staging
+from martworks.plans.build import Step
+from martworks.plans.declared import run_with, with_step
 
 FOOD_TYPE, DRINK_TYPE = "ECONOMY", "PROMO"
 FIRST_OPENING = "2079-10-27 23:59:59.9999"
@@ -34,6 +36,20 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_orders_of_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose subtotal is the price of their items, as in a shop; those above come with unrelated totals."""
+    prices = raw_products(spark, sf_dir).select("sku", "price")
+    priced = raw_items(spark, sf_dir).select("order_id", "sku").join(prices, "sku", "left")
+    subtotals = priced.groupBy(F.col("order_id").alias("id")).agg(F.sum("price").alias("subtotal"))
+    amounts = raw_orders(spark, sf_dir).drop("subtotal", "tax_paid", "order_total").join(subtotals, "id", "left")
+    subtotal = F.coalesce(F.col("subtotal"), F.lit(0).cast("bigint"))
+    tax = F.floor(subtotal * 6 / 100).cast("bigint")
+    return amounts.select(
+        "id", "customer", "ordered_at", "store_id",
+        subtotal.alias("subtotal"), tax.alias("tax_paid"), (subtotal + tax).alias("order_total"),
+    )
+
+
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         surrogate_key(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]).alias("id"),
@@ -71,22 +87,27 @@ def raw_supplies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-STAGED = {
-    "stg_customers": lambda spark, sf_dir: staging.stg_customers(raw_customers(spark, sf_dir)),
-    "stg_locations": lambda spark, sf_dir: staging.stg_locations(raw_stores(spark, sf_dir)),
-    "stg_order_items": lambda spark, sf_dir: staging.stg_order_items(raw_items(spark, sf_dir)),
-    "stg_orders": lambda spark, sf_dir: staging.stg_orders(raw_orders(spark, sf_dir)),
-    "stg_products": lambda spark, sf_dir: staging.stg_products(raw_products(spark, sf_dir), FOOD_TYPE, DRINK_TYPE),
-    "stg_supplies": lambda spark, sf_dir: staging.stg_supplies(raw_supplies(spark, sf_dir)),
+RAW = {
+    "raw_customers": raw_customers,
+    "raw_orders": raw_orders,
+    "raw_items": raw_items,
+    "raw_products": raw_products,
+    "raw_stores": raw_stores,
+    "raw_supplies": raw_supplies,
 }
+PRODUCTS = Step(
+    "stg_products", "view", ("raw_products",),
+    lambda tables: staging.stg_products(tables["raw_products"], FOOD_TYPE, DRINK_TYPE),
+)
+PROJECT = with_step(PRODUCTS)
+STAGING = [s for s in PROJECT if s.kind == "view"]
 
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in STAGED.items()}
-
-
-def item_mart(stg: dict[str, DataFrame]) -> DataFrame:
-    return marts.order_items(stg["stg_order_items"], stg["stg_orders"], stg["stg_products"], stg["stg_supplies"])
+def staged(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Staging tables, all or the named ones."""
+    steps = [s for s in STAGING if not names or s.name in names]
+    needed = {n for s in steps for n in s.needs}
+    return run_with({name: RAW[name](spark, sf_dir) for name in needed}, steps)
 
 
 # The same tables as SQL, by name; each may use the ones before it.
@@ -174,6 +195,17 @@ SQL = {
 }
 
 
-def with_tables(query: str) -> str:
-    """Put the definitions above in front of a query."""
-    return "with " + ",\n".join(f"{name} as ({body})" for name, body in SQL.items()) + f"\n{query}"
+RAW_ORDERS_OF_ITEMS = """
+    select o_orderkey as id, o_custkey as customer, o_orderdate as ordered_at, o_custkey % 25 as store_id, subtotal,
+           cast(floor(subtotal * 6 / 100) as bigint) as tax_paid,
+           subtotal + cast(floor(subtotal * 6 / 100) as bigint) as order_total
+    from (select o.*, cast(coalesce(s.subtotal, 0) as bigint) as subtotal
+          from orders as o left join (
+              select l_orderkey, sum(cast(round(p_retailprice * 100) as bigint)) as subtotal
+              from lineitem left join part on l_partkey = p_partkey group by l_orderkey) as s
+          on o.o_orderkey = s.l_orderkey) as priced"""
+
+
+def with_tables(query: str, **replaced: str) -> str:
+    """Put the definitions above in front of a query, some of them replaced."""
+    return "with " + ",\n".join(f"{n} as ({body})" for n, body in {**SQL, **replaced}.items()) + f"\n{query}"

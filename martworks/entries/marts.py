@@ -1,33 +1,50 @@
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.checks import expression_is_true, run_checks
 from martworks.checks.suite import AcceptedValues, Expression, NotNull, Relationship, Unique
-from martworks.entries.mapping import STAGED, item_mart, staged, with_tables
-from martworks.plans import marts
+from martworks.entries.mapping import (
+    PROJECT,
+    RAW,
+    RAW_ORDERS_OF_ITEMS,
+    STAGING,
+    raw_orders_of_items,
+    staged,
+    with_tables,
+)
+from martworks.plans import marts, staging
 from martworks.plans.build import Step, gated_build
-from martworks.plans.declared import CHECKS
+from martworks.plans.declared import CHECKS, downstream, run_with, with_step
 from martworks.plans.fixtures import FIXTURES
 from martworks.session import written
 
+BIG_MARTS = ("order_items", "orders", "customers")
 TAX_CHECK = "order_total - tax_paid = subtotal"
 
 
-def mart_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return item_mart(staged(spark, sf_dir))
+def _built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table of the project, everything before it lazy."""
+    return run_with(staged(spark, sf_dir), [s for s in PROJECT if s.name in ("order_items", name)])[name]
+
 
+def _staged(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(spark, sf_dir, name)[name]
 
-def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = staged(spark, sf_dir)
-    return marts.orders(stg["stg_orders"], item_mart(stg))
+
+def _passed_on(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    step = next(s for s in PROJECT if s.name == name)
+    return step.build(staged(spark, sf_dir, *step.needs))
 
 
 def mart_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stg = staged(spark, sf_dir)
-    # The totals need no item column, so Spark drops the item branch from this plan.
-    return marts.customers(stg["stg_customers"], marts.order_facts(stg["stg_orders"], item_mart(stg)))
+    """The customer totals use only columns that the orders mart takes over from staging, row by row, so they can be
+    had without building that mart first."""
+    stg = staged(spark, sf_dir, "stg_customers", "stg_orders")
+    return marts.customers(stg["stg_customers"], stg["stg_orders"])
 
 
 def customer_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,14 +52,12 @@ def customer_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks. The marts are written first, so that each is computed once for all its checks and readers."""
+    """All declared checks. The big marts are written, so that each is computed once for its checks and readers."""
     tables = staged(spark, sf_dir)
-    tables["order_items"] = written(item_mart(tables), "order_items")
-    tables["orders"] = written(marts.orders(tables["stg_orders"], tables["order_items"]), "orders")
-    tables["customers"] = written(marts.customers(tables["stg_customers"], tables["orders"]), "customers")
-    tables["locations"] = marts.locations(tables["stg_locations"])
-    tables["products"] = marts.products(tables["stg_products"])
-    tables["supplies"] = marts.supplies(tables["stg_supplies"])
+    for step in PROJECT:
+        if step.kind == "table":
+            df = step.build(tables)
+            tables[step.name] = written(df, step.name) if step.name in BIG_MARTS else df
     return run_checks(tables, CHECKS)
 
 
@@ -52,45 +67,48 @@ def _tax_left_in_cents(stg_orders: DataFrame) -> DataFrame:
 
 def broken_tax_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many orders stop adding up when their tax is left in cents."""
-    broken = _tax_left_in_cents(STAGED["stg_orders"](spark, sf_dir))
+    broken = _tax_left_in_cents(staged(spark, sf_dir, "stg_orders")["stg_orders"])
     return expression_is_true(broken, TAX_CHECK).agg(F.count(F.lit(1)).alias("failing_orders"))
 
 
+def _publish(step: Step, df: DataFrame) -> DataFrame:
+    return df if step.kind == "view" else written(df, step.name)
+
+
 def gated_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build orders and everything after them with tax left in cents: the failing check stops the marts."""
-    stg = staged(spark, sf_dir)
-    steps = [
-        Step("stg_orders", "view", (), lambda t: _tax_left_in_cents(stg["stg_orders"])),
-        Step(
-            "order_items", "table", ("stg_order_items", "stg_orders", "stg_products", "stg_supplies"),
-            lambda t: item_mart(dict(t)),
-        ),
-        Step("orders", "table", ("stg_orders", "order_items"), lambda t: marts.orders(t["stg_orders"], t["order_items"])),
-        Step("customers", "table", ("stg_customers", "orders"), lambda t: marts.customers(t["stg_customers"], t["orders"])),
-    ]
+    broken = Step(
+        "stg_orders", "view", ("raw_orders",), lambda tables: _tax_left_in_cents(staging.stg_orders(tables["raw_orders"]))
+    )
+    steps = downstream("stg_orders", with_step(broken, PROJECT))
     built = {s.name for s in steps}
-    given = {name: df for name, df in stg.items() if name not in built}
+    given = {name: df for name, df in staged(spark, sf_dir).items() if name not in built}
     checks = [c for c in CHECKS if built.intersection(c.models)]
     fixtures = [f for f in FIXTURES if f.model in built]
+    return gated_build(spark, steps, checks, fixtures, given, _publish)
 
-    def publish(step: Step, df: DataFrame) -> DataFrame:
-        return df if step.kind == "view" else written(df, step.name)
 
-    return gated_build(spark, steps, checks, fixtures, given, publish)
+def full_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build and check the whole project, on orders that add up with their items."""
+    raw = {name: table(spark, sf_dir) for name, table in RAW.items()}
+    raw["raw_orders"] = written(raw_orders_of_items(spark, sf_dir), "raw_orders")
+    raw["raw_supplies"] = written(raw["raw_supplies"], "raw_supplies")
+    return gated_build(spark, PROJECT, CHECKS, FIXTURES, raw, _publish)
 
 
 QUERIES = {
-    **STAGED,
-    "mart_order_items": mart_order_items,
-    "mart_orders": mart_orders,
+    **{step.name: partial(_staged, step.name) for step in STAGING},
+    "mart_order_items": lambda spark, sf_dir: _built(spark, sf_dir, "order_items"),
+    "mart_orders": lambda spark, sf_dir: _built(spark, sf_dir, "orders"),
     "mart_customers": mart_customers,
-    "mart_locations": lambda spark, sf_dir: marts.locations(STAGED["stg_locations"](spark, sf_dir)),
-    "mart_products": lambda spark, sf_dir: marts.products(STAGED["stg_products"](spark, sf_dir)),
-    "mart_supplies": lambda spark, sf_dir: marts.supplies(STAGED["stg_supplies"](spark, sf_dir)),
+    "mart_locations": partial(_passed_on, "locations"),
+    "mart_products": partial(_passed_on, "products"),
+    "mart_supplies": partial(_passed_on, "supplies"),
     "customer_type_summary": customer_type_summary,
     "check_suite": check_suite,
     "broken_tax_scenario": broken_tax_scenario,
     "gated_build_status": gated_build_status,
+    "full_build_status": full_build_status,
 }
 
 
@@ -149,6 +167,38 @@ def _gated_sql() -> str:
     return "\nunion all\n".join(rows)
 
 
+def _full_build_sql() -> str:
+    """Statuses of all nodes from the failure counts of all checks. A step is skipped when a check on tables before it
+    fails, and a check when one of its tables is skipped."""
+    before: dict[str, set[str]] = {}
+    for step in PROJECT:
+        before[step.name] = set(step.needs).union(*(before.get(n, set()) for n in step.needs))
+
+    def skipped(*models: str) -> str:
+        stopping = [f"'{c.model}: {c.name}'" for c in CHECKS if any(set(c.models) <= before[m] for m in models)]
+        found = f"select 1 from counts where failures > 0 and node in ({', '.join(stopping)})"
+        return f"exists ({found})" if stopping else "false"
+
+    counts = "\nunion all\n".join(f"select '{c.model}: {c.name}' as node, ({_failures_sql(c)}) as failures" for c in CHECKS)
+    rows = [
+        f"select '{s.name}' as node, '{s.kind}' as kind, case when {skipped(s.name)} then 'skip' else 'pass' end as status, "
+        "cast(null as bigint) as failures"
+        for s in PROJECT
+    ]
+    rows += [
+        f"select '{f.name}', 'fixture', case when {skipped(f.model)} then 'skip' else 'pass' end, "
+        f"case when {skipped(f.model)} then null else 0 end"
+        for f in FIXTURES
+    ]
+    rows += [
+        f"select node, 'check', case when {skipped(*c.models)} then 'skip' when failures > 0 then 'error' else 'pass' end, "
+        f"case when {skipped(*c.models)} then null else failures end from counts where node = '{c.model}: {c.name}'"
+        for c in CHECKS
+    ]
+    tables = with_tables("", raw_orders=RAW_ORDERS_OF_ITEMS)
+    return f"{tables}, counts as ({counts})\n" + "\nunion all\n".join(rows)
+
+
 ORACLE = {
     **{name: with_tables(f"select * from {name}") for name in QUERIES if name.startswith(("stg_", "mart_"))},
     "customer_type_summary": with_tables(
@@ -158,4 +208,5 @@ ORACLE = {
     "check_suite": _suite_sql(),
     "broken_tax_scenario": with_tables(BROKEN_TAX),
     "gated_build_status": _gated_sql(),
+    "full_build_status": _full_build_sql(),
 }

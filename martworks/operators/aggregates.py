@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +24,21 @@ def group_by_first(df: DataFrame, n: int, *aggregates: Column) -> DataFrame:
     return df.groupBy(*df.columns[:n]).agg(*aggregates)
 
 
-def join_summary(left: DataFrame, detail: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+def join_summary(
+    left: DataFrame,
+    detail: DataFrame,
+    key: str,
+    *aggregates: Column,
+    store: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Collapse `detail` to one row per key, then left-join it. Collapsing first keeps the join from multiplying rows,
-    and the partial aggregation before its shuffle keeps a frequent key harmless."""
-    return left.join(detail.groupBy(key).agg(*aggregates), key, "left")
+    and the partial aggregation before its shuffle keeps a key that is frequent in `detail` harmless.
+
+    Where keys repeat on the left, pass `store` (e.g. `session.written`) on large data: a summary that was written is
+    broadcast only when its size allows, and otherwise adaptive execution can split frequent keys, which it cannot do
+    above an aggregation."""
+    summary = detail.groupBy(key).agg(*aggregates)
+    return left.join(store(summary) if store else summary, key, "left")
 
 
 def column_values(

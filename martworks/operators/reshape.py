@@ -41,15 +41,20 @@ def pivot(
 ) -> DataFrame:
     """Values to columns: one conditional aggregate per value, all in one grouping. The defaults count rows, with 0
     where a value is absent. Columns are named `prefix + value + suffix`, or its slug without `quote_identifiers`."""
-    aggregate = (DISTINCT_AGGREGATES if distinct else AGGREGATES)[agg.lower()]
+    name_, agg = as_column(column), agg.lower()
+    then_, else_ = as_value(then_value), as_value(else_value)
+    if distinct and cmp == "=" and else_value is None:
+        # Every distinct (value, result) pair counts in one column only, so plain aggregates over the distinct rows do.
+        # Distinct aggregates would multiply all rows by the number of values.
+        df = df.select(*group, name_.alias("_name"), then_.alias("_then")).distinct()
+        name_, then_, distinct = F.col("_name"), F.col("_then"), False
+    aggregate = (DISTINCT_AGGREGATES if distinct else AGGREGATES)[agg]
     compare = COMPARISONS[cmp.lower()]
     names = [f"{prefix}{value}{suffix}" for value in values]
     if not quote_identifiers:
         names = [slug_name(name) for name in names]
     cells = [
-        aggregate(
-            F.when(compare(as_column(column), F.lit(value)), as_value(then_value)).otherwise(as_value(else_value))
-        ).alias(name)
+        aggregate(F.when(compare(name_, F.lit(value)), then_).otherwise(else_)).alias(name)
         for value, name in zip(values, names)
     ]
     return df.groupBy(*group).agg(*cells)

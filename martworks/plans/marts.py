@@ -3,6 +3,8 @@ and every join keeps its left rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,16 +13,32 @@ from martworks.functions import customer_type, is_true, to_bool
 from martworks.operators import count_where, join_summary, sequence_no
 from martworks.operators.ordered import HOT_ROWS
 
+# Writes an intermediate table and returns it as read back, e.g. `session.written`.
+Store = Callable[[DataFrame], DataFrame]
+
+
+def product_facts(stg_products: DataFrame, stg_supplies: DataFrame) -> DataFrame:
+    """What items take from products and supplies, one row per product that either of them knows."""
+    products = stg_products.select("product_id", "product_name", "product_price", "is_food_item", "is_drink_item")
+    costs = stg_supplies.groupBy("product_id").agg(F.sum("supply_cost").cast(fixed.MONEY_SUM).alias("supply_cost"))
+    return products.join(costs, "product_id", "full")
+
 
 def order_items(
-    stg_order_items: DataFrame, stg_orders: DataFrame, stg_products: DataFrame, stg_supplies: DataFrame
+    stg_order_items: DataFrame,
+    stg_orders: DataFrame,
+    stg_products: DataFrame,
+    stg_supplies: DataFrame,
+    store: Store | None = None,
 ) -> DataFrame:
-    """One row per item. Product and supply columns are joined first: both are keyed by product, so at most one shuffle
-    serves both, and none when they are small enough for Spark to broadcast. The join with orders comes last and leaves
-    the rows partitioned by order, as `order_facts` needs them."""
-    products = stg_products.select("product_id", "product_name", "product_price", "is_food_item", "is_drink_item")
-    supply_cost = F.sum("supply_cost").cast(fixed.MONEY_SUM).alias("supply_cost")
-    described = join_summary(stg_order_items.join(products, "product_id", "left"), stg_supplies, "product_id", supply_cost)
+    """One row per item. Product and supply columns come in by one join, as both are keyed by product. The join with
+    orders comes last and leaves the rows partitioned by order, as `order_facts` needs them.
+
+    Items repeat products, some of them very often. Pass `store` on large data: product facts that were written are
+    broadcast only when their size allows, and otherwise adaptive execution can split frequent products, which it
+    cannot do above an aggregation."""
+    facts = product_facts(stg_products, stg_supplies)
+    described = stg_order_items.join(store(facts) if store else facts, "product_id", "left")
     dated = described.join(stg_orders.select("order_id", "ordered_at"), "order_id", "left")
     return dated.select(
         *stg_order_items.columns, "ordered_at", "product_name", "product_price", "is_food_item", "is_drink_item",
