@@ -52,12 +52,13 @@ def customer_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks. The big marts are written, so that each is computed once for its checks and readers."""
-    tables = staged(spark, sf_dir)
+    """All declared checks. What is computed (the big marts, and supplies in this data) is written first, so that it is
+    computed once for all its checks and readers."""
+    tables = {name: table(spark, sf_dir) for name, table in RAW.items()}
+    tables["raw_supplies"] = written(tables["raw_supplies"], "raw_supplies")
     for step in PROJECT:
-        if step.kind == "table":
-            df = step.build(tables)
-            tables[step.name] = written(df, step.name) if step.name in BIG_MARTS else df
+        df = step.build(tables)
+        tables[step.name] = written(df, step.name) if step.name in BIG_MARTS else df
     return run_checks(tables, CHECKS)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -33,6 +34,7 @@ class Fixture:
 
 
 def _ancestors(steps: Sequence[Step]) -> dict[str, set[str]]:
+    """Every table before a step. Steps are listed after the steps they need."""
     found: dict[str, set[str]] = {}
     for step in steps:
         found[step.name] = set(step.needs).union(*(found.get(n, set()) for n in step.needs))
@@ -46,41 +48,63 @@ def gated_build(
     fixtures: Sequence[Fixture] = (),
     given: Tables | None = None,
     publish: Callable[[Step, DataFrame], DataFrame] | None = None,
+    threads: int = 4,
 ) -> DataFrame:
-    """Run the steps in the given order, each followed by the checks that became possible. Returns one row per node:
-    `node, kind, status, failures`.
+    """Build every step once all its needs are built, and run every check once all its tables are. Returns one row per
+    node: `node, kind, status, failures`.
 
-    A failed check leaves its own table built but skips every later step that depends on all tables of the check, and
-    with it that step's checks and descendants. Skipped tables are not touched, so an earlier version keeps serving.
+    A failed check leaves its own table built but skips every step that depends on all tables of the check, and with
+    it that step's checks and descendants. Skipped tables are not touched, so an earlier version keeps serving.
     `given` holds tables that exist already. `publish` stores a built step and returns what later steps read; without
-    it a view becomes a temporary view and a table is written to the shared folder."""
+    it a view becomes a temporary view and a table is written to the shared folder.
+
+    Steps that became possible together are stored at the same time, by at most `threads` threads, and their checks
+    are counted in one job."""
     publish = publish or _publish
     tables: dict[str, DataFrame] = dict(given or {})
     known = set(tables) | {s.name for s in steps}
     ancestors = _ancestors(steps)
     blocked: set[str] = set()
     failed_checks: list[Check] = []
+    waiting = list(steps)
     pending = [c for c in checks if set(c.models) <= known]
     result: list[tuple[str, str, str, int | None]] = []
 
-    for step in steps:
-        own_fixtures = [f for f in fixtures if f.model == step.name]
-        stopped = any(n in blocked for n in step.needs) or any(
-            set(c.models) <= ancestors[step.name] for c in failed_checks
-        )
-        for fixture in own_fixtures:
-            failures = None if stopped else fixture.failing(spark).count()
-            result.append((fixture.name, "fixture", _status(failures), failures))
-            stopped = stopped or bool(failures)
-        status = SKIP if stopped else PASS
-        if not stopped:
-            try:
-                tables[step.name] = publish(step, step.build(tables))
-            except PySparkException:
-                status = ERROR
-        result.append((step.name, step.kind, status, None))
-        if status != PASS:
-            blocked.add(step.name)
+    def stored(step: Step) -> DataFrame | None:
+        try:
+            return publish(step, step.build(tables))
+        except PySparkException:
+            return None
+
+    while waiting:
+        settled = set(tables) | blocked
+        ready = [s for s in waiting if set(s.needs) <= settled]
+        if not ready:
+            raise ValueError(f"steps need tables that nothing builds: {[s.name for s in waiting]}")
+        waiting = [s for s in waiting if s not in ready]
+
+        runnable = []
+        for step in ready:
+            stopped = bool(blocked.intersection(step.needs)) or any(
+                set(c.models) <= ancestors[step.name] for c in failed_checks
+            )
+            for fixture in (f for f in fixtures if f.model == step.name):
+                failures = None if stopped else fixture.failing(spark).count()
+                result.append((fixture.name, "fixture", _status(failures), failures))
+                stopped = stopped or bool(failures)
+            if stopped:
+                blocked.add(step.name)
+                result.append((step.name, step.kind, SKIP, None))
+            else:
+                runnable.append(step)
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            outcomes = list(pool.map(stored, runnable))
+        for step, df in zip(runnable, outcomes):
+            result.append((step.name, step.kind, ERROR if df is None else PASS, None))
+            if df is None:
+                blocked.add(step.name)
+            else:
+                tables[step.name] = df
 
         skipped = [c for c in pending if blocked.intersection(c.models)]
         due = [c for c in pending if c not in skipped and set(c.models) <= set(tables)]
