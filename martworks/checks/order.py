@@ -33,14 +33,14 @@ def sequential_values(
     timestamps). The first row passes, a repeated value fails."""
     previous_name = f"previous_{slug_name(column)}"
     rows = df.select(*group_by, quoted(column).alias("_value"))
-    paired = with_previous(rows, group_by, ["_value"], "_previous", hot_rows)
     value, previous = F.col("_value"), F.col("_previous._value")
     if datepart:
         expected = add_units(datepart, interval, previous.cast("timestamp_ntz"))
         follows = value.cast("timestamp_ntz") == expected
     else:
         follows = value == previous + interval
-    return paired.filter(~follows).select(*group_by, value.alias(column), previous.alias(previous_name))
+    failing = with_previous(rows, group_by, ["_value"], "_previous", ~follows, hot_rows)
+    return failing.select(*group_by, value.alias(column), previous.alias(previous_name))
 
 
 def mutually_exclusive_ranges(
@@ -64,21 +64,21 @@ def mutually_exclusive_ranges(
         quoted(upper_bound).alias("upper_bound"),
     )
     # The last range of a group is the one without a next; so no second sort, in the other direction, is needed.
-    paired = with_next(rows, group, ["lower_bound", "upper_bound"], "_next", hot_rows)
     lower, upper, next_lower = F.col("lower_bound"), F.col("upper_bound"), F.col("_next.lower_bound")
     is_last = F.col("_next").isNull()
+    forward = lower <= upper if zero_length_range_allowed else lower < upper
+    runs_forward = F.coalesce(forward, F.lit(False))
+    keeps_distance = F.coalesce(meets_next(upper, next_lower), is_last, F.lit(False))
+    failing = with_next(
+        rows, group, ["lower_bound", "upper_bound"], "_next", ~(runs_forward & keeps_distance), hot_rows
+    )
     length_words = "less_than_or_equal_to" if zero_length_range_allowed else "less_than"
-    length_name = f"lower_bound_{length_words}_upper_bound"
-    gap_name = f"upper_bound_{gap_words}_next_lower_bound"
-    runs_forward = lower <= upper if zero_length_range_allowed else lower < upper
-    judged = paired.select(
+    return failing.select(
         *group,
         lower,
         upper,
         next_lower.alias("next_lower_bound"),
         is_last.alias("is_last_record"),
-        F.coalesce(runs_forward, F.lit(False)).alias(length_name),
-        F.coalesce(meets_next(upper, next_lower), is_last, F.lit(False)).alias(gap_name),
+        runs_forward.alias(f"lower_bound_{length_words}_upper_bound"),
+        keeps_distance.alias(f"upper_bound_{gap_words}_next_lower_bound"),
     )
-    return judged.filter(~(F.col(length_name) & F.col(gap_name)))
-

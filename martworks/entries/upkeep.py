@@ -161,7 +161,7 @@ ORACLE = {
         from ({ORDERS})
         union all select -o_orderkey - 1, o_custkey, o_orderstatus, day from ({ORDERS}) where o_custkey % 10 = 3""",
     "incremental_merge_partitioned": f"""
-        with o as (select *, year(day) as year from ({ORDERS}))
+        with o as (select *, cast(year(day) as integer) as year from ({ORDERS}))
         select o_orderkey, o_custkey,
                case when o_orderstatus = 'P' and year in (1995, 1996) then 'D' else o_orderstatus end as o_orderstatus, day,
                case when o_orderstatus = 'P' and year in (1995, 1996) then 1995 else year end as year

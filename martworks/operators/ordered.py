@@ -59,24 +59,37 @@ def sequence_no(
 
 
 def with_previous(
-    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    name: str,
+    where: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add the sort key of the preceding row in the group as a struct `name`, null for the first row."""
-    return _with_neighbour(df, partition_by, order_by, name, F.lag, F.max, hot_rows)
+    """Add the sort key of the preceding row in the group as a struct `name`, null for the first row. `where`, which may
+    use `name`, says which rows to return."""
+    return _with_neighbour(df, partition_by, order_by, name, where, F.lag, F.max, hot_rows)
 
 
 def with_next(
-    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    name: str,
+    where: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add the sort key of the following row in the group as a struct `name`, null for the last row."""
-    return _with_neighbour(df, partition_by, order_by, name, F.lead, F.min, hot_rows)
+    """Like `with_previous`, for the following row in the group, null for the last row."""
+    return _with_neighbour(df, partition_by, order_by, name, where, F.lead, F.min, hot_rows)
 
 
-def _with_neighbour(df, partition_by, order_by, name, shift, edge, hot_rows) -> DataFrame:
+def _with_neighbour(df, partition_by, order_by, name, where, shift, edge, hot_rows) -> DataFrame:
+    where = F.lit(True) if where is None else where
     key = F.struct(*(F.col(c) for c in order_by))
     slices = _Slices.find(df, partition_by, order_by, hot_rows)
     if slices is None:
-        return df.withColumn(name, shift(key).over(Window.partitionBy(*partition_by).orderBy(*order_by)))
+        neighbour = shift(key).over(Window.partitionBy(*partition_by).orderBy(*order_by))
+        return df.withColumn(name, neighbour).filter(where)
 
     # Equal sort keys would all land in one slice, however many there are. They are neighbours of each other, so only
     # one row per key takes part in the search, and the copies point at their own key.
@@ -91,7 +104,7 @@ def _with_neighbour(df, partition_by, order_by, name, shift, edge, hot_rows) ->
     one = F.struct(nearest.alias(name), F.lit(1).cast("bigint").alias("_times"))
     others = F.struct(key.alias(name), (F.col("_copies") - 1).alias("_times"))
     split = found.select(*columns, F.inline(F.array(one, others)))
-    return repeat_rows(split, "_times")
+    return repeat_rows(split.filter(where), "_times")
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,16 +25,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _temporary_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="martworks-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`, or a temporary one on a local master only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors can reach: `spark.checkpoint.dir` of the session, or a temporary one where none is set
+    and the master is local."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="martworks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _temporary_folder(spark.sparkContext.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -31,15 +31,21 @@ def normal(value):
     return ("s", value)
 
 
-def table(columns, found) -> tuple[list[str], list[tuple]]:
+# Spark type names by DuckDB type name; the others agree once lower-cased.
+SPARK_TYPES = {
+    "varchar": "string", "integer": "int", "timestamp": "timestamp_ntz", '"null"': "void",
+}
+
+
+def table(columns, types, found) -> tuple[list[tuple[str, str]], list[tuple]]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return [columns[i] for i in order], sorted(
+    return [(columns[i], types[i]) for i in order], sorted(
         (tuple(normal(row[i]) for i in order) for row in found), key=lambda row: tuple(map(str, row))
     )
 
 
 def from_spark(df: DataFrame):
-    return table(df.columns, df.collect())
+    return table(df.columns, [type_ for _, type_ in df.dtypes], df.collect())
 
 
 def from_duckdb(folder: str, sql: str):
@@ -47,16 +53,17 @@ def from_duckdb(folder: str, sql: str):
         for path in Path(folder).glob("*.parquet"):
             con.execute(f"create view {path.stem} as select * from read_parquet('{path}')")
         result = con.execute(sql)
-        return table([c[0] for c in result.description], result.fetchall())
+        types = [str(c[1]).lower() for c in result.description]
+        return table([c[0] for c in result.description], [SPARK_TYPES.get(t, t) for t in types], result.fetchall())
 
 
 def difference(ours, theirs) -> str | None:
     if ours[0] != theirs[0]:
-        return f"columns {ours[0]} and {theirs[0]}"
+        return f"columns {set(ours[0]) - set(theirs[0])} and {set(theirs[0]) - set(ours[0])}"
     if ours[1] == theirs[1]:
         return None
-    only = [r for r in ours[1] if r not in set(theirs[1])][:2], [r for r in theirs[1] if r not in set(ours[1])][:2]
-    return f"{len(ours[1])} and {len(theirs[1])} rows; only left {only[0]}; only right {only[1]}"
+    left, right = set(ours[1]), set(theirs[1])
+    return f"{len(ours[1])} and {len(theirs[1])} rows; left {list(left - right)[:2]}; right {list(right - left)[:2]}"
 
 
 def main(folder: str, names: list[str]) -> int:
