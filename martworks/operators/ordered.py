@@ -21,6 +21,7 @@ HOT_ROWS = 5_000_000
 # At most so many groups are cut, the largest ones. A smaller group has less than 1/10,000 of all rows by counting.
 MAX_HOT_GROUPS = 10_000
 SAMPLES_PER_SLICE = 20
+CHUNK = 64
 # Rows one generator call makes at a time when copies are written out.
 COPIES_PER_ROW = 1_000_000
 
@@ -42,7 +43,7 @@ def sequence_no(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Number the rows of every group 1, 2, … in ascending order. End `order_by` with a unique column: ties are
-    numbered arbitrarily otherwise."""
+    numbered arbitrarily otherwise. Group sizes are looked up ahead, so write `df` first if it is costly to compute."""
     slices = _Slices.find(df, partition_by, order_by, hot_rows)
     if slices is None:
         number = F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by))
@@ -125,36 +126,36 @@ class _Slices:
     """Cut points of the sort order inside the hot groups of a table.
 
     They come from a small sample, are held as literal rows (at most 2 x MAX_HOT_GROUPS cut points in total) and only
-    decide which task sees a row, never what the result is."""
+    decide which task sees a row, never what the result is. A row finds its slice in two steps, first among every
+    CHUNK-th cut of its group and then within one chunk, so that it never carries more than a short array of cuts."""
 
-    def __init__(self, partition_by: Sequence[str], order_by: Sequence[str], cuts: DataFrame):
-        self.order_by = list(order_by)
+    def __init__(self, partition_by: Sequence[str], order_by: Sequence[str]):
         # Without partition columns the whole table is one group.
         self.groups = [F.col(c) for c in partition_by] or [F.lit(0)]
         self.keys = [f"_key{i}" for i in range(len(self.groups))]
-        self.cuts = cuts
-
-    @property
-    def sort_key(self) -> Column:
-        return F.struct(*(F.col(c) for c in self.order_by))
+        self.order_by = list(order_by)
+        self.sort_key = F.struct(*(F.col(c) for c in order_by))
+        self.chunk_ends: DataFrame
+        self.chunks: DataFrame
 
     @classmethod
     def find(cls, df: DataFrame, partition_by, order_by, hot_rows: int) -> _Slices | None:
-        slices = cls(partition_by, order_by, df)
+        """The slices of the groups above `hot_rows`, or None when there is no such group. Reads the group and sort
+        columns of `df` ahead of the query: once to size the groups, once more to sample hot ones."""
+        slices = cls(partition_by, order_by)
+        keys, spark = slices.keys, df.sparkSession
         keyed = df.select(*slices._group_columns(), slices.sort_key.alias("_sort"))
-        keys = slices.keys
         sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > hot_rows)
         largest = sizes.orderBy(F.desc("_size")).limit(MAX_HOT_GROUPS).collect()
         if not largest:
             return None
         hot_total = sum(row["_size"] for row in largest)
         slice_rows = max(hot_rows, ceil(hot_total / MAX_HOT_GROUPS))
-        schema = T.StructType([*(f for f in keyed.schema.fields if f.name in keys), T.StructField("_n", T.IntegerType())])
         planned = [(*(row[k] for k in keys), ceil(row["_size"] / slice_rows)) for row in largest]
-        hot = df.sparkSession.createDataFrame(planned, schema)
+        key_fields = [keyed.schema[k] for k in keys]
+        hot = spark.createDataFrame(planned, T.StructType([*key_fields, T.StructField("_n", T.IntegerType())]))
         share = min(1.0, SAMPLES_PER_SLICE * sum(row[-1] for row in planned) / hot_total)
-        hot_rows_keyed = slices._match(keyed, hot, "inner")
-        sampled = hot_rows_keyed.sample(fraction=share, seed=0).groupBy(*keys).agg(
+        sampled = slices._match(keyed, hot, "inner").sample(fraction=share, seed=0).groupBy(*keys).agg(
             F.sort_array(F.collect_list("_sort")).alias("_sample"), F.max("_n").alias("_n")
         )
         # Evenly spaced sample rows; the cut before slice i is the row at i/n of the sample.
@@ -163,12 +164,24 @@ class _Slices:
             lambda i: F.get(F.col("_sample"), (i * F.size("_sample") / F.col("_n")).cast("int")),
         )
         found = sampled.filter(F.col("_n") > 1).select(*keys, picks.alias("_cuts"))
-        slices.cuts = df.sparkSession.createDataFrame(found.collect(), found.schema)
+        cut_field = T.StructField("_cuts", found.schema["_cuts"].dataType)
+        ends, chunks = [], []
+        for row in found.collect():
+            group, cuts = tuple(row[k] for k in keys), row["_cuts"]
+            ends.append((*group, cuts[CHUNK - 1::CHUNK]))
+            chunks += [(*group, start // CHUNK, cuts[start:start + CHUNK]) for start in range(0, len(cuts) + 1, CHUNK)]
+        slices.chunk_ends = spark.createDataFrame(ends, T.StructType([*key_fields, cut_field]))
+        slices.chunks = spark.createDataFrame(
+            chunks, T.StructType([*key_fields, T.StructField("_chunk", T.IntegerType()), cut_field])
+        )
         return slices
 
     def _group_columns(self) -> list[Column]:
         return [group.alias(key) for group, key in zip(self.groups, self.keys)]
 
+    def _with_keys(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(dict(zip(self.keys, self.groups)))
+
     def _match(self, left: DataFrame, right: DataFrame, how: str, more: Sequence[str] = ()) -> DataFrame:
         """Broadcast join on the group (null groups included) and the `more` columns; keeps the left columns plus the
         right ones that are no keys. The right side is bounded by the number of cut points."""
@@ -177,33 +190,29 @@ class _Slices:
         matches = reduce(Column.__and__, (F.col(n).eqNullSafe(F.col(f"{n}_r")) for n in names))
         return left.join(F.broadcast(right), matches, how).drop(*(f"{n}_r" for n in names))
 
-    def _slice_number(self) -> Column:
-        """How many cuts are at or below the row's sort key, by bisection over the sorted cut array."""
-        steps = []
-        step = 1
-        while step <= 2 * MAX_HOT_GROUPS:
-            steps.insert(0, F.lit(step))
-            step *= 2
-        key = self.sort_key
-        cuts = F.col("_cuts")
+    def _cuts_reached(self) -> Column:
+        """How many of the sorted `_cuts` are at or below the row's sort key, by bisection; null without cuts."""
+        cuts, key = F.col("_cuts"), self.sort_key
 
         def narrow(low: Column, step: Column) -> Column:
             fits = (low + step <= F.size(cuts)) & (F.get(cuts, low + step - 1) <= key)
             return F.when(fits, low + step).otherwise(low)
 
-        return F.aggregate(F.array(*steps), F.lit(0), narrow)
+        steps = F.array(*(F.lit(1 << bit) for bit in reversed(range((2 * MAX_HOT_GROUPS // CHUNK).bit_length()))))
+        return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), narrow))
+
+    def _sliced(self, keyed: DataFrame, how: str) -> DataFrame:
+        chunked = self._match(keyed, self.chunk_ends, how).withColumn("_chunk", self._cuts_reached()).drop("_cuts")
+        found = self._match(chunked, self.chunks, how, ["_chunk"])
+        return found.withColumn("_slice", F.col("_chunk") * CHUNK + self._cuts_reached()).drop("_cuts", "_chunk")
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add `_slice`: the slice of a hot group's row, -1 for rows of other groups."""
-        keyed = self._match(df.withColumns(dict(zip(self.keys, self.groups))), self.cuts, "left")
-        number = F.when(F.col("_cuts").isNull(), -1).otherwise(self._slice_number())
-        return keyed.withColumn("_slice", number).drop("_cuts", *self.keys)
+        """Add `_slice`: the slice of a hot group's row, null for rows of other groups."""
+        return self._sliced(self._with_keys(df), "left").drop(*self.keys)
 
     def hot_rows_of(self, df: DataFrame) -> DataFrame:
-        keyed = df.select(*self._group_columns(), *self.order_by)
-        return self._match(keyed, self.cuts, "inner").withColumn("_slice", self._slice_number()).drop("_cuts")
+        return self._sliced(df.select(*self._group_columns(), *self.order_by), "inner")
 
     def attach(self, df: DataFrame, per_slice: DataFrame) -> DataFrame:
         """Bring a per-slice summary to the rows."""
-        keyed = df.withColumns(dict(zip(self.keys, self.groups)))
-        return self._match(keyed, per_slice, "left", ["_slice"]).drop(*self.keys)
+        return self._match(self._with_keys(df), per_slice, "left", ["_slice"]).drop(*self.keys)

@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 
 from martworks.checks import mutually_exclusive_ranges, sequential_values
-from martworks.operators import deduplicate, repeat_rows, sequence_no
+from martworks.operators import deduplicate, ordered, repeat_rows, sequence_no
 
 HOT = [1_000_000, 7, 1]
 
@@ -119,3 +119,17 @@ def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 3), ("b", 0), ("c", 2_000_001)], "k string, n bigint")
     counts = {r["k"]: r["count"] for r in repeat_rows(df, "n").groupBy("k").count().collect()}
     assert counts == {"a": 3, "c": 2_000_001}
+
+
+def test_slices_beyond_one_chunk(spark):
+    """More than 64 cuts in a group: the search goes through chunks, with the ends of chunks in the data."""
+    df = spark.range(1000).selectExpr("if(id % 3 = 0, 'big', cast(id % 5 as string)) as g", "id * 7 % 1009 as v")
+    plain, sliced = (sequence_no(df, ["g"], ["v"], "n", hot) for hot in (1_000_000, 2))
+    assert rows(plain) == rows(sliced)
+    slices = ordered._Slices.find(df, ["g"], ["v"], 2)
+    sizes = slices.hot_rows_of(df).groupBy("_key0", "_slice").count()
+    assert sizes.filter("_key0 = 'big'").count() > 2 * ordered.CHUNK
+    assert sizes.agg({"count": "max"}).first()[0] <= 4
+    bounds = slices.hot_rows_of(df).groupBy("_key0", "_slice").agg({"v": "min"}).orderBy("_key0", "_slice").collect()
+    for one, two in zip(bounds, bounds[1:]):
+        assert one["_key0"] != two["_key0"] or one["min(v)"] < two["min(v)"]
