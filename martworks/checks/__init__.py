@@ -9,6 +9,7 @@ from martworks.checks.compare import (
     expect_rows,
     fewer_rows_than,
     fewer_rows_than_failures,
+    orphans,
     relationships,
     relationships_where,
 )
@@ -41,6 +42,6 @@ __all__ = [
     "accepted_values", "at_least_one", "cardinality_equality", "equal_rowcount", "equal_rowcount_failures", "equality",
     "equality_failures", "expect_rows", "expression_is_true", "failure_count", "fewer_rows_than",
     "fewer_rows_than_failures", "mutually_exclusive_ranges", "not_accepted_values", "not_constant", "not_empty_string",
-    "not_null", "not_null_proportion", "recency", "relationships", "relationships_where", "run_checks",
+    "not_null", "not_null_proportion", "orphans", "recency", "relationships", "relationships_where", "run_checks",
     "sequential_values", "unique", "unique_combination",
 ]

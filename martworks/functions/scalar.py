@@ -24,7 +24,8 @@ def as_value(value: ColumnOrName | int | float | Decimal) -> Column:
 
 
 def cents_to_dollars(cents: ColumnOrName) -> Column:
-    return (as_column(cents) / F.lit(Decimal("100.0"))).cast(fixed.MONEY)
+    # Exact for every amount that fits the result, and several times faster than a decimal division.
+    return (as_column(cents).cast("decimal(20,4)") * F.lit(Decimal("0.01"))).cast(fixed.MONEY)
 
 
 def to_bool(condition: Column) -> Column:

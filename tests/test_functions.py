@@ -26,6 +26,8 @@ def test_surrogate_key_keeps_the_place_of_nulls(spark):
 
 def test_cents_to_dollars(spark):
     assert value(spark, fn.cents_to_dollars("c"), c=1105) == Decimal("11.05")
+    assert value(spark, fn.cents_to_dollars("c"), c=100.5) == Decimal("1.01")
+    assert value(spark, fn.cents_to_dollars("c"), c=-9_999_999_999_999_999) == Decimal("-99999999999999.99")
 
 
 def test_booleans(spark):
