@@ -10,6 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from martworks.checks.suite import ERROR, PASS, SKIP, Check, run_checks
+from martworks.session import written
+from martworks.sources.tables import Buckets, as_table, as_view
 
 Tables = Mapping[str, DataFrame]
 
@@ -126,9 +128,19 @@ def _status(failures: int | None) -> str:
 
 
 def _publish(step: Step, df: DataFrame) -> DataFrame:
-    from martworks.session import written
+    return as_view(df, step.name) if step.kind == "view" else written(df, step.name)
 
-    if step.kind == "view":
-        df.createOrReplaceTempView(step.name)
-        return df
-    return written(df, step.name)
+
+def to_catalog(
+    folder: str, database: str | None = None, buckets: Mapping[str, Buckets] | None = None
+) -> Callable[[Step, DataFrame], DataFrame]:
+    """A `publish` for `gated_build` that keeps tables in the catalog: each build writes a new version under `folder`
+    and switches to it, so a skipped table goes on serving its last good version."""
+
+    def publish(step: Step, df: DataFrame) -> DataFrame:
+        if step.kind == "view":
+            return as_view(df, step.name)
+        name = f"{database}.{step.name}" if database else step.name
+        return as_table(df, name, folder, bucket_by=(buckets or {}).get(step.name))
+
+    return publish

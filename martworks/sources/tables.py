@@ -21,37 +21,71 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    # The rebalance hint lets adaptive execution size the files and split partitions that are far too large.
-    df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+Buckets = tuple[int, Sequence[str]]
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] = (), bucket_by: Buckets | None = None) -> None:
+    if bucket_by:
+        # Rows are brought together by bucket, so that a bucket has few files; a bucket that is far too large is split
+        # by adaptive execution into several. Only the catalog knows buckets, hence the passing entry.
+        count, keys = bucket_by
+        entry = f"martworks_passing_{uuid.uuid4().hex}"
+        writer = df.hint("rebalance", count, *keys).write.bucketBy(count, *keys).sortBy(*keys)
+        writer.format("parquet").option("path", path).saveAsTable(entry)
+        df.sparkSession.sql(f"DROP TABLE {entry}")
+    elif partition_by:
+        # Without bringing them together, every task would write a file into every partition.
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
+
+
+def _layout(spark: SparkSession, name: str) -> tuple[list[str], Buckets | None]:
+    """Partition columns and buckets of a catalog table."""
+    columns = spark.catalog.listColumns(name)
+    partitions = [c.name for c in columns if c.isPartition]
+    keys = [c.name for c in columns if c.isBucket]
+    if not keys:
+        return partitions, None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()
+    return partitions, (int(described["data_type"]), keys)
 
 
-def _point(spark: SparkSession, name: str, path: str, schema: str, partition_by: Sequence[str]) -> None:
+def _point(spark: SparkSession, name: str, path: str, df: DataFrame, partition_by, bucket_by: Buckets | None) -> None:
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     else:
-        partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet {partitions} LOCATION '{path}'")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        if bucket_by:
+            keys = ", ".join(bucket_by[1])
+            layout = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {bucket_by[0]} BUCKETS"
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
-def _columns(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
+def as_table(
+    df: DataFrame, name: str, folder: str, partition_by: Sequence[str] = (), bucket_by: Buckets | None = None
+) -> DataFrame:
+    """Full rebuild of catalog table `name`: a new version under `folder`, then the switch. A change of columns or
+    layout recreates the catalog entry.
 
-def as_table(df: DataFrame, name: str, folder: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full rebuild of catalog table `name`: a new version under `folder`, then the switch. A change of columns
-    recreates the catalog entry."""
+    `partition_by` makes folders by value. `bucket_by`, a number and key columns, lets later joins and groupings on
+    these keys go without a shuffle, between tables of the same number of buckets."""
+    if partition_by and bucket_by:
+        raise ValueError("as_table: pass partition_by or bucket_by, not both")
     spark = df.sparkSession
     path = f"{folder.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    _write(df, path, partition_by)
-    ordered = df.select(*(c for c in df.columns if c not in partition_by), *partition_by)
-    if spark.catalog.tableExists(name) and spark.table(name).dtypes != ordered.dtypes:
-        # An external table: dropping the entry leaves the older files alone.
-        spark.sql(f"DROP TABLE {name}")
-    _point(spark, name, path, _columns(ordered), partition_by)
+    _write(df, path, partition_by, bucket_by)
+    ordered = df.select(*(quoted(c) for c in df.columns if c not in partition_by), *(quoted(c) for c in partition_by))
+    if spark.catalog.tableExists(name):
+        wanted = list(partition_by), (bucket_by[0], list(bucket_by[1])) if bucket_by else None
+        if spark.table(name).dtypes != ordered.dtypes or _layout(spark, name) != wanted:
+            # An external table: dropping the entry leaves the older files alone.
+            spark.sql(f"DROP TABLE {name}")
+    _point(spark, name, path, ordered, partition_by, bucket_by)
     return spark.table(name)
 
 
@@ -84,7 +118,7 @@ def incremental_merge(
         return as_table(new, name, folder, [partition_by] if partition_by else [])
     target = spark.table(name)
     if partition_by is None:
-        return as_table(merged(target, new, key), name, folder)
+        return as_table(merged(target, new, key), name, folder, bucket_by=_layout(spark, name)[1])
 
     # Which partitions change is found from keys alone; the list holds partition values, not rows.
     keys = new.select(*(quoted(k) for k in key)).distinct()

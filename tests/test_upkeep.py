@@ -9,7 +9,7 @@ from conftest import rows
 from martworks import fixed_values as fixed
 from martworks import sources as s
 from martworks.checks.suite import NotNull
-from martworks.plans.build import Fixture, Step, gated_build
+from martworks.plans.build import Fixture, Step, gated_build, to_catalog
 from martworks.plans.fixtures import FIXTURES
 from martworks.plans.staging import stg_products, stg_supplies
 from martworks.session import fresh_path, shared_folder
@@ -180,3 +180,43 @@ def test_gated_build_survives_a_step_that_cannot_be_built(spark):
         Step("after", "view", ("bad",), lambda t: t["bad"]),
     ]
     assert {r["node"]: r["status"] for r in gated_build(spark, steps).collect()} == {"bad": "error", "after": "skip"}
+
+
+def test_buckets_spare_the_shuffle(spark):
+    folder, names = shared_folder(spark), (name(), name())
+    for table in names:
+        s.as_table(spark.range(500).selectExpr("id % 50 as k", "id as v"), table, folder, bucket_by=(4, ["k"]))
+        s.as_table(spark.range(1000).selectExpr("id % 50 as k", "id as v"), table, folder, bucket_by=(4, ["k"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one, two = (spark.table(t) for t in names)
+        joined = one.join(two.groupBy("k").agg({"v": "sum"}), "k", "left")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 1000 and joined.selectExpr("sum(`sum(v)`)").first()[0] == 20 * sum(range(1000))
+        new = spark.createDataFrame([(1, 7), (99, 8)], "k bigint, v bigint")
+        merged = s.incremental_merge(new, names[0], folder, ["k"])
+        assert merged.count() == 982 and "Exchange" not in merged.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        assert s.incremental_append(new, names[0], folder).count() == 984
+        assert s.as_table(new, names[0], folder).count() == 2  # another layout
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with pytest.raises(ValueError):
+        s.as_table(spark.range(1), name(), folder, ["id"], (2, ["id"]))
+
+
+def test_a_failed_check_leaves_the_old_tables_serving(spark):
+    base, mart = name(), name()
+    publish = to_catalog(shared_folder(spark), "default", {mart: (2, ["k"])})
+
+    def build(good: bool):
+        source = spark.range(3).selectExpr("id as k", "id as v") if good else spark.range(9).selectExpr("nullif(id, 4) as k", "id as v")
+        steps = [Step(base, "view", (), lambda t: source), Step(mart, "table", (base,), lambda t: t[base].filter("v >= 0"))]
+        found = gated_build(spark, steps, [NotNull(base, "k"), NotNull(mart, "k")], publish=publish).collect()
+        return {r["node"]: r["status"] for r in found}
+
+    assert set(build(good=True).values()) == {"pass"}
+    assert build(good=False) == {
+        base: "pass", f"{base}: not_null k": "error", mart: "skip", f"{mart}: not_null k": "skip",
+    }
+    assert spark.table(base).count() == 9 and spark.table(f"default.{mart}").count() == 3
