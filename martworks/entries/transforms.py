@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martworks import fixed_values as fixed
 from martworks import functions as fn
 from martworks import operators as op
 from martworks import sources
@@ -287,10 +288,10 @@ with customers as (select c_custkey as key, c_nationkey as nation, c_name as nam
      suppliers as (select s_suppkey as key, s_name as name from supplier)"""
 
 ORACLE = {
-    "surrogate_key": """
+    "surrogate_key": f"""
         select o_orderkey,
                md5(concat(cast(o_custkey as varchar), '-',
-                          coalesce(nullif(o_orderstatus, 'P'), '_dbt_utils_surrogate_key_null_'), '-', o_orderpriority))
+                          coalesce(nullif(o_orderstatus, 'P'), '{fixed.NULL_KEY_TEXT}'), '-', o_orderpriority))
                    as key,
                md5(concat(coalesce(nullif(o_orderstatus, 'P'), ''), '-', cast(o_custkey as varchar))) as key_nulls_empty
         from orders""",

@@ -1,4 +1,6 @@
-"""Logic checks of three models on fixed rows. Only the expected columns are compared, with repetition."""
+"""Logic checks of three models. Only the expected columns are compared, with repetition.
+
+Fixed values: the given and expected rows."""
 
 from __future__ import annotations
 

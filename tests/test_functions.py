@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -122,3 +124,47 @@ def test_truncation_never_rounds_up(spark):
     assert str(value(spark, fn.truncated(moment, "hour"))) == "2079-10-27 23:00:00"
     with pytest.raises(ValueError):
         fn.truncated(moment, "century")
+
+
+def brute_host(url):
+    for piece in ("android-app://", "http://", "https://"):
+        url = url.replace(piece, "")
+    return url.split("/")[0].split("?")[0]
+
+
+def brute_path(url):
+    rest = url.replace("http://", "").replace("https://", "")
+    start = rest.find("/") + 1 or rest.find("?")
+    # `right` with a length beyond the text gives the whole text.
+    return (rest[start:] if start >= 0 else rest).split("?")[0]
+
+
+def brute_parameter(url, name):
+    parts = url.split(f"{name}=")
+    return (parts[1].split("&")[0] if len(parts) > 1 else "") or None
+
+
+def test_text_functions_against_brute_force(spark):
+    rnd = random.Random(4)
+    pieces = ["http://", "https://", "android-app://", "/", "?", "&", "p=", "=", "a", "b.c", "#", " ", "-", "7", "É", "_"]
+    texts = ["".join(rnd.choices(pieces, k=rnd.randint(0, 9))) for _ in range(3000)]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", fn.url_host("t").alias("h"), fn.url_path("t").alias("p"), fn.url_parameter("t", "p").alias("q"),
+        fn.slugify("t").alias("s"),
+    )
+    for row in found.collect():
+        text = row["t"]
+        assert tuple(row)[1:] == (
+            brute_host(text), brute_path(text), brute_parameter(text, "p"), fn.scalar.slug_name(text)
+        ), text
+
+
+def test_parity_bucket_against_brute_force(spark):
+    low, high, buckets = -3, 12, 6
+    width = Decimal(high - low) / buckets
+    values = [Decimal(n) / 4 for n in range(-40, 80)]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    found = df.select("v", fn.width_bucket_macro("v", low, high, buckets).alias("b")).collect()
+    for row in found:
+        v = Decimal(row["v"])
+        assert row["b"] == min(math.ceil((v - low) / width), buckets + 1) + (1 if v % width == 0 else 0), v

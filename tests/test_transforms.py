@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from martworks import fixed_values as fixed
 from martworks import operators as op
 
 
@@ -52,7 +53,7 @@ def test_union_relations(spark):
     b = spark.createDataFrame([(2, True), (5, False)], "ID bigint, only_b boolean")
     found = op.union_relations({"a": a, "b": b}, where="id < 5")
     assert found.dtypes == [
-        ("_dbt_source_relation", "string"), ("id", "int"), ("only_a", "string"), ("only_b", "boolean"),
+        (fixed.SOURCE_COLUMN, "string"), ("id", "int"), ("only_a", "string"), ("only_b", "boolean"),
     ]
     assert {tuple(r) for r in found.collect()} == {("a", 1, "x", None), ("b", 2, None, True)}
     narrow = op.union_relations({"a": a, "b": b}, {"id": "string"}, include=["ID"], source_column_name=None)

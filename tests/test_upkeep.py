@@ -26,10 +26,13 @@ def test_model_fixtures(spark, fixture):
 
 def test_csv_types_and_blanks(spark, tmp_path):
     path = tmp_path / "raw_products.csv"
-    path.write_text('sku,name,type,price,description\n007,"a, ""b"" ",jaffle,1100,ends in blank \n008,x,beverage,400,y\n')
+    path.write_text(
+        "sku,name,type,price,description\n"
+        f'007,"a, ""b"" ",{fixed.FOOD_TYPE},1100,ends in blank \n008,x,{fixed.DRINK_TYPE},400,y\n'
+    )
     products = s.load_csv(spark, str(path), fixed.RAW_SCHEMAS["raw_products"])
     assert [tuple(r) for r in products.orderBy("sku").collect()] == [
-        ("007", 'a, "b" ', "jaffle", 1100, "ends in blank "), ("008", "x", "beverage", 400, "y"),
+        ("007", 'a, "b" ', fixed.FOOD_TYPE, 1100, "ends in blank "), ("008", "x", fixed.DRINK_TYPE, 400, "y"),
     ]
     staged = {r["product_id"]: r for r in stg_products(products).collect()}
     assert staged["007"]["is_food_item"] and not staged["007"]["is_drink_item"] and staged["008"]["is_drink_item"]
