@@ -1,4 +1,5 @@
-"""Data-quality checks. Each takes a DataFrame and returns its failing rows: no rows means the check passes."""
+"""Data-quality checks. Each takes a DataFrame and returns its failing rows: no rows means the check passes. A column is
+SQL text: usually a name, but any expression will do. Columns to group by are names."""
 
 from martworks.checks.compare import (
     cardinality_equality,

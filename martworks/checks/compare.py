@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martworks import fixed_values as fixed
-from martworks.operators.columns import filtered_columns, quoted
+from martworks.operators.columns import filtered_columns, quoted, type_of
 from martworks.operators.ordered import repeat_rows
 from martworks.operators.setops import LEFT_ONLY, RIGHT_ONLY, symmetric_diff
 
@@ -24,7 +24,7 @@ def relationships_where(
 ) -> DataFrame:
     """`relationships` after filtering both sides: `id` of each orphan, and `right_id`, always null."""
     found = repeat_rows(orphans(df.filter(from_condition), column, to.filter(to_condition), field), "n_records")
-    return found.select(F.col("_key").alias("id"), F.lit(None).cast(to.schema[field].dataType).alias("right_id"))
+    return found.select(F.col("_key").alias("id"), F.lit(None).cast(type_of(to, field)).alias("right_id"))
 
 
 def orphans(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
@@ -32,8 +32,8 @@ def orphans(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
 
     Both sides are reduced to distinct keys before the join, children with a count. So a frequent key crosses the
     shuffle once per task on either side, and the join finds both sides partitioned by key already."""
-    children = df.groupBy(quoted(column).alias("_key")).agg(F.count(F.lit(1)).alias("n_records"))
-    parents = to.select(quoted(field).alias("_key")).distinct()
+    children = df.groupBy(F.expr(column).alias("_key")).agg(F.count(F.lit(1)).alias("n_records"))
+    parents = to.select(F.expr(field).alias("_key")).distinct()
     return children.filter(F.col("_key").isNotNull()).join(parents, "_key", "left_anti")
 
 
@@ -41,7 +41,7 @@ def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str)
     """(value, count) pairs found on one side only. Both sides are counted in one aggregation; where the counts differ
     there is one row per side that has the value."""
     marked = [
-        frame.select(quoted(name).alias(column), F.lit(ours).alias("_ours"), F.lit(1 - ours).alias("_theirs"))
+        frame.select(F.expr(name).alias(column), F.lit(ours).alias("_ours"), F.lit(1 - ours).alias("_theirs"))
         for frame, name, ours in ((df, column, 1), (to, field, 0))
     ]
     counts = marked[0].union(marked[1]).groupBy(quoted(column)).agg(
@@ -94,7 +94,7 @@ def fewer_rows_than_failures(report: DataFrame) -> DataFrame:
 
 
 def _rounded(field: T.StructField, precision: int) -> Column:
-    if isinstance(field.dataType, (T.FractionalType, T.IntegralType)):
+    if isinstance(field.dataType, T.FractionalType):
         return F.round(quoted(field.name).cast(fixed.NUMERIC), precision).alias(field.name)
     return quoted(field.name)
 
@@ -107,7 +107,7 @@ def equality(
     precision: int | None = None,
 ) -> DataFrame:
     """Distinct rows found on one side only. Both tables need the same columns unless some are chosen or excluded;
-    with `precision` numbers are rounded first. Repeated rows do not show (see `expect_rows`)."""
+    with `precision` (0 means none) fractional numbers are rounded first. Repeated rows do not show (see `expect_rows`)."""
     if compare_columns and exclude_columns:
         raise ValueError("equality: pass compare_columns or exclude_columns, not both")
     if compare_columns:
@@ -118,7 +118,7 @@ def equality(
         others = filtered_columns(b, exclude_columns or ())
         if {n.lower() for n in names} != {n.lower() for n in others}:
             raise ValueError(f"equality: the tables differ in columns: {sorted(names)} and {sorted(others)}")
-    if precision is not None:
+    if precision:
         types = {f.name: f for f in a.schema.fields}
         a, b = (df.select(*(_rounded(types[n], precision) for n in names)) for df in (a, b))
     return symmetric_diff(a, b, names)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from martworks.functions.dates import add_units, moment
 from martworks.operators.aggregates import not_null_share
-from martworks.operators.columns import quoted
+from martworks.operators.columns import type_of
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -25,20 +25,20 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _repeated(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counts = df.groupBy(*(quoted(c) for c in columns)).agg(F.count(F.lit(1)).alias("n_records"))
+    counts = df.groupBy(*(F.expr(c) for c in columns)).agg(F.count(F.lit(1)).alias("n_records"))
     return counts.filter(F.col("n_records") > 1)
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Distinct values outside the list, with their count; null passes."""
-    counts = df.groupBy(quoted(column).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
+    counts = df.groupBy(F.expr(column).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
     return counts.filter(~F.col("value_field").isin(list(values)))
 
 
 def not_accepted_values(df: DataFrame, column: str, values: Sequence, quote: bool = True) -> DataFrame:
     """Distinct values inside the list. Without `quote` the entries are SQL expressions."""
     listed = list(values) if quote else [F.expr(str(v)) for v in values]
-    distinct = df.select(quoted(column).alias("value_field")).distinct()
+    distinct = df.select(F.expr(column).alias("value_field")).distinct()
     return distinct.filter(F.col("value_field").isin(*listed))
 
 
@@ -46,7 +46,7 @@ def not_null_proportion(
     df: DataFrame, column: str, at_least: float, at_most: float = 1, group_by: Sequence[str] = ()
 ) -> DataFrame:
     """Groups (or the whole table) whose share of non-null values is out of bounds."""
-    shares = df.groupBy(*group_by).agg(not_null_share(quoted(column)).alias("not_null_proportion"))
+    shares = df.groupBy(*group_by).agg(not_null_share(F.expr(column)).alias("not_null_proportion"))
     share = F.col("not_null_proportion")
     return shares.filter((share < at_least) | (share > at_most))
 
@@ -60,14 +60,14 @@ def _distinct_is_one(column: Column, type_: T.DataType) -> Column:
 
 def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Groups (or the whole table) with exactly one distinct value; all-null groups pass."""
-    constant = _distinct_is_one(quoted(column), df.schema[column].dataType)
+    constant = _distinct_is_one(F.expr(column), type_of(df, column))
     found = df.groupBy(*group_by).agg(constant.alias("_constant")).filter("_constant")
     return found.withColumn("filler_column", F.lit(1).cast("bigint")).drop("_constant")
 
 
 def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """Groups (or the whole table) without any non-null value. Ungrouped, the scan stops at the first value found."""
-    rows = df.select(*group_by, quoted(column).alias("_value"))
+    rows = df.select(*group_by, F.expr(column).alias("_value"))
     if not group_by:
         rows = rows.filter(F.col("_value").isNotNull()).limit(1)
     counts = rows.groupBy(*group_by).agg(F.count("_value").alias("filler_column"))
@@ -85,10 +85,10 @@ def recency(
 ) -> DataFrame:
     """Groups (or the whole table) whose latest `field` is older than `as_of - interval`, or missing. `as_of` is now
     unless given."""
-    type_ = "date" if ignore_time_component else df.schema[field].dataType
+    type_ = "date" if ignore_time_component else type_of(df, field)
     now = F.current_timestamp() if as_of is None else moment(as_of)
     threshold = add_units(datepart, -interval, now.cast("timestamp_ntz")).cast(type_)
-    latest = df.groupBy(*group_by).agg(F.max(quoted(field)).cast(type_).alias("most_recent"))
+    latest = df.groupBy(*group_by).agg(F.max(F.expr(field)).cast(type_).alias("most_recent"))
     found = latest.withColumn("threshold", threshold)
     return found.filter((F.col("most_recent") < F.col("threshold")) | F.col("most_recent").isNull())
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from martworks.functions.dates import add_units
 from martworks.functions.scalar import slug_name
-from martworks.operators.columns import quoted
 from martworks.operators.ordered import HOT_ROWS, with_next, with_previous
 
 # Per kind of gap rule: how an upper bound must compare to the next lower bound, and the words naming that.
@@ -32,7 +31,7 @@ def sequential_values(
     """Rows that do not follow the next smaller value of their group by exactly `interval` (of `datepart` for dates and
     timestamps). The first row passes, a repeated value fails."""
     previous_name = f"previous_{slug_name(column)}"
-    rows = df.select(*group_by, quoted(column).alias("_value"))
+    rows = df.select(*group_by, F.expr(column).alias("_value"))
     value, previous = F.col("_value"), F.col("_previous._value")
     if datepart:
         expected = add_units(datepart, interval, previous.cast("timestamp_ntz"))
@@ -60,8 +59,8 @@ def mutually_exclusive_ranges(
     group = ["partition_by_col"] if partition_by else []
     rows = df.select(
         *([F.expr(partition_by).alias("partition_by_col")] if partition_by else []),
-        quoted(lower_bound).alias("lower_bound"),
-        quoted(upper_bound).alias("upper_bound"),
+        F.expr(lower_bound).alias("lower_bound"),
+        F.expr(upper_bound).alias("upper_bound"),
     )
     # The last range of a group is the one without a next; so no second sort, in the other direction, is needed.
     lower, upper, next_lower = F.col("lower_bound"), F.col("upper_bound"), F.col("_next.lower_bound")

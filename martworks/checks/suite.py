@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from martworks.checks.compare import orphans
 from martworks.checks.rows import expression_fails, null_fails
-from martworks.operators.columns import quoted
 
 PASS, ERROR, SKIP = "pass", "error", "skip"
 
@@ -121,7 +120,7 @@ def _count_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def _count_key_checks(df: DataFrame, unique: Unique, row_checks: Sequence[Check]) -> DataFrame:
     """A uniqueness check needs its key shuffled; the row checks of the table ride along in the same grouping."""
     partial = [F.count_if(_condition(c)).alias(f"p{i}") for i, c in enumerate(row_checks)]
-    per_key = df.groupBy(quoted(unique.column)).agg(F.count(F.lit(1)).alias("_n"), *partial)
+    per_key = df.groupBy(F.expr(unique.column)).agg(F.count(F.lit(1)).alias("_n"), *partial)
     counts = per_key.agg(
         F.count_if(F.col("_n") > 1).alias("c0"), *(F.sum(f"p{i}").alias(f"c{i + 1}") for i in range(len(row_checks)))
     )
@@ -129,7 +128,7 @@ def _count_key_checks(df: DataFrame, unique: Unique, row_checks: Sequence[Check]
 
 
 def _count_accepted_values(df: DataFrame, check: AcceptedValues) -> DataFrame:
-    distinct = df.select(quoted(check.column).alias("_value")).distinct()
+    distinct = df.select(F.expr(check.column).alias("_value")).distinct()
     return _long(distinct.agg(F.count_if(~F.col("_value").isin(list(check.values))).alias("c0")), [check])
 
 

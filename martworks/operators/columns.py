@@ -12,6 +12,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def type_of(df: DataFrame, expression: str) -> T.DataType:
+    """The type of an SQL expression over the columns of `df`."""
+    return df.select(F.expr(expression).alias("x")).schema["x"].dataType
+
+
 def _lower(names: Sequence[str]) -> set[str]:
     return {name.lower() for name in names}
 

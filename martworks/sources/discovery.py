@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,30 +24,28 @@ class Relation:
         return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
-def _catalog(spark: SparkSession) -> list[Relation]:
-    found = set()
-    for database in spark.catalog.listDatabases():
-        for table in spark.catalog.listTables(database.name):
-            schema = "" if table.isTemporary else database.name
-            found.add(Relation(schema, table.name, TABLE_TYPES.get(table.tableType, table.tableType.lower())))
-    return sorted(found)
-
-
 def relations_by_pattern(
     spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = ""
 ) -> list[Relation]:
     """Catalog tables and views whose schema and name match `ILIKE` patterns and whose name does not match `exclude`.
-    Temporary views have the empty schema, which the pattern `%` matches too."""
-    relations = _catalog(spark)
-    if not relations:
-        return []
-    listed = spark.createDataFrame([(r.schema, r.name, r.type) for r in relations], "schema string, name string, type string")
-    matching = listed.filter(
-        F.ilike("schema", F.lit(schema_pattern))
-        & F.ilike("name", F.lit(table_pattern))
-        & ~F.ilike("name", F.lit(exclude))
+    Temporary views have the empty schema, which the pattern `%` matches too. Types are looked up for matches only."""
+    listed = reduce(
+        DataFrame.union, (spark.sql(f"SHOW TABLES IN `{d.name}`") for d in spark.catalog.listDatabases())
+    )
+    matching = listed.distinct().filter(
+        F.ilike("namespace", F.lit(schema_pattern))
+        & F.ilike("tableName", F.lit(table_pattern))
+        & ~F.ilike("tableName", F.lit(exclude))
     )
-    return [Relation(*row) for row in matching.orderBy("schema", "name").collect()]
+    return [_relation(spark, *row) for row in matching.orderBy("namespace", "tableName").collect()]
+
+
+def _relation(spark: SparkSession, schema: str, name: str, temporary: bool) -> Relation:
+    relation = Relation(schema, name, "temporary")
+    if temporary:
+        return relation
+    type_ = spark.catalog.getTable(relation.identifier).tableType
+    return Relation(schema, name, TABLE_TYPES.get(type_, type_.lower()))
 
 
 def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> list[Relation]:

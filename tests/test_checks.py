@@ -61,6 +61,16 @@ def test_at_least_one(df):
     assert c.at_least_one(df, "k", ["k"]).first().asDict() == {"k": None, "filler_column": 0}
 
 
+def test_columns_may_be_expressions(spark, df):
+    assert rows(c.unique(df, "coalesce(k, -1)")) == [(-1, 2), (1, 2)]
+    assert c.not_null(df, "coalesce(k, n)").count() == 0
+    assert values(c.accepted_range(df, "n + 1", "3 + 4"), "n") == [5, 5]
+    assert {r["k"] for r in c.not_constant(df, "upper(s)", ["k"]).collect()} == {1, 2, None}
+    assert c.relationships(df, "k + 1", df, "k").count() == 1
+    found = c.run_checks({"t": df}, [Unique("t", "coalesce(k, -1)"), NotNull("t", "k + n"), AcceptedValues("t", "trim(s)", ("a",))])
+    assert [r["failures"] for r in found.orderBy("check").collect()] == [1, 3, 2]
+
+
 def test_relationships(spark, df):
     parents = spark.createDataFrame([(2,), (2,), (None,)], "id int")
     assert values(c.relationships(df, "k", parents, "id"), "from_field") == [1, 1]
