@@ -54,18 +54,18 @@ def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str)
 def _paired_counts(a: DataFrame, b: DataFrame, group_by: Sequence[str], name_a: str, name_b: str) -> DataFrame:
     """Counts of both tables side by side. Groups line up by plain equality, so a null group of one side never meets
     the null group of the other."""
-    keys = ["_all", *group_by]
-    sides = []
-    for df, name, suffix in ((a, name_a, "_a"), (b, name_b, "_b")):
-        counted = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(name))
-        if group_by:
-            counted = counted.withColumn("_all", F.lit(1))
-        else:
-            # Without groups an empty table has no row to line up.
-            counted = counted.filter(F.col(name) > 0).withColumn("_all", F.lit(1))
-        sides.append(counted.withColumnsRenamed({k: k + suffix for k in keys}))
-    on = [F.col(f"{k}_a") == F.col(f"{k}_b") for k in (group_by or ["_all"])]
-    joined = sides[0].join(sides[1], on, "full")
+    if not group_by:
+        # One aggregation over both tables; an empty table has no count rather than a count of zero.
+        marked = [df.select(F.lit(n).alias("_a"), F.lit(1 - n).alias("_b")) for df, n in ((a, 1), (b, 0))]
+        counts = marked[0].union(marked[1]).agg(
+            *(F.nullif(F.sum(side), F.lit(0)).alias(name) for side, name in (("_a", name_a), ("_b", name_b)))
+        )
+        return counts.filter(F.col(name_a).isNotNull() | F.col(name_b).isNotNull())
+    sides = [
+        df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(name)).withColumnsRenamed({k: k + suffix for k in group_by})
+        for df, name, suffix in ((a, name_a, "_a"), (b, name_b, "_b"))
+    ]
+    joined = sides[0].join(sides[1], [F.col(f"{k}_a") == F.col(f"{k}_b") for k in group_by], "full")
     return joined.select(*(F.col(f"{k}{s}") for k in group_by for s in ("_a", "_b")), name_a, name_b)
 
 
