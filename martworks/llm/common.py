@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import martworks
+
 # Characters that separate words, as a pattern of both Java's and DuckDB's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,3 +37,20 @@ def hash_bits(key: Column) -> Column:
 def unit(bits: Column) -> Column:
     """A number within (0, 1) from `hash_bits`."""
     return (F.shiftright(bits, 8) + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def prepare(spark: SparkSession) -> None:
+    """For operators with Python on executors: send them this package, and bound Arrow batches, as texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    _send_package(spark.sparkContext)
+
+
+@cache
+def _send_package(context) -> None:
+    package = Path(martworks.__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="martworks-")) / "martworks.zip"
+    with zipfile.ZipFile(path, "w") as target:
+        for file in sorted(package.rglob("*.py")):
+            target.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))

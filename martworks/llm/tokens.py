@@ -74,13 +74,15 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 @dataclass
 class Words:
-    """Words of a chunk in order: byte range, row within the chunk, hash; and the number of words of each row."""
+    """Words of a chunk in order: byte range, row within the chunk, hash; the number of words of each row; and what
+    `range_hashes` needs for other parts of the chunk."""
 
     start: np.ndarray
     stop: np.ndarray
     row: np.ndarray
     hash: np.ndarray
     counts: np.ndarray
+    sums: np.ndarray
 
     @property
     def firsts(self) -> np.ndarray:
@@ -104,7 +106,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     rows = len(offsets) - 1
     if not len(data):
         none = np.zeros(0, np.int64)
-        return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(rows, np.int64))
+        return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(rows, np.int64), np.zeros(1, np.uint64))
     separator = _SEPARATOR[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -116,8 +118,8 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     start = np.flatnonzero(inside & before)
     stop = np.flatnonzero(inside & after) + 1
     row = np.searchsorted(offsets, start, "right") - 1
-    found = range_hashes(prefix_hashes(data, lower), start, stop)
-    return Words(start, stop, row, found, np.bincount(row, minlength=rows))
+    sums = prefix_hashes(data, lower)
+    return Words(start, stop, row, range_hashes(sums, start, stop), np.bincount(row, minlength=rows), sums)
 
 
 def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
