@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martworks.llm import language_id, quality
+from martworks.llm import language_id, lm_scoring, quality
 from martworks.llm.common import read
 
+# The domain that documents are compared with: three of the sources.
+TARGET_SOURCES = ("src1", "src2", "src3")
+
+
+def cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    models = lm_scoring.fit(documents, "text", F.col("source").isin(*TARGET_SOURCES))
+    return lm_scoring.score(documents.select("doc_id", "text"), "text", models).drop("text")
+
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -22,5 +31,9 @@ def predicted_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {"op3_quality_rules": quality_rules, "op7_language_id": predicted_language}
+QUERIES = {
+    "op1_lm_scoring": cross_entropy_difference,
+    "op3_quality_rules": quality_rules,
+    "op7_language_id": predicted_language,
+}
 ORACLE: dict[str, str] = {}
