@@ -166,8 +166,9 @@ class Table:
         found = []
         for row in rows:
             for parts in zip_longest(*(row.get(c, []) for c in columns), fillvalue=""):
-                cells = [part.ljust(width[c]) if width[c] <= WIDEST_COLUMN else part for c, part in zip(columns, parts)]
-                found.append(" | ".join(cells).rstrip(" |") if any(parts) else "")
+                last = max((i for i, part in enumerate(parts) if part), default=-1) + 1
+                cells = [part.ljust(width[c]) if width[c] <= WIDEST_COLUMN else part for c, part in zip(columns, parts[:last])]
+                found.append(" | ".join(cells).rstrip(" "))
         return found
 
 

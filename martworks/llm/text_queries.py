@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martworks.llm import language_id, lm_scoring, quality
+from martworks.llm import decontamination, html_text, language_id, lm_scoring, quality
 from martworks.llm.common import read
 
 # The domain that documents are compared with: three of the sources.
@@ -31,9 +31,23 @@ def predicted_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text")
+    items = decontamination.split_items(read(spark, sf_dir, "benchmark", "item_id", "text"))
+    found = decontamination.search(documents, "text", items).select("doc_id", F.inline("leaks"))
+    return found.groupBy("doc_id", "item_id").agg(
+        *(F.max(name).alias(name) for name in ("score", "question_overlap", "answer_overlap")))
+
+
+def visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages", "page_id", "html"), "html").drop("html")
+
+
 QUERIES = {
     "op1_lm_scoring": cross_entropy_difference,
     "op3_quality_rules": quality_rules,
     "op7_language_id": predicted_language,
+    "op8_decontamination": contaminated,
+    "op10_html_text": visible_text,
 }
 ORACLE: dict[str, str] = {}

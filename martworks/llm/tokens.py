@@ -16,6 +16,9 @@ CHUNK_BYTES = 1 << 20
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+# Separators of `words(..., plain=True)`: everything in ASCII but letters and digits.
+_PLAIN = np.ones(256, bool)
+_PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -102,12 +105,13 @@ def range_hashes(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
     return mixed((sums[stop] - sums[start]) * _INVERSES.first(len(sums))[start] + (stop - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, plain: bool = False) -> Words:
+    """`lower`: A-Z count as a-z. `plain`: ASCII punctuation separates words, too."""
     rows = len(offsets) - 1
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(rows, np.int64), np.zeros(1, np.uint64))
-    separator = _SEPARATOR[data]
+    separator = (_PLAIN if plain else _SEPARATOR)[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = edge[:-1].copy()
