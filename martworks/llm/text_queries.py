@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martworks.llm import decontamination, html_text, language_id, lm_scoring, quality
+from martworks.llm import decontamination, html_text, language_id, lm_scoring, quality, set_join
 from martworks.llm.common import read
 
 # The domain that documents are compared with: three of the sources.
@@ -24,6 +24,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents, "text", model).drop("text")
 
 
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.similar(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def predicted_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     trees = language_id.fit(documents)
@@ -46,6 +50,7 @@ def visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_scoring": cross_entropy_difference,
     "op3_quality_rules": quality_rules,
+    "op5_set_join": similar_documents,
     "op7_language_id": predicted_language,
     "op8_decontamination": contaminated,
     "op10_html_text": visible_text,
