@@ -28,6 +28,20 @@ def with_results(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, *(value.alias(name) for name, value in columns.items()))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores before it until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def set_aside(df: DataFrame, prefix: str) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with the columns that begin with `prefix` renamed, and the names to give back afterwards."""
+    clashing = {fresh(df, f"aside_{i}"): c for i, c in enumerate(df.columns) if c.lower().startswith(prefix)}
+    return df.withColumnsRenamed({c: name for name, c in clashing.items()}), clashing
+
+
 def hash_bits(key: Column) -> Column:
     """60 bits of the MD5 hash of a key, as a non-negative long; a null counts as an empty text."""
     digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martworks.llm import tokens
-from martworks.llm.common import prepare, with_results
+from martworks.llm.common import fresh, prepare, with_results
 
 ORDER = 3
 SAMPLE_DOCUMENTS = 300
@@ -170,7 +170,8 @@ def predict(docs: DataFrame, text: str, trees: Trees | None) -> DataFrame:
     known = F.regexp_like(F.col(f"`{text}`"), F.lit(r"\p{L}"))
     if trees is None:
         return with_results(docs, lang_pred=F.lit(UNKNOWN), score=F.lit(0.0))
-    found = docs.withColumns({"_language": best(F.col(f"`{text}`")), "_has_letter": F.coalesce(known, F.lit(False))})
+    name, lettered = fresh(docs, "_language"), fresh(docs, "_has_letter")
+    found = docs.withColumns({name: best(F.col(f"`{text}`")), lettered: F.coalesce(known, F.lit(False))})
     return with_results(
-        found, lang_pred=F.when(F.col("_has_letter"), F.col("_language")["lang"]).otherwise(UNKNOWN),
-        score=F.when(F.col("_has_letter"), F.col("_language")["score"]).otherwise(0.0)).drop("_language", "_has_letter")
+        found, lang_pred=F.when(F.col(lettered), F.col(name)["lang"]).otherwise(UNKNOWN),
+        score=F.when(F.col(lettered), F.col(name)["score"]).otherwise(0.0)).drop(name, lettered)

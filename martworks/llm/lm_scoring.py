@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks.llm import tokens
-from martworks.llm.common import prepare, with_results
+from martworks.llm.common import fresh, prepare, with_results
 from martworks.session import written
 
 WORD_SHARE = 1e-5
@@ -201,5 +201,7 @@ def score(docs: DataFrame, text: str, models: Models) -> DataFrame:
         n = np.concatenate(counts)
         return pa.StructArray.from_arrays([pa.array(n), pa.array(np.concatenate(means), mask=n == 0)], ["n_tokens", "ce_difference"])
 
-    scored = docs.withColumn("_lm", difference(F.col(f"`{text}`")))
-    return with_results(scored, n_tokens=F.col("_lm")["n_tokens"], ce_difference=F.col("_lm")["ce_difference"]).drop("_lm")
+    name = fresh(docs, "_lm")
+    found = F.col(name)
+    scored = docs.withColumn(name, difference(F.col(f"`{text}`")))
+    return with_results(scored, n_tokens=found["n_tokens"], ce_difference=found["ce_difference"]).drop(name)

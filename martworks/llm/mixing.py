@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martworks.llm.common import WORD, hash_bits, unit, with_results
+from martworks.llm.common import WORD, fresh, hash_bits, set_aside, unit, with_results
 from martworks.session import written
 
 MAX_EPOCHS = 3
@@ -55,8 +55,11 @@ def mix(docs: DataFrame, key: str, size: str, source: str, weight: Column | None
     `weight` favours documents in the sampled rest; null or not above 0 counts as the least weight, 1e-6. A row without key
     is drawn by a hash of all its columns. Rows of one key follow each other by size. The row at the budget's end is
     taken when at least half of its words fit. Rows without words are taken 0 times. An empty table gives no rows."""
-    weight = F.lit(1.0) if weight is None else weight.cast("double")
+    weight_name = fresh(docs, "weight_of_row")
+    docs = docs.withColumn(weight_name, F.lit(1.0) if weight is None else weight.cast("double"))
+    weight = F.col(weight_name)
     safe = F.when(weight > 1e-6, weight).otherwise(1e-6)
+    docs, aside = set_aside(docs, "_mix_")
     all_columns = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
     chance = unit(hash_bits(F.coalesce(F.col(f"`{key}`").cast("string"), F.concat(F.lit("row "), all_columns.cast("string")))))
     # The logarithm of the key as a place within (0, 1): finer near each end of the key order than any equal steps.
@@ -64,7 +67,7 @@ def mix(docs: DataFrame, key: str, size: str, source: str, weight: Column | None
     words = F.coalesce(F.col(f"`{size}`"), F.lit(0)).cast("long")
     rows = written(docs.withColumns({NAME: F.col(f"`{source}`"), SIZE: words, PLACE: place}), "mix-rows")
     return with_results(_taken(rows), size=F.col(SIZE), source_size=F.col(PLAN)["source_size"], target=F.col(PLAN)["target"],
-                        taken=F.col(SIZE) * F.col(TIMES)).drop(NAME, SIZE, PLACE, PLAN, TIMES)
+                        taken=F.col(SIZE) * F.col(TIMES)).drop(NAME, SIZE, PLACE, PLAN, TIMES, weight_name).withColumnsRenamed(aside)
 
 
 def _taken(rows: DataFrame) -> DataFrame:
@@ -110,7 +113,8 @@ def _end_of_budget(rows: DataFrame, budgets: DataFrame, ranges: int) -> DataFram
 
 def weighted_by_quality(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str, str, str, Column]:
     """Arguments for `mix`: documents (doc_id, source, size) with weight 2 where labelled good, 0.5 where labelled bad, 1 else."""
-    quality = labels.groupBy(F.col("doc_id").alias("_mix_doc")).agg(F.max("quality").alias("_mix_quality"))
-    joined = docs.join(quality, docs["doc_id"] == quality["_mix_doc"], "left").drop("_mix_doc")
-    weight = F.when(F.col("_mix_quality") == 1, 2.0).when(F.col("_mix_quality") == 0, 0.5).otherwise(1.0)
+    of, name = fresh(docs, "label_doc_id"), fresh(docs, "label_quality")
+    quality = labels.groupBy(F.col("doc_id").alias(of)).agg(F.max("quality").alias(name))
+    joined = docs.join(quality, docs["doc_id"] == quality[of], "left").drop(of)
+    weight = F.when(F.col(name) == 1, 2.0).when(F.col(name) == 0, 0.5).otherwise(1.0)
     return joined, "doc_id", "size", "source", weight

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks.llm import tokens
-from martworks.llm.common import prepare, with_results
+from martworks.llm.common import fresh, prepare, with_results
 
 # The base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -208,12 +208,13 @@ def assess(docs: DataFrame, text: str, model: Model | None) -> DataFrame:
         columns = [pa.concat_arrays(x) for x in zip(*parts)] if parts else [pa.nulls(0, f.type) for f in RESULT]
         return pa.StructArray.from_arrays(columns, fields=list(RESULT))
 
-    judged_docs = docs.withColumn("_quality", judged(F.col(f"`{text}`")))
-    q = F.col("_quality")
+    name = fresh(docs, "_quality")
+    judged_docs = docs.withColumn(name, judged(F.col(f"`{text}`")))
+    q = F.col(name)
     failed = base_failed(q["n_words"], q["n_repeat_words"])
     return with_results(
         judged_docs, **{f.name: q[f.name] for f in RESULT}, base_failed=failed,
-        kept=~failed & F.coalesce(q["probability"] >= KEEP_FROM, F.lit(True))).drop("_quality")
+        kept=~failed & F.coalesce(q["probability"] >= KEEP_FROM, F.lit(True))).drop(name)
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:

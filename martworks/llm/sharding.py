@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martworks.llm.common import hash_bits, with_results
+from martworks.llm.common import hash_bits, set_aside, with_results
 from martworks.session import written
 
 HASH_BITS = 60
@@ -25,6 +25,7 @@ def shard(docs: DataFrame, key: str, text: str, limit: int) -> DataFrame:
     `shard_part` is 0 unless splitting on bits cannot help: rows of one equal hash that exceed the limit together (equal or
     null keys) are cut into parts 1, 2, ..., and a text above the limit is a part of its own, the only kind of shard that
     exceeds it. Which of several equal rows gets which part is arbitrary. An empty table gives no rows."""
+    docs, aside = set_aside(docs, "_shard_")
     size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long")
     rows = docs.withColumns({BITS: hash_bits(F.col(f"`{key}`")), SIZE: size})
     narrow = written(rows.select(F.col(BITS).alias("bits"), F.col(SIZE).alias("size")), "shard-sizes")
@@ -36,10 +37,10 @@ def shard(docs: DataFrame, key: str, text: str, limit: int) -> DataFrame:
         F.expr(f"shiftright({BITS}, {HASH_BITS} - {LEAF}.depth)") == F.col(LEAF)["prefix"])
     found = rows.join(leaves.select(F.col("root").alias(ROOT), leaf), same & (F.col(SIZE) <= limit), "left").drop(ROOT)
     if closed and narrow.filter(F.col("size") > limit).isEmpty():
-        return _result(found, F.lit(0).cast("long"), F.col(LEAF)["total"])
+        return _result(found, F.lit(0).cast("long"), F.col(LEAF)["total"]).withColumnsRenamed(aside)
     alone = F.col(LEAF).isNull()
     return _result(found.filter(~alone), F.lit(0).cast("long"), F.col(LEAF)["total"]).unionByName(
-        _result(_parts(found.filter(alone), limit), F.col(PART)["number"], F.col(PART)["bytes"]))
+        _result(_parts(found.filter(alone), limit), F.col(PART)["number"], F.col(PART)["bytes"])).withColumnsRenamed(aside)
 
 
 def _result(df: DataFrame, part: Column, size: Column) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.llm import decontamination, html_text, language_id, lm_scoring, quality, set_join
-from martworks.llm.common import read
+from martworks.llm.common import WORD, read
 
 # The domain that documents are compared with: three of the sources.
 TARGET_SOURCES = ("src1", "src2", "src3")
@@ -28,6 +28,24 @@ def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.similar(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+SIMILAR_SQL = f"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+runs AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle FROM split, unnest(range(1, greatest(len(w) - 3, 2))) AS r(i)
+         WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, shingle FROM runs),
+sizes AS (SELECT d.doc_id, count(s.shingle) AS n FROM documents d LEFT JOIN shingles s USING (doc_id) GROUP BY d.doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y USING (shingle)
+           WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+          WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, n AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id,
+       (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
+FROM sizes
+"""
+
+
 def predicted_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     trees = language_id.fit(documents)
@@ -55,4 +73,4 @@ QUERIES = {
     "op8_decontamination": contaminated,
     "op10_html_text": visible_text,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op5_set_join": SIMILAR_SQL}
