@@ -45,6 +45,7 @@ class Index:
     """Postings by word and block, with the maxima that bound scores."""
 
     item_ids: np.ndarray
+    block_items: int
     stride: int
     words: np.ndarray        # sorted hashes
     highest: np.ndarray      # by word
@@ -62,7 +63,6 @@ class Index:
             pa.compute.fill_null(questions, ""), pa.compute.fill_null(answers, ""), " ")
         w = tokens.words(*tokens.text_bytes(texts), lower=True, plain=True)
         vocabulary, word = np.unique(w.hash, return_inverse=True)
-        # Items with like words share blocks, so that block maxima are sums of few items: rare words first.
         code, tf = np.unique(word * n + w.row, return_counts=True)
         word, item = code // max(n, 1), code % max(n, 1)
         df = np.bincount(word, minlength=len(vocabulary))
@@ -78,7 +78,7 @@ class Index:
         block_highest = block_highest.reshape(len(vocabulary), blocks)
         starts = np.searchsorted(place, np.arange(len(vocabulary) * blocks + 1))
         return cls(
-            item_ids, max(int(w.counts.max(initial=1)), 1), vocabulary, block_highest.max(axis=1, initial=0.0), block_highest,
+            item_ids, BLOCK_ITEMS, max(int(w.counts.max(initial=1)), 1), vocabulary, block_highest.max(axis=1, initial=0.0), block_highest,
             starts, item, impact, _item_grams(questions), _item_grams(answers))
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float]]:
@@ -138,8 +138,8 @@ class Index:
         begin, end = self.starts[at], self.starts[at + 1]
         many = end - begin
         posting = np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-        low = block * BLOCK_ITEMS
-        high = min(low + BLOCK_ITEMS, len(self.item_ids))
+        low = block * self.block_items
+        high = min(low + self.block_items, len(self.item_ids))
         scores = np.bincount(self.posting_item[posting] - low, self.posting_impact[posting], high - low)
         return np.arange(low, high), scores
 
