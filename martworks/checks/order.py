@@ -1,5 +1,4 @@
-"""Checks on neighbouring rows. Large groups, or a large table without groups, are searched in slices of the sort
-order instead of in one task (see `operators.ordered`)."""
+"""Checks on neighbouring rows, searched in slices of the sort order (see `operators.ordered`)."""
 
 from __future__ import annotations
 
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from martworks.functions.dates import add_units
 from martworks.functions.scalar import slug_name
-from martworks.operators.ordered import HOT_ROWS, with_next, with_previous
+from martworks.operators.ordered import with_next, with_previous
 
 # Per kind of gap rule: how an upper bound must compare to the next lower bound, and the words naming that.
 GAP_RULES = {
@@ -26,7 +25,6 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows that do not follow the next smaller value of their group by exactly `interval` (of `datepart` for dates and
     timestamps). The first row passes, a repeated value fails."""
@@ -38,7 +36,7 @@ def sequential_values(
         follows = value.cast("timestamp_ntz") == expected
     else:
         follows = value == previous + interval
-    failing = with_previous(rows, group_by, ["_value"], "_previous", ~follows, hot_rows)
+    failing = with_previous(rows, group_by, ["_value"], "_previous", ~follows)
     return failing.select(*group_by, value.alias(column), previous.alias(previous_name))
 
 
@@ -49,7 +47,6 @@ def mutually_exclusive_ranges(
     partition_by: str | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Ranges that are empty or reversed, or that reach past the next range of their group. A null bound fails.
     `partition_by` is an SQL expression; `gaps` is `allowed`, `not_allowed` or `required`."""
@@ -69,7 +66,7 @@ def mutually_exclusive_ranges(
     runs_forward = F.coalesce(forward, F.lit(False))
     keeps_distance = F.coalesce(meets_next(upper, next_lower), is_last, F.lit(False))
     failing = with_next(
-        rows, group, ["lower_bound", "upper_bound"], "_next", ~(runs_forward & keeps_distance), hot_rows
+        rows, group, ["lower_bound", "upper_bound"], "_next", ~(runs_forward & keeps_distance)
     )
     length_words = "less_than_or_equal_to" if zero_length_range_allowed else "less_than"
     return failing.select(

@@ -1,27 +1,22 @@
 """Operators that depend on row order: first per group, sequence numbers, neighbours.
 
-A window sorts each group in one task. That is right for ordinary groups and wrong for a group holding a large share of
-the table, so the operators here look at group sizes first. Groups above `hot_rows` are cut into slices of the sort
-order: the window then runs per (group, slice), and a small per-slice summary carries counts or edge rows from one
-slice to the next. Results are the same, without one task seeing the whole group. When no group is that large (the
-usual case) the plan is the plain window.
-"""
+A window sorts each group in one task, which is wrong for a group holding a large share of the table. So rows are cut into
+slices of the sort order (group first), as many as there are shuffle partitions, and the window runs per group and slice. At
+most one group reaches from one slice into the next, so what a slice must know of earlier ones is about one row: a count, or the
+sort key at the edge. The plan is the same for every size of table and group. The cut is written once and read by both the
+rows and the summary, so that they cannot disagree."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_ROWS = 5_000_000
-# At most so many groups are cut, the largest ones. A smaller group has less than 1/10,000 of all rows by counting.
-MAX_HOT_GROUPS = 10_000
-SAMPLES_PER_SLICE = 20
-CHUNK = 64
+from martworks.operators.columns import quoted
+from martworks.session import written
+
 # Rows one generator call makes at a time when copies are written out.
 COPIES_PER_ROW = 1_000_000
 
@@ -35,79 +30,58 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     return df.withColumn("_rn", first).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def sequence_no(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Number the rows of every group 1, 2, … in ascending order. End `order_by` with a unique column: ties are
-    numbered arbitrarily otherwise. Group sizes are looked up ahead, so write `df` first if it is costly to compute."""
-    slices = _Slices.find(df, partition_by, order_by, hot_rows)
-    if slices is None:
-        number = F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by))
-        return df.withColumn(name, number.cast("bigint"))
-
-    within = F.row_number().over(Window.partitionBy(*partition_by, "_slice").orderBy(*order_by))
-    sizes = slices.hot_rows_of(df).groupBy(*slices.keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*slices.keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_before", F.sum("_size").over(earlier)).drop("_size")
-    numbered = slices.attach(slices.assign(df).withColumn("_within", within), starts)
-    return numbered.withColumn(
-        name, (F.col("_within") + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")
-    ).drop("_slice", "_within", "_before")
+def sequence_no(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
+    """Number the rows of every group 1, 2, … in ascending order. End `order_by` with a unique column: ties are numbered
+    arbitrarily otherwise, and all rows of one sort key are in one slice."""
+    slices = _Slices(df, partition_by, order_by)
+    within = F.row_number().over(slices.window())
+    sizes = slices.of_spanning_groups(F.count(F.lit(1)))
+    earlier = slices.across().rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn(_EDGE, F.sum(_EDGE).over(earlier))
+    number = (F.col(_WITHIN) + F.coalesce(F.col(_EDGE), F.lit(0))).cast("bigint")
+    return slices.attach(slices.rows.withColumn(_WITHIN, within), starts).select(*map(quoted, df.columns), number.alias(name))
 
 
 def with_previous(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    where: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str, where: Column | None = None
 ) -> DataFrame:
     """Add the sort key of the preceding row in the group as a struct `name`, null for the first row. `where`, which may
     use `name`, says which rows to return."""
-    return _with_neighbour(df, partition_by, order_by, name, where, F.lag, F.max, hot_rows)
+    return _with_neighbour(df, partition_by, order_by, name, where, F.lag, F.max)
 
 
 def with_next(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    where: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], name: str, where: Column | None = None
 ) -> DataFrame:
     """Like `with_previous`, for the following row in the group, null for the last row."""
-    return _with_neighbour(df, partition_by, order_by, name, where, F.lead, F.min, hot_rows)
+    return _with_neighbour(df, partition_by, order_by, name, where, F.lead, F.min)
 
 
-def _with_neighbour(df, partition_by, order_by, name, where, shift, edge, hot_rows) -> DataFrame:
+def _with_neighbour(df, partition_by, order_by, name, where, shift: Callable, edge: Callable) -> DataFrame:
     where = F.lit(True) if where is None else where
-    key = F.struct(*(F.col(c) for c in order_by))
-    slices = _Slices.find(df, partition_by, order_by, hot_rows)
-    if slices is None:
-        neighbour = shift(key).over(Window.partitionBy(*partition_by).orderBy(*order_by))
-        return df.withColumn(name, neighbour).filter(where)
-
-    # Equal sort keys would all land in one slice, however many there are. They are neighbours of each other, so only
-    # one row per key takes part in the search, and the copies point at their own key.
-    columns = df.columns
-    distinct = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    within = shift(key).over(Window.partitionBy(*partition_by, "_slice").orderBy(*order_by))
-    edges = slices.hot_rows_of(distinct).groupBy(*slices.keys, "_slice").agg(edge(slices.sort_key).alias("_edge"))
-    across = shift("_edge").over(Window.partitionBy(*slices.keys).orderBy("_slice"))
-    edges = edges.withColumn("_neighbour", across).drop("_edge")
-    found = slices.attach(slices.assign(distinct).withColumn("_within", within), edges)
-    nearest = F.coalesce(F.col("_within"), F.col("_neighbour"))
+    if not set(df.columns) <= {*partition_by, *order_by}:
+        found, nearest = _neighbours(df, partition_by, order_by, shift, edge)
+        return found.select(*map(quoted, df.columns), nearest.alias(name)).filter(where)
+    # Rows without further columns repeat their sort key: one row for each key takes part, however many copies there are.
+    # Copies are neighbours of each other, so all but one point at their own key.
+    distinct = df.groupBy(*map(quoted, df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    found, nearest = _neighbours(distinct, partition_by, order_by, shift, edge)
+    key = F.struct(*(quoted(c) for c in order_by))
     one = F.struct(nearest.alias(name), F.lit(1).cast("bigint").alias("_times"))
     others = F.struct(key.alias(name), (F.col("_copies") - 1).alias("_times"))
-    split = found.select(*columns, F.inline(F.array(one, others)))
+    split = found.select(*map(quoted, df.columns), F.inline(F.array(one, others)))
     return repeat_rows(split.filter(where), "_times")
 
 
+def _neighbours(df, partition_by, order_by, shift, edge) -> tuple[DataFrame, Column]:
+    slices = _Slices(df, partition_by, order_by)
+    key = F.struct(*(quoted(c) for c in order_by))
+    edges = slices.of_spanning_groups(edge(key))
+    across = edges.withColumn(_EDGE, shift(_EDGE).over(slices.across()))
+    found = slices.attach(slices.rows.withColumn(_WITHIN, shift(key).over(slices.window())), across)
+    return found, F.coalesce(F.col(_WITHIN), F.col(_EDGE))
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Every row as often as column `times` says; the column is dropped. Large counts are spread over tasks in blocks
     before the rows are written out."""
@@ -122,97 +96,40 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left))).select(*columns)
 
 
+_SLICE, _WITHIN, _EDGE = "_slice", "_within", "_edge"
+
+
 class _Slices:
-    """Cut points of the sort order inside the hot groups of a table.
-
-    They come from a small sample, are held as literal rows (at most 2 x MAX_HOT_GROUPS cut points in total) and only
-    decide which task sees a row, never what the result is. A row finds its slice in two steps, first among every
-    CHUNK-th cut of its group and then within one chunk, so that it never carries more than a short array of cuts."""
-
-    def __init__(self, partition_by: Sequence[str], order_by: Sequence[str]):
-        # Without partition columns the whole table is one group.
-        self.groups = [F.col(c) for c in partition_by] or [F.lit(0)]
-        self.keys = [f"_key{i}" for i in range(len(self.groups))]
-        self.order_by = list(order_by)
-        self.sort_key = F.struct(*(F.col(c) for c in order_by))
-        self.chunk_ends: DataFrame
-        self.chunks: DataFrame
-
-    @classmethod
-    def find(cls, df: DataFrame, partition_by, order_by, hot_rows: int) -> _Slices | None:
-        """The slices of the groups above `hot_rows`, or None when there is no such group. Reads the group and sort
-        columns of `df` ahead of the query: once to size the groups, once more to sample hot ones."""
-        slices = cls(partition_by, order_by)
-        keys, spark = slices.keys, df.sparkSession
-        keyed = df.select(*slices._group_columns(), slices.sort_key.alias("_sort"))
-        sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > hot_rows)
-        largest = sizes.orderBy(F.desc("_size")).limit(MAX_HOT_GROUPS).collect()
-        if not largest:
-            return None
-        hot_total = sum(row["_size"] for row in largest)
-        slice_rows = max(hot_rows, ceil(hot_total / MAX_HOT_GROUPS))
-        planned = [(*(row[k] for k in keys), ceil(row["_size"] / slice_rows)) for row in largest]
-        key_fields = [keyed.schema[k] for k in keys]
-        hot = spark.createDataFrame(planned, T.StructType([*key_fields, T.StructField("_n", T.IntegerType())]))
-        share = min(1.0, SAMPLES_PER_SLICE * sum(row[-1] for row in planned) / hot_total)
-        sampled = slices._match(keyed, hot, "inner").sample(fraction=share, seed=0).groupBy(*keys).agg(
-            F.sort_array(F.collect_list("_sort")).alias("_sample"), F.max("_n").alias("_n")
-        )
-        # Evenly spaced sample rows; the cut before slice i is the row at i/n of the sample.
-        picks = F.transform(
-            F.sequence(F.lit(1), F.col("_n") - 1),
-            lambda i: F.get(F.col("_sample"), (i * F.size("_sample") / F.col("_n")).cast("int")),
-        )
-        found = sampled.filter(F.col("_n") > 1).select(*keys, picks.alias("_cuts"))
-        cut_field = T.StructField("_cuts", found.schema["_cuts"].dataType)
-        ends, chunks = [], []
-        for row in found.collect():
-            group, cuts = tuple(row[k] for k in keys), row["_cuts"]
-            ends.append((*group, cuts[CHUNK - 1::CHUNK]))
-            chunks += [(*group, start // CHUNK, cuts[start:start + CHUNK]) for start in range(0, len(cuts) + 1, CHUNK)]
-        slices.chunk_ends = spark.createDataFrame(ends, T.StructType([*key_fields, cut_field]))
-        slices.chunks = spark.createDataFrame(
-            chunks, T.StructType([*key_fields, T.StructField("_chunk", T.IntegerType()), cut_field])
-        )
-        return slices
-
-    def _group_columns(self) -> list[Column]:
-        return [group.alias(key) for group, key in zip(self.groups, self.keys)]
-
-    def _with_keys(self, df: DataFrame) -> DataFrame:
-        return df.withColumns(dict(zip(self.keys, self.groups)))
-
-    def _match(self, left: DataFrame, right: DataFrame, how: str, more: Sequence[str] = ()) -> DataFrame:
-        """Broadcast join on the group (null groups included) and the `more` columns; keeps the left columns plus the
-        right ones that are no keys. The right side is bounded by the number of cut points."""
-        names = [*self.keys, *more]
-        right = right.withColumnsRenamed({n: f"{n}_r" for n in names})
-        matches = reduce(Column.__and__, (F.col(n).eqNullSafe(F.col(f"{n}_r")) for n in names))
-        return left.join(F.broadcast(right), matches, how).drop(*(f"{n}_r" for n in names))
-
-    def _cuts_reached(self) -> Column:
-        """How many of the sorted `_cuts` are at or below the row's sort key, by bisection; null without cuts."""
-        cuts, key = F.col("_cuts"), self.sort_key
-
-        def narrow(low: Column, step: Column) -> Column:
-            fits = (low + step <= F.size(cuts)) & (F.get(cuts, low + step - 1) <= key)
-            return F.when(fits, low + step).otherwise(low)
-
-        steps = F.array(*(F.lit(1 << bit) for bit in reversed(range((2 * MAX_HOT_GROUPS // CHUNK).bit_length()))))
-        return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), narrow))
-
-    def _sliced(self, keyed: DataFrame, how: str) -> DataFrame:
-        chunked = self._match(keyed, self.chunk_ends, how).withColumn("_chunk", self._cuts_reached()).drop("_cuts")
-        found = self._match(chunked, self.chunks, how, ["_chunk"])
-        return found.withColumn("_slice", F.col("_chunk") * CHUNK + self._cuts_reached()).drop("_cuts", "_chunk")
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add `_slice`: the slice of a hot group's row, null for rows of other groups."""
-        return self._sliced(self._with_keys(df), "left").drop(*self.keys)
-
-    def hot_rows_of(self, df: DataFrame) -> DataFrame:
-        return self._sliced(df.select(*self._group_columns(), *self.order_by), "inner")
-
-    def attach(self, df: DataFrame, per_slice: DataFrame) -> DataFrame:
-        """Bring a per-slice summary to the rows."""
-        return self._match(self._with_keys(df), per_slice, "left", ["_slice"]).drop(*self.keys)
+    """Rows of a table with the number of their slice of the sort order."""
+
+    def __init__(self, df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str]):
+        self.groups, self.order_by = [quoted(c) for c in partition_by], [quoted(c) for c in order_by]
+        self.keys = [f"_key{i}" for i in range(len(partition_by))]
+        ranged = df.repartitionByRange(*self.groups, *self.order_by)
+        self.rows = written(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+
+    def window(self):
+        return Window.partitionBy(*self.groups, _SLICE).orderBy(*self.order_by)
+
+    def across(self):
+        """A window over the slices of a group, for what `of_spanning_groups` returns."""
+        return Window.partitionBy(*self.keys).orderBy(_SLICE)
+
+    def of_spanning_groups(self, summary: Column) -> DataFrame:
+        """(keys, slice, edge): a summary per slice of all groups that reach into a slice from an earlier one. Such a group
+        is the first of that slice; there are at most as many as slices."""
+        keyed = self.rows.withColumns(dict(zip(self.keys, self.groups)))
+        if self.keys:
+            group = F.struct(*self.keys)
+            firsts = keyed.groupBy(_SLICE).agg(F.min(group).alias("_first")).select("_first").distinct()
+            # Compared as one struct, so that null groups match.
+            keyed = keyed.withColumn("_group", group).join(firsts, F.col("_group").eqNullSafe(F.col("_first")), "left_semi")
+        return keyed.groupBy(*self.keys, _SLICE).agg(summary.alias(_EDGE))
+
+    def attach(self, rows: DataFrame, per_slice: DataFrame) -> DataFrame:
+        """Bring a summary per group and slice to the rows."""
+        right = per_slice.withColumnRenamed(_SLICE, "_slice_r")
+        matches = reduce(
+            Column.__and__, (group.eqNullSafe(F.col(key)) for group, key in zip(self.groups, self.keys)),
+            F.col(_SLICE) == F.col("_slice_r"))
+        return rows.join(right, matches, "left")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from martworks import fixed_values as fixed
 from martworks.functions import customer_type, is_true, to_bool
 from martworks.operators import count_where, join_summary, sequence_no
-from martworks.operators.ordered import HOT_ROWS
 
 # Writes an intermediate table and returns it as read back, e.g. `session.written`.
 Store = Callable[[DataFrame], DataFrame]
@@ -67,11 +66,11 @@ def order_facts(stg_orders: DataFrame, order_items: DataFrame) -> DataFrame:
     )
 
 
-def orders(stg_orders: DataFrame, order_items: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def orders(stg_orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """One row per order, with item counts and the running number of the customer's orders (same-day orders by id).
 
     The number needs only staging columns, so it is made before the join, on narrow rows."""
-    numbered = sequence_no(stg_orders, ["customer_id"], ["ordered_at", "order_id"], "customer_order_number", hot_rows)
+    numbered = sequence_no(stg_orders, ["customer_id"], ["ordered_at", "order_id"], "customer_order_number")
     facts = order_facts(numbered, order_items)
     return facts.select(*(c for c in facts.columns if c != "customer_order_number"), "customer_order_number")
 

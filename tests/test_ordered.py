@@ -5,12 +5,24 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from conftest import rows
 
 from martworks.checks import mutually_exclusive_ranges, sequential_values
-from martworks.operators import deduplicate, ordered, repeat_rows, sequence_no
+from martworks.operators import deduplicate, ordered, repeat_rows, sequence_no, with_next, with_previous
+
+# Numbers of slices.
+SLICES = [1, 4, 16]
+
 
-HOT = [1_000_000, 7, 1]
+@pytest.fixture
+def slices(spark, request):
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def grouped(data, key):
@@ -20,8 +32,8 @@ def grouped(data, key):
     return found
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_sequence_no(spark, hot_rows):
+@pytest.mark.parametrize("slices", SLICES, indirect=True)
+def test_sequence_no(spark, slices):
     rnd = random.Random(1)
     data = [(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([None, 1, 2, 2, 2, 3]), i) for i in range(200)]
     df = spark.createDataFrame(data, "g string, day int, id int")
@@ -29,16 +41,16 @@ def test_sequence_no(spark, hot_rows):
     for members in grouped(data, lambda r: r[0]).values():
         ordered = sorted(members, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
         expected |= {(*row, n + 1) for n, row in enumerate(ordered)}
-    found = sequence_no(df, ["g"], ["day", "id"], "n", hot_rows)
+    found = sequence_no(df, ["g"], ["day", "id"], "n")
     assert found.columns == ["g", "day", "id", "n"]
     assert dict(found.dtypes)["n"] == "bigint"
     assert {tuple(r) for r in found.collect()} == expected
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_sequence_no_over_a_whole_table(spark, hot_rows):
+@pytest.mark.parametrize("slices", SLICES, indirect=True)
+def test_sequence_no_over_a_whole_table(spark, slices):
     df = spark.range(100).selectExpr("id * 37 % 101 as v")
-    found = sequence_no(df, [], ["v"], "n", hot_rows).collect()
+    found = sequence_no(df, [], ["v"], "n").collect()
     assert [n for _, n in sorted((r["v"], r["n"]) for r in found)] == list(range(1, 101))
 
 
@@ -52,23 +64,23 @@ def brute_sequential(data, interval):
     return sorted(failing, key=str)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
+@pytest.mark.parametrize("slices", SLICES, indirect=True)
 @pytest.mark.parametrize("interval", [1, 2, 0])
-def test_sequential_values(spark, hot_rows, interval):
+def test_sequential_values(spark, slices, interval):
     rnd = random.Random(2)
     data = [(rnd.choice(["a", "a", "a", None]), rnd.choice([None, *range(0, 120, 1), 5, 5, 5])) for _ in range(150)]
     data += [("dup", 7)] * 40
     df = spark.createDataFrame(data, "g string, v int")
-    failing = sequential_values(df, "v", interval, group_by=["g"], hot_rows=hot_rows)
+    failing = sequential_values(df, "v", interval, group_by=["g"])
     assert failing.columns == ["g", "v", "previous_v"]
     found = sorted(((r["g"], r["previous_v"], r["v"]) for r in failing.collect()), key=str)
     assert found == brute_sequential(data, interval)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
-def test_sequential_values_ungrouped_dates(spark, hot_rows):
+@pytest.mark.parametrize("slices", SLICES, indirect=True)
+def test_sequential_values_ungrouped_dates(spark, slices):
     df = spark.sql("select explode(sequence(date'2024-01-01', date'2024-03-31')) as d").filter("d <> date'2024-02-10'")
-    failing = sequential_values(df, "d", 1, "day", hot_rows=hot_rows).collect()
+    failing = sequential_values(df, "d", 1, "day").collect()
     assert [(str(r["previous_d"]), str(r["d"])) for r in failing] == [("2024-02-09", "2024-02-11")]
 
 
@@ -87,17 +99,17 @@ def brute_ranges(data, meets, forward):
     return sorted(failing, key=str)
 
 
-@pytest.mark.parametrize("hot_rows", HOT)
+@pytest.mark.parametrize("slices", SLICES, indirect=True)
 @pytest.mark.parametrize(
     "gaps, meets", [("allowed", int.__le__), ("required", int.__lt__), ("not_allowed", int.__eq__)]
 )
 @pytest.mark.parametrize("zero, forward", [(False, int.__lt__), (True, int.__le__)])
-def test_mutually_exclusive_ranges(spark, hot_rows, gaps, meets, zero, forward):
+def test_mutually_exclusive_ranges(spark, slices, gaps, meets, zero, forward):
     rnd = random.Random(3)
     data = [(rnd.choice(["a", "a", "b"]), low, low + rnd.choice([0, 1, 1, 2, 5])) for low in range(0, 90, 2)]
     data += [("b", None, 3), ("b", 4, None), ("c", 1, 2), ("c", 1, 2), ("c", 1, 2), ("d", None, None)]
     df = spark.createDataFrame(data, "g string, lo int, hi int")
-    failing = mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero, hot_rows)
+    failing = mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero)
     assert sorted((tuple(r) for r in failing.collect()), key=str) == brute_ranges(data, meets, forward)
 
 
@@ -121,15 +133,20 @@ def test_repeat_rows(spark):
     assert counts == {"a": 3, "c": 2_000_001}
 
 
-def test_slices_beyond_one_chunk(spark):
-    """More than 64 cuts in a group: the search goes through chunks, with the ends of chunks in the data."""
+@pytest.mark.parametrize("slices", [16], indirect=True)
+def test_one_group_is_spread_over_slices(spark, slices):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 'big', cast(id % 5 as string)) as g", "id * 7 % 1009 as v")
-    plain, sliced = (sequence_no(df, ["g"], ["v"], "n", hot) for hot in (1_000_000, 2))
-    assert rows(plain) == rows(sliced)
-    slices = ordered._Slices.find(df, ["g"], ["v"], 2)
-    sizes = slices.hot_rows_of(df).groupBy("_key0", "_slice").count()
-    assert sizes.filter("_key0 = 'big'").count() > 2 * ordered.CHUNK
-    assert sizes.agg({"count": "max"}).first()[0] <= 4
-    bounds = slices.hot_rows_of(df).groupBy("_key0", "_slice").agg({"v": "min"}).orderBy("_key0", "_slice").collect()
-    for one, two in zip(bounds, bounds[1:]):
-        assert one["_key0"] != two["_key0"] or one["min(v)"] < two["min(v)"]
+    cut = ordered._Slices(df, ["g"], ["v"]).rows
+    assert cut.filter("g = 'big'").select("_slice").distinct().count() > 3
+    bounds = cut.groupBy("_slice").agg({"g": "max"}).orderBy("_slice").collect()
+    assert [r["max(g)"] for r in bounds] == sorted(r["max(g)"] for r in bounds)
+    spanning = ordered._Slices(df, ["g"], ["v"]).of_spanning_groups(F.count(F.lit(1)))
+    assert spanning.count() <= 2 * slices
+
+
+@pytest.mark.parametrize("slices", SLICES, indirect=True)
+def test_neighbours_carry_columns_that_cannot_be_compared(spark, slices):
+    df = spark.range(40).selectExpr("id % 2 as g", "id as v", "map('k', id) as m")
+    found = with_previous(df, ["g"], ["v"], "before", F.col("v") > 3).collect()
+    assert {(r["v"], r["before"]["v"], r["m"]["k"]) for r in found} == {(v, v - 2, v) for v in range(4, 40)}
+    assert with_next(df.limit(0), ["g"], ["v"], "after").count() == 0
