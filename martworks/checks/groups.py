@@ -52,8 +52,9 @@ def not_null_proportion(
 
 
 def _distinct_is_one(column: Column, type_: T.DataType) -> Column:
-    # The least value equals the greatest exactly when one distinct value exists: no shuffle of the distinct values.
-    if isinstance(type_, (T.AtomicType, T.NullType)):
+    # The least value equals the greatest exactly when one distinct value exists: no shuffle of the distinct values. For
+    # values without a fixed width the least one would cost a sort.
+    if isinstance(type_, (T.NumericType, T.DatetimeType, T.BooleanType, T.NullType)):
         return F.coalesce(F.min(column) == F.max(column), F.lit(False))
     return F.count_distinct(column) == 1
 

@@ -188,7 +188,7 @@ SQL = {
                    max(ordered_at) as last_ordered_at, cast(sum(subtotal) as decimal(38,2)) as lifetime_spend_pretax,
                    cast(sum(tax_paid) as decimal(38,2)) as lifetime_tax_paid,
                    cast(sum(order_total) as decimal(38,2)) as lifetime_spend
-            from stg_orders group by customer_id) as s on c.customer_id = s.customer_id""",
+            from mart_orders group by customer_id) as s on c.customer_id = s.customer_id""",
     "mart_locations": "select * from stg_locations",
     "mart_products": "select * from stg_products",
     "mart_supplies": "select * from stg_supplies",

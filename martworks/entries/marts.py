@@ -11,6 +11,7 @@ from martworks.entries.mapping import (
     PROJECT,
     RAW,
     RAW_ORDERS_OF_ITEMS,
+    SQL,
     STAGING,
     raw_orders_of_items,
     staged,
@@ -26,9 +27,18 @@ BIG_MARTS = ("order_items", "orders", "customers")
 TAX_CHECK = "order_total - tax_paid = subtotal"
 
 
-def _built(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of the project, everything before it lazy."""
-    return run_with(staged(spark, sf_dir), [s for s in PROJECT if s.name in ("order_items", name)])[name]
+def _items(tables: dict[str, DataFrame]) -> DataFrame:
+    return marts.described_items(tables["stg_order_items"], tables["stg_products"], tables["stg_supplies"])
+
+
+def mart_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = staged(spark, sf_dir, "stg_order_items", "stg_orders", "stg_products", "stg_supplies")
+    return run_with(tables, [s for s in PROJECT if s.name == "order_items"])["order_items"]
+
+
+def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = staged(spark, sf_dir, "stg_order_items", "stg_orders", "stg_products", "stg_supplies")
+    return marts.orders(tables["stg_orders"], _items(tables))
 
 
 def _staged(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +51,9 @@ def _passed_on(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer totals use only columns that the orders mart takes over from staging, row by row, so they can be
-    had without building that mart first."""
-    stg = staged(spark, sf_dir, "stg_customers", "stg_orders")
-    return marts.customers(stg["stg_customers"], stg["stg_orders"])
+    """Customer totals over the orders mart, without its running numbers, which they do not read."""
+    tables = staged(spark, sf_dir, "stg_customers", "stg_order_items", "stg_orders", "stg_products", "stg_supplies")
+    return marts.customers(tables["stg_customers"], marts.order_facts(tables["stg_orders"], _items(tables)))
 
 
 def customer_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +108,8 @@ def full_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     **{step.name: partial(_staged, step.name) for step in STAGING},
-    "mart_order_items": lambda spark, sf_dir: _built(spark, sf_dir, "order_items"),
-    "mart_orders": lambda spark, sf_dir: _built(spark, sf_dir, "orders"),
+    "mart_order_items": mart_order_items,
+    "mart_orders": mart_orders,
     "mart_customers": mart_customers,
     "mart_locations": partial(_passed_on, "locations"),
     "mart_products": partial(_passed_on, "products"),
@@ -154,50 +163,38 @@ from (select order_total, subtotal, cast(tax_paid_cents as decimal(16,2)) as tax
 where not ({TAX_CHECK})"""
 
 
-def _gated_sql() -> str:
-    failing = with_tables(BROKEN_TAX)
-    passed = [("stg_orders: not_null order_id", 0), ("stg_orders: unique order_id", 0),
-              ("stg_order_items: relationships order_id to stg_orders", 0)]
-    skipped_checks = [f"{c.model}: {c.name}" for c in CHECKS if c.model in ("order_items", "orders", "customers")]
-    rows = ["select 'stg_orders' as node, 'view' as kind, 'pass' as status, cast(null as bigint) as failures"]
-    rows += [f"select '{node}', 'check', 'pass', {n}" for node, n in passed]
-    rows += [f"select 'stg_orders: expression {TAX_CHECK}', 'check', 'error', ({failing})"]
-    rows += [f"select '{n}', 'table', 'skip', null" for n in ("order_items", "orders", "customers")]
-    rows += [f"select '{f.name}', 'fixture', 'skip', null" for f in FIXTURES if f.model != "stg_locations"]
-    rows += [f"select '{n}', 'check', 'skip', null" for n in skipped_checks]
-    return "\nunion all\n".join(rows)
-
-
-def _full_build_sql() -> str:
-    """Statuses of all nodes from the failure counts of all checks. A step is skipped when a check on tables before it
-    fails, and a check when one of its tables is skipped."""
+def _build_sql(steps: list[Step], **replaced: str) -> str:
+    """Statuses of all nodes that a build of `steps` has, from the failure counts of all their checks. A step is skipped when a
+    check on tables before it fails, and a check when one of its tables is skipped."""
+    built = {s.name for s in steps}
+    checks = [c for c in CHECKS if built.intersection(c.models)]
     before: dict[str, set[str]] = {}
     for step in PROJECT:
         before[step.name] = set(step.needs).union(*(before.get(n, set()) for n in step.needs))
 
     def skipped(*models: str) -> str:
-        stopping = [f"'{c.model}: {c.name}'" for c in CHECKS if any(set(c.models) <= before[m] for m in models)]
+        stopping = [f"'{c.model}: {c.name}'" for c in checks if any(set(c.models) <= before[m] for m in models)]
         found = f"select 1 from counts where failures > 0 and node in ({', '.join(stopping)})"
         return f"exists ({found})" if stopping else "false"
 
-    counts = "\nunion all\n".join(f"select '{c.model}: {c.name}' as node, ({_failures_sql(c)}) as failures" for c in CHECKS)
+    counts = "\nunion all\n".join(f"select '{c.model}: {c.name}' as node, ({_failures_sql(c)}) as failures" for c in checks)
     rows = [
         f"select '{s.name}' as node, '{s.kind}' as kind, case when {skipped(s.name)} then 'skip' else 'pass' end as status, "
         "cast(null as bigint) as failures"
-        for s in PROJECT
+        for s in steps
     ]
     rows += [
         f"select '{f.name}', 'fixture', case when {skipped(f.model)} then 'skip' else 'pass' end, "
         f"case when {skipped(f.model)} then null else 0 end"
-        for f in FIXTURES
+        for f in FIXTURES if f.model in built
     ]
     rows += [
         f"select node, 'check', case when {skipped(*c.models)} then 'skip' when failures > 0 then 'error' else 'pass' end, "
         f"case when {skipped(*c.models)} then null else failures end from counts where node = '{c.model}: {c.name}'"
-        for c in CHECKS
+        for c in checks
     ]
-    tables = with_tables("", raw_orders=RAW_ORDERS_OF_ITEMS)
-    return f"{tables}, counts as ({counts})\n" + "\nunion all\n".join(rows)
+    nodes = "\nunion all\n".join(rows)
+    return f"{with_tables('', **replaced)}, counts as ({counts})\nselect *, cast(null as varchar) as message from ({nodes}) as nodes"
 
 
 ORACLE = {
@@ -208,6 +205,8 @@ ORACLE = {
     ),
     "check_suite": _suite_sql(),
     "broken_tax_scenario": with_tables(BROKEN_TAX),
-    "gated_build_status": _gated_sql(),
-    "full_build_status": _full_build_sql(),
+    "gated_build_status": _build_sql(
+        downstream("stg_orders", PROJECT), stg_orders="select * replace (cast(tax_paid_cents as decimal(16,2)) as tax_paid) "
+        f"from ({SQL['stg_orders']})"),
+    "full_build_status": _build_sql(PROJECT, raw_orders=RAW_ORDERS_OF_ITEMS),
 }

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from martworks import functions as fn
 from martworks import operators as op
 from martworks import sources
 from martworks.entries.mapping import table
+from martworks.session import fresh_path, written
 
 
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +131,9 @@ def column_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey").filter("o_orderstatus = 'P'")
+    # One more customer, who never ordered.
+    customers = customers.union(customers.agg(F.max("custkey") + 1_000_000, F.lit("newcomer")))
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey")
     return op.join_summary(
         customers, orders, "custkey", F.count(F.lit(1)).alias("orders"), F.max("o_orderdate").alias("latest")
     )
@@ -153,13 +158,49 @@ def pivot_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 def pivot_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.pivot(
-        table(spark, sf_dir, "events"), ["user_id"], "event_type", ["click", "view"], agg="count", suffix=" days",
+        table(spark, sf_dir, "events"), ["user_id"], "event_type", EVENT_TYPES, agg="count", suffix=" days",
         then_value=F.to_date("ts"), else_value=None, distinct=True,
     )
 
 
+def pivot_stddev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op.pivot(
+        table(spark, sf_dir, "part"), ["p_brand"], "p_type", ["p%", "s%"], agg="stddev_pop", cmp="not ilike", prefix="not ",
+        then_value="p_size", else_value=None, quote_identifiers=False,
+    )
+    return found.select("p_brand", *(F.round(c, 6).alias(c) for c in found.columns[1:]))
+
+
+def sequence_no_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines in one group, numbered by order, line, part and supplier."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return op.sequence_no(table(spark, sf_dir, "lineitem").select(*keys), [], keys, "n")
+
+
+def union_of_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two schemas with a table of one name each: both are in the union, told apart by their full names."""
+    tag = f"martworks_{uuid.uuid4().hex[:8]}"
+    partners = dict(zip(("north", "south"), _partners(spark, sf_dir).values()))
+    schemas = [f"{tag}_{name}" for name in partners]
+    try:
+        for schema, df in zip(schemas, partners.values()):
+            spark.sql(f"CREATE DATABASE {schema} LOCATION '{fresh_path(spark, schema)}'")
+            path = fresh_path(spark, "partners")
+            df.write.parquet(path)
+            spark.sql(f"CREATE TABLE {schema}.partners USING parquet LOCATION '{path}'")
+        found = sources.relations_by_pattern(spark, f"{tag}%", "partners")
+        union = op.union_relations(sources.read_relations(spark, found), include=["key", "name"], source_column_name="source")
+        return written(union.withColumn("source", F.replace("source", F.lit(f"{tag}_"), F.lit(""))), "union")
+    finally:
+        for schema in schemas:
+            spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+
+
 def unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_name", "c_acctbal", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("segment"),
@@ -186,23 +227,25 @@ def generate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every hour of the events, also those without one."""
+    """Every hour of the events, also those without one, to the end of the last day."""
     events = table(spark, sf_dir, "events")
-    first, last = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    first, end = events.agg(F.min(F.to_date("ts")), F.date_add(F.max(F.to_date("ts")), 1)).first()
     counts = events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("date_hour")).agg(
         F.count(F.lit(1)).alias("events")
     )
-    return op.date_spine(spark, "hour", first, last).join(counts, "date_hour", "left").select(
+    return op.date_spine(spark, "hour", first, end).filter(F.col("date_hour") < F.lit(end)).join(counts, "date_hour", "left").select(
         "date_hour", F.coalesce("events", F.lit(0)).alias("events")
     )
 
 
 def date_spine_between(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every month between a customer's first and last order."""
+    """Every month from a customer's first to the last order, the last month included."""
     bounds = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.to_date(F.min("o_orderdate")).alias("first_day"), F.to_date(F.max("o_orderdate")).alias("last_day")
+        F.trunc(F.min("o_orderdate"), "month").alias("first_month"),
+        F.add_months(F.trunc(F.max("o_orderdate"), "month"), 1).alias("end_month"),
     )
-    return op.date_spine_between(bounds, "month", "first_day", "last_day")
+    spine = op.date_spine_between(bounds, "month", "first_month", "end_month")
+    return spine.filter(F.col("date_month") < F.col("end_month"))
 
 
 def _partners(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -257,9 +300,11 @@ QUERIES = {
     "column_values": column_values,
     "join_summary": join_summary,
     "sequence_no": sequence_no,
+    "sequence_no_whole_table": sequence_no_whole_table,
     "pivot_counts": pivot_counts,
     "pivot_custom": pivot_custom,
     "pivot_distinct": pivot_distinct,
+    "pivot_stddev": pivot_stddev,
     "unpivot": unpivot,
     "deduplicate": deduplicate,
     "generate_series": generate_series,
@@ -267,16 +312,17 @@ QUERIES = {
     "date_spine_between": date_spine_between,
     "union_relations": union_relations,
     "union_by_prefix": union_by_prefix,
+    "union_of_schemas": union_of_schemas,
     "symmetric_diff": symmetric_diff,
 }
 
 HAVERSINE = """2 * 3961 * asin(sqrt(
     power(sin(radians((lat2 - lat1) / 2)), 2)
     + cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians((lon2 - lon1) / 2)), 2)))"""
-STRIPPED = "replace(replace({0}, 'http://', ''), 'https://', '')"
+BARE = "regexp_replace({0}, 'https?://', '', 'g')"
 PATH = (
-    f"split_part(right({STRIPPED}, cast(length({STRIPPED}) - coalesce(nullif(position('/' in {STRIPPED}), 0), "
-    f"position('?' in {STRIPPED}) - 1) as integer)), '?', 1)"
+    f"case when contains({BARE}, '/') then split_part(substr({BARE}, instr({BARE}, '/') + 1), '?', 1) "
+    f"when contains({BARE}, '?') then '' else {BARE} end"
 )
 BARE_URL = "replace(split_part(url, '/', 3), '.', '?')"
 SLUG = (
@@ -335,8 +381,7 @@ ORACLE = {
                cast(-1 as bigint) as fallback
         from nation""",
     "url_host": """
-        select page_id, split_part(split_part(
-            replace(replace(replace(url, 'android-app://', ''), 'http://', ''), 'https://', ''), '/', 1), '?', 1) as host
+        select page_id, regexp_extract(regexp_replace(url, 'android-app://|https?://', '', 'g'), '^[^/?]*') as host
         from pages""",
     "url_path":
         f"select page_id, {PATH.format('url')} as path, {PATH.format(BARE_URL)} as path_without_slash from pages",
@@ -360,12 +405,19 @@ ORACLE = {
         select o_custkey as value, count(*) as n from orders where o_orderstatus <> 'F'
         group by o_custkey order by n desc, value limit 25""",
     "join_summary": """
-        select c_custkey as custkey, c_name, s.orders, s.latest from customer left join (
-            select o_custkey, count(*) as orders, max(o_orderdate) as latest from orders where o_orderstatus = 'P'
-            group by o_custkey) as s on c_custkey = s.o_custkey""",
+        with people as (select c_custkey as custkey, c_name from customer
+                        union all select max(c_custkey) + 1000000, 'newcomer' from customer)
+        select custkey, c_name, count(o_orderkey) filter (o_orderkey is not null) as orders, max(o_orderdate) as latest
+        from people join orders on custkey = o_custkey group by all
+        union all
+        select custkey, c_name, null, null from people where custkey not in (select o_custkey from orders)""",
     "sequence_no": """
         select user_id, ts, event_id, row_number() over (partition by user_id order by ts, event_id) as visit
         from events""",
+    "sequence_no_whole_table": """
+        select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() over (
+                   order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as n
+        from lineitem""",
     "pivot_counts": """
         select user_id, """ + ", ".join(
             f"cast(sum(case when event_type = '{t}' then 1 else 0 end) as bigint) as n_{t}"
@@ -376,9 +428,13 @@ ORACLE = {
             f"max(case when p_size <= {n} then p_retailprice end) as dearest_up_to_{n}_price" for n in (10, 20, 40)
         ) + " from part group by p_brand",
     "pivot_distinct": """
-        select user_id, count(distinct case when event_type = 'click' then cast(ts as date) end) as "click days",
-               count(distinct case when event_type = 'view' then cast(ts as date) end) as "view days"
-        from events group by user_id""",
+        select user_id, """ + ", ".join(
+            f"count(distinct case when event_type = '{t}' then cast(ts as date) end) as \"{t} days\"" for t in EVENT_TYPES
+        ) + " from events group by user_id",
+    "pivot_stddev": """
+        select p_brand, round(stddev_pop(p_size) filter (p_type not ilike 'p%'), 6) as not_p,
+               round(stddev_pop(p_size) filter (p_type not ilike 's%'), 6) as not_s
+        from part group by p_brand""",
     "unpivot": """
         select c_custkey, 'c_nationkey' as field, cast(c_nationkey as varchar) as val from customer
         union all select c_custkey, 'c_name', c_name from customer
@@ -396,16 +452,15 @@ ORACLE = {
     "date_spine": """
         select date_hour, count(event_id) as events
         from (select unnest(range((select cast(min(cast(ts as date)) as timestamp) from events),
-                                  (select cast(max(cast(ts as date)) as timestamp) from events), interval 1 hour))
+                                  (select cast(max(cast(ts as date)) + 1 as timestamp) from events), interval 1 hour))
                      as date_hour) as spine
         left join events on date_trunc('hour', ts) = date_hour group by date_hour""",
     "date_spine_between": """
-        select * from (
-            select o_custkey, first_day, last_day, cast(first_day + step * interval 1 month as date) as date_month
-            from (select *, unnest(range(0, date_diff('month', first_day, last_day))) as step
-                  from (select o_custkey, cast(min(o_orderdate) as date) as first_day,
-                               cast(max(o_orderdate) as date) as last_day from orders group by o_custkey)))
-        where date_month <= last_day""",
+        select o_custkey, first_month, end_month, cast(unnest(range(cast(first_month as timestamp), cast(end_month as timestamp),
+                                                                    interval 1 month)) as date) as date_month
+        from (select o_custkey, cast(date_trunc('month', min(o_orderdate)) as date) as first_month,
+                     cast(date_trunc('month', max(o_orderdate)) + interval 1 month as date) as end_month
+              from orders group by o_custkey)""",
     "union_relations": f"""{PARTNERS}
         select 'customer' as source, key, cast(nation as bigint) as nation, name, c_mktsegment from customers
         where key % 3 <> 0
@@ -413,6 +468,8 @@ ORACLE = {
     "union_by_prefix": f"""{PARTNERS}
         select 'martworks_partner_customer' as source, key, name from customers
         union all select 'martworks_partner_supplier', key, name from suppliers""",
+    "union_of_schemas": f"""{PARTNERS}
+        select 'north.partners' as source, key, name from customers union all select 'south.partners', key, name from suppliers""",
     "symmetric_diff": """
         with a as (select o_custkey as customer from orders where o_orderstatus = 'O'),
              b as (select o_custkey as customer from orders where o_orderpriority = '1-URGENT')

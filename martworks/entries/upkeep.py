@@ -30,7 +30,7 @@ def _corrected(orders: DataFrame) -> DataFrame:
 
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, name = _orders(spark, sf_dir), _table_name("append")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         loaded = sources.incremental_append(orders.filter(F.col("o_orderstatus") == status), name, shared_folder(spark))
     return loaded
 
@@ -55,8 +55,24 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table rebuilt from scratch, read through a view."""
     orders, name = _orders(spark, sf_dir), _table_name("orders")
     sources.as_table(orders, name, shared_folder(spark))
-    rebuilt = sources.as_table(orders.filter("o_orderstatus <> 'P'"), name, shared_folder(spark))
-    return sources.as_view(rebuilt.filter("o_custkey % 2 = 0"), "martworks_even_customers")
+    rebuilt = sources.as_table(orders.withColumn("year", F.year("day")), name, shared_folder(spark))
+    return sources.as_view(rebuilt, "martworks_orders_with_year")
+
+
+def table_rebuild_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table rebuilt: one partition is gone, one is new, the others have other rows."""
+    orders, name = _orders(spark, sf_dir), _table_name("by_status")
+    sources.as_table(orders, name, shared_folder(spark), ["o_orderstatus"])
+    renamed = orders.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", "N").otherwise(F.col("o_orderstatus")))
+    return sources.as_table(renamed.withColumn("o_custkey", -F.col("o_custkey")), name, shared_folder(spark), ["o_orderstatus"])
+
+
+def source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table read by its name."""
+    root = fresh_path(spark, "raw")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"))
+    customers.write.parquet(f"{root}/raw_customers")
+    return sources.source(spark, "raw_customers", root)
 
 
 def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +128,20 @@ def snapshot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history_by_check(spark, sf_dir)
 
 
+def snapshot_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source gains a column: versions of before have nulls there."""
+    first = _customers(spark, sf_dir, 1).drop("nation")
+    history = written(sources.snapshot(None, first, ["id"], updated_at="changed_at"), "history")
+    return sources.snapshot(history, _customers(spark, sf_dir, 2), ["id"], updated_at="changed_at")
+
+
+def snapshot_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row without key, the same at both runs: nothing is added."""
+    source = _customers(spark, sf_dir, 1).withColumn("id", F.expr("nullif(id, 1)"))
+    history = written(sources.snapshot(None, source, ["id"], updated_at="changed_at"), "history")
+    return sources.snapshot(history, source, ["id"], updated_at="changed_at").select("id", "name", fixed.VALID_FROM, fixed.VALID_TO)
+
+
 def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = _history_by_check(spark, sf_dir)
     now = sources.current(history).groupBy(F.lit("now").alias("picture"), "nation")
@@ -124,6 +154,10 @@ QUERIES = {
     "incremental_merge": incremental_merge,
     "incremental_merge_partitioned": incremental_merge_partitioned,
     "table_roundtrip": table_roundtrip,
+    "table_rebuild_partitioned": table_rebuild_partitioned,
+    "source_scan": source_scan,
+    "snapshot_new_column": snapshot_new_column,
+    "snapshot_null_key": snapshot_null_key,
     "csv_load": csv_load,
     "store_failures": store_failures,
     "freshness": freshness,
@@ -155,7 +189,7 @@ def _bookkeeping(start: str, end: str) -> str:
 
 
 ORACLE = {
-    "incremental_append": f"select * from ({ORDERS}) where o_orderstatus in ('F', 'O')",
+    "incremental_append": ORDERS,
     "incremental_merge": f"""
         select o_orderkey, o_custkey, case when o_orderstatus = 'P' then 'D' else o_orderstatus end as o_orderstatus, day
         from ({ORDERS})
@@ -168,7 +202,13 @@ ORACLE = {
         from o
         union all select -o_orderkey - 1, o_custkey, o_orderstatus, day, 1995 from o
         where o_custkey % 10 = 3 and year in (1995, 1996)""",
-    "table_roundtrip": f"select * from ({ORDERS}) where o_orderstatus <> 'P' and o_custkey % 2 = 0",
+    "table_roundtrip": f"select *, cast(year(day) as integer) as year from ({ORDERS})",
+    "table_rebuild_partitioned": f"""
+        select o_orderkey, -o_custkey as o_custkey, replace(o_orderstatus, 'P', 'N') as o_orderstatus, day from ({ORDERS})""",
+    "source_scan": "select cast(c_custkey as varchar) as id, c_name as name from customer",
+    "snapshot_null_key": f"""
+        select nullif(c_custkey, 1) as id, c_name as name, timestamp '2023-12-01' as {fixed.VALID_FROM},
+               cast(null as timestamp) as {fixed.VALID_TO} from customer where c_custkey % 11 <> 6""",
     "csv_load": """
         select concat('00', cast(c_custkey as varchar)) as id, concat(c_name, ', "x" ') as name, c_nationkey, c_acctbal,
                c_nationkey > 12 as is_far
@@ -195,6 +235,21 @@ ORACLE = {
                 select two.*, null from two left join one on one.id = two.id
                 where one.id is null or two.changed_at > one.changed_at)
         select id, name, nation, changed_at, {_bookkeeping("changed_at", "valid_to")} from history""",
+    "snapshot_new_column": f"""
+        with one as (select c_custkey as id, c_name as name, timestamp '2023-12-01' as changed_at
+                     from customer where c_custkey % 11 <> 6),
+             two as (select c_custkey as id, c_name as name,
+                            case when c_custkey % 7 = 0 then 99 else c_nationkey end as nation,
+                            case when c_custkey % 7 = 0 then timestamp '2024-01-15' else timestamp '2023-12-01' end
+                                as changed_at
+                     from customer where c_custkey % 11 <> 5),
+             history as (
+                select one.*, null as nation, case when two.changed_at > one.changed_at then two.changed_at end as valid_to
+                from one left join two on one.id = two.id
+                union all
+                select two.id, two.name, two.changed_at, two.nation, null from two left join one on one.id = two.id
+                where one.id is null or two.changed_at > one.changed_at)
+        select id, name, nation, changed_at, {_bookkeeping("changed_at", "valid_to")} from history""",
     "snapshot_check": f"{HISTORY} select id, name, nation, {_bookkeeping('valid_from', 'valid_to')} from history",
     "snapshot_as_of": f"""{HISTORY}
         select 'now' as picture, nation, count(*) as customers from history where valid_to is null group by nation

@@ -3,32 +3,32 @@ a scheme is removed wherever it stands, fragments stay, and a parameter name mat
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from martworks.functions.scalar import ColumnOrName, as_column
 
-
-def _without(text: Column, *pieces: str) -> Column:
-    return reduce(lambda rest, piece: F.replace(rest, F.lit(piece), F.lit("")), pieces, text)
+# What counts as a scheme for hosts and for paths.
+HOST_SCHEMES, PATH_SCHEMES = "android-app://|http://|https://", "http://|https://"
 
 
-def _part(text: Column, separator: str, number: int) -> Column:
-    return F.split_part(text, F.lit(separator), F.lit(number))
+def _without(url: ColumnOrName, schemes: str) -> Column:
+    return F.regexp_replace(as_column(url), schemes, "")
 
 
 def url_host(url: ColumnOrName) -> Column:
     """Text up to the first `/` or `?` once the scheme is gone."""
-    return _part(_part(_without(as_column(url), "android-app://", "http://", "https://"), "/", 1), "?", 1)
+    return F.regexp_extract(_without(url, HOST_SCHEMES), "^[^/?]*", 0)
 
 
 def url_path(url: ColumnOrName) -> Column:
-    """Text behind the first `/` up to `?`. Without any `/` it starts at the `?`; with neither it is the whole text."""
-    rest = _without(as_column(url), "http://", "https://")
-    start = F.coalesce(F.nullif(F.position(F.lit("/"), rest), F.lit(0)), F.position(F.lit("?"), rest) - 1)
-    return _part(F.right(rest, F.length(rest) - start), "?", 1)
+    """Text behind the first `/` up to the next `?`. A text without `/` has no path if it has a `?`, else it is all path."""
+    shapes = r"(?s)^(?:[^/]*/([^?]*).*|([^/?]*)|.*)\z"
+    return F.regexp_replace(_without(url, PATH_SCHEMES), shapes, "$1$2")
+
+
+def _part(text: Column, separator: str, number: int) -> Column:
+    return F.split_part(text, F.lit(separator), F.lit(number))
 
 
 def url_parameter(url: ColumnOrName, name: str) -> Column:

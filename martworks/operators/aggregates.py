@@ -63,15 +63,15 @@ def column_value_list(
     limit: int | None = None,
     default: list | None = None,
     where: str | None = None,
+    most: int = 10_000,
 ) -> list:
     """The values as a Python list, to name pivot columns. `default` answers for a missing (None) or empty table.
-    More values than Spark itself allows as pivot columns raise instead of flooding the driver."""
+    More than `most` values raise instead of flooding the driver."""
     if df is None:
         if default is None:
             raise ValueError("column_value_list: no table and no default")
         return default
-    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    found = column_values(df, column, order_by, min(limit or most + 1, most + 1), where).collect()
+    found = column_values(df, column, order_by, most + 1 if limit is None else min(limit, most + 1), where).collect()
     if len(found) > most:
-        raise ValueError(f"column {column!r} has more than {most} values; pass a limit")
+        raise ValueError(f"column {column!r} has more than {most} values; pass a limit or a larger `most`")
     return [row["value"] for row in found] or (default if default is not None else [])

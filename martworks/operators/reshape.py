@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,18 +13,19 @@ from martworks import fixed_values as fixed
 from martworks.functions.scalar import ColumnOrName, as_column, as_value, slug_name
 from martworks.operators.columns import quoted
 
-AGGREGATES: dict[str, Callable[[Column], Column]] = {
-    "sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg, "count": F.count,
-}
-DISTINCT_AGGREGATES: dict[str, Callable[[Column], Column]] = {
-    "sum": F.sum_distinct, "count": F.count_distinct, "min": F.min, "max": F.max,
-    "avg": lambda column: F.sum_distinct(column) / F.count_distinct(column),
-}
-COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {
-    "=": lambda a, b: a == b, "!=": lambda a, b: a != b, "<>": lambda a, b: a != b,
-    "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b,
-    "like": lambda a, b: F.like(a, b),
-}
+# What may stand as an aggregate's or an operator's name in `pivot`.
+_NAME, _OPERATOR = re.compile(r"[a-z_][a-z0-9_]*", re.IGNORECASE), re.compile(r"[a-z<>=!]+( [a-z]+)*", re.IGNORECASE)
+
+
+def _literal(value) -> str:
+    """A value as SQL text; a list or tuple as the right side of `in`."""
+    if isinstance(value, (list, tuple)):
+        return f"({', '.join(map(_literal, value))})"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, date):
+        return f"{'TIMESTAMP' if isinstance(value, datetime) else 'DATE'} '{value}'"
+    return "NULL" if value is None else f"{value!r}D" if isinstance(value, float) else str(value)
 
 
 def pivot(
@@ -40,24 +43,28 @@ def pivot(
     distinct: bool = False,
 ) -> DataFrame:
     """Values to columns: one conditional aggregate per value, all in one grouping. The defaults count rows, with 0
-    where a value is absent. Columns are named `prefix + value + suffix`, or its slug without `quote_identifiers`."""
-    name_, agg = as_column(column), agg.lower()
-    then_, else_ = as_value(then_value), as_value(else_value)
-    if distinct and cmp == "=" and else_value is None:
-        # Every distinct (value, result) pair counts in one column only, so plain aggregates over the distinct rows do.
-        # Distinct aggregates would multiply all rows by the number of values.
-        df = df.select(*group, name_.alias("_name"), then_.alias("_then")).distinct()
-        name_, then_, distinct = F.col("_name"), F.col("_then"), False
-    aggregate = (DISTINCT_AGGREGATES if distinct else AGGREGATES)[agg]
-    compare = COMPARISONS[cmp.lower()]
+    where a value is absent. `agg` is any aggregate function of one argument, `cmp` any comparison (`ilike`, `not in`, `<=>`, …).
+    Columns are named `prefix + value + suffix`, or its slug without `quote_identifiers`."""
+    if not _NAME.fullmatch(agg) or not _OPERATOR.fullmatch(cmp.strip()):
+        raise ValueError(f"pivot: {agg!r} is no aggregate or {cmp!r} no comparison")
     names = [f"{prefix}{value}{suffix}" for value in values]
     if not quote_identifiers:
         names = [slug_name(name) for name in names]
-    cells = [
-        aggregate(F.when(compare(name_, F.lit(value)), then_).otherwise(else_)).alias(name)
-        for value, name in zip(values, names)
-    ]
-    return df.groupBy(*group).agg(*cells)
+    rows = df.select(*group, as_column(column).alias("_pivot_name"), as_value(then_value).alias("_pivot_then"),
+                     as_value(else_value).alias("_pivot_else"))
+    matches = [F.expr(f"_pivot_name {cmp} {_literal(value)}") for value in values]
+    if distinct and else_value is None:
+        # Rows reduced to (matched value, result) are distinct by column, so plain aggregates do. Distinct aggregates would
+        # multiply all rows by the number of values.
+        hits = F.array_compact(F.array(*(F.when(match, F.lit(i)) for i, match in enumerate(matches))))
+        rows = rows.select(*group, "_pivot_then", F.explode_outer(hits).alias("_pivot_hit")).distinct()
+        cells = [F.when(F.col("_pivot_hit") == i, F.col("_pivot_then")) for i in range(len(names))]
+        distinct = False
+    else:
+        cells = [F.when(match, F.col("_pivot_then")).otherwise(F.col("_pivot_else")) for match in matches]
+    placed = rows.select(*group, *(cell.alias(f"_pivot_{i}") for i, cell in enumerate(cells)))
+    return placed.groupBy(*group).agg(*(
+        F.expr(f"{agg}({'DISTINCT ' if distinct else ''}_pivot_{i})").alias(name) for i, name in enumerate(names)))
 
 
 def unpivot(

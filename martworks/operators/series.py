@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 from martworks.functions.dates import DATE_PARTS, add_units, boundaries_between, moment
 
 
+PERIODS_PER_ROW = 1_000_000
+
+
 def generate_series(spark: SparkSession, upper: int) -> DataFrame:
-    """1 to `upper` as `generated_number`, made in parallel."""
+    """1 to `upper` as `generated_number`, ascending; made in parallel, each task a stretch of the series in turn."""
     if upper <= 0:
         raise ValueError("upper bound must be positive")
     return spark.range(1, upper + 1).select(F.col("id").alias("generated_number"))
@@ -29,11 +32,16 @@ def date_spine(spark: SparkSession, part: str, start, end) -> DataFrame:
 
 
 def date_spine_between(bounds: DataFrame, part: str, start: str, end: str) -> DataFrame:
-    """The same spine for every row of `bounds`, e.g. a table's first and last date; the row's columns are kept."""
+    """The same spine for every row of `bounds`, e.g. a table's first and last date; the row's columns are kept. Long spines
+    are spread over tasks in blocks of `PERIODS_PER_ROW`."""
     name = f"date_{part}"
     periods = boundaries_between(part, start, end)
-    steps = F.when(periods > 0, F.sequence(F.lit(0).cast("bigint"), periods - 1))
-    spread = bounds.withColumn("_step", F.explode(steps))
+    counted = bounds.withColumn("_periods", periods.cast("bigint")).filter("_periods > 0")
+    last_block = F.expr(f"(_periods - 1) div {PERIODS_PER_ROW}")
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    begin = F.col("_block") * PERIODS_PER_ROW
+    steps = F.sequence(begin, F.least(begin + PERIODS_PER_ROW, F.col("_periods")) - 1)
+    spread = blocks.hint("rebalance").withColumn("_step", F.explode(steps)).drop("_periods", "_block")
     return (
         spread.withColumn(name, _period(part, F.col("_step"), F.col(start))).drop("_step")
         .filter(F.col(name) <= F.col(end))

@@ -53,7 +53,8 @@ def gated_build(
     threads: int = 4,
 ) -> DataFrame:
     """Build every step once all its needs are built, and run every check once all its tables are. Returns one row per
-    node: `node, kind, status, failures`.
+    node: `node, kind, status, failures, message`; the message is that of a step that could not be built or a check that could
+    not run, which counts as failed.
 
     A failed check leaves its own table built but skips every step that depends on all tables of the check, and with
     it that step's checks and descendants. Skipped tables are not touched, so an earlier version keeps serving.
@@ -70,13 +71,22 @@ def gated_build(
     failed_checks: list[Check] = []
     waiting = list(steps)
     pending = [c for c in checks if set(c.models) <= known]
-    result: list[tuple[str, str, str, int | None]] = []
+    result: list[tuple[str, str, str, int | None, str | None]] = []
 
-    def stored(step: Step) -> DataFrame | None:
+    def stored(step: Step) -> DataFrame | str:
         try:
             return publish(step, step.build(tables))
-        except PySparkException:
-            return None
+        except PySparkException as error:
+            return str(error)
+
+    def counted(due: list[Check]) -> dict[tuple[str, str], int | str]:
+        """Failures by check, or why a check could not run. If one cannot, each runs alone."""
+        try:
+            return {(r["model"], r["check"]): r["failures"] for r in run_checks(tables, due).collect()}
+        except PySparkException as error:
+            if len(due) == 1:
+                return {(due[0].model, due[0].name): str(error)}
+            return {key: found for check in due for key, found in counted([check]).items()}
 
     while waiting:
         settled = set(tables) | blocked
@@ -92,18 +102,19 @@ def gated_build(
             )
             for fixture in (f for f in fixtures if f.model == step.name):
                 failures = None if stopped else fixture.failing(spark).count()
-                result.append((fixture.name, "fixture", _status(failures), failures))
+                result.append((fixture.name, "fixture", _status(failures), failures, None))
                 stopped = stopped or bool(failures)
             if stopped:
                 blocked.add(step.name)
-                result.append((step.name, step.kind, SKIP, None))
+                result.append((step.name, step.kind, SKIP, None, None))
             else:
                 runnable.append(step)
         with ThreadPoolExecutor(max_workers=threads) as pool:
             outcomes = list(pool.map(stored, runnable))
         for step, df in zip(runnable, outcomes):
-            result.append((step.name, step.kind, ERROR if df is None else PASS, None))
-            if df is None:
+            message = df if isinstance(df, str) else None
+            result.append((step.name, step.kind, ERROR if message else PASS, None, message))
+            if message:
                 blocked.add(step.name)
             else:
                 tables[step.name] = df
@@ -111,16 +122,19 @@ def gated_build(
         skipped = [c for c in pending if blocked.intersection(c.models)]
         due = [c for c in pending if c not in skipped and set(c.models) <= set(tables)]
         pending = [c for c in pending if c not in skipped and c not in due]
-        result += [(f"{c.model}: {c.name}", "check", SKIP, None) for c in skipped]
+        result += [(f"{c.model}: {c.name}", "check", SKIP, None, None) for c in skipped]
         if due:
-            counted = {(r["model"], r["check"]): r["failures"] for r in run_checks(tables, due).collect()}
+            found = counted(due)
             for check in due:
-                failures = counted[(check.model, check.name)]
-                result.append((f"{check.model}: {check.name}", "check", _status(failures), failures))
+                failures = found[(check.model, check.name)]
+                message = failures if isinstance(failures, str) else None
+                number = None if message else failures
+                status = ERROR if message else _status(failures)
+                result.append((f"{check.model}: {check.name}", "check", status, number, message))
                 if failures:
                     failed_checks.append(check)
 
-    return spark.createDataFrame(result, "node string, kind string, status string, failures bigint")
+    return spark.createDataFrame(result, "node string, kind string, status string, failures bigint, message string")
 
 
 def _status(failures: int | None) -> str:

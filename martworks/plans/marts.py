@@ -23,6 +23,14 @@ def product_facts(stg_products: DataFrame, stg_supplies: DataFrame) -> DataFrame
     return products.join(costs, "product_id", "full")
 
 
+def described_items(
+    stg_order_items: DataFrame, stg_products: DataFrame, stg_supplies: DataFrame, store: Store | None = None
+) -> DataFrame:
+    """Items with what their products and supplies say: all of `order_items` but the date, and all that order facts need."""
+    facts = product_facts(stg_products, stg_supplies)
+    return stg_order_items.join(store(facts) if store else facts, "product_id", "left")
+
+
 def order_items(
     stg_order_items: DataFrame,
     stg_orders: DataFrame,
@@ -36,8 +44,7 @@ def order_items(
     Items repeat products, some of them very often. Pass `store` on large data: product facts that were written are
     broadcast only when their size allows, and otherwise adaptive execution can split frequent products, which it
     cannot do above an aggregation."""
-    facts = product_facts(stg_products, stg_supplies)
-    described = stg_order_items.join(store(facts) if store else facts, "product_id", "left")
+    described = described_items(stg_order_items, stg_products, stg_supplies, store)
     dated = described.join(stg_orders.select("order_id", "ordered_at"), "order_id", "left")
     return dated.select(
         *stg_order_items.columns, "ordered_at", "product_name", "product_price", "is_food_item", "is_drink_item",
@@ -69,7 +76,8 @@ def order_facts(stg_orders: DataFrame, order_items: DataFrame) -> DataFrame:
 def orders(stg_orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """One row per order, with item counts and the running number of the customer's orders (same-day orders by id).
 
-    The number needs only staging columns, so it is made before the join, on narrow rows."""
+    The number needs only staging columns, so it is made before the join. Of the items only product and supply columns are
+    read, so `described_items` will do."""
     numbered = sequence_no(stg_orders, ["customer_id"], ["ordered_at", "order_id"], "customer_order_number")
     facts = order_facts(numbered, order_items)
     return facts.select(*(c for c in facts.columns if c != "customer_order_number"), "customer_order_number")

@@ -18,6 +18,11 @@ class Relation:
     name: str
     type: str
 
+    @property
+    def full_name(self) -> str:
+        """Schema and name; the name alone for temporary views."""
+        return f"{self.schema}.{self.name}" if self.schema else self.name
+
     @property
     def identifier(self) -> str:
         parts = [self.schema, self.name] if self.schema else [self.name]
@@ -53,5 +58,5 @@ def relations_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude:
 
 
 def read_relations(spark: SparkSession, relations: Sequence[Relation]) -> dict[str, DataFrame]:
-    """The found tables by name, e.g. for `union_relations`."""
-    return {r.name: spark.table(r.identifier) for r in relations}
+    """The found tables by full name, e.g. for `union_relations`, which labels rows with it."""
+    return {r.full_name: spark.table(r.identifier) for r in relations}

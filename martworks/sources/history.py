@@ -39,7 +39,8 @@ def snapshot(
 
     A row counts as changed when its `updated_at` is later than the stored one, or, with `check_cols` (a list, or
     `"all"`), when one of those columns differs; then `as_of` (now unless given) is the moment of change. Rows missing
-    from the source keep their open version. `key` must be unique in the source.
+    from the source keep their open version. `key` must be unique in the source; nulls in it are equal. A column that the
+    source gained is null in the versions before; a lost one is refused.
 
     Closed versions take no part in the join; only open versions and source rows are shuffled."""
     if (updated_at is None) == (check_cols is None):
@@ -49,13 +50,19 @@ def snapshot(
     if history is None:
         return fresh
 
+    gained, lost = set(fresh.columns) - set(history.columns), set(history.columns) - set(fresh.columns)
+    if lost:
+        raise ValueError(f"snapshot: the source has lost columns {sorted(lost)}")
+    for name in source.columns:
+        if name in gained:
+            history = history.withColumn(name, F.lit(None).cast(source.schema[name].dataType))
     columns = history.columns
     types = {f.name: f.dataType for f in history.schema.fields}
     fresh = fresh.select(*(quoted(c).cast(types[c]).alias(c) for c in columns))
     is_open = quoted(fixed.VALID_TO).isNull()
     old = history.filter(is_open).select(F.struct(*(quoted(c) for c in columns)).alias("old"))
     new = fresh.select(F.struct(*(quoted(c) for c in columns)).alias("new"))
-    same_key = reduce(Column.__and__, (F.col("old").getField(k) == F.col("new").getField(k) for k in key))
+    same_key = reduce(Column.__and__, (F.col("old").getField(k).eqNullSafe(F.col("new").getField(k)) for k in key))
 
     def pair(name: str) -> tuple[Column, Column]:
         return F.col("old").getField(name), F.col("new").getField(name)

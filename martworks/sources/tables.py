@@ -1,13 +1,16 @@
 """Views, tables and incremental loads.
 
 Plain Parquet has no transactions, so a table is never overwritten where it is read: each version is written to a path
-of its own, and the catalog entry is pointed at it when the write is complete. Readers see the old or the new version.
+of its own. Then the catalog entry is pointed at it; where partitions, columns or layout come into play, a new entry takes
+the old one's name. Readers see the old or the new version, never parts of both; between dropping the old entry and renaming the
+new one a reader may find no table.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,18 +54,27 @@ def _layout(spark: SparkSession, name: str) -> tuple[list[str], Buckets | None]:
     return partitions, (int(described["data_type"]), keys)
 
 
-def _point(spark: SparkSession, name: str, path: str, df: DataFrame, partition_by, bucket_by: Buckets | None) -> None:
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    else:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        if bucket_by:
-            keys = ", ".join(bucket_by[1])
-            layout = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {bucket_by[0]} BUCKETS"
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
+def _create(spark: SparkSession, name: str, path: str, df: DataFrame, partition_by, bucket_by: Buckets | None) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if bucket_by:
+        keys = ", ".join(bucket_by[1])
+        layout = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {bucket_by[0]} BUCKETS"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+
+
+def _passing(name: str) -> str:
+    """A name for an entry that is to be renamed `name`, in the same schema."""
+    schema, dot, _ = name.rpartition(".")
+    return f"{schema}{dot}martworks_passing_{uuid.uuid4().hex}"
+
+
+def _take_over(spark: SparkSession, passing: str, name: str) -> None:
+    """The entry `passing` becomes `name`. Entries are external: dropping one leaves its files alone."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {passing} RENAME TO {name}")
     spark.catalog.refreshTable(name)
 
 
@@ -80,20 +92,33 @@ def as_table(
     path = f"{folder.rstrip('/')}/{name}/{uuid.uuid4().hex}"
     _write(df, path, partition_by, bucket_by)
     ordered = df.select(*(quoted(c) for c in df.columns if c not in partition_by), *(quoted(c) for c in partition_by))
-    if spark.catalog.tableExists(name):
-        wanted = list(partition_by), (bucket_by[0], list(bucket_by[1])) if bucket_by else None
-        if spark.table(name).dtypes != ordered.dtypes or _layout(spark, name) != wanted:
-            # An external table: dropping the entry leaves the older files alone.
-            spark.sql(f"DROP TABLE {name}")
-    _point(spark, name, path, ordered, partition_by, bucket_by)
+    wanted = list(partition_by), (bucket_by[0], list(bucket_by[1])) if bucket_by else None
+    exists = spark.catalog.tableExists(name)
+    if exists and not partition_by and spark.table(name).dtypes == ordered.dtypes and _layout(spark, name) == wanted:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        passing = _passing(name)
+        _create(spark, passing, path, ordered, partition_by, bucket_by)
+        _take_over(spark, passing, name)
     return spark.table(name)
 
 
+def _same_columns(name: str, table: DataFrame, new: DataFrame) -> None:
+    """Neither gained nor lost columns pass without a word."""
+    have, come = {c.lower() for c in table.columns}, {c.lower() for c in new.columns}
+    if have != come:
+        raise ValueError(f"{name}: the load has other columns: missing {sorted(have - come)}, new {sorted(come - have)}; "
+                         "rebuild the table with as_table")
+
+
 def incremental_append(new: DataFrame, name: str, folder: str) -> DataFrame:
-    """Create the table on the first run, add the new rows on later ones. Only new rows are written."""
+    """Create the table on the first run, add the new rows on later ones. Only new rows are written. Rows with other columns
+    than the table's are refused."""
     spark = new.sparkSession
     if not spark.catalog.tableExists(name):
         return as_table(new, name, folder)
+    _same_columns(name, spark.table(name), new)
     new.select(*(quoted(c) for c in spark.table(name).columns)).write.insertInto(name)
     spark.catalog.refreshTable(name)
     return spark.table(name)
@@ -111,37 +136,39 @@ def incremental_merge(
 ) -> DataFrame:
     """Create the table on the first run, replace and add rows by key on later ones.
 
-    Without `partition_by` the whole table is rewritten as a new version and switched at once. With it, only the
-    partitions that hold one of the keys, before or after the load, are rewritten in place, one after the other."""
+    Rows with other columns than the table's are refused. Without `partition_by` the whole table is rewritten as a new version.
+    With it, only the partitions that hold one of the keys, before or after the load, are written; a new catalog entry takes the
+    other partitions over where they are, and replaces the old entry at once. The driver handles partition values, as the catalog
+    does."""
     spark = new.sparkSession
     if not spark.catalog.tableExists(name):
         return as_table(new, name, folder, [partition_by] if partition_by else [])
     target = spark.table(name)
+    _same_columns(name, target, new)
     if partition_by is None:
         return as_table(merged(target, new, key), name, folder, bucket_by=_layout(spark, name)[1])
 
-    # Which partitions change is found from keys alone; the list holds partition values, not rows.
+    new = written(new, "merge-load")
     keys = new.select(*(quoted(k) for k in key)).distinct()
     part = quoted(partition_by)
     before = target.join(keys, list(key), "left_semi").select(part)
-    values = {row[0] for row in before.union(new.select(part)).distinct().collect()}
-    touched = part.isin([v for v in values if v is not None])
+    values = {row[0] for row in before.union(new.select(part)).distinct().select(part.cast("string")).collect()}
+    touched = part.cast("string").isin([v for v in values if v is not None])
     if None in values:
         touched = touched | part.isNull()
-    columns = [quoted(c) for c in target.columns]
-    changed = written(merged(target.filter(touched), new, key).select(*columns), "merge")
-    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        changed.hint("rebalance", partition_by).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    # A partition whose rows all moved elsewhere is not part of the overwrite.
-    filled = {row[0] for row in changed.select(part).distinct().collect()}
-    for value in values - filled:
-        literal = "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition_by}` = {literal})")
-    spark.catalog.refreshTable(name)
+    path = f"{folder.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    _write(merged(target.filter(touched), new, key), path, [partition_by])
+    passing = _passing(name)
+    _create(spark, passing, path, target, [partition_by], None)
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        value = unquote(row[0].partition("=")[2])
+        value = None if value == "__HIVE_DEFAULT_PARTITION__" else value
+        if value not in values:
+            literal = "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            spec = f"PARTITION (`{partition_by}` = {literal})"
+            described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {spec}").filter("col_name = 'Location'").first()
+            spark.sql(f"ALTER TABLE {passing} ADD {spec} LOCATION '{described['data_type']}'")
+    _take_over(spark, passing, name)
     return spark.table(name)
 
 
