@@ -8,9 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martworks.checks.compare import orphans
+from martworks.checks.groups import unique
 from martworks.checks.rows import expression_fails, null_fails
+from martworks.operators.columns import type_of
 
 PASS, ERROR, SKIP = "pass", "error", "skip"
 
@@ -113,53 +116,92 @@ def _long(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _count_row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    return _long(df.agg(*(F.count_if(_condition(c)).alias(f"c{i}") for i, c in enumerate(checks))), checks)
-
-
-def _count_key_checks(df: DataFrame, unique: Unique, row_checks: Sequence[Check]) -> DataFrame:
-    """A uniqueness check needs its key shuffled; the row checks of the table ride along in the same grouping."""
-    partial = [F.count_if(_condition(c)).alias(f"p{i}") for i, c in enumerate(row_checks)]
-    per_key = df.groupBy(F.expr(unique.column)).agg(F.count(F.lit(1)).alias("_n"), *partial)
-    counts = per_key.agg(
-        F.count_if(F.col("_n") > 1).alias("c0"), *(F.sum(f"p{i}").alias(f"c{i + 1}") for i in range(len(row_checks)))
-    )
-    return _long(counts, [unique, *row_checks])
-
-
-def _count_accepted_values(df: DataFrame, check: AcceptedValues) -> DataFrame:
-    distinct = df.select(F.expr(check.column).alias("_value")).distinct()
-    return _long(distinct.agg(F.count_if(~F.col("_value").isin(list(check.values))).alias("c0")), [check])
-
-
 def _count_orphans(models: Mapping[str, DataFrame], check: Relationship) -> DataFrame:
     found = orphans(models[check.model], check.column, models[check.to], check.field)
     return _long(found.agg(F.sum("n_records").alias("c0")), [check])
 
 
+def _key_family(type_: T.DataType) -> str | None:
+    """Keys of one family are equal exactly when their texts are; None where that does not hold."""
+    if isinstance(type_, T.IntegralType):
+        return "integral"
+    return type_.simpleString() if isinstance(type_, (T.StringType, T.DateType, T.BooleanType, T.DecimalType)) else None
+
+
+def _count_by_key(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame | None:
+    """Row, uniqueness, value and relationship checks of all tables in one grouping and one scan of each table.
+
+    A row becomes one narrow entry for each key that is looked at: (domain, key, role). A domain is the key column of a parent,
+    and role 0 its own rows; the children of a relationship come in the parent's domain with the check's role. A row that fails a
+    row check, or has a value that is not accepted, is an entry of a domain of that check. Entries are added up before the
+    shuffle, so a frequent key or failure crosses it once per task."""
+    domains = {key: i for i, key in enumerate(dict.fromkeys(
+        (c.to, c.field) if isinstance(c, Relationship) else (c.model, c.column) for c in checks if isinstance(c, (Unique, Relationship))))}
+    roles = {check: i + 1 for i, check in enumerate(c for c in checks if isinstance(c, Relationship))}
+    tables: dict[str, list[Column]] = {}
+
+    def entry(table: str, domain: int, key: Column, role: int = 0, when: Column | None = None) -> None:
+        cell = F.struct(F.lit(domain).alias("domain"), key.cast("string").alias("key"), F.lit(role).alias("role"))
+        tables.setdefault(table, []).append(cell if when is None else F.when(when, cell))
+
+    for (table, column), domain in domains.items():
+        entry(table, domain, F.expr(column))
+    for i, check in enumerate(checks):
+        if isinstance(check, Relationship):
+            key = F.expr(check.column)
+            entry(check.model, domains[check.to, check.field], key, roles[check], key.isNotNull())
+        elif isinstance(check, AcceptedValues):
+            value = F.expr(check.column)
+            entry(check.model, -1 - i, value, when=~value.isin(list(check.values)))
+        elif isinstance(check, (NotNull, Expression)):
+            entry(check.model, -1 - i, F.lit(None), when=_condition(check))
+    if not tables:
+        return None
+    entries = [models[name].select(F.inline(F.array_compact(F.array(*cells)))) for name, cells in tables.items()]
+    per_key = reduce(DataFrame.union, entries).groupBy("domain", "key").agg(
+        *(F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, *roles.values())))
+    counts = []
+    for i, check in enumerate(checks):
+        if isinstance(check, Relationship):
+            orphaned = (F.col("domain") == domains[check.to, check.field]) & (F.col("n0") == 0)
+            count = F.sum(F.when(orphaned, F.col(f"n{roles[check]}")))
+        elif isinstance(check, Unique):
+            count = F.count_if((F.col("domain") == domains[check.model, check.column]) & (F.col("n0") > 1))
+        elif isinstance(check, AcceptedValues):
+            count = F.count_if(F.col("domain") == -1 - i)
+        else:
+            count = F.sum(F.when(F.col("domain") == -1 - i, F.col("n0")))
+        counts.append(count.alias(f"c{i}"))
+    return _long(per_key.agg(*counts), checks)
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Count the failures of every check: `model, check, failures, status`, one row per check.
 
-    Per table the row checks and the first uniqueness check share one scan. Tables that are expensive to compute should
-    be written first, because every part of the result reads its table anew."""
-    parts: list[DataFrame] = []
-    for model in dict.fromkeys(c.model for c in checks):
-        df = models[model]
-        own = [c for c in checks if c.model == model]
-        row_checks = [c for c in own if isinstance(c, (NotNull, Expression))]
-        for unique in (c for c in own if isinstance(c, Unique)):
-            parts.append(_count_key_checks(df, unique, row_checks))
-            row_checks = []
-        if row_checks:
-            parts.append(_count_row_checks(df, row_checks))
-        for check in own:
-            if isinstance(check, AcceptedValues):
-                parts.append(_count_accepted_values(df, check))
-            elif isinstance(check, Relationship):
-                parts.append(_count_orphans(models, check))
-            elif isinstance(check, Query):
-                parts.append(_long(failure_count(check.failing(models)).toDF("c0"), [check]))
-    if not parts:
+    All declared checks share one scan of each table and one grouping. Relationships between keys of different kinds, and
+    checks that are queries, are counted by themselves. Tables that are expensive to compute should be written first."""
+    if not checks:
         raise ValueError("run_checks: no checks given")
+
+    def type_of_key(table: str, column: str) -> str | None:
+        return _key_family(type_of(models[table], column))
+
+    apart = [c for c in checks if isinstance(c, Query)]
+    apart += [c for c in checks if isinstance(c, Unique) and type_of_key(c.model, c.column) is None]
+    apart += [
+        c for c in checks if isinstance(c, Relationship)
+        and (type_of_key(c.model, c.column) is None or type_of_key(c.model, c.column) != type_of_key(c.to, c.field))
+    ]
+    parts: list[DataFrame] = []
+    for check in apart:
+        if isinstance(check, Relationship):
+            parts.append(_count_orphans(models, check))
+        elif isinstance(check, Unique):
+            parts.append(_long(failure_count(unique(models[check.model], check.column)).toDF("c0"), [check]))
+        else:
+            parts.append(_long(failure_count(check.failing(models)).toDF("c0"), [check]))
+    together = _count_by_key(models, [c for c in checks if c not in apart])
+    if together is not None:
+        parts.append(together)
     status = F.when(F.col("failures") == 0, PASS).otherwise(ERROR)
     return reduce(DataFrame.union, parts).withColumn("status", status)

@@ -18,6 +18,13 @@ def _table_name(kind: str) -> str:
     return f"martworks_{kind}_{uuid.uuid4().hex[:12]}"
 
 
+def _without_entry(loaded: DataFrame, name: str) -> DataFrame:
+    """The rows of a table whose catalog entry was only made for a query: kept, while the entry goes."""
+    found = written(loaded, "loaded")
+    loaded.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return found
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
 
@@ -32,14 +39,14 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, name = _orders(spark, sf_dir), _table_name("append")
     for status in ("F", "O", "P"):
         loaded = sources.incremental_append(orders.filter(F.col("o_orderstatus") == status), name, shared_folder(spark))
-    return loaded
+    return _without_entry(loaded, name)
 
 
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, name = _orders(spark, sf_dir), _table_name("merge")
     for delivery in (orders, _corrected(orders)):
         loaded = sources.incremental_merge(delivery, name, shared_folder(spark), ["o_orderkey"])
-    return loaded
+    return _without_entry(loaded, name)
 
 
 def incremental_merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +55,7 @@ def incremental_merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame
     name = _table_name("merge_by_year")
     for delivery in (orders, moved):
         loaded = sources.incremental_merge(delivery, name, shared_folder(spark), ["o_orderkey"], "year")
-    return loaded
+    return _without_entry(loaded, name)
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +63,7 @@ def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, name = _orders(spark, sf_dir), _table_name("orders")
     sources.as_table(orders, name, shared_folder(spark))
     rebuilt = sources.as_table(orders.withColumn("year", F.year("day")), name, shared_folder(spark))
-    return sources.as_view(rebuilt, "martworks_orders_with_year")
+    return _without_entry(sources.as_view(rebuilt, "martworks_orders_with_year"), name)
 
 
 def table_rebuild_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +71,8 @@ def table_rebuild_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, name = _orders(spark, sf_dir), _table_name("by_status")
     sources.as_table(orders, name, shared_folder(spark), ["o_orderstatus"])
     renamed = orders.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", "N").otherwise(F.col("o_orderstatus")))
-    return sources.as_table(renamed.withColumn("o_custkey", -F.col("o_custkey")), name, shared_folder(spark), ["o_orderstatus"])
+    rebuilt = sources.as_table(renamed.withColumn("o_custkey", -F.col("o_custkey")), name, shared_folder(spark), ["o_orderstatus"])
+    return _without_entry(rebuilt, name)
 
 
 def source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

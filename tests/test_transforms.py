@@ -34,12 +34,9 @@ def test_column_values(spark, colors):
     assert op.column_value_list(None, "color", default=["none"]) == ["none"]
     with pytest.raises(ValueError):
         op.column_value_list(None, "color")
-    spark.conf.set("spark.sql.pivotMaxValues", "1")
-    try:
-        with pytest.raises(ValueError):
-            op.column_value_list(colors, "color")
-    finally:
-        spark.conf.unset("spark.sql.pivotMaxValues")
+    assert op.column_value_list(colors, "color", limit=0, default=[]) == []
+    with pytest.raises(ValueError):
+        op.column_value_list(colors, "color", most=1)
 
 
 def test_unpivot(spark):
@@ -129,3 +126,21 @@ def test_join_summary_does_not_multiply_rows(spark):
 def test_group_by_first(spark):
     df = spark.createDataFrame([(1, 2, 3), (1, 2, 4)], "a int, b int, c int")
     assert rows(op.group_by_first(df, 2, F.sum("c").alias("c"))) == [(1, 2, 7)]
+
+
+def test_pivot_counts_a_matched_value_once(spark):
+    df = spark.createDataFrame([("g", "1", 5), ("g", "01", 5), ("g", "2", 7), ("h", "9", 1)], "g string, n string, v int")
+    found = op.pivot(df, ["g"], "n", [1, 2], agg="count", then_value="v", else_value=None, distinct=True)
+    assert {tuple(r) for r in found.collect()} == {("g", 1, 1), ("h", 0, 0)}
+
+
+@pytest.mark.parametrize("cmp, value, expected", [("in", ("1", "2"), 2), ("not in", ("1",), 3), ("<=>", None, 0), ("ilike", "X%", 1), ("not like", "0%", 3)])
+def test_pivot_with_any_comparison(spark, cmp, value, expected):
+    df = spark.createDataFrame([("g", "1"), ("g", "01"), ("g", "2"), ("g", "x")], "g string, n string")
+    assert op.pivot(df, ["g"], "n", [value], cmp=cmp).first()[1] == expected
+
+
+def test_pivot_refuses_what_is_no_name(spark):
+    for wrong in ({"agg": "sum(1) --"}, {"cmp": "= 1 or 1"}):
+        with pytest.raises(ValueError):
+            op.pivot(spark.range(1), [], "id", [1], **wrong)

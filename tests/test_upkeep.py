@@ -152,7 +152,7 @@ def test_discovery(spark):
         ("", "one", "temporary"), ("", "two", "temporary"), ("default", "stored", "external"),
     ]
     assert [r.name for r in s.relations_by_pattern(spark, "DEF%", f"{prefix}\\_st_red")] == [f"{prefix}_stored"]
-    assert s.read_relations(spark, found)[f"{prefix}_stored"].count() == 2
+    assert s.read_relations(spark, found)[f"default.{prefix}_stored"].count() == 2
 
 
 def test_store_failures(spark):
@@ -223,3 +223,45 @@ def test_a_failed_check_leaves_the_old_tables_serving(spark):
         base: "pass", f"{base}: not_null k": "error", mart: "skip", f"{mart}: not_null k": "skip",
     }
     assert spark.table(base).count() == 9 and spark.table(f"default.{mart}").count() == 3
+
+
+def test_partitioned_rebuild_serves_no_rows_of_before(spark):
+    folder = fresh_path(spark, "rebuilt")
+    one = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "v int, p string")
+    two = spark.createDataFrame([(4, "x"), (5, "w"), (6, None)], "v int, p string")
+    s.as_table(one, "rebuilt", folder, ["p"])
+    assert rows(s.as_table(two, "rebuilt", folder, ["p"])) == rows(two)
+    spark.sql("DROP TABLE rebuilt")
+
+
+def test_a_merge_that_fails_leaves_the_table_as_it_was(spark, monkeypatch):
+    folder = fresh_path(spark, "merged")
+    first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "it's")], "k int, v string, p string")
+    s.incremental_merge(first, "merged_safely", folder, ["k"], "p")
+    monkeypatch.setattr("martworks.sources.tables._take_over", lambda *_: 1 / 0)
+    moved = spark.createDataFrame([(1, "A", "y"), (4, "d", None)], "k int, v string, p string")
+    with pytest.raises(ZeroDivisionError):
+        s.incremental_merge(moved, "merged_safely", folder, ["k"], "p")
+    assert rows(spark.table("merged_safely")) == rows(first)
+    monkeypatch.undo()
+    found = s.incremental_merge(moved, "merged_safely", folder, ["k"], "p")
+    expected = [(1, "A", "y"), (4, "d", None), (2, "b", "y"), (3, "c", "it's")]
+    assert rows(found) == rows(spark.createDataFrame(expected, first.schema))
+    spark.sql("DROP TABLE merged_safely")
+
+
+def test_other_columns_are_refused(spark):
+    folder = fresh_path(spark, "columns")
+    s.incremental_append(spark.range(3), "narrow", folder)
+    with pytest.raises(ValueError, match="new"):
+        s.incremental_append(spark.range(3).selectExpr("id", "id as gained"), "narrow", folder)
+    with pytest.raises(ValueError, match="missing"):
+        s.incremental_merge(spark.range(3).toDF("other"), "narrow", folder, ["other"])
+    spark.sql("DROP TABLE narrow")
+
+
+def test_checks_that_cannot_run_and_steps_that_fail_say_why(spark):
+    steps = [Step("a", "table", (), lambda _: spark.range(2)), Step("b", "table", (), lambda _: spark.sql("SELECT nothing"))]
+    found = {r["node"]: r for r in gated_build(spark, steps, [NotNull("a", "gone"), NotNull("a", "id")]).collect()}
+    assert found["a: not_null gone"]["status"] == "error" and "gone" in found["a: not_null gone"]["message"]
+    assert found["a: not_null id"]["status"] == "pass" and "nothing" in found["b"]["message"]
