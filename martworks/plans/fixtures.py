@@ -1,6 +1,6 @@
 """Logic checks of three models. Only the expected columns are compared, with repetition.
 
-Fixed values: the given and expected rows."""
+The rows are made up; each set proves one rule."""
 
 from __future__ import annotations
 
@@ -58,13 +58,13 @@ def location_dates_are_cut_off(spark: SparkSession) -> DataFrame:
     stores = given(
         spark, "raw_stores", ("id", "name", "tax_rate", "opened_at"),
         [
-            ("1", "Vice City", "0.2", "2016-09-01T00:00:00"),
-            ("2", "San Andreas", "0.1", "2079-10-27T23:59:59.9999"),
+            ("n", "North Pier", "0.15", "2020-02-29T08:30:00"),
+            ("s", "South Gate", "0.0", "2031-12-31T23:59:59.9999"),
         ],
     )
     wanted = expected(
         spark, ("location_id", "location_name", "tax_rate", "opened_date"),
-        [("1", "Vice City", "0.2", "2016-09-01"), ("2", "San Andreas", "0.1", "2079-10-27")],
+        [("n", "North Pier", "0.15", "2020-02-29"), ("s", "South Gate", "0.0", "2031-12-31")],
         T.StructType.fromDDL("location_id string, location_name string, tax_rate double, opened_date date"),
     )
     return expect_rows(staging.stg_locations(stores), wanted)
@@ -72,14 +72,14 @@ def location_dates_are_cut_off(spark: SparkSession) -> DataFrame:
 
 def supply_costs_are_summed_once(spark: SparkSession) -> DataFrame:
     items = marts.order_items(
-        given(spark, "stg_order_items", ("order_id", "product_id"), [("1", "1"), ("2", "2"), ("2", "2")]),
-        given(spark, "stg_orders", ("order_id",), [("1",), ("2",)]),
-        given(spark, "stg_products", ("product_id",), [("1",), ("2",)]),
-        given(spark, "stg_supplies", ("product_id", "supply_cost"), [("1", "4.50"), ("2", "3.50"), ("2", "5.00")]),
+        given(spark, "stg_order_items", ("order_id", "product_id"), [("a", "tea"), ("b", "pie"), ("b", "pie"), ("b", "tea")]),
+        given(spark, "stg_orders", ("order_id",), [("a",), ("b",)]),
+        given(spark, "stg_products", ("product_id",), [("tea",), ("pie",)]),
+        given(spark, "stg_supplies", ("product_id", "supply_cost"), [("tea", "0.35"), ("pie", "1.20"), ("pie", "0.95"), ("pie", "2.10")]),
     )
     wanted = expected(
         spark, ("order_id", "product_id", "supply_cost"),
-        [("1", "1", "4.50"), ("2", "2", "8.50"), ("2", "2", "8.50")],
+        [("a", "tea", "0.35"), ("b", "pie", "4.25"), ("b", "pie", "4.25"), ("b", "tea", "0.35")],
         T.StructType.fromDDL("order_id string, product_id string, supply_cost decimal(38,2)"),
     )
     return expect_rows(items, wanted)
@@ -87,16 +87,16 @@ def supply_costs_are_summed_once(spark: SparkSession) -> DataFrame:
 
 def order_flags_are_never_null(spark: SparkSession) -> DataFrame:
     found = marts.orders(
-        given(spark, "stg_orders", ("order_id",), [("1",), ("2",)]),
+        given(spark, "stg_orders", ("order_id",), [("a",), ("b",)]),
         given(
             spark, "order_items", ("order_id", "order_item_id", "is_drink_item", "is_food_item"),
-            [("1", "1", "false", "true"), ("1", "2", "true", "false"), ("2", "3", "false", "true")],
+            [("a", "i", "true", "false"), ("b", "j", "true", "false"), ("b", "k", "false", "true"), ("b", "l", "false", "true")],
         ),
     )
     columns = ("order_id", "count_food_items", "count_drink_items", "is_drink_order", "is_food_order")
     wanted = expected(
         spark, columns,
-        [("1", "1", "1", "true", "true"), ("2", "1", "0", "false", "true")],
+        [("a", "0", "1", "true", "false"), ("b", "2", "1", "true", "true")],
         T.StructType.fromDDL(
             "order_id string, count_food_items bigint, count_drink_items bigint, is_drink_order boolean, "
             "is_food_order boolean"
