@@ -3,9 +3,9 @@
 1. Documents of equal sets are one class; only classes go on.
 2. A set needs three quarters of its shingles in some other set. Shingles are counted over all sets, by ranges of hashes, and
    sets with too few shared shingles are done.
-3. Of the others, the first quarter of each set in hash order is indexed. Two similar sets share a shingle there, so sets
-   that stand next to each other in an index list, and fit in size, are chained into clusters: similar sets lie in one cluster.
-   A cluster may be larger than needed; no pairs are made for it.
+3. Of the others, the first quarter of each set is indexed, in order of how many sets have a shingle, the fewest first. Two
+   similar sets share a shingle there, so sets that stand next to each other in an index list, and fit in size, are chained into
+   clusters: similar sets lie in one cluster. A cluster may be larger than needed; no pairs are made for it.
 4. Each cluster is joined in memory (`Block`), large ones block against block. The index lists skip by position: blocks of a list
    whose sizes and positions cannot reach the overlap are passed over. The answers of a set that is much like one answered
    before are derived from that one's overlaps: only lists of shingles in which the two differ are read.
@@ -99,7 +99,7 @@ def _range_batches(batches, bits: int):
 
 def _ranged(keys: list, shingles: list[np.ndarray], bits: int) -> pa.RecordBatch:
     key = np.array(keys, np.int64)
-    owner = np.repeat(np.arange(len(keys)), [len(s) for s in shingles]).astype(np.uint16)
+    owner = np.repeat(np.arange(len(keys), dtype=np.int32), [len(s) for s in shingles])
     found = np.concatenate(shingles)
     order = np.argsort(found, kind="stable")
     found, owner = found[order], owner[order]
@@ -107,56 +107,71 @@ def _ranged(keys: list, shingles: list[np.ndarray], bits: int) -> pa.RecordBatch
     last = np.concatenate((first[1:], [True]))
     shared = ~(first & last)
     own = np.bincount(owner[shared], minlength=len(keys))
-    once, alone, owner = found[first], ~shared[first], owner[first]
+    once, alone, owner = found[first], ~shared[first], owner[first].astype(np.int64)
     part = (once >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(once), np.int64)
     low = (once >> np.uint64(32 - bits)).astype(np.uint32)
     cuts = np.searchsorted(part, np.arange((1 << bits) + 1))
     rows = [(-1 - int(key[0] % (1 << bits)), b"", b"", own.astype(np.int64).tobytes(), key.tobytes())]
     for i in np.flatnonzero(np.diff(cuts)):
-        here = slice(cuts[i], cuts[i + 1])
-        rows.append((int(i), low[here].tobytes(), owner[here].tobytes(), np.packbits(alone[here]).tobytes(), key.tobytes()))
+        # In the order of their owners, shingles need only a count for each owner.
+        here = cuts[i] + np.argsort(owner[cuts[i]:cuts[i + 1]], kind="stable")
+        many = np.bincount(owner[here], minlength=len(keys)).astype(np.uint32)
+        rows.append((int(i), low[here].tobytes(), many.tobytes(), np.packbits(alone[here]).tobytes(), key.tobytes()))
     return pa.RecordBatch.from_arrays(
-        [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["part", "low", "owner", "flags", "keys"])
+        [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["part", "low", "many", "flags", "keys"])
 
 
-def _count_shared(table: pa.Table) -> pa.Table:
-    """(node, shared) of the sets of one range: how many shingles, known to one task only so far, others have as well."""
+def _count_shared(table: pa.Table, bits: int) -> pa.Table:
+    """How many shingles of each set, known to one task only so far, others have as well, in one range. Sets are many and
+    ranges, too, so the counts travel in one row for each bucket of sets."""
     keys = [np.frombuffer(x, np.int64) for x in table["keys"].to_pylist()]
     if table["part"][0].as_py() < 0:
         own = [np.frombuffer(x, np.int64) for x in table["flags"].to_pylist()]
-        return pa.table({"node": pa.array(np.concatenate(keys)), "shared": pa.array(np.concatenate(own))})
+        return _bucketed(np.concatenate(keys), np.concatenate(own), bits)
     low = [np.frombuffer(x, np.uint32) for x in table["low"].to_pylist()]
     alone = np.concatenate([
         np.unpackbits(np.frombuffer(x, np.uint8), count=len(s)).astype(bool) for x, s in zip(table["flags"].to_pylist(), low)])
-    base = np.concatenate(([0], np.cumsum([len(k) for k in keys])[:-1]))
-    owner = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + b for x, b in zip(table["owner"].to_pylist(), base)])
-    low, keys = np.concatenate(low), np.concatenate(keys)
-    order = np.argsort(low, kind="stable")
+    owner = np.concatenate([np.repeat(k, np.frombuffer(x, np.uint32)) for k, x in zip(keys, table["many"].to_pylist())])
+    low = np.concatenate(low)
+    order = np.lexsort((owner, low))
     low, alone, owner = low[order], alone[order], owner[order]
-    same = low[1:] == low[:-1]
-    elsewhere = np.zeros(len(low), bool)
-    elsewhere[1:] |= same
-    elsewhere[:-1] |= same
-    many = np.bincount(owner[alone & elsewhere], minlength=len(keys))
-    some = np.flatnonzero(many)
-    return pa.table({"node": pa.array(keys[some]), "shared": pa.array(many[some].astype(np.int64))})
+    first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+    last = np.append(first[1:], len(low)) - 1
+    # Shared: marked so by a task, or with several sets. The same set comes from several tasks where texts are repeated.
+    shared = ~np.logical_and.reduceat(alone, first) | (owner[first] != owner[last])
+    new = np.concatenate(([True], (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])))
+    counted = owner[np.repeat(shared, last - first + 1) & alone & new]
+    return _bucketed(*np.unique(counted, return_counts=True), bits)
+
+
+def _bucketed(node: np.ndarray, shared: np.ndarray, bits: int) -> pa.Table:
+    bucket = node & ((1 << bits) - 1)
+    order = np.argsort(bucket, kind="stable")
+    node, shared, bucket = node[order], shared[order].astype(np.int64), bucket[order]
+    cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+    rows = [(int(i), node[cuts[i]:cuts[i + 1]].tobytes(), shared[cuts[i]:cuts[i + 1]].tobytes()) for i in np.flatnonzero(np.diff(cuts))]
+    columns = zip(*rows) if rows else ([], [], [])
+    return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "nodes", "counts"])
+
+
+def _sum_shared(table: pa.Table) -> pa.Table:
+    """(node, shared) of all ranges, for one bucket of sets."""
+    node, shared = (np.concatenate([np.frombuffer(x, np.int64) for x in table[name].to_pylist()]) for name in ("nodes", "counts"))
+    distinct, place = np.unique(node, return_inverse=True)
+    return pa.table({"node": pa.array(distinct), "shared": pa.array(np.bincount(place, shared, len(distinct)).astype(np.int64))})
 
 
 # -- clusters
 
 
-def _prefix_batches(batches):
-    """The first shingles of each set: (shingle, size, node)."""
+def _shingle_batches(batches):
+    """All shingles of each set: (shingle, size, node)."""
     for batch in batches:
         node = batch.column(0).to_numpy()
         for begin, ends, found, _ in _sets(batch.column(1)):
             n = np.diff(ends)
-            length = np.where(n > 0, n - least_own(n) + 1, 0)
-            row = np.repeat(np.arange(len(n)), length)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-            at = ends[row] + place
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (found[at].view(np.int64), n[row], node[begin:begin + len(n)][row])],
+                [pa.array(x) for x in (found.view(np.int64), np.repeat(n, n), np.repeat(node[begin:begin + len(n)], n))],
                 names=["shingle", "n", "node"])
 
 
@@ -336,9 +351,10 @@ def _possible_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = max(0, int(total // RANGE_SHINGLES).bit_length())
     ranged = rows.filter(F.col("text").isNotNull()).select("text").mapInArrow(
-        lambda batches: _range_batches(batches, bits), "part long, low binary, owner binary, flags binary, keys binary")
-    counted = ranged.groupBy("part").applyInArrow(_count_shared, "node long, shared long")
-    shared = counted.groupBy("node").agg(F.sum("shared").alias("shared"))
+        lambda batches: _range_batches(batches, bits), "part long, low binary, many binary, flags binary, keys binary")
+    counted = ranged.groupBy("part").applyInArrow(
+        lambda table: _count_shared(table, bits), "bucket long, nodes binary, counts binary")
+    shared = counted.groupBy("bucket").applyInArrow(_sum_shared, "node long, shared long")
     enough = F.col("shared") * SHARE[1] >= F.col("n") * SHARE[0]
     possible = written(classes.join(shared, "node").filter(enough).select("node", "rep", "copies", "n"), "set-possible")
     wanted = possible.select(F.col("rep").alias("doc"), "node", "copies", "n")
@@ -360,7 +376,15 @@ def _same_sets(batches):
 
 
 def _clusters(sets: DataFrame) -> DataFrame:
-    indexed = sets.select("node", "text").mapInArrow(_prefix_batches, "shingle long, n long, node long")
+    rows = sets.select("node", "text").mapInArrow(_shingle_batches, "shingle long, n long, node long")
+    many = rows.groupBy(F.col("shingle").alias("counted")).agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    common = rows.join(many, F.col("shingle") == F.col("counted")).select("node", "n", "many", "shingle")
+    by_set = common.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("many", "shingle"))).alias("shared"))
+    # The first quarter of all a set's shingles: those that no other set has come first, and lead nowhere.
+    quarter = F.col("n") - F.ceil(F.col("n") * SHARE[0] / SHARE[1]) + 1
+    reach = (quarter - (F.col("n") - F.size("shared"))).cast("int")
+    first = F.explode(F.slice("shared", F.lit(1), reach)["shingle"])
+    indexed = by_set.filter(reach > 0).select(first.alias("shingle"), "n", "node")
     lists = indexed.repartition("shingle").sortWithinPartitions("shingle", "n", "node")
     links = written(lists.mapInArrow(_chain_batches, "a long, b long").distinct(), "set-chains")
     return written(connected_components(links).withColumnRenamed("component", "cluster"), "set-clusters")
