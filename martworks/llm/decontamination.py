@@ -47,10 +47,12 @@ class Index:
     item_ids: np.ndarray
     block_items: int
     stride: int
-    words: np.ndarray        # sorted hashes
-    highest: np.ndarray      # by word
-    block_highest: np.ndarray  # by word and block
-    starts: np.ndarray       # by word and block: where its postings begin; one more at the end
+    words: np.ndarray          # sorted hashes
+    highest: np.ndarray        # by word
+    entry_starts: np.ndarray   # by word: where its entries begin; one more at the end
+    entry_block: np.ndarray    # an entry is one word in one block of items
+    entry_highest: np.ndarray
+    entry_begin: np.ndarray    # where the entry's postings begin; one more at the end
     posting_item: np.ndarray
     posting_impact: np.ndarray
     question_grams: tuple[np.ndarray, ...]
@@ -71,15 +73,14 @@ class Index:
         impact = idf[word] * tf * (K1 + 1) / (tf + norm[item])
         own = np.bincount(item, impact, n)
         impact = impact / own[item]
-        blocks = -(-n // BLOCK_ITEMS)
-        place = word * blocks + item // BLOCK_ITEMS
-        block_highest = np.zeros(len(vocabulary) * blocks)
-        np.maximum.at(block_highest, place, impact)
-        block_highest = block_highest.reshape(len(vocabulary), blocks)
-        starts = np.searchsorted(place, np.arange(len(vocabulary) * blocks + 1))
+        blocks = max(-(-n // BLOCK_ITEMS), 1)
+        entry, begin = np.unique(word * blocks + item // BLOCK_ITEMS, return_index=True)
+        entry_highest = np.maximum.reduceat(impact, begin) if len(begin) else impact
+        entry_starts = np.searchsorted(entry // blocks, np.arange(len(vocabulary) + 1))
+        highest = np.maximum.reduceat(entry_highest, entry_starts[:-1]) if len(vocabulary) else impact
         return cls(
-            item_ids, BLOCK_ITEMS, max(int(w.counts.max(initial=1)), 1), vocabulary, block_highest.max(axis=1, initial=0.0), block_highest,
-            starts, item, impact, _item_grams(questions), _item_grams(answers))
+            item_ids, BLOCK_ITEMS, max(int(w.counts.max(initial=1)), 1), vocabulary, highest, entry_starts, entry % blocks,
+            entry_highest, np.append(begin, len(item)), item, impact, _item_grams(questions), _item_grams(answers))
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) of a chunk's rows, the best passage of each."""
@@ -105,6 +106,7 @@ class Index:
             return by_half + follows
 
         margin = THRESHOLD - 1e-9
+        # Bounds of all passages of the chunk by the words' largest impacts.
         bound = both(np.bincount(half_of, self.highest[word_of], total))
         passages = np.flatnonzero(bound >= margin)
         if not len(passages):
@@ -119,9 +121,11 @@ class Index:
                 terms = np.unique(terms)
             if self.highest[terms].sum() < margin:
                 continue
-            blocks = np.flatnonzero(self.block_highest[terms].sum(axis=0) >= margin)
-            for block in blocks:
-                items, scores = self._scores(terms, block)
+            entries = _ranges(self.entry_starts[terms], self.entry_starts[terms + 1])
+            block_of = self.entry_block[entries]
+            bounds = np.bincount(block_of, self.entry_highest[entries])
+            for block in np.flatnonzero(bounds >= margin):
+                items, scores = self._scores(entries[block_of == block], block)
                 for item, score in zip(items[scores >= margin], scores[scores >= margin]):
                     row = int(np.searchsorted(first_half, passage, "right") - 1)
                     begin = w.firsts[row] + (passage - first_half[row]) * self.stride
@@ -132,18 +136,21 @@ class Index:
                         best[row, int(item)] = max(best.get((row, int(item)), found), found)
         return [(row, item, *found) for (row, item), found in sorted(best.items())]
 
-    def _scores(self, terms: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
-        """Exact scores of the items of one block for a passage with these words."""
-        at = terms * self.block_highest.shape[1] + block
-        begin, end = self.starts[at], self.starts[at + 1]
-        many = end - begin
-        posting = np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+    def _scores(self, entries: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Exact scores of the items of one block for a passage, from its words' entries there."""
+        posting = _ranges(self.entry_begin[entries], self.entry_begin[entries + 1])
         low = block * self.block_items
         high = min(low + self.block_items, len(self.item_ids))
         scores = np.bincount(self.posting_item[posting] - low, self.posting_impact[posting], high - low)
         return np.arange(low, high), scores
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of several ranges, one after the other."""
+    many = end - begin
+    return np.repeat(begin - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+
+
 def _grams(word_hashes: np.ndarray, size: int = OVERLAP_GRAM) -> dict[int, np.ndarray]:
     """Hashes of all runs of 1 to `size` words, sorted, by length; made when asked for."""
     return _Grams(word_hashes)
