@@ -30,13 +30,13 @@ from martworks.session import written
 SHINGLE = 5
 # Similarity of SHARE[0] / SHARE[1] or more.
 SHARE = (3, 4)
-# Shingles that a task counts at a time, and that one range of hashes holds about.
-BUFFER = 4_000_000
+# Shingles that a task gathers before it hands them on, and that one range of hashes holds about.
+BUFFER = 1_500_000
 RANGE_SHINGLES = 2_000_000
 # Shingles of one block of a cluster; two blocks meet in a task.
 BLOCK_SHINGLES = 500_000
-# A list of ids up to this length is broadcast to find their texts (32 MB), a longer one is joined.
-MAX_BROADCAST_IDS = 4_000_000
+# A list of ids up to this length is broadcast to find their texts (about 64 MB), a longer one is joined.
+MAX_BROADCAST_IDS = 1_000_000
 SKIP = 32
 
 
