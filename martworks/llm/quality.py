@@ -21,7 +21,7 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
 
-MAX_TRAINING_DOCUMENTS = 3_000
+MAX_TRAINING_DOCUMENTS = 2_000
 KEEP_FROM = 0.2
 FEATURE_BITS = 18
 FAMILIES = 3  # words, word pairs, runs of four bytes
@@ -131,11 +131,12 @@ def fit(texts: pa.Array, good: np.ndarray) -> Model:
     for begin, end, data, offsets in tokens.chunks(texts):
         row, feature = features(data, offsets, tokens.words(data, offsets))
         key, count = np.unique(feature * (end - begin) + row, return_counts=True)
-        parts.append((key % (end - begin) + begin, key // (end - begin), count))
+        parts.append(tuple(x.astype(np.int32) for x in (key % (end - begin) + begin, key // (end - begin), count)))
     row, feature, count = (np.concatenate(x) for x in zip(*parts))
     family = feature >> FEATURE_BITS
     many = np.bincount(family * rows + row, count, FAMILIES * rows)
     value = (SCALE * count / many[family * rows + row]).astype(np.float32)
+    del family, count
     training = np.arange(rows) % 3 != 2
     weights, constant = np.zeros(FAMILIES << FEATURE_BITS), 0.0
     squares, constant_square = np.full(len(weights), 1e-8), 1e-8
