@@ -15,6 +15,8 @@ from martworks.session import written
 
 MAX_EPOCHS = 3
 RANGES = 4096
+# Labels up to this number are broadcast (about 64 MB), so that documents need not be shuffled; more are joined.
+MAX_BROADCAST_LABELS = 1_000_000
 # Weights of the sources in order of their names, repeated from the start.
 SOURCE_WEIGHTS = (5.0, 2.0, 1.0)
 NAME, SIZE, PLACE, PLAN, TIMES = "_mix_source", "_mix_size", "_mix_place", "_mix_plan", "_mix_times"
@@ -114,7 +116,9 @@ def _end_of_budget(rows: DataFrame, budgets: DataFrame, ranges: int) -> DataFram
 def weighted_by_quality(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str, str, str, Column]:
     """Arguments for `mix`: documents (doc_id, source, size) with weight 2 where labelled good, 0.5 where labelled bad, 1 else."""
     of, name = fresh(docs, "label_doc_id"), fresh(docs, "label_quality")
-    quality = labels.groupBy(F.col("doc_id").alias(of)).agg(F.max("quality").alias(name))
-    joined = docs.join(quality, docs["doc_id"] == quality[of], "left").drop(of)
+    quality = written(labels.groupBy(F.col("doc_id").alias(of)).agg(F.max("quality").alias(name)), "mix-labels")
+    if quality.count() <= MAX_BROADCAST_LABELS:
+        quality = F.broadcast(quality)
+    joined = docs.join(quality, docs["doc_id"] == F.col(of), "left").drop(of)
     weight = F.when(F.col(name) == 1, 2.0).when(F.col(name) == 0, 0.5).otherwise(1.0)
     return joined, "doc_id", "size", "source", weight
