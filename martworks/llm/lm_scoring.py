@@ -4,11 +4,13 @@ The target model is counted on the documents that a condition selects, the backg
 vocabulary and one smoothing. A document's score is the mean over its words of the loss under the target model minus the loss
 under the background model, in bits: the lower, the more the document is like the target.
 
-Counts cover every word of every document: tasks count hashed n-grams, Spark adds the counts up. What the scoring tasks need
-has a bound that no amount of data exceeds: the vocabulary holds the words with at least `WORD_SHARE` of all words, which
-are at most 1 / WORD_SHARE (100,000), and the models hold the word pairs with at least `PAIR_SHARE` of either model's pairs,
-at most 2 / PAIR_SHARE (400,000). Other words count as one unknown word; the mass of other pairs goes to the single-word
-model, so both models stay proper distributions."""
+Every word and every word pair counts, at every input size: tasks count hashed n-grams, Spark adds the counts up, and the models
+are Spark tables that grow with the input. Documents are scored by joining their pairs to these tables; nothing of a model
+is gathered on the driver or in one task. A pair that the models lack has the mass that its context's pairs gave up, shared
+out by single words; a word that they lack counts as one unknown word, so both models are proper distributions.
+
+`fit` can be told to leave out rare words and pairs; then other words count as the unknown word, and the mass of other pairs
+goes to the single words."""
 
 from __future__ import annotations
 
@@ -17,19 +19,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.llm import tokens
 from martworks.llm.common import fresh, prepare, with_results
+from martworks.llm.mixing import word_count
 from martworks.session import written
 
-WORD_SHARE = 1e-5
-PAIR_SHARE = 5e-6
 DISCOUNT = 0.75
 # Counts a task gathers before it hands them on.
 BUFFER = 4_000_000
 COUNT_DDL = "first long, second long, n long, n_target long"
+TEXT_PAIR_DDL = "key_a long, key_b long, first long, second long, times long"
+# In place of a word's hash: what stands before the first word of a text, and any word outside a cut vocabulary.
+START, UNKNOWN = np.uint64(1), np.uint64(2)
 
 
 def _added(keys: list[np.ndarray], target: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,140 +72,180 @@ def _count_batch(first, second, n, n_target) -> pa.RecordBatch:
         [pa.array(x.astype(np.int64)) for x in (first, second, n, n_target)], names=["first", "second", "n", "n_target"])
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Sorted hashes of the words; a word's number is its place, the unknown word's the number after the last."""
-
-    hashes: np.ndarray
-
-    @property
-    def unknown(self) -> int:
-        return len(self.hashes)
-
-    @property
-    def size(self) -> int:
-        return len(self.hashes) + 1
+def losses(words: np.ndarray, contexts: np.ndarray, first: np.ndarray, second: np.ndarray, n: np.ndarray):
+    """One model's losses in bits: of the kept pairs, of the contexts' rest share, and of single words. `words` and `contexts` are
+    total counts by number, `n` counts of the kept pairs. Single words have add-one smoothing; a kept pair gives up
+    `DISCOUNT` of its count to the rest, as do the pairs that were not kept in whole."""
+    word = (words + 1) / (words.sum() + len(words))
+    taken = np.maximum(n - DISCOUNT, 0)
+    rest = np.where(contexts > 0, 1 - np.bincount(first, taken, len(contexts)) / np.maximum(contexts, 1), 1.0)
+    pair = taken / np.maximum(contexts[first], 1) + rest[first] * word[second]
+    return -np.log2(pair), -np.log2(np.maximum(rest, 1e-300)), -np.log2(word)
 
-    def numbers(self, found: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(found), np.int64)
-        place = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == found, place, self.unknown)
 
-    def pairs(self, w: tokens.Words) -> np.ndarray:
-        """Code of every word after the one before it; the first word of a text stands after the number `size`."""
-        word = self.numbers(w.hash)
-        before = np.concatenate(([self.size], word[:-1]))[:len(word)]
-        before[w.firsts[:-1][w.counts > 0]] = self.size
-        return before * self.size + word
+def _pairs(w: tokens.Words, vocabulary: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the word before each word, the word's own, and one of both. `vocabulary`: sorted hashes, or None for all words."""
+    word = w.hash
+    if vocabulary is not None:
+        place = np.minimum(np.searchsorted(vocabulary, word), max(len(vocabulary) - 1, 0))
+        word = np.where(vocabulary[place] == word, word, UNKNOWN) if len(vocabulary) else np.full_like(word, UNKNOWN)
+    before = np.concatenate(([START], word[:-1]))[:len(word)]
+    before[w.firsts[:-1][w.counts > 0]] = START
+    return before, word, tokens.mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _pair_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-    keys, hits, held = [], [], 0
+def _pair_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Counts of the pairs of rows (text, is_target)."""
+    held: list[tuple[np.ndarray, ...]] = []
+    n_held = 0
 
     def out() -> pa.RecordBatch:
-        key, n, n_target = _added(keys, hits)
-        return _count_batch(key // vocabulary.size, key % vocabulary.size, n, n_target)
+        first, second, pair, hit = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(pair, kind="stable")
+        begin, end = _runs_of(pair[order])
+        hits = np.concatenate(([0], np.cumsum(hit[order])))
+        at = order[begin]
+        return _count_batch(first[at].view(np.int64), second[at].view(np.int64), end - begin, hits[end] - hits[begin])
 
     for batch in batches:
         is_target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         for begin, end, data, offsets in tokens.chunks(batch.column(0)):
             w = tokens.words(data, offsets, lower=True)
-            keys.append(vocabulary.pairs(w))
-            hits.append(is_target[begin:end][w.row])
-            held += len(w.hash)
-            if held > BUFFER:
+            held.append((*_pairs(w, vocabulary), is_target[begin:end][w.row]))
+            n_held += len(w.hash)
+            if n_held > BUFFER:
                 yield out()
-                keys, hits, held = [], [], 0
-    if keys:
+                held, n_held = [], 0
+    if held:
         yield out()
 
 
+def _text_pair_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of each row (text, key_a, key_b) and how often they come in it."""
+    for batch in batches:
+        keys = [batch.column(i).to_numpy() for i in (1, 2)]
+        for begin, _, data, offsets in tokens.chunks(batch.column(0)):
+            w = tokens.words(data, offsets, lower=True)
+            first, second, pair = _pairs(w, vocabulary)
+            order = np.lexsort((pair, w.row))
+            starts, ends = _runs_of(pair[order], w.row[order])
+            at = order[starts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (
+                    *(key[begin + w.row[at]] for key in keys), first[at].view(np.int64), second[at].view(np.int64), ends - starts)],
+                names=["key_a", "key_b", "first", "second", "times"])
+
+
+def _runs_of(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each run of equal values."""
+    n = len(sorted_columns[0])
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for values in sorted_columns:
+        new[1:] |= values[1:] != values[:-1]
+    begin = np.flatnonzero(new)
+    return begin, np.append(begin[1:], n) if len(begin) else begin
+
+
 @dataclass(frozen=True)
 class Models:
-    """For pairs kept, ascending codes and the difference of losses, target minus background; for other pairs the difference
-    is that of the contexts' rest shares plus that of the single words."""
+    """Differences of losses, target minus background, as tables: of pairs (pair, difference), of the contexts' rest shares
+    (first, rest_difference), of single words (second, word_difference), and of a word that came nowhere."""
 
-    vocabulary: Vocabulary
-    codes: np.ndarray
-    pair_difference: np.ndarray
-    rest_difference: np.ndarray
-    word_difference: np.ndarray
+    pairs: DataFrame
+    contexts: DataFrame
+    singles: DataFrame
+    unseen_difference: float
+    vocabulary: np.ndarray | None
 
-    def differences(self, code: np.ndarray) -> np.ndarray:
-        place = np.minimum(np.searchsorted(self.codes, code), max(len(self.codes) - 1, 0))
-        other = self.rest_difference[code // self.vocabulary.size] + self.word_difference[code % self.vocabulary.size]
-        if not len(self.codes):
-            return other
-        return np.where(self.codes[place] == code, self.pair_difference[place], other)
 
+def _pair() -> Column:
+    return F.xxhash64("first", "second").alias("pair")
 
-def losses(words: np.ndarray, contexts: np.ndarray, first: np.ndarray, second: np.ndarray, n: np.ndarray):
-    """One model's losses in bits: of the kept pairs, of the contexts' rest share, and of single words. `words` and `contexts` are
-    total counts by number, `n` counts of the kept pairs. Single words have add-one smoothing; a kept pair gives up
-    `DISCOUNT` of its count to the rest, as do the pairs that were not kept in whole."""
-    word = (words + 1) / (words.sum() + len(words))
-    taken = np.maximum(n - DISCOUNT, 0)
-    rest = np.where(contexts > 0, 1 - np.bincount(first, taken, len(contexts)) / np.maximum(contexts, 1), 1.0)
-    pair = taken / np.maximum(contexts[first], 1) + rest[first] * word[second]
-    return -np.log2(pair), -np.log2(np.maximum(rest, 1e-300)), -np.log2(word)
 
+def _loss_columns(n: str, context: str, taken: str, single: Column) -> tuple[Column, Column]:
+    """`losses` as columns: of a pair, and of its context's rest share."""
+    rest = F.when(F.col(context) > 0, 1 - F.col(taken) / F.col(context)).otherwise(1.0)
+    pair = F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(context), F.lit(1)) + rest * single
+    return -F.log2(pair), -F.log2(F.greatest(rest, F.lit(1e-300)))
 
-def fit(docs: DataFrame, text: str, target: Column, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Models:
-    """Models of all rows of `docs`; rows where `target` is true are the target's. A null condition is false."""
+
+def fit(docs: DataFrame, text: str, target: Column, word_share: float = 0.0, pair_share: float = 0.0) -> Models:
+    """Models of all rows of `docs`; rows where `target` is true are the target's. A null condition is false. A `word_share`
+    above 0 leaves out words with less than that share of all words (those that stay, at most 1 / word_share, are sent to
+    tasks); a `pair_share` above 0, pairs with less than that share of either model's pairs."""
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(target, F.lit(False)).alias("is_target"))
-    summed = lambda df: df.groupBy("first", "second").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    words = written(summed(rows.mapInArrow(_word_batches, COUNT_DDL)), "lm-words")
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    frequent = words.filter(F.col("n") >= max(1.0, word_share * total)).select("first").toArrow()
-    vocabulary = Vocabulary(np.sort(frequent["first"].to_numpy().view(np.uint64)))
-
+    both = lambda: (F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    vocabulary = None
+    if word_share > 0:
+        words = written(rows.mapInArrow(_word_batches, COUNT_DDL).groupBy("first").agg(*both()), "lm-words")
+        total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        frequent = words.filter(F.col("n") >= max(1.0, word_share * total)).select("first").toArrow()
+        vocabulary = np.sort(frequent["first"].to_numpy().view(np.uint64))
+
+    counted = rows.mapInArrow(_with_vocabulary(spark, _pair_batches, vocabulary), COUNT_DDL)
+    pairs = written(counted.groupBy("first", "second").agg(*both()), "lm-pairs")
+    singles = written(pairs.groupBy("second").agg(F.sum("n").alias("single"), F.sum("n_target").alias("single_target")), "lm-singles")
+    found = singles.agg(F.count(F.lit(1)), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("single", "single_target"))).first()
+    size = (found[0] if vocabulary is None else len(vocabulary)) + 1
+    totals = {"single": found[1], "single_target": found[2]}
+    kept = (F.col("n") >= max(1.0, pair_share * totals["single"])) | (F.col("n_target") >= max(1.0, pair_share * totals["single_target"]))
+    taken = lambda n: F.sum(F.when(kept, F.greatest(F.col(n) - DISCOUNT, F.lit(0.0))).otherwise(0.0))
+    contexts = written(pairs.groupBy("first").agg(
+        F.sum("n").alias("context"), F.sum("n_target").alias("context_target"),
+        taken("n").alias("taken"), taken("n_target").alias("taken_target")), "lm-contexts")
+
+    single = {c: (F.col(c) + 1) / F.lit(float(total + size)) for c, total in totals.items()}
+    with_both = pairs.filter(kept).join(contexts.hint("shuffle_hash"), "first").join(singles.hint("shuffle_hash"), "second")
+    (pair, rest), (pair_target, rest_target) = (
+        _loss_columns(f"n{end}", f"context{end}", f"taken{end}", single[f"single{end}"]) for end in ("", "_target"))
+    return Models(
+        written(with_both.select(_pair(), (pair_target - pair).alias("difference")), "lm-model"),
+        contexts.select("first", (rest_target - rest).alias("rest_difference")),
+        singles.select("second", (F.log2(single["single"]) - F.log2(single["single_target"])).alias("word_difference")),
+        float(np.log2(totals["single_target"] + size) - np.log2(totals["single"] + size)), vocabulary)
+
+
+def _with_vocabulary(spark: SparkSession, batches, vocabulary: np.ndarray | None):
+    if vocabulary is None:
+        return lambda found: batches(found, None)
     shared = spark.sparkContext.broadcast(vocabulary)
-    pairs = written(summed(rows.mapInArrow(lambda batches: _pair_batches(batches, shared.value), COUNT_DDL)), "lm-pairs")
-    margins = lambda name: _by_number(pairs, name, vocabulary.size + 1)
-    contexts, singles = margins("first"), margins("second")
-    least = [max(1.0, pair_share * float(c[i].sum())) for i, c in enumerate((contexts, contexts))]
-    kept = pairs.filter((F.col("n") >= least[0]) | (F.col("n_target") >= least[1])).toArrow()
-    first, second, n, n_target = (kept[name].to_numpy() for name in ("first", "second", "n", "n_target"))
-    code = first * vocabulary.size + second
-    order = np.argsort(code)
-    background, selected = (
-        losses(singles[i][:vocabulary.size], contexts[i], first[order], second[order], counts[order])
-        for i, counts in enumerate((n, n_target)))
-    pair, rest, word = (t - b for t, b in zip(selected, background))
-    return Models(vocabulary, code[order], pair, rest, word)
-
-
-def _by_number(pairs: DataFrame, name: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of both counts by word number; as many rows as the vocabulary has words."""
-    found = pairs.groupBy(name).agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
-    sums = []
-    for column in ("n", "n_target"):
-        values = np.zeros(size)
-        values[found[name].to_numpy()] = found[column].to_numpy()
-        sums.append(values)
-    return sums[0], sums[1]
+    return lambda found: batches(found, shared.value)
+
+
+def _sums(docs: DataFrame, models: Models) -> DataFrame:
+    """(key_a, key_b, total, n) of texts (text, key_a, key_b): summed differences, and words. Equal texts are added up."""
+    pairs = lambda df: df.mapInArrow(
+        _with_vocabulary(docs.sparkSession, _text_pair_batches, models.vocabulary), TEXT_PAIR_DDL)
+    key = ["key_a", "key_b"]
+    joined = pairs(docs).select(*key, _pair(), "times").join(models.pairs.hint("shuffle_hash"), "pair", "left")
+    times = F.col("times")
+    known = written(joined.groupBy(key).agg(
+        F.sum(times * F.coalesce("difference", F.lit(0.0))).alias("total"), F.sum(times).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("difference").isNull(), times)), F.lit(0)).alias("missing")), "lm-known")
+    # Texts with pairs that the models lack are read once more, for those pairs alone.
+    again = docs.join(known.filter("missing > 0").select(key), key, "left_semi").select("text", *key)
+    lacking = pairs(again).withColumn("pair", _pair()).join(models.pairs, "pair", "left_anti")
+    others = lacking.join(models.contexts, "first", "left").join(models.singles, "second", "left").groupBy(key).agg(F.sum(
+        times * (F.coalesce("rest_difference", F.lit(0.0)) + F.coalesce("word_difference", F.lit(models.unseen_difference)))).alias("more"))
+    return written(known.join(others, key, "left").select(
+        *key, (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), "n"), "lm-scores")
 
 
 def score(docs: DataFrame, text: str, models: Models) -> DataFrame:
     """The rows of `docs` with `n_tokens` and `ce_difference` (bits per word, target minus background; null without words)."""
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    @F.arrow_udf("n_tokens long, ce_difference double")
-    def difference(column: pa.Array) -> pa.Array:
-        counts, means = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for begin, end, data, offsets in tokens.chunks(column):
-            w = tokens.words(data, offsets, lower=True)
-            total = np.bincount(w.row, shared.value.differences(shared.value.vocabulary.pairs(w)), end - begin)
-            counts.append(w.counts.astype(np.int64))
-            means.append(total / np.maximum(w.counts, 1))
-        n = np.concatenate(counts)
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(np.concatenate(means), mask=n == 0)], ["n_tokens", "ce_difference"])
-
-    name = fresh(docs, "_lm")
-    found = F.col(name)
-    scored = docs.withColumn(name, difference(F.col(f"`{text}`")))
-    return with_results(scored, n_tokens=found["n_tokens"], ce_difference=found["ce_difference"]).drop(name)
+    value = F.col(f"`{text}`")
+    # 128 bits of a text's hash stand for it.
+    keys = {"key_a": F.xxhash64(value), "key_b": F.xxhash64(F.lit(1), value)}
+    sums = _sums(docs.filter(value.isNotNull()).select(value.alias("text"), *(k.alias(n) for n, k in keys.items())), models)
+    names = {n: fresh(docs, f"_lm_{n}") for n in (*keys, "total", "n", "words", "a", "b")}
+    marked = docs.select("*", *(k.alias(names[n]) for n, k in keys.items()), word_count(value).alias(names["words"]))
+    other = sums.select(*(F.col(c).alias(names[n]) for c, n in (("key_a", "a"), ("key_b", "b"), ("total", "total"), ("n", "n"))))
+    same = (F.col(names["key_a"]) == F.col(names["a"])) & (F.col(names["key_b"]) == F.col(names["b"]))
+    scored = marked.join(other, same, "left")
+    found = with_results(
+        scored, n_tokens=F.col(names["words"]), ce_difference=F.col(names["total"]) / F.col(names["n"]))
+    return found.drop(*names.values())

@@ -194,6 +194,18 @@ def test_cross_entropy_difference(spark, word_share, pair_share):
         assert found[key]["ce_difference"] == (None if expected[key] is None else pytest.approx(expected[key]))
 
 
+def test_rare_words_and_pairs_count_at_any_size(spark):
+    rows = [(1, "rare once", True), (2, "seldom twice", False), (3, "rare once", True)]
+    filler = [(i, "the same words again " * 1000, i % 2 == 0) for i in range(10, 160)]
+    docs = spark.createDataFrame(rows + filler, "doc_id long, text string, hit boolean")
+    models = lm_scoring.fit(docs, "text", F.col("hit"))
+    asked = spark.createDataFrame([*(r[:2] for r in rows), (4, "once rare never")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_tokens"], r["ce_difference"]) for r in lm_scoring.score(asked, "text", models).collect()}
+    # The rare words keep apart what half a million other words surround; equal texts score alike.
+    assert found[1] == found[3] and found[1][0] == 2 and found[4][0] == 3
+    assert found[1][1] < -0.3 and found[2][1] > 0.3 and found[4][1] < found[2][1]
+
+
 def test_models_are_distributions(spark):
     rows = [(1, "a b a c a b", True), (2, "b b c d", False), (3, "e f a b", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, hit boolean")
