@@ -22,7 +22,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 INVISIBLE = frozenset(
-    "head script style title template noscript iframe noembed noframes datalist object audio video canvas svg math".split())
+    "head script style title template noscript iframe noembed noframes datalist object audio video canvas".split())
+# Elements inside svg and math: those never shown, those that hold HTML, and the HTML tags that end the drawing or formula.
+UNDRAWN = frozenset(
+    "title desc metadata defs symbol style script clippath mask pattern marker lineargradient radialgradient filter annotation"
+    " annotation-xml".split())
+HOLDS_HTML = frozenset("\0foreignobject \0desc \0title \0mi \0mo \0mn \0ms \0mtext \0annotation-xml".split(" "))
+LEAVES = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre"
+    " ruby s small span strong strike sub sup table tt u ul var".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr fieldset listing".split())
 LINES = frozenset(
     "address article aside body caption center dd details dialog dir div dt figcaption footer form header hgroup html legend li"
@@ -54,11 +62,43 @@ _TOKEN = re.compile(
     r"<(?:!--(?:>|->|.*?(?:-->|--!>|\Z))|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
-_HIDDEN = re.compile(
-    r"(?:^|[\s\"'])hidden(?:\s|/|=|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))",
-    re.IGNORECASE)
-_SPAN = re.compile(r"(col|row)span\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
-_START = re.compile(r"\sstart\s*=\s*[\"']?\s*(-?\d+)", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"[\s/]*+(=?[^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>]*+)))?", re.DOTALL)
+_MATTERS = re.compile(r"hidden|style|span|start|/\s*\Z", re.IGNORECASE)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+_DECLARATION = re.compile(r"(?:[^;\"'(]|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|\([^)]*+(?:\)|\Z))++")
+_NUMBER = re.compile(r"\s*+([+-]?\d+)")
+
+
+def attributes_of(source: str) -> tuple[dict[str, str], bool]:
+    """Values by lower-case name, of several with one name the first, and whether a `/` ends the tag. None are looked for in
+    tags where no attribute matters."""
+    if not source or not _MATTERS.search(source):
+        return {}, False
+    found, closed = {}, source.endswith("/")
+    for match in _ATTRIBUTE.finditer(source):
+        if match[1]:
+            found.setdefault(match[1].lower(), html.unescape(match[2] or match[3] or match[4] or ""))
+            if match[4] and match.end() == len(source):
+                closed = False  # the slash belongs to the value
+    return found, closed
+
+
+def style_of(style: str) -> dict[str, str]:
+    """The declarations of a style attribute that decide what is shown; the last counts, or the last that is important."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in _DECLARATION.findall(_COMMENT.sub(" ", style)):
+        name, _, value = declaration.partition(":")
+        value, _, mark = value.lower().partition("!")
+        name, value, mark = name.strip().lower(), value.strip(), mark.strip()
+        if name in ("display", "visibility") and value and mark in ("", "important"):
+            if bool(mark) >= found.get(name, (False, ""))[0]:
+                found[name] = (bool(mark), value)
+    return {name: value for name, (_, value) in found.items()}
+
+
+def _number(attributes: dict[str, str], name: str, otherwise: int) -> int:
+    found = _NUMBER.match(attributes.get(name, ""))
+    return int(found[1][:9]) if found else otherwise
 
 
 class Flow:
@@ -100,6 +140,10 @@ class Flow:
         elif indent:
             self.line.append(indent)
 
+    def part(self) -> None:
+        """What follows stands apart on the same line."""
+        self.space = self.space or bool(self.line)
+
     def raw(self, text: str, indent: str) -> None:
         """Text whose spaces and line breaks count."""
         for i, part in enumerate(re.split(r"\r\n?|\n", text)):
@@ -177,7 +221,9 @@ class Page:
 
     def __init__(self):
         self.open: list[str] = []
-        self.hidden: list[bool] = []
+        self.hidden: list[bool] = []   # without any box, with all that is inside
+        self.unseen: list[bool] = []   # invisible, but elements inside can be visible again
+        self.silent: list[bool] = []   # in a drawing, outside its texts
         self.flows = [Flow()]
         self.tables: list[Table] = []
         self.lists: list[list] = []  # [next number or None for bullets, marker width]
@@ -187,7 +233,16 @@ class Page:
 
     # -- start and end of elements
 
-    def start(self, tag: str, attributes: str) -> None:
+    def start(self, tag: str, source: str) -> bool:
+        """Whether what follows is inside the element."""
+        attributes, closed = attributes_of(source)
+        if self._is_foreign():
+            if tag not in LEAVES:
+                self.push("\0" + tag, tag in UNDRAWN, attributes)
+                if closed:
+                    self.pop()
+                return not closed
+            self._leave_foreign()
         if self.open and self.open[-1] == "head" and tag not in HEAD and tag != "head":
             self.pop()
         if tag in ENDS_BEFORE:
@@ -199,7 +254,7 @@ class Page:
         if tag in CELLS and in_table and not self.tables[-1].row_open:
             self.push("tr", False)
         if (tag in CELLS or tag == "tr" or tag in SECTIONS or tag == "caption") and not in_table:
-            return  # table parts outside tables are no elements
+            return True  # table parts outside tables are no elements
         if tag == "br":
             if not self._is_hidden():
                 self.flows[-1].end_line(always=True)
@@ -207,13 +262,28 @@ class Page:
             if tag in BLOCKS and not self._is_hidden():
                 self.flows[-1].block(2)
         else:
-            hidden = tag in INVISIBLE or bool(attributes) and bool(_HIDDEN.search(attributes))
-            self.push(tag, hidden, attributes)
-
-    def push(self, tag: str, hidden: bool, attributes: str = "") -> None:
-        hidden = hidden or self._is_hidden()
+            self.push(tag, tag in INVISIBLE, attributes)
+            if closed and tag in ("svg", "math"):
+                self.pop()
+        return True
+
+    def push(self, tag: str, hidden: bool, attributes: dict[str, str] | None = None) -> None:
+        attributes = attributes or {}
+        style = style_of(attributes["style"]) if "style" in attributes else {}
+        display = style.get("display", "revert")
+        hidden = hidden or self._is_hidden() or display == "none" or (
+            "hidden" in attributes and display in ("revert", "revert-layer"))
+        unseen = bool(self.unseen) and self.unseen[-1]
+        visibility = style.get("visibility", "hidden" if tag == "\0mphantom" else "inherit")
+        if visibility in ("hidden", "collapse", "visible", "initial"):
+            unseen = visibility in ("hidden", "collapse")
+        silent = tag == "svg" or bool(self.silent) and self.silent[-1] and tag not in ("\0text", "\0foreignobject", "math")
         self.open.append(tag)
         self.hidden.append(hidden)
+        self.unseen.append(unseen)
+        self.silent.append(silent)
+        if tag == "\0text" and not hidden:
+            self.flows[-1].part()
         if tag in BLOCKS and not hidden:
             nested = tag in ("ul", "ol", "menu") and bool(self.lists)
             self.flows[-1].block(2 if tag in PARAGRAPHS and not nested else 1)
@@ -224,13 +294,12 @@ class Page:
             if not hidden:
                 self.tables[-1].new_row()
         elif tag in CELLS:
-            spans = {kind.lower(): min(max(int(n[:5]), 1), MOST_SPAN) for kind, n in _SPAN.findall(attributes)}
-            self.spans.append((spans.get("col", 1), spans.get("row", 1)))
+            across, down = (min(max(_number(attributes, name, 1), 1), MOST_SPAN) for name in ("colspan", "rowspan"))
+            self.spans.append((across, down))
             self.flows.append(Flow())
             self.indents.append("")
         elif tag in ("ul", "menu", "dir", "ol"):
-            start = _START.search(attributes)
-            self.lists.append([(int(start[1][:9]) if start else 1) if tag == "ol" else None])
+            self.lists.append([_number(attributes, "start", 1) if tag == "ol" else None])
         elif tag == "li":
             number = self.lists[-1][0] if self.lists else None
             marker = "- " if number is None else f"{number}. "
@@ -238,14 +307,16 @@ class Page:
                 self.lists[-1][0] += 1
             self.indents.append(self.indents[-1] + " " * len(marker))
             if not hidden:
-                self.flows[-1].marker = marker
+                self.flows[-1].marker = "" if unseen else marker
         elif tag in ("dd", "blockquote"):
             self.indents.append(self.indents[-1] + "  ")
         elif tag in ("pre", "listing", "textarea"):
             self.preformatted += 1
 
     def pop(self) -> None:
-        tag, hidden = self.open.pop(), self.hidden.pop()
+        tag, hidden, _, _ = self.open.pop(), self.hidden.pop(), self.unseen.pop(), self.silent.pop()
+        if tag == "\0text" and not hidden:
+            self.flows[-1].part()
         if tag in BLOCKS and not hidden:
             nested = tag in ("ul", "ol", "menu") and len(self.lists) > 1
             self.flows[-1].block(2 if tag in PARAGRAPHS and not nested else 1)
@@ -271,6 +342,8 @@ class Page:
             self.preformatted -= 1
 
     def end(self, tag: str) -> None:
+        if tag in ("br", "p") and self._is_foreign():
+            self._leave_foreign()
         if tag == "br":
             self.start("br", "")
             return
@@ -281,7 +354,7 @@ class Page:
         crossing = tag in TABLE_PARTS
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i]
-            if name == tag:
+            if name == tag or name == "\0" + tag:
                 while len(self.open) > i:
                     self.pop()
                 return
@@ -303,6 +376,15 @@ class Page:
             while len(self.open) > depth:
                 self.pop()
 
+    # -- drawings and formulas: elements within them have names that begin with a zero byte
+
+    def _is_foreign(self) -> bool:
+        return bool(self.open) and (self.open[-1] in ("svg", "math") or self.open[-1][0] == "\0" and self.open[-1] not in HOLDS_HTML)
+
+    def _leave_foreign(self) -> None:
+        while self._is_foreign():
+            self.pop()
+
     # -- text
 
     def _is_hidden(self) -> bool:
@@ -311,7 +393,7 @@ class Page:
     def text(self, text: str) -> None:
         if self.open and self.open[-1] == "head" and not _SPACE.fullmatch(text):
             self.pop()
-        if self._is_hidden():
+        if self._is_hidden() or self.open and (self.unseen[-1] or self.silent[-1]):
             return
         if "&" in text:
             text = html.unescape(text)
@@ -342,8 +424,8 @@ def page_text(source: str | None) -> str:
         if found[1] or found[4]:
             page.end(tag)
             continue
-        page.start(tag, found[3] or found[6] or "")
-        if tag in RAW:
+        inside = page.start(tag, found[3] or found[6] or "")
+        if tag in RAW and inside and (tag in INVISIBLE or page.open[-1:] == [tag]):
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.IGNORECASE).search(source, at)
             end = close.start() if close else len(source)
             if end > at and tag == "textarea":

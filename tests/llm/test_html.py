@@ -37,6 +37,29 @@ def test_layout(source):
     assert page_text(source) == CASES[source]
 
 
+SHOWN = {
+    "<a title=\"hidden gems of Rome\">a</a>b": "ab", "<p data-x='the hidden one'>a": "a", "<p class=\"hidden lg:block\">a": "a",
+    "<p data-style=\"display:none\">a": "a", "<p title=\"style='display:none'\">a": "a", "<p aria-hidden=true>a": "a",
+    "<p HIDDEN>a</p>b": "b", "<p hidden=until-found>a</p>b": "b", "<p class=x hidden/>a</p>b": "b", "<p hidden style='display:block'>a": "a",
+    "<p style=display:none>a</p>b": "b", "<p style='display:none;display:block'>a": "a", "<p style='display:none!important;display:block'>a</p>b": "b",
+    "<p style='background:url(x;display:none)'>a": "a", "<p style='/* display:none */'>a": "a", "<p style='--display:none'>a": "a",
+    "<p style='a' style='display:none'>a": "a", "<p style='display&#58;none'>a</p>b": "b",
+    "<div style='visibility:hidden'>a<b style='visibility:visible'>b</b>c</div>": "b",
+    "<div style='display:none'>a<b style='visibility:visible'>b</b></div>c": "c",
+    "<ol><li style='visibility:hidden'>a<li>b</ol>": "2. b", "x<div style='visibility:hidden'>a</div>y": "x\ny",
+    "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math>": "x=1", "<math><mspace/><mi>x</math>y": "xy",
+    "<svg>no<title>t</title><g/><defs><text>d</text></defs><text>a<tspan>b</tspan></text><text>c</text></svg>d": "ab c d",
+    "<svg><style/><path d='M0'/><text x=1>a</text></svg>b": "a b", "<svg><foreignObject><p>a</p></foreignObject></svg>": "a",
+    "<svg><path><p>a": "a", "<svg/>a": "a", "<svg><tr><section>a</section><text>b</text></svg>c": "b c",
+    "<table><tr><td title='colspan=3'>a<td>b<tr><td>c<td>d</table>": "a | b\nc | d", "<ol data-start=4><li>a</ol>": "1. a",
+}
+
+
+@pytest.mark.parametrize("source", SHOWN)
+def test_only_what_hides_hides(source):
+    assert page_text(source) == SHOWN[source]
+
+
 class Visible(HTMLParser):
     """Words outside scripts, styles and heads, by the standard parser."""
 
