@@ -1,5 +1,9 @@
 """Benchmark decontamination: BM25 over the test items with block-max pruning, then overlap of question and answer.
 
+Question and answer each must be in the passage: by enough of their five-word runs, or, as altered copies, by enough of their
+words in order at one place, where each word that is changed, left out or put in counts against it. An altered question has
+`LEAST_WORDS` words or more, as shorter ones come about by chance.
+
 The test items are the indexed documents; every training passage is a query. Impacts are divided by the score an item gives
 to its own text, so that one threshold fits all items: 1 means that the passage has all of the item's words. Items stand in
 blocks; for each word the index knows the largest impact in the whole index and in every block. A passage whose bound by
@@ -27,6 +31,8 @@ BLOCK_ITEMS = 8
 INDEX_WORDS = 2_000_000
 OVERLAP_GRAM = 5
 LEAST_QUESTION, LEAST_ANSWER = 0.6, 0.5
+# Altered copies: shares of words in order, and of what length the question must be.
+LEAST_QUESTION_ORDER, LEAST_ANSWER_ORDER, LEAST_WORDS = 0.8, 0.6, 7
 LEAKS_DDL = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
 LEAK = pa.struct([("item_id", pa.int64()), *((n, pa.float64()) for n in ("score", "question_overlap", "answer_overlap"))])
 
@@ -55,8 +61,8 @@ class Index:
     entry_begin: np.ndarray    # where the entry's postings begin; one more at the end
     posting_item: np.ndarray
     posting_impact: np.ndarray
-    question_grams: tuple[np.ndarray, ...]
-    answer_grams: tuple[np.ndarray, ...]
+    question_grams: tuple[Part, ...]
+    answer_grams: tuple[Part, ...]
 
     @classmethod
     def of(cls, item_ids: np.ndarray, questions: pa.Array, answers: pa.Array) -> Index:
@@ -130,7 +136,12 @@ class Index:
                     row = int(np.searchsorted(first_half, passage, "right") - 1)
                     begin = w.firsts[row] + (passage - first_half[row]) * self.stride
                     grams = _grams(w.hash[begin:min(begin + 2 * self.stride, w.firsts[row + 1])])
-                    question, answer = (_overlap(x[item], grams) for x in (self.question_grams, self.answer_grams))
+                    parts = self.question_grams[item], self.answer_grams[item]
+                    question, answer = (_overlap(part, grams) for part in parts)
+                    if question < LEAST_QUESTION and len(parts[0][2]) >= LEAST_WORDS:
+                        question = _altered(question, parts[0], grams, LEAST_QUESTION_ORDER)
+                    if question >= LEAST_QUESTION and answer < LEAST_ANSWER:
+                        answer = _altered(answer, parts[1], grams, LEAST_ANSWER_ORDER)
                     if question >= LEAST_QUESTION and answer >= LEAST_ANSWER:
                         found = (float(score), question, answer)
                         best[row, int(item)] = max(best.get((row, int(item)), found), found)
@@ -172,22 +183,44 @@ def _runs(word_hashes: np.ndarray, size: int) -> np.ndarray:
     return tokens.windows(tokens.Words(row, row, row, word_hashes, np.array([n]), word_hashes), size)[1]
 
 
-def _item_grams(texts: pa.Array) -> tuple[tuple[int, np.ndarray], ...]:
-    """For each text the length of its runs (five words, or all if it has fewer) and their distinct hashes."""
+# The length of a text's runs (five words, or all if it has fewer), their distinct hashes, and the hashes of its words.
+Part = tuple[int, np.ndarray, np.ndarray]
+
+
+def _item_grams(texts: pa.Array) -> tuple[Part, ...]:
     w = tokens.words(*tokens.text_bytes(texts), lower=True, plain=True)
     found = []
     for row, n in enumerate(w.counts):
         size = int(min(OVERLAP_GRAM, n))
         hashes = w.hash[w.firsts[row]:w.firsts[row + 1]]
-        found.append((size, np.unique(_runs(hashes, size)) if size else np.zeros(0, np.uint64)))
+        found.append((size, np.unique(_runs(hashes, size)) if size else np.zeros(0, np.uint64), hashes))
     return tuple(found)
 
 
-def _overlap(part: tuple[int, np.ndarray], passage: dict[int, np.ndarray]) -> float:
-    size, grams = part
+def _overlap(part: Part, passage: _Grams) -> float:
+    size, grams, _ = part
     return float(np.isin(grams, passage[size]).mean()) if size else 1.0
 
 
+def _altered(overlap: float, part: Part, passage: _Grams, least: float) -> float:
+    """The share of the part's words that stand in order at one place of the passage, if it is `least` or more; else `overlap`."""
+    found = in_order(part[2], passage.word_hashes)
+    return max(overlap, found) if found >= least - 1e-9 else overlap
+
+
+def in_order(part: np.ndarray, passage: np.ndarray) -> float:
+    """1 - (least number of words changed, left out or put in to make `part` out of a piece of `passage`) / its length."""
+    steps = np.arange(len(part) + 1)
+    cost = steps.copy()
+    least = len(part)
+    for word in passage:
+        below = np.minimum(cost[:-1] + (part != word), cost[1:] + 1)
+        # Words left out: each place from the cheapest before it.
+        cost = np.minimum.accumulate(np.concatenate(([0], below)) - steps) + steps
+        least = min(least, cost[-1])
+    return 1 - least / max(len(part), 1)
+
+
 def indexes(items: DataFrame) -> list[Index]:
     """Indexes of items (item_id, question, answer), `INDEX_WORDS` words each at most (one item more if that is longer). Null ids
     and items without words are left out; of several rows with one id each is searched for."""

@@ -282,3 +282,38 @@ def test_planted_items_are_found(spark):
     planted = {tuple(r) for r in documents.join(items.withColumnRenamed("text", "item"), F.col("text").contains(F.col("item"))).select("doc_id", "item_id").collect()}
     found = decontamination.search(documents, "text", decontamination.split_items(items)).select("doc_id", F.inline("leaks"))
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == planted and planted
+
+
+def test_altered_copies_are_found(spark):
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice("bcdfghjklm") + rng.choice("aeiou") + str(rng.randrange(400)) for _ in range(n))
+    items = [(i, say(26), say(n)) for i, n in enumerate([3, 4, 5, 8, 9, 12] * 8)]
+    docs, copies = [], set()
+    for i, question, answer in items:
+        for changed in (1, 2, 3):
+            words = f"{question} {answer}".split()
+            in_answer = 0 if changed == 2 else 1  # a word of the answer; the others spread over the question
+            for at in [26 + rng.randrange(len(words) - 26)] * in_answer + [6, 13, 20][:changed - in_answer]:
+                words[at] = "other"
+            docs.append((10 * i + changed, f"{say(30)} {' '.join(words)} {say(30)}"))
+            copies.add((10 * i + changed, i))
+        docs.append((10 * i, f"{say(30)} {question} {say(30)}"))  # the question alone is no copy
+    found = decontamination.search(
+        spark.createDataFrame(docs, "doc_id long, text string"), "text",
+        spark.createDataFrame(items, "item_id long, question string, answer string"))
+    assert {(r["doc_id"], x["item_id"]) for r in found.collect() for x in r["leaks"]} == copies
+
+
+def test_words_in_order():
+    rng = random.Random(6)
+    for _ in range(200):
+        part, passage = ([rng.randrange(4) for _ in range(rng.randint(low, 9))] for low in (1, 0))
+        row = list(range(len(part) + 1))
+        least = row[-1]
+        for word in passage:
+            new = [0]
+            for j, other in enumerate(part):
+                new.append(min(row[j] + (word != other), row[j + 1] + 1, new[j] + 1))
+            row, least = new, min(least, new[-1])
+        found = decontamination.in_order(np.array(part, np.uint64), np.array(passage, np.uint64))
+        assert found == pytest.approx(1 - least / len(part))
