@@ -43,6 +43,10 @@ def learned(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
 
 
+def has_letter(text: Column) -> Column:
+    return F.regexp_like(text, F.lit(r"\p{L}"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32(doc_id as text) mod 3 is 1; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -99,10 +103,11 @@ def fit(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Trees | No
     hash of the id. None if there is nothing to learn from."""
     prepare(docs.sparkSession)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    allowed = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    drawn = allowed.select("doc_id", "lang").withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= sample_documents)
+    # Only what can be learned from takes a place in the draw.
+    usable = learned(docs).filter(has_letter(F.col("text")))
+    drawn = usable.select("doc_id", "lang").withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= sample_documents)
     wanted = drawn.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    sample = learned(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    sample = usable.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
     counted = sample.select("lang", "text").mapInArrow(_count_batches, "lang string, length int, code long, n long")
     total = counted.groupBy("lang", "length", "code").agg(F.sum("n").alias("n")).toArrow()
     return _trees(total) if total.num_rows else None
@@ -167,7 +172,7 @@ def predict(docs: DataFrame, text: str, trees: Trees | None) -> DataFrame:
         found = pa.array(np.concatenate([*scores, np.zeros(0)]))
         return pa.StructArray.from_arrays([names, found], ["lang", "score"])
 
-    known = F.regexp_like(F.col(f"`{text}`"), F.lit(r"\p{L}"))
+    known = has_letter(F.col(f"`{text}`"))
     if trees is None:
         return with_results(docs, lang_pred=F.lit(UNKNOWN), score=F.lit(0.0))
     name, lettered = fresh(docs, "_language"), fresh(docs, "_has_letter")

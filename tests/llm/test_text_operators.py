@@ -146,6 +146,17 @@ def test_predictions_do_not_see_labels(spark):
     assert language_id.predict(other, "text", trees).select("doc_id", "lang_pred", "score").orderBy("doc_id").collect() == plain
 
 
+def test_texts_without_letters_take_no_place_in_the_draw(spark):
+    ids = [i for i in range(200) if not spark_free_held_out(i)][:60]
+    usable = ids[::20]
+    rows = [(i, "abra cadabra" if i in usable else [None, "", "12 !?"][i % 3], "x") for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few, whole = language_id.fit(docs, 3), language_id.fit(docs.filter(F.col("doc_id").isin(usable)))
+    assert few is not None and few.languages == whole.languages
+    for found, expected in zip(few.codes + few.lengths, whole.codes + whole.lengths):
+        assert np.array_equal(found, expected)
+
+
 # -- language models
 
 
