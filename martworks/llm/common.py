@@ -14,6 +14,7 @@ import martworks
 
 # Characters that separate words, as a pattern of both Java's and DuckDB's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
+SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
