@@ -1,9 +1,9 @@
 """Audit of filters: what each removes at each place of every possible order, and its Shapley share.
 
 What a filter does to a row depends only on which filters the row fails, its mask. Rows become counted cells (part, mask), at most
-2^n masks for n filters. Each cell is folded over the array of all orders, a constant in the plan: within an order a fold carries
-whether the row has gone, and yields a struct for each step. The structs are weighted by the cell's counts, and the cells of a
-part are merged by elementwise sums. Only cells are gathered by part, so work and memory do not depend on the rows.
+2^n masks for n filters. Each cell is folded over the array of all orders, a constant of the plan that every task has: within an order a fold carries
+what is left of the cell's counts, and yields a struct for each step. The cells of a part are merged by elementwise sums. Only
+cells are gathered by part, so work and memory do not depend on the rows.
 
 Five filters make 120 orders and 600 structs; n filters make n * n! of them."""
 
@@ -38,52 +38,57 @@ def audit(rows: DataFrame, part: Column, failures: Mapping[str, Column], losses:
     cells = masked.groupBy("part", "mask").agg(*(F.sum(w).alias(w) for w in weights))
     by_part = cells.groupBy("part").agg(F.collect_list(F.struct("mask", *weights)).alias("cells"))
     merged = by_part.select("part", _merged(F.col("cells"), letters, list(losses)).alias("steps"))
-    shares = F.array(*(_removed_by(F.col("steps"), i) for i in range(len(letters))))
+    shares = F.map_from_arrays(
+        F.array(*map(F.lit, letters)), F.array(*(_removed_by(F.col("steps"), letter) for letter in letters)))
     found = merged.select("part", "steps", shares.alias("shares")).select("part", "shares", F.inline("steps"))
-    share = F.element_at("shares", F.col("filter") + 1).alias("shapley")
+    share = F.element_at("shares", F.col("filter")).alias("shapley")
     return found.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", *losses, share)
 
 
-def _removed_by(steps: Column, number: int) -> Column:
+def _removed_by(steps: Column, letter: str) -> Column:
     return F.aggregate(
-        steps, F.lit(0).cast("long"), lambda total, s: total + F.when(s["filter"] == number, s["removed"]).otherwise(0))
+        steps, F.lit(0).cast("long"), lambda total, s: total + F.when(s["filter"] == letter, s["removed"]).otherwise(0))
+
+
+def _orders(letters: list[str]) -> Column:
+    return F.split(F.lit(" ".join("".join(order) for order in permutations(letters))), " ")
 
 
 def _merged(cells: Column, letters: list[str], losses: list[str]) -> Column:
-    """The steps of all orders, summed over the cells of a part."""
+    """The steps of all orders, summed over the cells of a part, with their names."""
     counts = ["kept", "removed", "redundant", "unique_fails", *losses]
     nothing = F.struct(F.lit(0).alias("mask"), *(F.lit(0).cast("long").alias(w) for w in ("rows", *(f"lost_{n}" for n in losses))))
-    names = ("filter_order", "step", "filter")
-    add = lambda x, y: F.struct(*(x[n].alias(n) for n in names), *((x[c] + y[c]).alias(c) for c in counts))
-    return F.aggregate(
+    add = lambda x, y: F.struct(*((x[c] + y[c]).alias(c) for c in counts))
+    summed = F.aggregate(
         cells, _folded(nothing, letters, losses), lambda total, cell: F.zip_with(total, _folded(cell, letters, losses), add))
+    named = F.flatten(F.transform(_orders(letters), lambda order: F.transform(
+        F.split(order, ""), lambda letter, i: F.struct(order.alias("filter_order"), (i + 1).alias("step"), letter.alias("filter")))))
+    return F.zip_with(named, summed, lambda name, count: F.struct(
+        *(name[n].alias(n) for n in ("filter_order", "step", "filter")), *(count[c].alias(c) for c in counts)))
 
 
 def _folded(cell: Column, letters: list[str], losses: list[str]) -> Column:
-    """The steps of all orders for one cell: within an order, a fold over its filters that carries what has happened so far."""
-    orders = F.array(*(
-        F.struct(F.lit("".join(letters[i] for i in order)).alias("name"), F.array(*map(F.lit, order)).alias("filters"))
-        for order in permutations(range(len(letters)))))
+    """The steps of all orders for one cell: within an order, a fold over its filters that carries what is left of the cell."""
     zero = F.lit(0).cast("long")
-    counts = "".join(f",{name}:bigint" for name in ("kept", "removed", "redundant", "unique_fails", *losses))
-    none = F.array().cast(f"array<struct<filter_order:string,step:int,filter:int{counts}>>")
+    fields = "".join(f",{name}:bigint" for name in ("kept", "removed", "redundant", "unique_fails", *losses))
+    none = F.array().cast(f"array<struct<{fields[1:]}>>")
+    weights = ["rows", *(f"lost_{name}" for name in losses)]
 
-    def step(order: Column, state: Column, number: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1), number)
-        fails, gone = cell["mask"].bitwiseAND(bit) != 0, state["gone"]
-        removed = fails & ~gone
+    def step(state: Column, letter: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1), F.instr(F.lit("".join(letters)), letter) - 1)
+        fails = cell["mask"].bitwiseAND(bit) != 0
         here = F.struct(
-            order["name"].alias("filter_order"), (F.size(state["steps"]) + 1).alias("step"), number.alias("filter"),
-            F.when(gone | fails, zero).otherwise(cell["rows"]).alias("kept"),
-            F.when(removed, cell["rows"]).otherwise(zero).alias("removed"),
-            F.when(fails & gone, cell["rows"]).otherwise(zero).alias("redundant"),
+            F.when(fails, zero).otherwise(state["rows"]).alias("kept"),
+            F.when(fails, state["rows"]).otherwise(zero).alias("removed"),
+            F.when(fails, cell["rows"] - state["rows"]).otherwise(zero).alias("redundant"),
             F.when(cell["mask"] == bit, cell["rows"]).otherwise(zero).alias("unique_fails"),
-            *(F.when(removed, cell[f"lost_{name}"]).otherwise(zero).alias(name) for name in losses))
-        return F.struct((gone | fails).alias("gone"), F.concat(state["steps"], F.array(here)).alias("steps"))
+            *(F.when(fails, state[f"lost_{name}"]).otherwise(zero).alias(name) for name in losses))
+        left = (F.when(fails, zero).otherwise(state[w]).alias(w) for w in weights)
+        return F.struct(*left, F.concat(state["steps"], F.array(here)).alias("steps"))
 
-    start = F.struct(F.lit(False).alias("gone"), none.alias("steps"))
-    return F.flatten(F.transform(orders, lambda order: F.aggregate(
-        order["filters"], start, lambda state, number: step(order, state, number), lambda state: state["steps"])))
+    start = F.struct(*(cell[w].alias(w) for w in weights), none.alias("steps"))
+    return F.flatten(F.transform(
+        _orders(letters), lambda order: F.aggregate(F.split(order, ""), start, step, lambda state: state["steps"])))
 
 
 def text_rules(text: Column) -> dict[str, Column]:
