@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.llm import filter_audit
+from martworks.llm import conversation_repair, filter_audit
 from martworks.llm.common import WORD, read
 
 
@@ -42,5 +42,67 @@ summed AS (
 SELECT * EXCLUDE (letter), sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley FROM summed
 """
 
-QUERIES = {"op11_filter_audit": filter_interaction}
-ORACLE = {"op11_filter_audit": AUDIT_SQL}
+def conversation_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damaged(turns), turns.select("conv_id"))
+
+
+# From left to right: the cheapest (cost, audit) that leads to each place of a conversation: nothing kept yet (n), after the system turn (s),
+# after a user turn (u), after an assistant turn (a). BIG stands for impossible.
+REPAIR_SQL = """
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(
+                 range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+filled AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                  list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT) AS key
+           FROM conversations),
+kinds AS (SELECT * EXCLUDE (key, t), xor(list_reduce(
+              key, lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295) % 20 AS kind FROM filled, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM kinds, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS c(copy)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM damaged),
+faults AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+           left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+    FROM placed),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+           list(struct_pack(i := i, stay := fault NOT IN ('blank', 'duplicate'), late := (fault = 'truncated')::BIGINT) ORDER BY pos) AS items
+    FROM faults GROUP BY conv_id),
+folded AS (
+    SELECT *, list_reduce(items, lambda z, x: struct_pack(
+        n := {'c': z.n.c + 3, 'e': z.n.e || 'D'},
+        s := list_sort([{'c': z.s.c + 3, 'e': z.s.e || 'D'}, {'c': CASE WHEN x.stay AND x.i = 's' THEN z.n.c + x.late ELSE 1000000000 END, 'e': z.n.e || 'K'}])[1],
+        u := list_sort([{'c': z.u.c + 3, 'e': z.u.e || 'D'}, {'c': z.a.c + 5, 'e': z.a.e || 'ID'}] || list_transform(
+            [z.n, z.s, z.a, {'c': z.u.c + 2, 'e': z.u.e || 'I'}],
+            lambda y: {'c': CASE WHEN x.stay THEN y.c + x.late + CASE x.i WHEN 'u' THEN 0 ELSE 2 END ELSE 1000000000 END,
+                       'e': y.e || CASE x.i WHEN 'u' THEN 'K' ELSE 'R' END}))[1],
+        a := list_sort([{'c': z.a.c + 3, 'e': z.a.e || 'D'}] || list_transform(
+            [z.u, {'c': z.n.c + 2, 'e': z.n.e || 'I'}, {'c': z.s.c + 2, 'e': z.s.e || 'I'}, {'c': z.a.c + 2, 'e': z.a.e || 'I'}],
+            lambda y: {'c': CASE WHEN x.stay THEN y.c + x.late + CASE x.i WHEN 'a' THEN 0 ELSE 2 END ELSE 1000000000 END,
+                       'e': y.e || CASE x.i WHEN 'a' THEN 'K' ELSE 'R' END}))[1]),
+        struct_pack(n := {'c': 0::BIGINT, 'e': ''}, s := {'c': 1000000000::BIGINT, 'e': ''},
+                    u := {'c': 1000000000::BIGINT, 'e': ''}, a := {'c': 1000000000::BIGINT, 'e': ''})) AS z
+    FROM counted),
+best AS (SELECT *, list_sort([z.n, z.a, {'c': z.u.c + 2, 'e': z.u.e || 'I'}, {'c': z.s.c + 4, 'e': z.s.e || 'II'}])[1] AS b FROM folded),
+letters AS (SELECT conv_id, b.e AS e, unnest(string_split(b.e, '')) AS l, generate_subscripts(string_split(b.e, ''), 1) AS nr FROM best WHERE b.e <> ''),
+edits AS (SELECT *, count(*) FILTER (l <> 'I') OVER (PARTITION BY conv_id ORDER BY nr) AS pos,
+                 count(*) FILTER (l <> 'D') OVER (PARTITION BY conv_id ORDER BY nr) - length(replace(e, 'D', '')) % 2 AS nth FROM letters),
+hashes AS (
+    SELECT e.conv_id, sha256(string_agg(CASE l WHEN 'K' THEN f.role ELSE CASE nth % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END || ':'
+               || CASE l WHEN 'I' THEN '' ELSE f.text END, chr(10) ORDER BY nr)) AS hash
+    FROM edits e LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.pos = e.pos WHERE l <> 'D' GROUP BY e.conv_id)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost,
+       coalesce(b.e, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN hashes h ON h.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+QUERIES = {"op11_filter_audit": filter_interaction, "op12_conversation_repair": conversation_repairs}
+ORACLE = {"op11_filter_audit": AUDIT_SQL, "op12_conversation_repair": REPAIR_SQL}
