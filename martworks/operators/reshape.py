@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,8 +42,9 @@ def pivot(
     quote_identifiers: bool = True,
     distinct: bool = False,
 ) -> DataFrame:
-    """Values to columns: one conditional aggregate per value, all in one grouping. The defaults count rows, with 0
-    where a value is absent. `agg` is any aggregate function of one argument, `cmp` any comparison (`ilike`, `not in`, `<=>`, …).
+    """Values to columns: one conditional aggregate per value. The defaults count rows, with 0 where a value is absent. Sums, counts,
+    minima and maxima by equality (`=`, `in`) group by value first and place one cell per group and value, so their cost
+    does not grow with values times rows; all else is conditional aggregates in one grouping. `agg` is any aggregate function of one argument, `cmp` any comparison (`ilike`, `not in`, `<=>`, …).
     Columns are named `prefix + value + suffix`, or its slug without `quote_identifiers`."""
     if not _NAME.fullmatch(agg) or not _OPERATOR.fullmatch(cmp.strip()):
         raise ValueError(f"pivot: {agg!r} is no aggregate or {cmp!r} no comparison")
@@ -52,6 +53,12 @@ def pivot(
         names = [slug_name(name) for name in names]
     rows = df.select(*group, as_column(column).alias("_pivot_name"), as_value(then_value).alias("_pivot_then"),
                      as_value(else_value).alias("_pivot_else"))
+    constant_else = None if isinstance(else_value, (str, Column)) else (else_value,)
+    lists = _equality_lists(cmp, values, rows.schema["_pivot_name"].dataType)
+    if lists is not None and constant_else and not (distinct and else_value is not None):
+        cells = _place_cells(rows, group, lists, agg.lower(), distinct, else_value)
+        if cells is not None:
+            return cells.toDF(*group, *names)
     matches = [F.expr(f"_pivot_name {cmp} {_literal(value)}") for value in values]
     if distinct and else_value is None:
         # Rows reduced to (matched value, result) are distinct by column, so plain aggregates do. Distinct aggregates would
@@ -67,6 +74,82 @@ def pivot(
         F.expr(f"{agg}({'DISTINCT ' if distinct else ''}_pivot_{i})").alias(name) for i, name in enumerate(names)))
 
 
+# Aggregates whose result over some rows follows from their results over parts of them.
+_PARTIAL = ("sum", "count", "min", "max")
+# Types of results that Spark places by value; for others its pivot tests every value on every row.
+_PLACED = (T.NumericType, T.BooleanType)
+_KINDS = {str: T.StringType, bool: T.BooleanType, int: T.IntegralType, date: T.DateType, datetime: (T.TimestampType, T.TimestampNTZType)}
+
+
+def _equality_lists(cmp: str, values: Sequence, type_: T.DataType) -> list[list] | None:
+    """For each value of a comparison by equality, the cells it stands for; None for other comparisons and types."""
+    if cmp.strip().lower() not in ("=", "==", "in"):
+        return None
+    lists = [list(v) if isinstance(v, (list, tuple)) else [v] for v in values]
+    if any(v is not None and not isinstance(type_, _KINDS.get(type(v), ())) for v in sum(lists, [])):
+        return None
+    return [list(dict.fromkeys(v for v in each if v is not None)) for each in lists]
+
+
+def _place_cells(
+    rows: DataFrame, group: Sequence[str], lists: list[list], agg: str, distinct: bool, else_value
+) -> DataFrame | None:
+    """Aggregate by group and value first, then place the cells of a group: a row costs the same for any number of values.
+
+    Rows whose value is not asked for share one more cell, so a group has one cell more than values at most. A column
+    of the result is made of its cells and, where `else_value` is not null, of the number of all other rows."""
+    asked = list(dict.fromkeys(v for each in lists for v in each))
+    if agg not in _PARTIAL or not asked:
+        return None
+    # One type for both results of the condition, as in a CASE.
+    rows = rows.withColumn("_pivot_then", F.expr("CASE WHEN true THEN _pivot_then ELSE _pivot_else END"))
+    result = rows.select(F.expr(f"{agg}(_pivot_then)").alias("r")).schema["r"].dataType
+    other = _absent(asked)
+    if other is None or not isinstance(result, _PLACED):
+        return None
+    name = F.col("_pivot_name")
+    rows = rows.withColumn("_pivot_name", F.when(name.isin(asked), name).otherwise(F.lit(other)))
+    if distinct:
+        rows = rows.select(*group, "_pivot_name", "_pivot_then").distinct()
+    placed = rows.groupBy(*group).pivot("_pivot_name", [*asked, other]).agg(
+        F.expr(f"{agg}(_pivot_then)").alias("r"), F.count(F.lit(1)).alias("n"))
+    numbered = placed.toDF(*group, *(f"_pivot_{kind}{i}" for i in range(len(asked) + 1) for kind in "rn"))
+    place = {value: i for i, value in enumerate(asked)}
+    counts = F.array(*(F.coalesce(f"_pivot_n{i}", F.lit(0)) for i in range(len(asked) + 1)))
+    whole = numbered.withColumn("_pivot_all", F.aggregate(counts, F.lit(0).cast("long"), lambda total, n: total + n))
+
+    def column(values: list) -> Column:
+        cells, hits = ([F.col(f"_pivot_{kind}{place[v]}") for v in values] for kind in "rn")
+        others = F.col("_pivot_all") - reduce(Column.__add__, (F.coalesce(n, F.lit(0)) for n in hits), F.lit(0))
+        if agg in ("min", "max"):
+            rest = [] if else_value is None else [F.when(others > 0, F.lit(else_value)).cast(result)]
+            parts = [*cells, *rest, F.lit(None).cast(result), F.lit(None).cast(result)]
+            return (F.least if agg == "min" else F.greatest)(*parts)
+        if agg == "count":
+            rest = [] if else_value is None else [others]
+            return reduce(Column.__add__, (F.coalesce(c, F.lit(0)) for c in (*cells, *rest)), F.lit(0).cast("long"))
+        rest = [] if else_value is None else [F.when(others > 0, (others * F.lit(else_value)).cast(result))]
+        total = F.lit(None).cast(result)
+        for part in (*cells, *rest):
+            total = F.coalesce((total + part).cast(result), total, part)
+        return total
+
+    return whole.select(*map(quoted, group), *(column(values) for values in lists))
+
+
+def _absent(values: list):
+    """A value of the same kind that is not among them."""
+    first = values[0]
+    if isinstance(first, bool):
+        return None
+    if isinstance(first, str):
+        return "_" * (max(map(len, values)) + 1)
+    if isinstance(first, int):
+        return next(n for n in range(len(values) + 1) if n not in set(values))
+    step = timedelta(days=1)
+    return next(v + step for v in values if v + step not in values)
+
+
 def unpivot(
     df: DataFrame,
     exclude: Sequence[str] = (),

@@ -144,3 +144,39 @@ def test_pivot_refuses_what_is_no_name(spark):
     for wrong in ({"agg": "sum(1) --"}, {"cmp": "= 1 or 1"}):
         with pytest.raises(ValueError):
             op.pivot(spark.range(1), [], "id", [1], **wrong)
+
+
+@pytest.mark.parametrize("agg", ["sum", "count", "min", "max"])
+@pytest.mark.parametrize("then_value, else_value, group, distinct", [
+    (1, 0, ["g"], False), ("v", None, ["g"], True), ("v", 3, [], False), ("d", 0, ["g"], False), ("f", 0.5, ["g"], False)])
+def test_pivot_by_cells_agrees_with_one_condition_per_value(spark, agg, then_value, else_value, group, distinct):
+    """`<=>` is not placed by cells; for values that are not null it is the same comparison."""
+    rows = [(1, "x", 1, "1.50", 0.5), (1, "x", None, None, None), (1, "y", 7, "2.25", 2.0), (2, "z", 5, "9.00", 1.0), (2, None, 4, None, None),
+            (3, "x", None, None, 4.0), (3, "x", None, "3.00", 4.0), (4, None, None, None, None), (None, "y", 2, "0.25", 8.0)]
+    df = spark.createDataFrame(rows, "g int, c string, v int, d string, f double").withColumn("d", F.col("d").cast("decimal(9,2)"))
+    found, plain = (
+        op.pivot(df, group, "c", ["x", "y", "q"], agg=agg, cmp=cmp, then_value=then_value, else_value=else_value, distinct=distinct)
+        for cmp in ("=", "<=>"))
+    assert found.dtypes == plain.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_pivot_by_lists_and_other_kinds(spark):
+    df = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("a", 3, 30), ("b", 3, 40)], "g string, n int, v int")
+    found = op.pivot(df, ["g"], "n", [(1, 2), (3,), (2, 3, None)], cmp="in", then_value="v", quote_identifiers=False)
+    assert sorted(map(tuple, found.collect())) == [("a", 30, 30, 50), ("b", 0, 40, 40)]
+    empty = op.pivot(df.limit(0), [], "n", [1, 2])
+    assert [tuple(r) for r in empty.collect()] == [tuple(r) for r in op.pivot(df.limit(0), [], "n", [1, 2], cmp="<=>").collect()]
+
+
+def test_pivot_of_many_values(spark):
+    """2,000 values: two aggregations, and no expression per value on raw rows."""
+    values = list(range(2000))
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 2500).alias("c"), F.col("id").alias("v"))
+    found = op.pivot(df, ["g"], "c", values, then_value="v", prefix="n")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("pivotfirst") >= 2 and "Expand" not in plan
+    rows = {r["g"]: r for r in found.collect()}
+    expected = {g: sum(v for v in range(20_000) if v % 3 == g and v % 2500 < 2000) for g in range(3)}
+    assert {g: sum(tuple(r)[1:]) for g, r in rows.items()} == expected
+    assert rows[0]["n7"] == sum(v for v in range(7, 20_000, 2500) if v % 3 == 0)
