@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martworks.llm import conversation_repair, filter_audit
+from martworks.llm import conversation_repair, filter_audit, repeated_windows
 from martworks.llm.common import WORD, read
 
 
@@ -104,5 +105,27 @@ FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN best ON best.conv_
 LEFT JOIN hashes h ON h.conv_id IS NOT DISTINCT FROM i.conv_id
 """
 
-QUERIES = {"op11_filter_audit": filter_interaction, "op12_conversation_repair": conversation_repairs}
-ORACLE = {"op11_filter_audit": AUDIT_SQL, "op12_conversation_repair": REPAIR_SQL}
+def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_windows.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"), "text")
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+REPEATS_SQL = f"""
+WITH split AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+starts AS (SELECT r, i, sha256(array_to_string(w[i:i + 34], ' ')) AS run FROM split, unnest(range(1, len(w) - 33)) AS s(i)),
+repeated AS (SELECT run FROM starts GROUP BY run HAVING count(*) > 1),
+begun AS (SELECT r, list(i ORDER BY i) AS begins FROM starts JOIN repeated USING (run) GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(b, b + 35)) AS i FROM begun, unnest(begins) AS x(b)),
+gone_of AS (SELECT r, count(*) AS n_removed, list(i) AS places FROM gone GROUP BY r),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM (
+             SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN gone_of USING (r) LEFT JOIN kept USING (r)
+"""
+
+QUERIES = {
+    "op11_filter_audit": filter_interaction,
+    "op12_conversation_repair": conversation_repairs,
+    "op13_substring_dedup": without_repeats,
+}
+ORACLE = {"op11_filter_audit": AUDIT_SQL, "op12_conversation_repair": REPAIR_SQL, "op13_substring_dedup": REPEATS_SQL}
