@@ -94,10 +94,10 @@ _ROWS = [_closed_terminals(initial, bool(stays), bool(late)) for initial in ("s"
 
 def _leaf() -> Column:
     table = F.from_json(F.lit(json.dumps(_ROWS)), "array<array<struct<cost:bigint,audit:string>>>")
-    initial = F.coalesce(F.nullif(F.instr(F.lit("sua"), F.col("initial")), F.lit(0)), F.lit(4))
+    initial = F.when(F.col("initial") == "s", 0).when(F.col("initial") == "u", 1).when(F.col("initial") == "a", 2).otherwise(3)
     stays = ~F.coalesce(F.col("fault").isin("blank", "duplicate"), F.lit(False))
     late = F.coalesce(F.col("fault") == "truncated", F.lit(False))
-    return F.get(table, (initial - 1) * 4 + stays.cast("int") * 2 + late.cast("int"))
+    return F.get(table, initial * 4 + stays.cast("int") * 2 + late.cast("int"))
 
 
 def _joined_chart() -> str:
