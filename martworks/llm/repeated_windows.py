@@ -1,7 +1,6 @@
 """Removal of repeated passages: every word covered by a window of words that occurs at more than one place of the table.
 
-1. Rows are written once, dealt into batches of about `BATCH_BYTES` of text and bucketed by batch, so that all later passes over the
-   texts read them in place, without a shuffle.
+1. Rows are written once in batches, which later passes read in place (see `batches`).
 2. Each batch makes a count-min sketch of its windows: `DEPTH` rows of counters, a window counts in one counter of each row. The sketch
    is as wide as the table has bytes, and a batch fills little of it, so only its counters above zero travel, two bytes each, cut into
    segments of the sketch. A task merges one segment of all batches' sketches by adding counters, up to two, and answers each
@@ -11,29 +10,22 @@
 4. Words covered by repeated windows go.
 
 A batch sends a window once however often it has it, so frequent passages do not gather. Messages are as many as batches times segments;
-both grow with the table, so that beyond some 10 TB `BATCH_BYTES` should grow, too.
+both grow with the table, so that beyond some 10 TB `batches.BATCH_BYTES` should grow, too.
 
 A word has a 64-bit hash, as elsewhere in this package; a window has 128 bits of its words' hashes."""
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm import tokens
-from martworks.llm.common import fresh, prepare
-from martworks.session import fresh_path, written
+from martworks.llm import batches, tokens
+from martworks.llm.common import prepare
+from martworks.session import written
 
 WINDOW = 35
-# Text of a batch, or one longer text; a task holds about twenty times as much.
-BATCH_BYTES = 16 << 20
-# Text of a bucket, that is of a task's input.
-BUCKET_BYTES = 32 << 20
 DEPTH = 2
 # A segment has at most two to this power counters; a task holds them, a byte each.
 SEGMENT_BITS = 26
@@ -82,14 +74,15 @@ def window_hashes(w: tokens.Words, size: int) -> tuple[np.ndarray, list[np.ndarr
 class _Batch:
     """The windows of a batch, in the order of its rows."""
 
-    def __init__(self, rows: pa.Table, size: int):
-        rows = rows.take(pa.array(np.argsort(rows["_row"].to_numpy(), kind="stable")))
+    def __init__(self, rows: pa.Table, size: int, with_words: bool = False):
+        rows = batches.in_order(rows)
         self.rows, self.chunks, hashes = rows, [], [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
         for _, _, data, offsets in tokens.chunks(rows["_text"].combine_chunks()):
             w = tokens.words(data, offsets)
             first, found = window_hashes(w, size)
             w.sums = None
-            self.chunks.append((data, w, first))
+            if with_words:
+                self.chunks.append((data, w, first))
             for all_found, more in zip(hashes, found):
                 all_found.append(more)
         self.h, self.h2 = (np.concatenate(x) for x in hashes)
@@ -134,26 +127,19 @@ def _message(kind, segment, batch, a: bytes, b: bytes, twice: np.ndarray) -> tup
     return kind, int(segment), int(batch), len(twice), a, b, np.packbits(twice).tobytes()
 
 
-def _table(rows: list[tuple], schema: str) -> pa.Table:
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    fields = [field.split() for field in schema.split(", ")]
-    columns = zip(*rows) if rows else [[]] * len(fields)
-    return pa.table([pa.array(list(x), types[kind]) for x, (_, kind) in zip(columns, fields)], names=[name for name, _ in fields])
-
-
 def _sketch(rows: pa.Table, size: int, bits: int, segments: int) -> pa.Table:
     """The sketch of a batch, a message for each segment that it counts in."""
     batch, shift = rows["_batch"][0].as_py(), _shift(bits, segments)
     found = []
     for number, twice, _ in _Batch(rows, size).counters(bits):
-        for segment, begin, end in _runs(number >> np.uint64(shift)):
+        for segment, begin, end in batches.runs(number >> np.uint64(shift)):
             inside = (number[begin:end] & np.uint64((1 << shift) - 1)).astype(np.int64)
             if len(inside) < SHORT:
                 a, b = inside.astype(np.uint32), np.zeros(0, np.uint32)
             else:
                 a, b = inside.astype(np.uint16), np.bincount(inside >> 16, minlength=max(1, 1 << shift >> 16)).astype(np.uint32)
             found.append(_message(_SKETCH, segment, batch, a.tobytes(), b.tobytes(), twice[begin:end]))
-    return _table(found, _MESSAGES)
+    return batches.table(found, _MESSAGES)
 
 
 def _shift(bits: int, segments: int) -> int:
@@ -161,13 +147,6 @@ def _shift(bits: int, segments: int) -> int:
     return bits + (DEPTH - 1).bit_length() - segments.bit_length() + 1
 
 
-def _runs(ascending: np.ndarray):
-    """(value, begin, end) of runs of equal values."""
-    cuts = np.flatnonzero(np.diff(ascending)) + 1
-    for begin, end in zip([0, *cuts], [*cuts, len(ascending)]) if len(ascending) else ():
-        yield ascending[begin], begin, end
-
-
 def _inside(a: bytes, b: bytes) -> np.ndarray:
     """Numbers of counters within a segment."""
     if not b:
@@ -186,19 +165,19 @@ def _merge_sketches(messages: pa.Table, shift: int) -> pa.Table:
     found = []
     for segment, batch, many, a, b, _ in zip(*columns):
         found.append((_SKETCH, segment, batch, many, np.packbits(counters[_inside(a, b)] > 1).tobytes()))
-    return _table(found, _ANSWERS)
+    return batches.table(found, _ANSWERS)
 
 
 def _ask(rows: pa.Table, answers: pa.Table, size: int, bits: int, segments: int) -> pa.Table:
     """The windows of a batch that are estimated repeated, a message for each segment of hashes."""
     if not rows.num_rows:
-        return _table([], _MESSAGES)
+        return batches.table([], _MESSAGES)
     whole = _Batch(rows, size)
     a, b, twice, _ = whole.candidates(whole.estimated(answers, bits))
-    batch, shift = rows["_batch"][0].as_py(), np.uint64(65 - segments.bit_length())
-    return _table([
+    batch = rows["_batch"][0].as_py()
+    return batches.table([
         _message(_EXACT, segment, batch, a[begin:end].tobytes(), b[begin:end].tobytes(), twice[begin:end])
-        for segment, begin, end in _runs(a >> shift if segments > 1 else np.zeros(len(a), np.uint64))], _MESSAGES)
+        for segment, begin, end in batches.segments_of(a, segments)], _MESSAGES)
 
 
 def _count_exactly(messages: pa.Table) -> pa.Table:
@@ -216,7 +195,7 @@ def _count_exactly(messages: pa.Table) -> pa.Table:
     for segment, batch, many in zip(*columns):
         found.append((_EXACT, segment, batch, many, np.packbits(repeated[at:at + many]).tobytes()))
         at += many
-    return _table(found, _ANSWERS)
+    return batches.table(found, _ANSWERS)
 
 
 def _kept(data: np.ndarray, w: tokens.Words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +213,7 @@ def _kept(data: np.ndarray, w: tokens.Words, kept: np.ndarray) -> tuple[np.ndarr
 
 
 def _remove(rows: pa.Table, answers: pa.Table, size: int, bits: int) -> pa.Table:
-    whole = _Batch(rows, size)
+    whole = _Batch(rows, size, with_words=True)
     estimated = whole.estimated(answers, bits)
     number = whole.candidates(estimated)[3]
     repeated = np.zeros(len(estimated), bool)
@@ -259,51 +238,16 @@ def _remove(rows: pa.Table, answers: pa.Table, size: int, bits: int) -> pa.Table
     return pa.table([whole.rows["_others"], kept_text, *counts], names=["_others", "_kept_text", "_n_words", "_n_removed"])
 
 
-def _batches(batches):
-    """Rows with the number of their batch and their place in it. Runs of rows within a task are a batch."""
-    batch, row, held = (TaskContext.get().partitionId() << 32) - 1, 0, BATCH_BYTES
-    for rows in batches:
-        _, offsets = tokens.text_bytes(rows.column("_text"))
-        number, place = np.zeros(rows.num_rows, np.int64), np.zeros(rows.num_rows, np.int64)
-        for i, length in enumerate(np.diff(offsets)):
-            if held and held + length > BATCH_BYTES:
-                batch, row, held = batch + 1, 0, 0
-            number[i], place[i] = batch, row
-            row, held = row + 1, held + int(length)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(number), pa.array(place), rows.column("_text"), rows.column("_others")], names=["_batch", "_row", "_text", "_others"])
-
-
-def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
-    """`rows` written by batch: later groupings by batch need no exchange. No catalog entry remains."""
-    spark = rows.sparkSession
-    kind = rows.schema["_others"].dataType.simpleString()
-    dealt = rows.mapInArrow(_batches, f"_batch long, _row long, _text string, _others {kind}")
-    name = f"repeated_windows_{uuid.uuid4().hex}"
-    dealt.write.format("parquet").bucketBy(buckets, "_batch").option("path", fresh_path(spark, "repeated-rows")).saveAsTable(name)
-    found = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")
-    return found
-
-
 def remove_repeats(df: DataFrame, text: str, size: int = WINDOW) -> DataFrame:
     """`df` without column `text`, with kept_text (the words that are left, joined by one space), n_words and n_removed.
 
     A window is a run of `size` words of one row's text, as written; it is repeated if the same words also begin anywhere else, in the same
     row or another. Every word in a repeated window goes; what is left is not judged again. Rows of fewer words, without words or
     with a null text have no window, and stay (kept_text is empty without words). Rows that come twice are two places. Columns of `df` with
-    these names are replaced. A text longer than `BATCH_BYTES` is a batch of its own, held by one task."""
-    spark = df.sparkSession
-    prepare(spark)
-    others = [F.col(f"`{c}`") for c in df.columns if c != text]
-    marker = fresh(df, "no_other_column")
-    rows = df.select(
-        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text"),
-        F.struct(*(others or [F.lit(True).alias(marker)])).alias("_others"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
-    buckets = min(50_000, max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES))
-    stored = _bucketed(rows, buckets)
-    bits = max(16, int(total).bit_length())
+    these names are replaced. A text longer than `batches.BATCH_BYTES` is a batch of its own, held by one task."""
+    prepare(df.sparkSession)
+    stored, total = batches.stored(df, text)
+    bits = max(16, total.bit_length())
     segments = 1 << max(4, bits + 1 - SEGMENT_BITS)
     shift = _shift(bits, segments)
     windows = stored.select("_batch", "_row", "_text").groupBy("_batch")

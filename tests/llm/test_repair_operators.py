@@ -13,7 +13,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from martworks.llm import conversation_repair, filter_audit, repeated_windows
+from martworks.llm import batches, conversation_repair, filter_audit, repeated_windows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -192,7 +192,7 @@ def brute_kept(texts, size):
 @pytest.mark.parametrize("small", [False, True])
 def test_repeats_against_brute_force(spark, monkeypatch, small):
     if small:  # many batches and a full sketch: estimates are too high, results are not
-        monkeypatch.setattr(repeated_windows, "BATCH_BYTES", 2000)
+        monkeypatch.setattr(batches, "BATCH_BYTES", 2000)
         monkeypatch.setattr(repeated_windows, "SHORT", 1)
         monkeypatch.setattr(repeated_windows.tokens, "CHUNK_BYTES", 500)
     rng = random.Random(8)
@@ -227,4 +227,4 @@ def test_texts_are_read_in_place(spark):
     plan = repeated_windows.remove_repeats(df, "text")._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.split("\n") if "Exchange" in line]
     assert len(exchanges) == 1 and "batch" in exchanges[0] and "Bucketed: true" in plan
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("repeated_windows")]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("text_batches")]
