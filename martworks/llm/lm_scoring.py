@@ -1,16 +1,19 @@
 """Cross-entropy difference of two matched bigram models.
 
-The target model is counted on the documents that a condition selects, the background model on all documents. Both share one
-vocabulary and one smoothing. A document's score is the mean over its words of the loss under the target model minus the loss
-under the background model, in bits: the lower, the more the document is like the target.
+The target model is counted on the rows that a condition selects, the background model on all others. Both share one vocabulary and one
+smoothing, and are matched in size: the counts of the larger side are scaled to as many words as the smaller has, so that what neither knows
+costs the same under both. A row's score is the mean over its words of the loss under the target model minus the loss under the
+background model, in bits: the lower, the more the row is like the target. A row that was counted is scored without its own counts.
 
-Every word and every word pair counts, at every input size: tasks count hashed n-grams, Spark adds the counts up, and the models
-are Spark tables that grow with the input. Documents are scored by joining their pairs to these tables; nothing of a model
-is gathered on the driver or in one task. A pair that the models lack has the mass that its context's pairs gave up, shared
-out by single words; a word that they lack counts as one unknown word, so both models are proper distributions.
+A word b after a has the probability (r n(ab) + PRIOR p(b)) / (r c(a) + PRIOR) with p(b) = (r s(b) + 1) / (r N + V): n, c and s are counts of the pair,
+of a as context and of b, N all words, r the side's scale, V the distinct words of both sides and one for the unknown. Both are distributions over the
+vocabulary.
 
-`fit` can be told to leave out rare words and pairs; then other words count as the unknown word, and the mass of other pairs
-goes to the single words."""
+Every word and pair counts, at every input size. Texts are read in place, in batches (see `batches`): a batch sends its distinct
+pairs and words with their counts to segments of their hashes, where they are added up. These totals, packed by segment, are the
+models; they grow with the input and are never gathered. To score, a batch asks the segments for its distinct pairs and words.
+
+Words are compared with A-Z in lower case, words and pairs by 64-bit hashes."""
 
 from __future__ import annotations
 
@@ -19,233 +22,220 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm import tokens
-from martworks.llm.common import fresh, prepare, with_results
-from martworks.llm.mixing import word_count
+from martworks.llm import batches, tokens
+from martworks.llm.common import prepare
 from martworks.session import written
 
-DISCOUNT = 0.75
-# Counts a task gathers before it hands them on.
-BUFFER = 4_000_000
-COUNT_DDL = "first long, second long, n long, n_target long"
-TEXT_PAIR_DDL = "key_a long, key_b long, first long, second long, times long"
-# In place of a word's hash: what stands before the first word of a text, and any word outside a cut vocabulary.
-START, UNKNOWN = np.uint64(1), np.uint64(2)
-
-
-def _added(keys: list[np.ndarray], target: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, how often they came, and how often in target rows."""
-    key, hit = np.concatenate(keys), np.concatenate(target)
-    order = np.argsort(key, kind="stable")
-    key, hit = key[order], np.concatenate(([0], np.cumsum(hit[order])))
-    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    end = np.append(begin[1:], len(key)) if len(key) else begin
-    return key[begin], end - begin, hit[end] - hit[begin]
+# Words that a context's own counts weigh as much as.
+PRIOR = 2.0
+# Text whose words one segment counts, at most about a sixth as many distinct pairs.
+SEGMENT_BYTES = 32 << 20
+# The context of the first word of a text.
+START = np.uint64(1)
 
+_PAIR, _WORD = 0, 1
+# Counts of a pair: background, target. Of a word: background and target, as a word, then as a context.
+_WIDTH = {_PAIR: 2, _WORD: 4}
+_COUNTS = "kind int, segment long, keys binary, counts binary, new long, words long, words_target long"
+_ASKED = "kind int, segment long, batch long, keys binary"
+_ANSWERS = "kind int, segment long, batch long, counts binary"
 
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, hits, held = [], [], 0
 
-    def out() -> pa.RecordBatch:
-        key, n, n_target = _added(keys, hits)
-        return _count_batch(key.view(np.int64), np.zeros(len(key), np.int64), n, n_target)
+class _Batch:
+    """The words of a batch in order: hashes, rows, hashes of the word before and of both."""
 
-    for batch in batches:
-        is_target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for begin, end, data, offsets in tokens.chunks(batch.column(0)):
+    def __init__(self, rows: pa.Table):
+        self.rows = batches.in_order(rows)
+        word, row, before = [], [], []
+        for begin, _, data, offsets in tokens.chunks(self.rows["_text"].combine_chunks()):
             w = tokens.words(data, offsets, lower=True)
-            keys.append(w.hash)
-            hits.append(is_target[begin:end][w.row])
-            held += len(w.hash)
-            if held > BUFFER:
-                yield out()
-                keys, hits, held = [], [], 0
-    if keys:
-        yield out()
-
-
-def _count_batch(first, second, n, n_target) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(x.astype(np.int64)) for x in (first, second, n, n_target)], names=["first", "second", "n", "n_target"])
-
-
-def losses(words: np.ndarray, contexts: np.ndarray, first: np.ndarray, second: np.ndarray, n: np.ndarray):
-    """One model's losses in bits: of the kept pairs, of the contexts' rest share, and of single words. `words` and `contexts` are
-    total counts by number, `n` counts of the kept pairs. Single words have add-one smoothing; a kept pair gives up
-    `DISCOUNT` of its count to the rest, as do the pairs that were not kept in whole."""
-    word = (words + 1) / (words.sum() + len(words))
-    taken = np.maximum(n - DISCOUNT, 0)
-    rest = np.where(contexts > 0, 1 - np.bincount(first, taken, len(contexts)) / np.maximum(contexts, 1), 1.0)
-    pair = taken / np.maximum(contexts[first], 1) + rest[first] * word[second]
-    return -np.log2(pair), -np.log2(np.maximum(rest, 1e-300)), -np.log2(word)
-
-
-def _pairs(w: tokens.Words, vocabulary: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of the word before each word, the word's own, and one of both. `vocabulary`: sorted hashes, or None for all words."""
-    word = w.hash
-    if vocabulary is not None:
-        place = np.minimum(np.searchsorted(vocabulary, word), max(len(vocabulary) - 1, 0))
-        word = np.where(vocabulary[place] == word, word, UNKNOWN) if len(vocabulary) else np.full_like(word, UNKNOWN)
-    before = np.concatenate(([START], word[:-1]))[:len(word)]
-    before[w.firsts[:-1][w.counts > 0]] = START
-    return before, word, tokens.mixed(before * np.uint64(0x9E3779B97F4A7C15) + word)
-
-
-def _pair_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Counts of the pairs of rows (text, is_target)."""
-    held: list[tuple[np.ndarray, ...]] = []
-    n_held = 0
-
-    def out() -> pa.RecordBatch:
-        first, second, pair, hit = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(pair, kind="stable")
-        begin, end = _runs_of(pair[order])
-        hits = np.concatenate(([0], np.cumsum(hit[order])))
-        at = order[begin]
-        return _count_batch(first[at].view(np.int64), second[at].view(np.int64), end - begin, hits[end] - hits[begin])
-
-    for batch in batches:
-        is_target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        for begin, end, data, offsets in tokens.chunks(batch.column(0)):
-            w = tokens.words(data, offsets, lower=True)
-            held.append((*_pairs(w, vocabulary), is_target[begin:end][w.row]))
-            n_held += len(w.hash)
-            if n_held > BUFFER:
-                yield out()
-                held, n_held = [], 0
-    if held:
-        yield out()
-
-
-def _text_pair_batches(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of each row (text, key_a, key_b) and how often they come in it."""
-    for batch in batches:
-        keys = [batch.column(i).to_numpy() for i in (1, 2)]
-        for begin, _, data, offsets in tokens.chunks(batch.column(0)):
-            w = tokens.words(data, offsets, lower=True)
-            first, second, pair = _pairs(w, vocabulary)
-            order = np.lexsort((pair, w.row))
-            starts, ends = _runs_of(pair[order], w.row[order])
-            at = order[starts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (
-                    *(key[begin + w.row[at]] for key in keys), first[at].view(np.int64), second[at].view(np.int64), ends - starts)],
-                names=["key_a", "key_b", "first", "second", "times"])
-
-
-def _runs_of(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of each run of equal values."""
-    n = len(sorted_columns[0])
-    new = np.zeros(n, bool)
-    new[:1] = True
-    for values in sorted_columns:
-        new[1:] |= values[1:] != values[:-1]
-    begin = np.flatnonzero(new)
-    return begin, np.append(begin[1:], n) if len(begin) else begin
+            previous = np.concatenate(([START], w.hash[:-1]))[:len(w.hash)]
+            previous[w.firsts[:-1][w.counts > 0]] = START
+            word.append(w.hash)
+            row.append(w.row + begin)
+            before.append(previous)
+        joined = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+        self.word, self.before, self.row = joined(word, np.uint64), joined(before, np.uint64), joined(row, np.int64)
+        pair = tokens.mixed(self.before * np.uint64(0x9E3779B97F4A7C15) + self.word)
+        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        self.words, place = np.unique(np.concatenate((self.word, self.before)), return_inverse=True)
+        self.second, self.first = place[:len(self.word)], place[len(self.word):]
+        self.side = self.rows["_side"].to_numpy()
+
+    def messages(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(kind, keys, counts of each key), of the rows that are on a side."""
+        side = self.side[self.row]
+        for kind, keys, uses in ((_PAIR, self.pairs, [self.pair]), (_WORD, self.words, [self.second, self.first])):
+            columns = [np.bincount(use[side == s], minlength=len(keys)) for use in uses for s in (0, 1)]
+            yield kind, keys, np.stack(columns, axis=1) if len(keys) else np.zeros((0, _WIDTH[kind]), np.int64)
+
+    def own(self, number: np.ndarray, size: int) -> np.ndarray:
+        """How often the row of each word has what `number` numbers."""
+        _, place, many = np.unique(self.row * max(size, 1) + number, return_inverse=True, return_counts=True)
+        return many[place]
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype(np.uint32 if not counts.size or counts.max() < 1 << 32 else np.int64).tobytes()
+
+
+def _unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    kind = np.uint32 if len(data) == 4 * rows * width else np.int64
+    return np.frombuffer(data, kind).reshape(rows, width).astype(np.int64)
+
+
+def _count(rows: pa.Table, segments: int) -> pa.Table:
+    found = []
+    for kind, keys, counts in _Batch(rows).messages():
+        used = counts.any(axis=1)
+        keys, counts = keys[used], counts[used]
+        for segment, begin, end in batches.segments_of(keys, segments):
+            found.append((kind, int(segment), keys[begin:end].tobytes(), _packed(counts[begin:end]), 0, 0, 0))
+    return batches.table(found, _COUNTS)
+
+
+def _add_up(messages: pa.Table) -> pa.Table:
+    """The totals of one segment, and how many words are new here and in all on each side."""
+    kind, segment = messages["kind"][0].as_py(), messages["segment"][0].as_py()
+    keys = [np.frombuffer(x, np.uint64) for x in messages["keys"].to_pylist()]
+    counts = np.concatenate([_unpacked(x, len(k), _WIDTH[kind]) for x, k in zip(messages["counts"].to_pylist(), keys)])
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    begins = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
+    totals = np.add.reduceat(counts[order], begins, axis=0)
+    sums = (int((totals[:, :2].any(axis=1)).sum()), *(int(x) for x in totals[:, :2].sum(axis=0))) if kind == _WORD else (0, 0, 0)
+    return batches.table([(kind, segment, key[order][begins].tobytes(), _packed(totals), *sums)], _COUNTS)
 
 
 @dataclass(frozen=True)
 class Models:
-    """Differences of losses, target minus background, as tables: of pairs (pair, difference), of the contexts' rest shares
-    (first, rest_difference), of single words (second, word_difference), and of a word that came nowhere."""
-
-    pairs: DataFrame
-    contexts: DataFrame
-    singles: DataFrame
-    unseen_difference: float
-    vocabulary: np.ndarray | None
-
-
-def _pair() -> Column:
-    return F.xxhash64("first", "second").alias("pair")
-
-
-def _loss_columns(n: str, context: str, taken: str, single: Column) -> tuple[Column, Column]:
-    """`losses` as columns: of a pair, and of its context's rest share."""
-    rest = F.when(F.col(context) > 0, 1 - F.col(taken) / F.col(context)).otherwise(1.0)
-    pair = F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(context), F.lit(1)) + rest * single
-    return -F.log2(pair), -F.log2(F.greatest(rest, F.lit(1e-300)))
-
-
-def fit(docs: DataFrame, text: str, target: Column, word_share: float = 0.0, pair_share: float = 0.0) -> Models:
-    """Models of all rows of `docs`; rows where `target` is true are the target's. A null condition is false. A `word_share`
-    above 0 leaves out words with less than that share of all words (those that stay, at most 1 / word_share, are sent to
-    tasks); a `pair_share` above 0, pairs with less than that share of either model's pairs."""
-    spark = docs.sparkSession
-    prepare(spark)
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(target, F.lit(False)).alias("is_target"))
-    both = lambda: (F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    vocabulary = None
-    if word_share > 0:
-        words = written(rows.mapInArrow(_word_batches, COUNT_DDL).groupBy("first").agg(*both()), "lm-words")
-        total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-        frequent = words.filter(F.col("n") >= max(1.0, word_share * total)).select("first").toArrow()
-        vocabulary = np.sort(frequent["first"].to_numpy().view(np.uint64))
-
-    counted = rows.mapInArrow(_with_vocabulary(spark, _pair_batches, vocabulary), COUNT_DDL)
-    pairs = written(counted.groupBy("first", "second").agg(*both()), "lm-pairs")
-    singles = written(pairs.groupBy("second").agg(F.sum("n").alias("single"), F.sum("n_target").alias("single_target")), "lm-singles")
-    found = singles.agg(F.count(F.lit(1)), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("single", "single_target"))).first()
-    size = (found[0] if vocabulary is None else len(vocabulary)) + 1
-    totals = {"single": found[1], "single_target": found[2]}
-    kept = (F.col("n") >= max(1.0, pair_share * totals["single"])) | (F.col("n_target") >= max(1.0, pair_share * totals["single_target"]))
-    taken = lambda n: F.sum(F.when(kept, F.greatest(F.col(n) - DISCOUNT, F.lit(0.0))).otherwise(0.0))
-    contexts = written(pairs.groupBy("first").agg(
-        F.sum("n").alias("context"), F.sum("n_target").alias("context_target"),
-        taken("n").alias("taken"), taken("n_target").alias("taken_target")), "lm-contexts")
-
-    single = {c: (F.col(c) + 1) / F.lit(float(total + size)) for c, total in totals.items()}
-    with_both = pairs.filter(kept).join(contexts.hint("shuffle_hash"), "first").join(singles.hint("shuffle_hash"), "second")
-    (pair, rest), (pair_target, rest_target) = (
-        _loss_columns(f"n{end}", f"context{end}", f"taken{end}", single[f"single{end}"]) for end in ("", "_target"))
-    return Models(
-        written(with_both.select(_pair(), (pair_target - pair).alias("difference")), "lm-model"),
-        contexts.select("first", (rest_target - rest).alias("rest_difference")),
-        singles.select("second", (F.log2(single["single"]) - F.log2(single["single_target"])).alias("word_difference")),
-        float(np.log2(totals["single_target"] + size) - np.log2(totals["single"] + size)), vocabulary)
-
-
-def _with_vocabulary(spark: SparkSession, batches, vocabulary: np.ndarray | None):
-    if vocabulary is None:
-        return lambda found: batches(found, None)
-    shared = spark.sparkContext.broadcast(vocabulary)
-    return lambda found: batches(found, shared.value)
-
-
-def _sums(docs: DataFrame, models: Models) -> DataFrame:
-    """(key_a, key_b, total, n) of texts (text, key_a, key_b): summed differences, and words. Equal texts are added up."""
-    pairs = lambda df: df.mapInArrow(
-        _with_vocabulary(docs.sparkSession, _text_pair_batches, models.vocabulary), TEXT_PAIR_DDL)
-    key = ["key_a", "key_b"]
-    joined = pairs(docs).select(*key, _pair(), "times").join(models.pairs.hint("shuffle_hash"), "pair", "left")
-    times = F.col("times")
-    known = written(joined.groupBy(key).agg(
-        F.sum(times * F.coalesce("difference", F.lit(0.0))).alias("total"), F.sum(times).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("difference").isNull(), times)), F.lit(0)).alias("missing")), "lm-known")
-    # Texts with pairs that the models lack are read once more, for those pairs alone.
-    again = docs.join(known.filter("missing > 0").select(key), key, "left_semi").select("text", *key)
-    lacking = pairs(again).withColumn("pair", _pair()).join(models.pairs, "pair", "left_anti")
-    others = lacking.join(models.contexts, "first", "left").join(models.singles, "second", "left").groupBy(key).agg(F.sum(
-        times * (F.coalesce("rest_difference", F.lit(0.0)) + F.coalesce("word_difference", F.lit(models.unseen_difference)))).alias("more"))
-    return written(known.join(others, key, "left").select(
-        *key, (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), "n"), "lm-scores")
-
-
-def score(docs: DataFrame, text: str, models: Models) -> DataFrame:
-    """The rows of `docs` with `n_tokens` and `ce_difference` (bits per word, target minus background; null without words)."""
+    """Totals of both sides by segment (kind, segment, keys, counts); words on each side; the vocabulary."""
+
+    totals: DataFrame
+    segments: int
+    words: tuple[int, int]
+    vocabulary: int
+
+    @property
+    def scales(self) -> tuple[float, float]:
+        """What makes both sides as large as the smaller."""
+        least = min(self.words)
+        return tuple(least / n if n else 0.0 for n in self.words)
+
+
+def _ask(rows: pa.Table, segments: int) -> pa.Table:
+    batch, found = rows["_batch"][0].as_py(), []
+    for kind, keys, _ in _Batch(rows).messages():
+        for segment, begin, end in batches.segments_of(keys, segments):
+            found.append((kind, int(segment), batch, keys[begin:end].tobytes()))
+    return batches.table(found, _ASKED)
+
+
+def _answer(asked: pa.Table, totals: pa.Table) -> pa.Table:
+    """The totals of the keys that batches ask for, zero for those that no row has."""
+    if not asked.num_rows:
+        return batches.table([], _ANSWERS)
+    kind, segment = asked["kind"][0].as_py(), asked["segment"][0].as_py()
+    known, counts = np.zeros(0, np.uint64), np.zeros((0, _WIDTH[kind]), np.int64)
+    for keys, packed in zip(totals["keys"].to_pylist(), totals["counts"].to_pylist()):
+        known = np.frombuffer(keys, np.uint64)
+        counts = _unpacked(packed, len(known), _WIDTH[kind])
+    counts = np.concatenate((counts, np.zeros((1, _WIDTH[kind]), np.int64)))
+    found = []
+    for batch, keys in zip(asked["batch"].to_pylist(), asked["keys"].to_pylist()):
+        wanted = np.frombuffer(keys, np.uint64)
+        place = np.searchsorted(known, wanted)
+        hit = place < len(known)
+        hit[hit] = known[place[hit]] == wanted[hit]
+        found.append((kind, segment, batch, _packed(counts[np.where(hit, place, len(known))])))
+    return batches.table(found, _ANSWERS)
+
+
+def losses(n, context, single, words, scale, vocabulary):
+    """Loss in bits of words with these counts (see the module)."""
+    alone = (scale * single + 1) / (scale * words + vocabulary)
+    return -np.log2((scale * n + PRIOR * alone) / (scale * context + PRIOR))
+
+
+def _score(rows: pa.Table, answers: pa.Table, words: tuple, scales: tuple, vocabulary: int) -> pa.Table:
+    whole = _Batch(rows)
+    counts = {}
+    for kind, size in ((_PAIR, len(whole.pairs)), (_WORD, len(whole.words))):
+        mine = answers.filter(pa.compute.equal(answers["kind"], kind)).sort_by("segment")
+        keys = whole.pairs if kind == _PAIR else whole.words
+        ends = [end - begin for _, begin, end in batches.segments_of(keys, _segments(mine))]
+        parts = [_unpacked(x, n, _WIDTH[kind]) for x, n in zip(mine["counts"].to_pylist(), ends)]
+        counts[kind] = np.concatenate([np.zeros((0, _WIDTH[kind]), np.int64), *parts])
+    n_rows = whole.rows.num_rows
+    many = np.bincount(whole.row, minlength=n_rows)
+    own = [whole.own(number, size) for number, size in (
+        (whole.pair, len(whole.pairs)), (whole.first, len(whole.words)), (whole.second, len(whole.words)))]
+    loss = []
+    for side in (0, 1):
+        counted = whole.side[whole.row] == side
+        n = counts[_PAIR][whole.pair, side] - own[0] * counted
+        context = counts[_WORD][whole.first, 2 + side] - own[1] * counted
+        single = counts[_WORD][whole.second, side] - own[2] * counted
+        rest = words[side] - many[whole.row] * counted
+        loss.append(losses(n, context, single, rest, scales[side], vocabulary))
+    total = np.bincount(whole.row, loss[1] - loss[0], n_rows)
+    mean = pa.array(total / np.maximum(many, 1), mask=many == 0)
+    return pa.table([whole.rows["_others"], whole.rows["_text"], pa.array(many.astype(np.int64)), mean],
+                    names=["_others", "_text", "_n_tokens", "_difference"])
+
+
+def _segments(answers: pa.Table) -> int:
+    """The number of segments, which the answers carry."""
+    return int(answers["segments"][0].as_py()) if answers.num_rows else 1
+
+
+def _fit(rows: DataFrame, size: int) -> Models:
+    segments = 1 << max(4, int(size // SEGMENT_BYTES).bit_length())
+    counted = rows.groupBy("_batch").applyInArrow(lambda batch: _count(batch, segments), _COUNTS)
+    totals = written(counted.groupBy("kind", "segment").applyInArrow(_add_up, _COUNTS), "lm-totals")
+    new, *words = totals.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("new", "words", "words_target"))).first()
+    return Models(totals.select("kind", "segment", "keys", "counts"), segments, tuple(words), new + 1)
+
+
+def _scored(rows: DataFrame, columns: list[str], text: str, models: Models) -> DataFrame:
+    segments, words, scales, vocabulary = models.segments, models.words, models.scales, models.vocabulary
+    asked = rows.groupBy("_batch").applyInArrow(lambda batch: _ask(batch, segments), _ASKED)
+    answers = asked.groupBy("kind", "segment").cogroup(models.totals.groupBy("kind", "segment")).applyInArrow(
+        _answer, _ANSWERS).withColumn("segments", F.lit(segments))
+    kind = rows.schema["_others"].dataType.simpleString()
+    found = rows.groupBy("_batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        lambda batch, told: _score(batch, told, words, scales, vocabulary),
+        f"_others {kind}, _text string, _n_tokens long, _difference double")
+    ours = {"n_tokens": "_n_tokens", "ce_difference": "_difference"}
+    carried = [(F.col("_text") if c == text else F.col("_others")[c]).alias(c) for c in columns if c.lower() not in ours]
+    return found.select(*carried, *(F.col(own).alias(name) for name, own in ours.items()))
+
+
+def _side(target: Column | None) -> Column:
+    return F.lit(-1) if target is None else F.when(F.coalesce(target, F.lit(False)), 1).otherwise(0)
+
+
+def fit(docs: DataFrame, text: str, target: Column) -> Models:
+    """Models of all rows of `docs`; rows where `target` is true are the target's, all others, also where it is null, the background's.
+    Where one side has no words, all differences are 0."""
+    prepare(docs.sparkSession)
+    return _fit(*batches.stored(docs, text, _side=_side(target)))
+
+
+def score(docs: DataFrame, text: str, models: Models, target: Column | None = None) -> DataFrame:
+    """The rows of `docs` with `n_tokens` and `ce_difference` (bits per word, target minus background; null without
+    words, as for a null text). `target` says that the rows were counted by `fit`, and on which side, so that a row's own counts are left
+    out; None: they were not. Columns of `docs` with these names are replaced."""
+    prepare(docs.sparkSession)
+    rows, _ = batches.stored(docs, text, _side=_side(target))
+    return _scored(rows, docs.columns, text, models)
+
+
+def score_corpus(docs: DataFrame, text: str, target: Column) -> DataFrame:
+    """`fit` and `score` of the same rows, which are written once."""
     prepare(docs.sparkSession)
-    value = F.col(f"`{text}`")
-    # 128 bits of a text's hash stand for it.
-    keys = {"key_a": F.xxhash64(value), "key_b": F.xxhash64(F.lit(1), value)}
-    sums = _sums(docs.filter(value.isNotNull()).select(value.alias("text"), *(k.alias(n) for n, k in keys.items())), models)
-    names = {n: fresh(docs, f"_lm_{n}") for n in (*keys, "total", "n", "words", "a", "b")}
-    marked = docs.select("*", *(k.alias(names[n]) for n, k in keys.items()), word_count(value).alias(names["words"]))
-    other = sums.select(*(F.col(c).alias(names[n]) for c, n in (("key_a", "a"), ("key_b", "b"), ("total", "total"), ("n", "n"))))
-    same = (F.col(names["key_a"]) == F.col(names["a"])) & (F.col(names["key_b"]) == F.col(names["b"]))
-    scored = marked.join(other, same, "left")
-    found = with_results(
-        scored, n_tokens=F.col(names["words"]), ce_difference=F.col(names["total"]) / F.col(names["n"]))
-    return found.drop(*names.values())
+    rows, size = batches.stored(docs, text, _side=_side(target))
+    return _scored(rows, docs.columns, text, _fit(rows, size))

@@ -14,8 +14,32 @@ TARGET_SOURCES = ("src1", "src2", "src3")
 
 def cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text", "source")
-    models = lm_scoring.fit(documents, "text", F.col("source").isin(*TARGET_SOURCES))
-    return lm_scoring.score(documents.select("doc_id", "text"), "text", models).drop("text")
+    scored = lm_scoring.score_corpus(documents, "text", F.col("source").isin(*TARGET_SOURCES))
+    return scored.select("doc_id", "n_tokens", F.round("ce_difference", 6).alias("ce_difference"))
+
+
+DIFFERENCE_SQL = f"""
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source IN {TARGET_SOURCES}, false) AS hit, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+used AS (SELECT r, hit, len(w) AS m, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] ELSE ' ' END AS a FROM split, unnest(range(1, len(w) + 1)) AS x(i)),
+pairs AS (SELECT a, b, count(*) FILTER (hit) AS nt, count(*) FILTER (NOT hit) AS nb FROM used GROUP BY a, b),
+contexts AS (SELECT a, count(*) FILTER (hit) AS ct, count(*) FILTER (NOT hit) AS cb FROM used GROUP BY a),
+singles AS (SELECT b, count(*) FILTER (hit) AS st, count(*) FILTER (NOT hit) AS sb FROM used GROUP BY b),
+sizes AS (SELECT sum(st)::DOUBLE AS wt, sum(sb)::DOUBLE AS wb, count(*) + 1 AS v FROM singles),
+scales AS (SELECT *, CASE WHEN wt > 0 THEN least(wt, wb) / wt ELSE 0 END AS rt, CASE WHEN wb > 0 THEN least(wt, wb) / wb ELSE 0 END AS rb FROM sizes),
+own AS (SELECT r, hit, m, a, b, count(*) AS times, sum(count(*)) OVER (PARTITION BY r, a) AS times_a, sum(count(*)) OVER (PARTITION BY r, b) AS times_b
+        FROM used GROUP BY r, hit, m, a, b),
+rest AS (SELECT r, m, times, v, rt, rb, nt - CASE WHEN hit THEN times ELSE 0 END AS nt, nb - CASE WHEN hit THEN 0 ELSE times END AS nb,
+                ct - CASE WHEN hit THEN times_a ELSE 0 END AS ct, cb - CASE WHEN hit THEN 0 ELSE times_a END AS cb,
+                st - CASE WHEN hit THEN times_b ELSE 0 END AS st, sb - CASE WHEN hit THEN 0 ELSE times_b END AS sb,
+                wt - CASE WHEN hit THEN m ELSE 0 END AS wt, wb - CASE WHEN hit THEN 0 ELSE m END AS wb
+         FROM own JOIN pairs USING (a, b) JOIN contexts USING (a) JOIN singles USING (b), scales),
+scored AS (SELECT r, sum(times * (
+               log2((rb * nb + {lm_scoring.PRIOR}::DOUBLE * (rb * sb + 1) / (rb * wb + v)) / (rb * cb + {lm_scoring.PRIOR}::DOUBLE))
+               - log2((rt * nt + {lm_scoring.PRIOR}::DOUBLE * (rt * st + 1) / (rt * wt + v)) / (rt * ct + {lm_scoring.PRIOR}::DOUBLE)))) / max(m) AS difference
+           FROM rest GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_tokens, round(difference, 6) AS ce_difference FROM split LEFT JOIN scored USING (r)
+"""
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +97,4 @@ QUERIES = {
     "op8_decontamination": contaminated,
     "op10_html_text": visible_text,
 }
-ORACLE = {"op5_set_join": SIMILAR_SQL}
+ORACLE = {"op1_lm_scoring": DIFFERENCE_SQL, "op5_set_join": SIMILAR_SQL}

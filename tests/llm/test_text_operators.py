@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from martworks.llm import decontamination, language_id, lm_scoring, quality, tokens
+from martworks.llm import batches, decontamination, language_id, lm_scoring, quality, tokens
 from martworks.llm.common import read
 
 SF = "/root/testdata/sf0.01"
@@ -160,75 +160,89 @@ def test_texts_without_letters_take_no_place_in_the_draw(spark):
 # -- language models
 
 
-def python_difference(docs, word_share, pair_share):
-    """Cross-entropy differences by dictionaries."""
-    texts = [(k, [w.lower() for w in words_of(t)], bool(target)) for k, t, target in docs]
-    count = collections.Counter(w for _, ws, _ in texts for w in ws)
-    least = max(1, word_share * sum(count.values()))
-    number = lambda w: w if count[w] >= least else None
-    n_words = sum(c >= least for c in count.values()) + 1
-
-    def pairs(ws):
-        named = [number(w) for w in ws]
-        return list(zip(["<s>", *named], named))
-
-    models = []
-    for only_target in (True, False):
-        pair = collections.Counter(p for _, ws, t in texts if t or not only_target for p in pairs(ws))
-        models.append(pair)
-    kept = {p for m in models for p, c in m.items() if c >= max(1.0, pair_share * sum(m.values()))}
-
-    def loss(model, p):
-        word, context = collections.Counter(), collections.Counter()
-        for (a, b), c in model.items():
-            word[b] += c
-            context[a] += c
-        single = (word[p[1]] + 1) / (sum(word.values()) + n_words)
-        taken = {q: max(model[q] - lm_scoring.DISCOUNT, 0) for q in kept if q[0] == p[0]}
-        rest = 1 - sum(taken.values()) / context[p[0]] if context[p[0]] else 1.0
-        return -math.log2((taken[p] / max(context[p[0]], 1) if p in taken else 0) + rest * single)
-
-    return {k: (np.mean([loss(models[0], p) - loss(models[1], p) for p in pairs(ws)]) if ws else None) for k, ws, _ in texts}
+def python_difference(counted, asked):
+    """Cross-entropy differences by dictionaries. `asked`: (key, text, side it was counted on: 0, 1 or None)."""
+    lowered = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words_of(t)]
+    pairs = lambda ws: list(zip(["<s>", *ws], ws))
+    sides = [[lowered(t) for _, t, hit in counted if bool(hit) == side] for side in (False, True)]
+    models = [collections.Counter(p for ws in texts for p in pairs(ws)) for texts in sides]
+    sizes = [sum(m.values()) for m in models]
+    scales = [min(sizes) / n if n else 0 for n in sizes]
+    vocabulary = len({b for m in models for _, b in m}) + 1
+
+    def loss(side, own, p):
+        model = models[side] - own
+        context, single = (sum(c for q, c in model.items() if q[i] == p[i]) for i in (0, 1))
+        alone = (scales[side] * single + 1) / (scales[side] * sum(model.values()) + vocabulary)
+        return -math.log2((scales[side] * model[p] + lm_scoring.PRIOR * alone) / (scales[side] * context + lm_scoring.PRIOR))
+
+    found = {}
+    for key, text, side in asked:
+        ws = pairs(lowered(text))
+        own = [collections.Counter(ws) if side == x else collections.Counter() for x in (0, 1)]
+        found[key] = np.mean([loss(1, own[1], p) - loss(0, own[0], p) for p in ws]) if ws else None
+    return found
 
 
-@pytest.mark.parametrize("word_share,pair_share", [(0.0, 0.0), (0.02, 0.02)])
-def test_cross_entropy_difference(spark, word_share, pair_share):
+def test_cross_entropy_difference(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("a b c A dd é a a".split()) for _ in range(rng.randint(0, 12))), rng.choice([True, False, None]))
-            for i in range(25)] + [(90, None, True), (91, "", False), (92, "new words only", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, hit boolean").withColumn("_lm", F.lit(1))
-    models = lm_scoring.fit(docs, "text", F.col("hit"), word_share, pair_share)
-    found = {r["doc_id"]: r for r in lm_scoring.score(docs, "text", models).collect()}
-    expected = python_difference(rows, word_share, pair_share)
-    for key, text, _ in rows:
-        assert found[key]["n_tokens"] == len(words_of(text))
-        assert found[key]["ce_difference"] == (None if expected[key] is None else pytest.approx(expected[key]))
+            for i in range(25)] + [(90, None, True), (91, "", False), (92, "new words only", None), (93, "a b", True), (94, "a b", True)]
+    others = [(1, "a b zz é", None), (2, "zz yy", None), (3, None, None), (4, "b " * 40, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hit boolean").withColumn("_batch", F.lit(1)).repartition(3)
+    expected = python_difference(rows, [(k, t, int(bool(hit))) for k, t, hit in rows])
+    for size in (8 << 20, 50):
+        monkeypatch.setattr(batches, "BATCH_BYTES", size)
+        whole = lm_scoring.score_corpus(docs, "text", F.col("hit"))
+        assert whole.columns == ["doc_id", "text", "hit", "_batch", "n_tokens", "ce_difference"]
+        found = {r["doc_id"]: r for r in whole.collect()}
+        for key, text, _ in rows:
+            assert (found[key]["text"], found[key]["n_tokens"]) == (text, len(words_of(text)))
+            assert found[key]["ce_difference"] == (None if expected[key] is None else pytest.approx(expected[key]))
+    models = lm_scoring.fit(docs, "text", F.col("hit"))
+    asked = spark.createDataFrame([r[:2] for r in others], "doc_id long, text string")
+    found = {r["doc_id"]: r["ce_difference"] for r in lm_scoring.score(asked, "text", models).collect()}
+    assert found == {k: None if x is None else pytest.approx(x) for k, x in python_difference(rows, others).items()}
+
+
+def test_unknown_words_are_not_like_the_target(spark):
+    """Few target texts among many: target texts score below others, and a text of unknown words about 0."""
+    rng = random.Random(4)
+    text = lambda ws: " ".join(rng.choice(ws) for _ in range(60))
+    rows = [(i, text("the cat sat on a mat and saw it".split()), True) for i in range(5)]
+    rows += [(i, text("tax law court judge rule case act of".split()), False) for i in range(10, 205)]
+    docs = spark.createDataFrame([*rows, (300, "qx vz jk wq zz kx", False)], "doc_id long, text string, hit boolean")
+    found = {r["doc_id"]: r["ce_difference"] for r in lm_scoring.score_corpus(docs, "text", F.col("hit")).collect()}
+    assert max(found[i] for i in range(5)) < -1 and min(found[i] for i in range(10, 205)) > 1 and abs(found[300]) < 0.3
+    models = lm_scoring.fit(docs, "text", F.col("hit"))
+    asked = spark.createDataFrame([(1, "uu vv ww xx yy"), (2, "the cat sat")], "doc_id long, text string")
+    other = {r["doc_id"]: r["ce_difference"] for r in lm_scoring.score(asked, "text", models).collect()}
+    assert abs(other[1]) < 0.5 and other[2] < -1
 
 
 def test_rare_words_and_pairs_count_at_any_size(spark):
-    rows = [(1, "rare once", True), (2, "seldom twice", False), (3, "rare once", True)]
+    rows = [(1, "rare once", True), (2, "seldom twice", False), (3, "rare once", True), (4, "seldom twice", False)]
     filler = [(i, "the same words again " * 1000, i % 2 == 0) for i in range(10, 160)]
     docs = spark.createDataFrame(rows + filler, "doc_id long, text string, hit boolean")
-    models = lm_scoring.fit(docs, "text", F.col("hit"))
-    asked = spark.createDataFrame([*(r[:2] for r in rows), (4, "once rare never")], "doc_id long, text string")
-    found = {r["doc_id"]: (r["n_tokens"], r["ce_difference"]) for r in lm_scoring.score(asked, "text", models).collect()}
+    found = {r["doc_id"]: (r["n_tokens"], r["ce_difference"]) for r in lm_scoring.score_corpus(docs, "text", F.col("hit")).collect()}
     # The rare words keep apart what half a million other words surround; equal texts score alike.
-    assert found[1] == found[3] and found[1][0] == 2 and found[4][0] == 3
-    assert found[1][1] < -0.3 and found[2][1] > 0.3 and found[4][1] < found[2][1]
-
-
-def test_models_are_distributions(spark):
-    rows = [(1, "a b a c a b", True), (2, "b b c d", False), (3, "e f a b", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, hit boolean")
-    words = np.array([3.0, 2.0, 1.0, 0.0])
-    contexts, first, second, n = np.array([4.0, 0.0, 2.0, 1.0, 0.0]), np.array([0, 0, 2]), np.array([0, 1, 3]), np.array([2.0, 1.0, 2.0])
-    pair, rest, word = lm_scoring.losses(words, contexts, first, second, n)
-    for context in range(5):
-        mass = {w: 2 ** -(rest[context] + word[w]) for w in range(4)} | {
-            int(w): 2 ** -p for c, w, p in zip(first, second, pair) if c == context}
-        assert sum(mass.values()) == pytest.approx(1)
+    assert found[1] == found[3] and found[1][0] == 2 and found[1][1] < -0.3 and found[2][1] > 0.3
+
+
+def test_models_are_distributions():
+    """The probabilities of all words after a context, and an unknown one, add up to 1."""
+    scale, n, single = 0.4, np.array([3, 0, 1, 0]), np.array([5, 2, 1, 0])
+    loss = lm_scoring.losses(n, n.sum(), single, single.sum(), scale, 4)
+    assert (2 ** -loss).sum() == pytest.approx(1)
+
+
+def test_language_models_of_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
     empty = lm_scoring.fit(docs.limit(0), "text", F.lit(True))
-    assert [r["ce_difference"] for r in lm_scoring.score(docs, "text", empty).collect()] == pytest.approx([0.0] * 3)
+    assert [r["ce_difference"] for r in lm_scoring.score(docs, "text", empty).orderBy("doc_id").collect()] == [pytest.approx(0), None, None]
+    assert lm_scoring.score_corpus(docs.limit(0), "text", F.lit(True)).count() == 0
+    one_side = lm_scoring.score_corpus(docs, "text", F.lit(None)).filter("doc_id = 1").first()
+    assert one_side["ce_difference"] == pytest.approx(0)
 
 
 # -- decontamination
