@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martworks.sources.tables import VERSION, is_versioned
+
 # Table types as the catalog words them, and the words of the result; any other type is lower-cased.
 TABLE_TYPES = {"MANAGED": "table", "BASE TABLE": "table", "EXTERNAL": "external", "EXTERNAL TABLE": "external",
                "MATERIALIZED VIEW": "materializedview"}
@@ -37,7 +39,8 @@ def relations_by_pattern(
     listed = reduce(
         DataFrame.union, (spark.sql(f"SHOW TABLES IN `{d.name}`") for d in spark.catalog.listDatabases())
     )
-    matching = listed.distinct().filter(
+    # Entries behind versioned tables are no relations of their own.
+    matching = listed.distinct().filter(~F.contains("tableName", F.lit(VERSION))).filter(
         F.ilike("namespace", F.lit(schema_pattern))
         & F.ilike("tableName", F.lit(table_pattern))
         & ~F.ilike("tableName", F.lit(exclude))
@@ -49,7 +52,7 @@ def _relation(spark: SparkSession, schema: str, name: str, temporary: bool) -> R
     relation = Relation(schema, name, "temporary")
     if temporary:
         return relation
-    type_ = spark.catalog.getTable(relation.identifier).tableType
+    type_ = "EXTERNAL" if is_versioned(spark, relation.identifier) else spark.catalog.getTable(relation.identifier).tableType
     return Relation(schema, name, TABLE_TYPES.get(type_, type_.lower()))
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import threading
 import uuid
 from datetime import datetime
 
@@ -231,7 +232,8 @@ def test_partitioned_rebuild_serves_no_rows_of_before(spark):
     two = spark.createDataFrame([(4, "x"), (5, "w"), (6, None)], "v int, p string")
     s.as_table(one, "rebuilt", folder, ["p"])
     assert rows(s.as_table(two, "rebuilt", folder, ["p"])) == rows(two)
-    spark.sql("DROP TABLE rebuilt")
+    s.drop_table(spark, "rebuilt")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("rebuilt")]
 
 
 def test_a_merge_that_fails_leaves_the_table_as_it_was(spark, monkeypatch):
@@ -247,7 +249,8 @@ def test_a_merge_that_fails_leaves_the_table_as_it_was(spark, monkeypatch):
     found = s.incremental_merge(moved, "merged_safely", folder, ["k"], "p")
     expected = [(1, "A", "y"), (4, "d", None), (2, "b", "y"), (3, "c", "it's")]
     assert rows(found) == rows(spark.createDataFrame(expected, first.schema))
-    spark.sql("DROP TABLE merged_safely")
+    s.drop_table(spark, "merged_safely")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("merged_safely")]
 
 
 def test_other_columns_are_refused(spark):
@@ -257,7 +260,8 @@ def test_other_columns_are_refused(spark):
         s.incremental_append(spark.range(3).selectExpr("id", "id as gained"), "narrow", folder)
     with pytest.raises(ValueError, match="missing"):
         s.incremental_merge(spark.range(3).toDF("other"), "narrow", folder, ["other"])
-    spark.sql("DROP TABLE narrow")
+    s.drop_table(spark, "narrow")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("narrow")]
 
 
 def test_checks_that_cannot_run_and_steps_that_fail_say_why(spark):
@@ -265,3 +269,85 @@ def test_checks_that_cannot_run_and_steps_that_fail_say_why(spark):
     found = {r["node"]: r for r in gated_build(spark, steps, [NotNull("a", "gone"), NotNull("a", "id")]).collect()}
     assert found["a: not_null gone"]["status"] == "error" and "gone" in found["a: not_null gone"]["message"]
     assert found["a: not_null id"]["status"] == "pass" and "nothing" in found["b"]["message"]
+
+
+def files_of(spark, table):
+    """Data files of a table, by path."""
+    return set(spark.table(s.version_of(spark, table)).inputFiles())
+
+
+def test_a_merge_by_key_writes_the_parts_it_touches(spark):
+    folder, table = fresh_path(spark, "parts"), name()
+    first = spark.range(2000).selectExpr("id as k", "cast(id as string) as v", "id % 3 as `odd name`")
+    s.incremental_merge(first, table, folder, ["k"])
+    before = files_of(spark, table)
+    assert spark.table(table).columns == first.columns and len({f.rsplit("/", 2)[1] for f in before}) == 16
+    found = s.incremental_merge(spark.createDataFrame([(7, "new", 1)], "k int, v string, `odd name` bigint"), table, folder, ["k"])
+    after = files_of(spark, table)
+    assert len({f.rsplit("/", 2)[1] for f in before - after}) == 1 and len({f.rsplit("/", 2)[1] for f in after - before}) == 1
+    assert found.count() == 2000 and found.filter("v = 'new'").select("k").collect() == [(7,)]
+    # Rows that are added, a load without rows, an append, and a merge by another key, which brings the table into other parts.
+    s.incremental_merge(spark.createDataFrame([(5000, "x", 1), (None, "y", 2)], "k bigint, v string, `odd name` bigint"), table, folder, ["k"])
+    s.incremental_merge(first.limit(0), table, folder, ["k"])
+    s.incremental_append(spark.createDataFrame([(6000, "z", 1)], first.schema), table, folder)
+    assert s.incremental_merge(spark.createDataFrame([(6000, "zz", 1)], first.schema), table, folder, ["k"]).filter("k = 6000").count() == 1
+    found = s.incremental_merge(spark.createDataFrame([(1, "zz", 0)], first.schema), table, folder, ["v"])
+    assert sorted(r["k"] for r in found.filter("k >= 5000 OR v = 'zz'").collect()) == [1, 5000] and found.count() == 2003
+    s.drop_table(spark, table)
+
+
+def test_history_table_writes_changes_only(spark):
+    folder, table, days = fresh_path(spark, "history"), name(), [datetime(2024, 1, d) for d in (1, 2, 3, 4, 5)]
+    sources = [[(1, "a"), (2, "b"), (None, "n")], [(1, "A"), (2, "b"), (None, "n")], [(1, "A"), (2, "B"), (3, "c")], [(1, "A"), (2, "B"), (3, "c")]]
+    plain, closed = None, []
+    for day, rows_ in zip(days, sources):
+        source = spark.createDataFrame(rows_, "k int, v string")
+        found = s.snapshot_table(source, table, folder, ["k"], check_cols="all", as_of=day)
+        plain = s.snapshot(plain, source, ["k"], check_cols="all", as_of=day)
+        assert history_rows(found) == history_rows(plain) and found.columns == plain.columns
+        files = {f for f in files_of(spark, table) if "=open" not in f}
+        assert set(closed) <= files  # what was closed before is neither written nor moved
+        closed = files
+    assert len({f.rsplit("/", 2)[1] for f in closed}) == 2  # two runs closed a version each
+    # A gained column is null in all versions of before; a lost one is refused.
+    wider = spark.createDataFrame([(1, "A", 9)], "k int, v string, w int")
+    found = s.snapshot_table(wider, table, folder, ["k"], check_cols=["v", "w"], as_of=days[4])
+    assert sorted(((r["k"], r["w"]) for r in found.filter("k = 1").collect()), key=str) == [(1, 9), (1, None), (1, None)]
+    with pytest.raises(ValueError, match="lost"):
+        s.snapshot_table(wider.drop("v"), table, folder, ["k"], check_cols=["w"], as_of=days[4])
+    s.drop_table(spark, table)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_readers_always_find_a_whole_table(spark, partition_by):
+    folder, table = fresh_path(spark, "polled"), name()
+    build = lambda n: s.as_table(spark.range(30).selectExpr(f"{n} as n", "id % 2 as p"), table, folder, partition_by)
+    build(0)
+    seen, stop = [], threading.Event()
+
+    def poll():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(spark.sql(f"SELECT count(*), count(DISTINCT n) FROM {table}").first()))
+            except Exception as error:
+                seen.append(str(error))
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for n in range(1, 21):
+        build(n)
+    stop.set()
+    reader.join()
+    assert len(seen) > 5 and set(seen) == {(30, 1)} and spark.table(table).first()["n"] == 20
+    # The version before stays in the catalog for readers, none other.
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith(f"{table}__")]) == 2
+    s.drop_table(spark, table)
+
+
+def test_a_plain_table_becomes_a_versioned_one(spark):
+    table, path = name(), fresh_path(spark, "plain")
+    spark.range(3).write.parquet(path)
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    assert s.incremental_merge(spark.range(2, 5), table, fresh_path(spark, "plain"), ["id"]).count() == 5
+    assert s.relations_by_prefix(spark, "%", table)[0].type == "external" and len(s.relations_by_prefix(spark, "%", table)) == 1
+    s.drop_table(spark, table)
