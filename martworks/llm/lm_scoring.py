@@ -32,16 +32,16 @@ from martworks.session import written
 # Words that a context's own counts weigh as much as.
 PRIOR = 2.0
 # Text whose words one segment counts, at most about a sixth as many distinct pairs.
-SEGMENT_BYTES = 32 << 20
+SEGMENT_BYTES = 8 << 20
 # The context of the first word of a text.
 START = np.uint64(1)
 
 _PAIR, _WORD = 0, 1
 # Counts of a pair: background, target. Of a word: background and target, as a word, then as a context.
 _WIDTH = {_PAIR: 2, _WORD: 4}
-_COUNTS = "kind int, segment long, keys binary, counts binary, new long, words long, words_target long"
-_ASKED = "kind int, segment long, batch long, keys binary"
-_ANSWERS = "kind int, segment long, batch long, counts binary"
+_MESSAGES = "kind int, segment long, batch long, keys binary, counts binary"
+# Beside what a message holds: words that are new in a segment, and words on each side.
+_TOTALS = f"{_MESSAGES}, new long, words long, words_target long"
 
 
 class _Batch:
@@ -79,35 +79,62 @@ class _Batch:
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint32 if not counts.size or counts.max() < 1 << 32 else np.int64).tobytes()
+    """Counts, a byte each; those above 254 follow in eight."""
+    flat = counts.ravel()
+    large = flat >= 255
+    return np.where(large, 255, flat).astype(np.uint8).tobytes() + flat[large].astype(np.int64).tobytes()
 
 
 def _unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
-    kind = np.uint32 if len(data) == 4 * rows * width else np.int64
-    return np.frombuffer(data, kind).reshape(rows, width).astype(np.int64)
+    flat = np.frombuffer(data, np.uint8, rows * width).astype(np.int64)
+    flat[flat == 255] = np.frombuffer(data[rows * width:], np.int64)
+    return flat.reshape(rows, width)
 
 
 def _count(rows: pa.Table, segments: int) -> pa.Table:
-    found = []
+    batch, found = rows["_batch"][0].as_py(), []
     for kind, keys, counts in _Batch(rows).messages():
-        used = counts.any(axis=1)
-        keys, counts = keys[used], counts[used]
         for segment, begin, end in batches.segments_of(keys, segments):
-            found.append((kind, int(segment), keys[begin:end].tobytes(), _packed(counts[begin:end]), 0, 0, 0))
-    return batches.table(found, _COUNTS)
+            found.append((kind, int(segment), batch, keys[begin:end].tobytes(), _packed(counts[begin:end])))
+    return batches.table(found, _MESSAGES)
+
+
+class _Segment:
+    """The totals of one segment over all its messages."""
+
+    def __init__(self, messages: pa.Table):
+        self.kind, self.segment = messages["kind"][0].as_py(), messages["segment"][0].as_py()
+        keys = [np.frombuffer(x, np.uint64) for x in messages["keys"].to_pylist()]
+        width = _WIDTH[self.kind]
+        self.batch, self.sizes = messages["batch"].to_pylist(), [len(k) for k in keys]
+        self.keys, self.place = np.unique(np.concatenate(keys), return_inverse=True)
+        self.totals = np.zeros((len(self.keys), width), np.int64)
+        at = 0
+        for size, packed in zip(self.sizes, messages["counts"].to_pylist()):
+            self.totals[self.place[at:at + size]] += _unpacked(packed, size, width)  # the keys of a message are distinct
+            at += size
+
+    def sums(self) -> tuple[int, int, int]:
+        """Words that some row has, and how many words each side has."""
+        words = self.totals[:, :2]
+        return (int(words.any(axis=1).sum()), *(int(x) for x in words.sum(axis=0))) if self.kind == _WORD else (0, 0, 0)
+
 
+def _model(messages: pa.Table) -> pa.Table:
+    found = _Segment(messages)
+    used = found.totals.any(axis=1)
+    return batches.table([(
+        found.kind, found.segment, None, found.keys[used].tobytes(), _packed(found.totals[used]), *found.sums())], _TOTALS)
 
-def _add_up(messages: pa.Table) -> pa.Table:
-    """The totals of one segment, and how many words are new here and in all on each side."""
-    kind, segment = messages["kind"][0].as_py(), messages["segment"][0].as_py()
-    keys = [np.frombuffer(x, np.uint64) for x in messages["keys"].to_pylist()]
-    counts = np.concatenate([_unpacked(x, len(k), _WIDTH[kind]) for x, k in zip(messages["counts"].to_pylist(), keys)])
-    key = np.concatenate(keys)
-    order = np.argsort(key, kind="stable")
-    begins = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
-    totals = np.add.reduceat(counts[order], begins, axis=0)
-    sums = (int((totals[:, :2].any(axis=1)).sum()), *(int(x) for x in totals[:, :2].sum(axis=0))) if kind == _WORD else (0, 0, 0)
-    return batches.table([(kind, segment, key[order][begins].tobytes(), _packed(totals), *sums)], _COUNTS)
+
+def _answer_all(messages: pa.Table) -> pa.Table:
+    """To each batch the totals of the keys that it sent, in their order; and a row of sums."""
+    found, at = _Segment(messages), 0
+    rows = [(found.kind, found.segment, None, b"", b"", *found.sums())]
+    for batch, size in zip(found.batch, found.sizes):
+        rows.append((found.kind, found.segment, batch, b"", _packed(found.totals[found.place[at:at + size]]), 0, 0, 0))
+        at += size
+    return batches.table(rows, _TOTALS)
 
 
 @dataclass(frozen=True)
@@ -126,18 +153,10 @@ class Models:
         return tuple(least / n if n else 0.0 for n in self.words)
 
 
-def _ask(rows: pa.Table, segments: int) -> pa.Table:
-    batch, found = rows["_batch"][0].as_py(), []
-    for kind, keys, _ in _Batch(rows).messages():
-        for segment, begin, end in batches.segments_of(keys, segments):
-            found.append((kind, int(segment), batch, keys[begin:end].tobytes()))
-    return batches.table(found, _ASKED)
-
-
 def _answer(asked: pa.Table, totals: pa.Table) -> pa.Table:
     """The totals of the keys that batches ask for, zero for those that no row has."""
     if not asked.num_rows:
-        return batches.table([], _ANSWERS)
+        return batches.table([], _TOTALS)
     kind, segment = asked["kind"][0].as_py(), asked["segment"][0].as_py()
     known, counts = np.zeros(0, np.uint64), np.zeros((0, _WIDTH[kind]), np.int64)
     for keys, packed in zip(totals["keys"].to_pylist(), totals["counts"].to_pylist()):
@@ -150,8 +169,8 @@ def _answer(asked: pa.Table, totals: pa.Table) -> pa.Table:
         place = np.searchsorted(known, wanted)
         hit = place < len(known)
         hit[hit] = known[place[hit]] == wanted[hit]
-        found.append((kind, segment, batch, _packed(counts[np.where(hit, place, len(known))])))
-    return batches.table(found, _ANSWERS)
+        found.append((kind, segment, batch, b"", _packed(counts[np.where(hit, place, len(known))]), 0, 0, 0))
+    return batches.table(found, _TOTALS)
 
 
 def losses(n, context, single, words, scale, vocabulary):
@@ -160,13 +179,13 @@ def losses(n, context, single, words, scale, vocabulary):
     return -np.log2((scale * n + PRIOR * alone) / (scale * context + PRIOR))
 
 
-def _score(rows: pa.Table, answers: pa.Table, words: tuple, scales: tuple, vocabulary: int) -> pa.Table:
+def _score(rows: pa.Table, answers: pa.Table, segments: int, words: tuple, scales: tuple, vocabulary: int) -> pa.Table:
     whole = _Batch(rows)
     counts = {}
     for kind, size in ((_PAIR, len(whole.pairs)), (_WORD, len(whole.words))):
         mine = answers.filter(pa.compute.equal(answers["kind"], kind)).sort_by("segment")
         keys = whole.pairs if kind == _PAIR else whole.words
-        ends = [end - begin for _, begin, end in batches.segments_of(keys, _segments(mine))]
+        ends = [end - begin for _, begin, end in batches.segments_of(keys, segments)]
         parts = [_unpacked(x, n, _WIDTH[kind]) for x, n in zip(mine["counts"].to_pylist(), ends)]
         counts[kind] = np.concatenate([np.zeros((0, _WIDTH[kind]), np.int64), *parts])
     n_rows = whole.rows.num_rows
@@ -187,27 +206,22 @@ def _score(rows: pa.Table, answers: pa.Table, words: tuple, scales: tuple, vocab
                     names=["_others", "_text", "_n_tokens", "_difference"])
 
 
-def _segments(answers: pa.Table) -> int:
-    """The number of segments, which the answers carry."""
-    return int(answers["segments"][0].as_py()) if answers.num_rows else 1
+def _counted(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """The messages of all batches, and the number of segments."""
+    segments = 1 << max(4, int(size // SEGMENT_BYTES).bit_length())
+    return rows.groupBy("_batch").applyInArrow(lambda batch: _count(batch, segments), _MESSAGES).groupBy("kind", "segment"), segments
 
 
-def _fit(rows: DataFrame, size: int) -> Models:
-    segments = 1 << max(4, int(size // SEGMENT_BYTES).bit_length())
-    counted = rows.groupBy("_batch").applyInArrow(lambda batch: _count(batch, segments), _COUNTS)
-    totals = written(counted.groupBy("kind", "segment").applyInArrow(_add_up, _COUNTS), "lm-totals")
+def _models(totals: DataFrame, segments: int) -> Models:
     new, *words = totals.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("new", "words", "words_target"))).first()
     return Models(totals.select("kind", "segment", "keys", "counts"), segments, tuple(words), new + 1)
 
 
-def _scored(rows: DataFrame, columns: list[str], text: str, models: Models) -> DataFrame:
+def _scored(rows: DataFrame, columns: list[str], text: str, models: Models, answers: DataFrame) -> DataFrame:
     segments, words, scales, vocabulary = models.segments, models.words, models.scales, models.vocabulary
-    asked = rows.groupBy("_batch").applyInArrow(lambda batch: _ask(batch, segments), _ASKED)
-    answers = asked.groupBy("kind", "segment").cogroup(models.totals.groupBy("kind", "segment")).applyInArrow(
-        _answer, _ANSWERS).withColumn("segments", F.lit(segments))
     kind = rows.schema["_others"].dataType.simpleString()
-    found = rows.groupBy("_batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        lambda batch, told: _score(batch, told, words, scales, vocabulary),
+    found = rows.groupBy("_batch").cogroup(answers.select("kind", "segment", "batch", "counts").groupBy("batch")).applyInArrow(
+        lambda batch, told: _score(batch, told, segments, words, scales, vocabulary),
         f"_others {kind}, _text string, _n_tokens long, _difference double")
     ours = {"n_tokens": "_n_tokens", "ce_difference": "_difference"}
     carried = [(F.col("_text") if c == text else F.col("_others")[c]).alias(c) for c in columns if c.lower() not in ours]
@@ -222,7 +236,8 @@ def fit(docs: DataFrame, text: str, target: Column) -> Models:
     """Models of all rows of `docs`; rows where `target` is true are the target's, all others, also where it is null, the background's.
     Where one side has no words, all differences are 0."""
     prepare(docs.sparkSession)
-    return _fit(*batches.stored(docs, text, _side=_side(target)))
+    counted, segments = _counted(*batches.stored(docs, text, _side=_side(target)))
+    return _models(written(counted.applyInArrow(_model, _TOTALS), "lm-totals"), segments)
 
 
 def score(docs: DataFrame, text: str, models: Models, target: Column | None = None) -> DataFrame:
@@ -231,11 +246,17 @@ def score(docs: DataFrame, text: str, models: Models, target: Column | None = No
     out; None: they were not. Columns of `docs` with these names are replaced."""
     prepare(docs.sparkSession)
     rows, _ = batches.stored(docs, text, _side=_side(target))
-    return _scored(rows, docs.columns, text, models)
+    segments = models.segments
+    asked = rows.groupBy("_batch").applyInArrow(lambda batch: _count(batch, segments), _MESSAGES)
+    answers = asked.groupBy("kind", "segment").cogroup(models.totals.groupBy("kind", "segment")).applyInArrow(_answer, _TOTALS)
+    return _scored(rows, docs.columns, text, models, answers)
 
 
 def score_corpus(docs: DataFrame, text: str, target: Column) -> DataFrame:
-    """`fit` and `score` of the same rows, which are written once."""
+    """`fit` and `score` of the same rows. They are written once, and what a batch counts is also what it asks for: segments answer with
+    the totals at once."""
     prepare(docs.sparkSession)
     rows, size = batches.stored(docs, text, _side=_side(target))
-    return _scored(rows, docs.columns, text, _fit(rows, size))
+    counted, segments = _counted(rows, size)
+    answers = written(counted.applyInArrow(_answer_all, _TOTALS), "lm-answers")
+    return _scored(rows, docs.columns, text, _models(answers, segments), answers.filter("batch IS NOT NULL"))
