@@ -4,6 +4,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martworks import fixed_values as fixed
 from martworks.functions.scalar import ColumnOrName, as_column
@@ -41,6 +42,12 @@ def join_summary(
     return left.join(store(summary) if store else summary, key, "left")
 
 
+# Values that a task's summary tracks, and the largest top list that is found by summaries.
+TRACKED, LARGEST_TOP = 4096, 1000
+# Types that the summary takes.
+_SUMMARIZED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def column_values(
     df: DataFrame,
     column: str,
@@ -49,13 +56,45 @@ def column_values(
     where: str | None = None,
 ) -> DataFrame:
     """Distinct values of a column with their counts (`value`, `n`), most frequent first, ties by value. `order_by` may
-    use `value` and `n`."""
+    use `value` and `n`.
+
+    A short list of the most frequent values is found without bringing all values together: tasks summarize, and what the merged
+    summary cannot rule out is counted exactly (`_most_frequent`). Where it rules out too little, all values are counted."""
     kept = df.filter(where) if where else df
-    counts = kept.groupBy(as_column(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    values = kept.select(as_column(column).alias("value"))
+    if order_by is None and limit is not None and 0 < limit <= LARGEST_TOP and isinstance(values.schema["value"].dataType, _SUMMARIZED):
+        counts = _most_frequent(values, limit)
+    else:
+        counts = None
+    if counts is None:
+        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     ranked = counts.orderBy(*(order_by or (F.desc("n"), F.col("value"))))
     return ranked.limit(limit) if limit is not None else ranked
 
 
+def _most_frequent(values: DataFrame, limit: int, tracked: int = TRACKED) -> DataFrame | None:
+    """Exact counts of some values, among them the `limit` most frequent, or None if the summary does not tell.
+
+    The summary (`approx_top_k`, merged from one per task) counts up to `tracked` values and is off by at most 3.5 / tracked of all rows;
+    a value that it does not list has at most twice that, or no more than the last that it lists. So values are complete once the last
+    one wanted has more."""
+    wanted = min(4 * limit, tracked)
+    summary = values.agg(F.expr(f"approx_top_k(value, {wanted}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    listed = summary["top"]
+    unlisted = max(2 * 3.5 / tracked * summary["n"], listed[-1]["count"] if len(listed) == wanted else 0)
+    if len(listed) < limit or listed[limit - 1]["count"] <= unlisted:
+        return None  # counts of the summary are never too low
+    candidates = [row["item"] for row in listed if row["item"] is not None]
+    value = F.col("value")
+    # A null is counted in any case.
+    counts = values.filter(value.isNull() | value.isin(candidates)).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    rows = [(row["value"], row["n"]) for row in counts.collect()]
+    exact = sorted((n for _, n in rows), reverse=True)
+    if len(exact) < limit or exact[limit - 1] <= unlisted:
+        return None
+    return values.sparkSession.createDataFrame(rows, counts.schema)
+
+
 def column_value_list(
     df: DataFrame | None,
     column: str,

@@ -180,3 +180,23 @@ def test_pivot_of_many_values(spark):
     expected = {g: sum(v for v in range(20_000) if v % 3 == g and v % 2500 < 2000) for g in range(3)}
     assert {g: sum(tuple(r)[1:]) for g, r in rows.items()} == expected
     assert rows[0]["n7"] == sum(v for v in range(7, 20_000, 2500) if v % 3 == 0)
+
+
+def test_most_frequent_values_by_summary(spark):
+    """Frequent values are counted without grouping all of them; where none stands out, all are grouped. Both are exact."""
+    from martworks.operators import aggregates
+
+    frequent = "CASE WHEN id % 10 < 4 THEN concat('top', id % 7) WHEN id % 10 = 4 THEN NULL ELSE concat('v', id) END AS v"
+    skewed, even = spark.range(60_000).selectExpr(frequent), spark.range(60_000).selectExpr("concat('v', id % 50000) AS v")
+    found = aggregates._most_frequent(skewed.toDF("value"), 5)
+    assert found is not None and found.count() < 50
+    assert aggregates._most_frequent(even.toDF("value"), 5) is None
+    for df in (skewed, even, skewed.limit(0)):
+        for limit in (1, 5, 9):
+            plain = df.groupBy(F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(limit)
+            assert op.column_values(df, "v", limit=limit).collect() == plain.collect()
+    # A summary that tracks little rules out little: the list is widened to all values.
+    assert aggregates._most_frequent(skewed.toDF("value"), 9, tracked=16) is None
+    numbers = skewed.select(F.length("v").alias("n"), F.expr("cast(length(v) as decimal(9, 2)) AS d"))
+    assert [tuple(r) for r in op.column_values(numbers, "d", limit=2).collect()] == [
+        tuple(r) for r in numbers.groupBy("d").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(2).collect()]
