@@ -20,9 +20,13 @@ from pyspark.sql import functions as F
 
 from martworks.llm import tokens
 from martworks.llm.common import fresh, prepare, with_results
+from martworks.session import written
 
 ORDER = 3
 SAMPLE_DOCUMENTS = 300
+DRAW_BUCKETS = 1024
+# Drawn ids up to this number are broadcast (about 64 MB) to find their texts, more are joined.
+MAX_BROADCAST_DRAW = 1_000_000
 UNKNOWN = "und"
 # Code lengths are compared per byte; the score is the share of the best language at this many bytes.
 SCORE_BYTES = 16.0
@@ -102,11 +106,16 @@ def fit(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Trees | No
     """Trees of every `lang` in docs (doc_id, text, lang), from up to `sample_documents` learned documents of each, drawn by a
     hash of the id. None if there is nothing to learn from."""
     prepare(docs.sparkSession)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Only what can be learned from takes a place in the draw.
+    # Only what can be learned from takes a place in the draw. It is drawn by bucket of ids first, so that what meets in one task per
+    # language is bounded, however many documents a language has.
     usable = learned(docs).filter(has_letter(F.col("text")))
-    drawn = usable.select("doc_id", "lang").withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= sample_documents)
-    wanted = drawn.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    drawn = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash"))
+    for groups in (["lang", F.pmod("_hash", F.lit(DRAW_BUCKETS))], ["lang"]):
+        order = Window.partitionBy(*groups).orderBy("_hash", "doc_id")
+        drawn = drawn.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= sample_documents).drop("_nth")
+    wanted = written(drawn.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct(), "language-draw")
+    if wanted.count() <= MAX_BROADCAST_DRAW:
+        wanted = F.broadcast(wanted)
     sample = usable.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
     counted = sample.select("lang", "text").mapInArrow(_count_batches, "lang string, length int, code long, n long")
     total = counted.groupBy("lang", "length", "code").agg(F.sum("n").alias("n")).toArrow()
