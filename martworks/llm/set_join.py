@@ -71,8 +71,10 @@ def _key_batches(batches):
         for _, ends, _, key in _sets(batch.column(1)):
             keys.append(key)
             counts.append(np.diff(ends))
+        carried = [i for i in range(batch.num_columns) if i != 1]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.concatenate(counts)), pa.array(np.concatenate(keys))], names=["doc_id", "n", "node"])
+            [*(batch.column(i) for i in carried), pa.array(np.concatenate(counts)), pa.array(np.concatenate(keys))],
+            names=[*(batch.schema.names[i] for i in carried), "n", "node"])
 
 
 # -- shared shingles
@@ -113,10 +115,13 @@ def _ranged(keys: list, shingles: list[np.ndarray], bits: int) -> pa.RecordBatch
     cuts = np.searchsorted(part, np.arange((1 << bits) + 1))
     rows = [(-1 - int(key[0] % (1 << bits)), b"", b"", own.astype(np.int64).tobytes(), key.tobytes())]
     for i in np.flatnonzero(np.diff(cuts)):
-        # In the order of their owners, shingles need only a count for each owner.
+        # In the order of their owners, shingles need only a count for each owner that has any here, a byte; larger counts are cut.
         here = cuts[i] + np.argsort(owner[cuts[i]:cuts[i + 1]], kind="stable")
-        many = np.bincount(owner[here], minlength=len(keys)).astype(np.uint32)
-        rows.append((int(i), low[here].tobytes(), many.tobytes(), np.packbits(alone[here]).tobytes(), key.tobytes()))
+        owners, many = np.unique(owner[here], return_counts=True)
+        pieces = -(-many // 255)
+        counts = np.full(pieces.sum(), 255, np.uint8)
+        counts[np.cumsum(pieces) - 1] = many - 255 * (pieces - 1)
+        rows.append((int(i), low[here].tobytes(), counts.tobytes(), np.packbits(alone[here]).tobytes(), key[np.repeat(owners, pieces)].tobytes()))
     return pa.RecordBatch.from_arrays(
         [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=["part", "low", "many", "flags", "keys"])
 
@@ -131,7 +136,7 @@ def _count_shared(table: pa.Table, bits: int) -> pa.Table:
     low = [np.frombuffer(x, np.uint32) for x in table["low"].to_pylist()]
     alone = np.concatenate([
         np.unpackbits(np.frombuffer(x, np.uint8), count=len(s)).astype(bool) for x, s in zip(table["flags"].to_pylist(), low)])
-    owner = np.concatenate([np.repeat(k, np.frombuffer(x, np.uint32)) for k, x in zip(keys, table["many"].to_pylist())])
+    owner = np.concatenate([np.repeat(k, np.frombuffer(x, np.uint8)) for k, x in zip(keys, table["many"].to_pylist())])
     low = np.concatenate(low)
     order = np.lexsort((owner, low))
     low, alone, owner = low[order], alone[order], owner[order]
@@ -325,24 +330,37 @@ def similar(docs: DataFrame) -> DataFrame:
     one without words has an empty set, linked with nothing. `component_id` is the smallest doc_id reachable by links, its
     own included; `n_links` counts the linked rows other than itself, equal texts among them. Rows of one doc_id are rows like
     others. A row without doc_id takes part; its component is named by the ids of others, null if there is none."""
+    return _joined_rows(docs, []).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def groups(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """Like `similar`, with the columns `carry` of `docs` beside doc_id, and `group`, which tells components apart also where rows of one
+    doc_id have different texts; null for empty sets. For callers that judge rows, not ids."""
+    return _joined_rows(docs, carry).select("doc_id", *carry, "component_id", "group")
+
+
+def _joined_rows(docs: DataFrame, carry: list[str]) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keys = written(rows.mapInArrow(_key_batches, "doc_id long, n long, node long"), "set-keys")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    kinds = "".join(f"{name} {kind}, " for name, kind in rows.dtypes if name in carry)
+    keys = written(rows.mapInArrow(_key_batches, f"doc_id long, {kinds}n long, node long"), "set-keys")
     classes = written(keys.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "set-classes")
-    sets = _possible_sets(rows, classes)
+    sets = _possible_sets(rows.select("doc_id", "text"), classes)
     clusters = _clusters(sets)
     joined = _joined(sets, clusters)
     whole = classes.join(joined, "node", "left").select(
         "node", "rep", "copies", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
     names = whole.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = whole.join(names, "component").select(
-        F.col("node").alias("class"), "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+        F.col("node").alias("class"), "component_id", F.col("component").alias("group"),
+        (F.col("links") + F.col("copies") - 1).alias("n_links"))
     found = keys.join(named, (keys["node"] == named["class"]) & (keys["n"] > 0), "left")
     own = F.col("n") == 0
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "doc_id", *carry, F.col("n").alias("n_shingles"), "group",
+        F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(own, 0).otherwise(F.col("n_links")).alias("n_links"))
 
 

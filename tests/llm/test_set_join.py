@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,15 @@ def test_components_of_chains_stars_and_repeats(spark):
 def test_other_columns_are_no_harm(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string").withColumns({"node": F.lit("x"), "n": F.lit(2)})
     assert set_join.similar(docs).columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+
+
+def test_packed_shingles_grow_with_shingles_only():
+    """What one flush sends stays within twice 8 bytes per shingle, however many ranges there are."""
+    rng = np.random.default_rng(1)
+    for size in (60, 300):
+        sets = [np.sort(rng.integers(0, 1 << 63, size, dtype=np.uint64) * 2) for _ in range(30_000 // size)]
+        keys = list(rng.integers(0, 1 << 62, len(sets)))
+        for bits in (4, 8, 12):
+            batch = set_join._ranged(keys, sets, bits)
+            sent = sum(len(x) for name in ("low", "many", "flags", "keys") for x in batch[name].to_pylist())
+            assert sent <= 16 * sum(map(len, sets))
