@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from martworks.llm import decontamination, language_id, mixing, set_join, sharding
 from martworks.llm.common import fresh, read
 from martworks.llm.native_queries import SHARD_BYTES
-from martworks.session import configure, written
+from martworks.session import configure, release, written
 
 # Below this share the best of the languages is hardly better than chance.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -30,16 +30,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar documents, and once if its row is repeated. Documents without
-    words are similar to none; rows without id stay, as nothing tells them apart."""
-    found = written(set_join.similar(docs.select("doc_id", "text")).select("doc_id", "component_id"), "pipeline-groups")
-    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
-    others = written(ids.filter((F.col("n") > 1) | (F.col("component_id") < F.col("doc_id"))).select(
-        F.col("doc_id").alias("_id"), (F.col("component_id") < F.col("doc_id")).alias("_goes")), "pipeline-others")
+    """One row of each group of similar texts: the smallest id, of several texts with that id the one with the least MD5, and once if its
+    row is repeated. A row is told by its id and text, so another text under an id that goes stays. Documents without words are similar to
+    none; rows without id stay, as nothing tells them apart."""
+    marked = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    found = written(set_join.groups(marked.select("doc_id", "text", "_digest"), ["_digest"]), "pipeline-groups")
+    per_text = found.filter("doc_id IS NOT NULL").groupBy("doc_id", "_digest").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"), F.first("group").alias("group"))
+    texts = written(per_text.filter("n > 1 OR component_id < doc_id OR group IS NOT NULL"), "pipeline-texts")
+    # Several texts of the smallest id of a group: the least digest stays.
+    ties = written(texts.filter("component_id = doc_id").groupBy(F.col("group").alias("tied")).agg(
+        F.min("_digest").alias("least"), F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "pipeline-ties")
+    goes = (F.col("component_id") < F.col("doc_id")) | F.coalesce(F.col("_digest") > F.col("least"), F.lit(False))
+    judged = texts.join(ties, F.col("group") == F.col("tied"), "left").select(
+        F.col("doc_id").alias("_id"), F.col("_digest").alias("_text"), "n", goes.alias("_goes"))
+    others = written(judged.filter("_goes OR n > 1").drop("n"), "pipeline-others")
     marks = F.broadcast(others) if others.count() <= set_join.MAX_BROADCAST_IDS else others
-    marked = docs.join(marks, F.col("doc_id") == F.col("_id"), "left")
-    single = marked.filter(F.col("_id").isNull()).select(docs.columns)
-    repeated = marked.filter(F.col("_id").isNotNull() & ~F.col("_goes")).select(docs.columns).dropDuplicates(["doc_id"])
+    joined = marked.join(marks, (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_text")), "left")
+    single = joined.filter(F.col("_id").isNull()).select(docs.columns)
+    repeated = joined.filter(F.col("_id").isNotNull() & ~F.col("_goes")).dropDuplicates(["doc_id", "_digest"]).select(docs.columns)
     return single.unionByName(repeated)
 
 
@@ -93,5 +102,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-stage-{number}")
+        previous, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-stage-{number}")
+        release(previous)
     return docs
