@@ -51,4 +51,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    setattr(found, _PATH, path)
+    return found
+
+
+_PATH = "_martworks_path"
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what `written` stored for these tables. For intermediates that a later one has replaced: nothing may read them any more, also
+    no table that is still lazily made of them. Other tables are left alone."""
+    for df in frames:
+        path = getattr(df, _PATH, None)
+        if path:
+            spark = df.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.operators.columns import quoted
-from martworks.session import written
+from martworks.session import release, written
 
 # In the names of version entries, and the property of the views over them.
 VERSION, PROPERTY = "__martworks_version_", "martworks.versions"
@@ -278,7 +278,9 @@ def incremental_merge(
         return target
     kept = [v for v in partition_values(spark, version) if v not in values]
     changed = merged(stored.filter(touched), new, key)
-    return new_version(changed, name, folder, [column], hidden=hidden, note=note, kept=kept)
+    found = new_version(changed, name, folder, [column], hidden=hidden, note=note, kept=kept)
+    release(new)
+    return found
 
 
 def store_failures(failing: DataFrame, path: str) -> DataFrame:

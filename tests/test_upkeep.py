@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import threading
 import uuid
 from datetime import datetime
@@ -13,7 +14,7 @@ from martworks.checks.suite import NotNull
 from martworks.plans.build import Fixture, Step, gated_build, to_catalog
 from martworks.plans.fixtures import FIXTURES
 from martworks.plans.staging import stg_products, stg_supplies
-from martworks.session import fresh_path, shared_folder
+from martworks.session import fresh_path, release, shared_folder, written
 
 
 def name():
@@ -351,3 +352,10 @@ def test_a_plain_table_becomes_a_versioned_one(spark):
     assert s.incremental_merge(spark.range(2, 5), table, fresh_path(spark, "plain"), ["id"]).count() == 5
     assert s.relations_by_prefix(spark, "%", table)[0].type == "external" and len(s.relations_by_prefix(spark, "%", table)) == 1
     s.drop_table(spark, table)
+
+
+def test_release_deletes_what_was_written(spark):
+    kept, gone = written(spark.range(3), "kept"), written(spark.range(4), "gone")
+    path = gone.inputFiles()[0].removeprefix("file:")
+    release(gone, spark.range(1))
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
