@@ -122,43 +122,58 @@ def _count_orphans(models: Mapping[str, DataFrame], check: Relationship) -> Data
 
 
 def _key_family(type_: T.DataType) -> str | None:
-    """Keys of one family are equal exactly when their texts are; None where that does not hold."""
+    """Keys of one family can be compared with each other by `_key`; None where that does not hold."""
     if isinstance(type_, T.IntegralType):
         return "integral"
     return type_.simpleString() if isinstance(type_, (T.StringType, T.DateType, T.BooleanType, T.DecimalType)) else None
 
 
+def _key(key: Column, type_: T.DataType) -> tuple[Column, Column]:
+    """A key of any family as two longs, both null for a null: the number itself, or 128 bits of hash."""
+    if isinstance(type_, T.IntegralType):
+        return key.cast("bigint"), F.when(key.isNotNull(), F.lit(0).cast("bigint"))
+    hashes = (F.xxhash64(F.lit(seed), key) for seed in (17, 71))
+    first, second = (F.when(key.isNotNull(), h) for h in hashes)
+    return first, second
+
+
+def _entries(table: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """A row for each cell that is not null. Columns become rows by an `Expand`, which is compiled with what is around it."""
+    names = [f"_e{i}" for i in range(len(cells))]
+    wide = table.select(*(cell.alias(name) for cell, name in zip(cells, names)))
+    return wide.unpivot([], names, "_n", "_e").filter(F.col("_e").isNotNull()).select("_e.*")
+
+
 def _count_by_key(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame | None:
     """Row, uniqueness, value and relationship checks of all tables in one grouping and one scan of each table.
 
-    A row becomes one narrow entry for each key that is looked at: (domain, key, role). A domain is the key column of a parent,
-    and role 0 its own rows; the children of a relationship come in the parent's domain with the check's role. A row that fails a
-    row check, or has a value that is not accepted, is an entry of a domain of that check. Entries are added up before the
-    shuffle, so a frequent key or failure crosses it once per task."""
+    A row becomes one narrow entry of fixed width for each key that is looked at: (domain, key as two longs, role). A domain is the key
+    column of a parent, and role 0 its own rows; the children of a relationship come in the parent's domain with the check's
+    role. A row that fails a row check, or has a value that is not accepted, is an entry of a domain of that check. Entries are added up
+    before the shuffle, so a frequent key or failure crosses it once per task."""
     domains = {key: i for i, key in enumerate(dict.fromkeys(
         (c.to, c.field) if isinstance(c, Relationship) else (c.model, c.column) for c in checks if isinstance(c, (Unique, Relationship))))}
     roles = {check: i + 1 for i, check in enumerate(c for c in checks if isinstance(c, Relationship))}
     tables: dict[str, list[Column]] = {}
 
-    def entry(table: str, domain: int, key: Column, role: int = 0, when: Column | None = None) -> None:
-        cell = F.struct(F.lit(domain).alias("domain"), key.cast("string").alias("key"), F.lit(role).alias("role"))
+    def entry(table: str, domain: int, key: str | None, role: int = 0, when: Column | None = None) -> None:
+        halves = _key(F.expr(key), type_of(models[table], key)) if key else (F.lit(None).cast("bigint"),) * 2
+        cell = F.struct(F.lit(domain).alias("domain"), halves[0].alias("key"), halves[1].alias("rest"), F.lit(role).alias("role"))
         tables.setdefault(table, []).append(cell if when is None else F.when(when, cell))
 
     for (table, column), domain in domains.items():
-        entry(table, domain, F.expr(column))
+        entry(table, domain, column)
     for i, check in enumerate(checks):
         if isinstance(check, Relationship):
-            key = F.expr(check.column)
-            entry(check.model, domains[check.to, check.field], key, roles[check], key.isNotNull())
+            entry(check.model, domains[check.to, check.field], check.column, roles[check], F.expr(check.column).isNotNull())
         elif isinstance(check, AcceptedValues):
-            value = F.expr(check.column)
-            entry(check.model, -1 - i, value, when=~value.isin(list(check.values)))
+            entry(check.model, -1 - i, check.column, when=~F.expr(check.column).isin(list(check.values)))
         elif isinstance(check, (NotNull, Expression)):
-            entry(check.model, -1 - i, F.lit(None), when=_condition(check))
+            entry(check.model, -1 - i, None, when=_condition(check))
     if not tables:
         return None
-    entries = [models[name].select(F.inline(F.array_compact(F.array(*cells)))) for name, cells in tables.items()]
-    per_key = reduce(DataFrame.union, entries).groupBy("domain", "key").agg(
+    entries = [_entries(models[name], cells) for name, cells in tables.items()]
+    per_key = reduce(DataFrame.union, entries).groupBy("domain", "key", "rest").agg(
         *(F.count_if(F.col("role") == role).alias(f"n{role}") for role in (0, *roles.values())))
     counts = []
     for i, check in enumerate(checks):
