@@ -115,26 +115,24 @@ def _place_cells(
         F.expr(f"{agg}(_pivot_then)").alias("r"), F.count(F.lit(1)).alias("n"))
     numbered = placed.toDF(*group, *(f"_pivot_{kind}{i}" for i in range(len(asked) + 1) for kind in "rn"))
     place = {value: i for i, value in enumerate(asked)}
-    counts = F.array(*(F.coalesce(f"_pivot_n{i}", F.lit(0)) for i in range(len(asked) + 1)))
-    whole = numbered.withColumn("_pivot_all", F.aggregate(counts, F.lit(0).cast("long"), lambda total, n: total + n))
-
-    def column(values: list) -> Column:
-        cells, hits = ([F.col(f"_pivot_{kind}{place[v]}") for v in values] for kind in "rn")
-        others = F.col("_pivot_all") - reduce(Column.__add__, (F.coalesce(n, F.lit(0)) for n in hits), F.lit(0))
-        if agg in ("min", "max"):
-            rest = [] if else_value is None else [F.when(others > 0, F.lit(else_value)).cast(result)]
-            parts = [*cells, *rest, F.lit(None).cast(result), F.lit(None).cast(result)]
-            return (F.least if agg == "min" else F.greatest)(*parts)
+    type_, other_value = result.simpleString(), None if else_value is None else _literal(else_value)
+    # SQL texts, as there may be thousands of columns.
+    counts = ", ".join(f"coalesce(_pivot_n{i}, 0L)" for i in range(len(asked) + 1))
+    whole = numbered.withColumn("_pivot_all", F.expr(f"aggregate(array({counts}), 0L, (total, n) -> total + n)"))
+
+    def column(values: list) -> str:
+        cells = [f"_pivot_r{place[v]}" for v in values]
+        others = " - ".join(["_pivot_all", *(f"coalesce(_pivot_n{place[v]}, 0L)" for v in values)])
         if agg == "count":
-            rest = [] if else_value is None else [others]
-            return reduce(Column.__add__, (F.coalesce(c, F.lit(0)) for c in (*cells, *rest)), F.lit(0).cast("long"))
-        rest = [] if else_value is None else [F.when(others > 0, (others * F.lit(else_value)).cast(result))]
-        total = F.lit(None).cast(result)
-        for part in (*cells, *rest):
-            total = F.coalesce((total + part).cast(result), total, part)
-        return total
-
-    return whole.select(*map(quoted, group), *(column(values) for values in lists))
+            return " + ".join([*(f"coalesce({cell}, 0L)" for cell in cells), *([] if other_value is None else [others]), "0L"])
+        rest = other_value if agg in ("min", "max") else f"({others}) * {other_value}"
+        parts = [*cells, *([] if other_value is None else [f"if({others} > 0, CAST({rest} AS {type_}), NULL)"])]
+        listed = f"filter(CAST(array({', '.join(parts)}) AS array<{type_}>), x -> x IS NOT NULL)"
+        if agg in ("min", "max"):
+            return f"array_{agg}({listed})"
+        return f"aggregate({listed}, CAST(NULL AS {type_}), (total, x) -> CAST(coalesce(total, 0) + x AS {type_}))"
+
+    return whole.select(*map(quoted, group), *(F.expr(column(values)).alias(f"_{i}") for i, values in enumerate(lists)))
 
 
 def _absent(values: list):
