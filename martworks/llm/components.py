@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martworks.session import written
+from martworks.session import release, written
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -20,8 +20,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     current = written(_directed(plain), "links")
     before = None
     while True:
-        grown = _small_star(_large_star(current))
-        current = written(grown, "links")
+        previous, current = current, written(_small_star(_large_star(current)), "links")
+        release(previous)
         # Both steps only lower the ends of links; once their sums stay, every node points at its component's smallest.
         state = current.agg(F.count(F.lit(1)), F.sum(F.col("b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))).first()
         if state == before:

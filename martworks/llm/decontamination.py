@@ -11,7 +11,8 @@ the former stays below the threshold is done; of the others only the blocks are
 bounds are sums of maxima, so no pair above the threshold is lost. Passages overlap by half, and half a passage is as long as
 the longest item, so every copy of an item lies within one passage.
 
-The index covers at most `INDEX_WORDS` words of items and is broadcast; more items make more indexes, each searched in turn."""
+The index covers at most `INDEX_WORDS` words of items and is broadcast; more items make more indexes, each searched in turn. Numbers of items
+that have a word, their mean and longest length are counted over all items, so scores and passages do not depend on the cut."""
 
 from __future__ import annotations
 
@@ -19,11 +20,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martworks.llm import tokens
 from martworks.llm.common import prepare, with_results
+from martworks.session import written
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -46,6 +48,17 @@ def split_items(items: DataFrame) -> DataFrame:
         F.when(at > 0, F.substr("text", at)).otherwise("").alias("answer"))
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items: how many, their mean and greatest number of words, and how many have each of an index's words (sorted hashes)."""
+
+    items: int
+    mean: float
+    longest: int
+    words: np.ndarray
+    having: np.ndarray
+
+
 @dataclass(frozen=True)
 class Index:
     """Postings by word and block, with the maxima that bound scores."""
@@ -65,17 +78,15 @@ class Index:
     answer_grams: tuple[Part, ...]
 
     @classmethod
-    def of(cls, item_ids: np.ndarray, questions: pa.Array, answers: pa.Array) -> Index:
+    def of(cls, item_ids: np.ndarray, questions: pa.Array, answers: pa.Array, whole: Statistics) -> Index:
         n = len(item_ids)
-        texts = pa.compute.binary_join_element_wise(
-            pa.compute.fill_null(questions, ""), pa.compute.fill_null(answers, ""), " ")
-        w = tokens.words(*tokens.text_bytes(texts), lower=True, plain=True)
+        w = _words_of(questions, answers)
         vocabulary, word = np.unique(w.hash, return_inverse=True)
         code, tf = np.unique(word * n + w.row, return_counts=True)
         word, item = code // max(n, 1), code % max(n, 1)
-        df = np.bincount(word, minlength=len(vocabulary))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * w.counts / max(w.counts.mean() if n else 1, 1e-9))
+        df = whole.having[np.searchsorted(whole.words, vocabulary)]
+        idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * w.counts / max(whole.mean, 1e-9))
         impact = idf[word] * tf * (K1 + 1) / (tf + norm[item])
         own = np.bincount(item, impact, n)
         impact = impact / own[item]
@@ -85,7 +96,7 @@ class Index:
         entry_starts = np.searchsorted(entry // blocks, np.arange(len(vocabulary) + 1))
         highest = np.maximum.reduceat(entry_highest, entry_starts[:-1]) if len(vocabulary) else impact
         return cls(
-            item_ids, BLOCK_ITEMS, max(int(w.counts.max(initial=1)), 1), vocabulary, highest, entry_starts, entry % blocks,
+            item_ids, BLOCK_ITEMS, max(whole.longest, 1), vocabulary, highest, entry_starts, entry % blocks,
             entry_highest, np.append(begin, len(item)), item, impact, _item_grams(questions), _item_grams(answers))
 
     def leaks(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float]]:
@@ -221,6 +232,25 @@ def in_order(part: np.ndarray, passage: np.ndarray) -> float:
     return 1 - least / max(len(part), 1)
 
 
+def _words_of(questions: pa.Array, answers: pa.Array) -> tokens.Words:
+    texts = pa.compute.binary_join_element_wise(pa.compute.fill_null(questions, ""), pa.compute.fill_null(answers, ""), " ")
+    return tokens.words(*tokens.text_bytes(texts), lower=True, plain=True)
+
+
+def _item_words(batches):
+    """(part, word, length): the distinct words of each item, and a row without word that has the item's length."""
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        w = _words_of(batch.column("question"), batch.column("answer"))
+        pairs = np.unique(np.stack((w.row.astype(np.uint64), w.hash), axis=1), axis=0)
+        n = len(pairs)
+        words = pa.array(np.concatenate((pairs[:, 1].view(np.int64), np.zeros(len(part), np.int64))),
+                         mask=np.arange(n + len(part)) >= n)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate((part[pairs[:, 0].astype(np.int64)], part))), words,
+            pa.array(np.concatenate((np.zeros(n, np.int64), w.counts)))], names=["part", "word", "length"])
+
+
 def indexes(items: DataFrame) -> list[Index]:
     """Indexes of items (item_id, question, answer), `INDEX_WORDS` words each at most (one item more if that is longer). Null ids
     and items without words are left out; of several rows with one id each is searched for."""
@@ -228,12 +258,23 @@ def indexes(items: DataFrame) -> list[Index]:
     usable = items.filter(F.col("item_id").isNotNull() & (words > 0))
     total = usable.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
     groups = max(1, -(-2 * total // INDEX_WORDS)) if total > INDEX_WORDS else 1
+    cut = usable.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(groups)))
+    counted = cut.select("part", "question", "answer").mapInArrow(_item_words, "part long, word long, length long")
+    sums = written(counted.groupBy("part", "word").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("length").alias("words"), F.max("length").alias("longest")), "item-words")
+    n, total, longest = sums.filter("word IS NULL").agg(F.sum("items"), F.sum("words"), F.max("longest")).first()
+    having = F.sum("items").over(Window.partitionBy("word")).alias("having")
+    shared = written(sums.filter("word IS NOT NULL").select("part", "word", having), "item-counts")
     found = []
-    for group in range(groups):
-        part = usable.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == group).toArrow().sort_by("item_id")
-        if part.num_rows:
-            texts = (part[name].combine_chunks() for name in ("question", "answer"))
-            found.append(Index.of(part["item_id"].to_numpy().astype(np.int64), *texts))
+    for part in range(groups):
+        rows = cut.filter(F.col("part") == part).toArrow().sort_by("item_id")
+        if rows.num_rows:
+            words = shared.filter(F.col("part") == part).toArrow()
+            hashes = words["word"].to_numpy().view(np.uint64)
+            order = np.argsort(hashes)
+            whole = Statistics(n, total / n, longest, hashes[order], words["having"].to_numpy()[order])
+            texts = (rows[name].combine_chunks() for name in ("question", "answer"))
+            found.append(Index.of(rows["item_id"].to_numpy().astype(np.int64), *texts, whole))
     return found
 
 
