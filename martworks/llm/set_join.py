@@ -181,19 +181,37 @@ def _shingle_batches(batches):
 
 
 def _chain_batches(batches):
-    """Links (a, b) between neighbours of the sorted index lists whose sizes fit."""
-    last = None
+    """Links (a, b) between neighbours of the sorted index lists whose sizes fit; and, with a shingle, the first and the last entry of the
+    task, as a list may go on in other tasks."""
+    last = first = None
     for batch in batches:
         shingle, n, node = (batch.column(i).to_numpy() for i in range(3))
         if not len(shingle):
             continue
         if last is not None:
             shingle, n, node = (np.concatenate(([x], y)) for x, y in zip(last, (shingle, n, node)))
+        first = first or (shingle[0], n[0], node[0])
         last = (shingle[-1], n[-1], node[-1])
         linked = (shingle[1:] == shingle[:-1]) & (node[1:] != node[:-1]) & fits(n[:-1], n[1:])
         a, b = np.maximum(node[1:], node[:-1])[linked], np.minimum(node[1:], node[:-1])[linked]
         pairs = np.unique(np.stack((a, b), axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        yield _chained(pairs[:, 0], pairs[:, 1], pa.nulls(len(pairs), pa.int64()))
+    if first:
+        shingle, n, node = (np.array(x, np.int64) for x in zip(first, last))
+        yield _chained(n, node, pa.array(shingle))
+
+
+def _chained(a: np.ndarray, b: np.ndarray, shingle: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), shingle], names=["a", "b", "shingle"])
+
+
+def _edge_links(edges: pa.Table) -> pa.Table:
+    """Links between the entries where tasks meet: neighbours among the first and last entries of all tasks, two of each."""
+    n, node, shingle = (edges[name].to_numpy() for name in ("a", "b", "shingle"))
+    order = np.lexsort((node, n, shingle))
+    n, node, shingle = n[order], node[order], shingle[order]
+    linked = (shingle[1:] == shingle[:-1]) & (node[1:] != node[:-1]) & fits(n[:-1], n[1:])
+    return pa.table({"a": np.maximum(node[1:], node[:-1])[linked], "b": np.minimum(node[1:], node[:-1])[linked]})
 
 
 # -- the join of one cluster, or of two blocks of it
@@ -403,8 +421,12 @@ def _clusters(sets: DataFrame) -> DataFrame:
     reach = (quarter - (F.col("n") - F.size("shared"))).cast("int")
     first = F.explode(F.slice("shared", F.lit(1), reach)["shingle"])
     indexed = by_set.filter(reach > 0).select(first.alias("shingle"), "n", "node")
-    lists = indexed.repartition("shingle").sortWithinPartitions("shingle", "n", "node")
-    links = written(lists.mapInArrow(_chain_batches, "a long, b long").distinct(), "set-chains")
+    # Cut by range, as one shingle may be in very many sets: a list goes on in the next task.
+    lists = written(indexed, "set-lists").repartitionByRange("shingle", "n", "node").sortWithinPartitions("shingle", "n", "node")
+    chains = written(lists.select("shingle", "n", "node").mapInArrow(_chain_batches, "a long, b long, shingle long"), "set-chains")
+    edges = _edge_links(chains.filter("shingle IS NOT NULL").toArrow())  # four numbers per task
+    links = chains.filter("shingle IS NULL").select("a", "b").unionByName(
+        sets.sparkSession.createDataFrame(edges.to_pandas(), "a long, b long")).distinct()
     return written(connected_components(links).withColumnRenamed("component", "cluster"), "set-clusters")
 
 

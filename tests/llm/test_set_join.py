@@ -128,3 +128,21 @@ def test_packed_shingles_grow_with_shingles_only():
             batch = set_join._ranged(keys, sets, bits)
             sent = sum(len(x) for name in ("low", "many", "flags", "keys") for x in batch[name].to_pylist())
             assert sent <= 16 * sum(map(len, sets))
+
+
+def test_index_lists_go_on_in_other_tasks():
+    """Wherever the sorted lists are cut, every link between neighbours is found."""
+    rng = np.random.default_rng(2)
+    entries = np.unique(np.stack((rng.integers(0, 4, 300), rng.integers(4, 12, 300), rng.integers(0, 1000, 300)), axis=1), axis=0)
+
+    def chained(rows):
+        batches = [pa.RecordBatch.from_arrays([pa.array(rows[:, i].astype(np.int64)) for i in range(3)], names=["shingle", "n", "node"])]
+        return pa.Table.from_batches(list(set_join._chain_batches(iter(batches))))
+
+    whole = chained(entries)
+    expected = {(r["a"], r["b"]) for r in whole.filter(pa.compute.is_null(whole["shingle"])).to_pylist()}
+    for cuts in ([], [150], sorted(rng.integers(1, len(entries), 20)), range(1, len(entries))):
+        parts = pa.concat_tables(chained(part) for part in np.split(entries, list(dict.fromkeys(cuts))) if len(part))
+        edge = pa.compute.is_valid(parts["shingle"])
+        links = parts.filter(pa.compute.invert(edge)).to_pylist() + set_join._edge_links(parts.filter(edge)).to_pylist()
+        assert expected <= {(r["a"], r["b"]) for r in links}
