@@ -48,26 +48,26 @@ EDITS = 100_000
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """Rows of `turns` (conv_id, turn, role, text) with their place in the conversation, from 1 on, as `pos`. Rows of one conversation may be
-    any share of the table; its copies of a row take places next to each other."""
+    """Rows of `turns` (conv_id, turn, role, text) with their place in the conversation, from 1 on, as `pos`, and the fault that its text
+    alone has. Rows of one conversation may be any share of the table; copies of a row take places next to each other."""
     filled = turns.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"))
-    keyed = filled.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    ending = F.substring(F.regexp_replace("text", f"{SEPARATORS}$", ""), -1, 1)
+    alone = F.when(F.regexp_replace("text", SEPARATORS, "") == "", "blank").when(~ending.isin(".", "!", "?"), "truncated")
+    keyed = filled.withColumns({"digest": F.unhex(F.sha2("text", 256)), "own_fault": alone})
     return written(sequence_no(keyed, ["conv_id"], ["turn", "role", "digest"], "pos"), "repair-rows")
 
 
 def with_faults(rows: DataFrame) -> DataFrame:
-    """`rows` of `numbered` with `fault`: blank, duplicate, truncated or null."""
-    firsts = rows.groupBy("conv_id", "role", "digest").agg(F.min("pos").alias("first_pos")).select(
+    """`rows` of `numbered`, without their texts, with `fault`: blank, duplicate, truncated or null."""
+    narrow = rows.select("conv_id", "turn", "role", "digest", "own_fault", "pos")
+    firsts = narrow.groupBy("conv_id", "role", "digest").agg(F.min("pos").alias("first_pos")).select(
         F.col("conv_id").alias("first_conv"), "first_pos")
     # A row is a duplicate unless it is the first of its kind. Joined by place, as one text may be repeated very often.
-    seen = rows.join(firsts, F.col("conv_id").eqNullSafe(F.col("first_conv")) & (F.col("pos") == F.col("first_pos")), "left")
-    ending = F.substring(F.regexp_replace("text", f"{SEPARATORS}$", ""), -1, 1)
-    fault = (
-        F.when(F.regexp_replace("text", SEPARATORS, "") == "", "blank").when(F.col("first_pos").isNull(), "duplicate")
-        .when(~ending.isin(".", "!", "?"), "truncated"))
-    return seen.withColumn("fault", fault).drop("first_conv", "first_pos")
+    seen = narrow.join(firsts, F.col("conv_id").eqNullSafe(F.col("first_conv")) & (F.col("pos") == F.col("first_pos")), "left")
+    repeated = F.col("first_pos").isNull() & ~F.coalesce(F.col("own_fault") == "blank", F.lit(False))
+    return seen.withColumn("fault", F.when(repeated, "duplicate").otherwise(F.col("own_fault"))).drop("first_conv", "first_pos")
 
 
 def _closed_terminals(initial: str, stays: bool, late: bool) -> list[dict | None]:
