@@ -1,7 +1,8 @@
 """Quality rules: fixed base rules, then a calibrated logistic regression over hashed word and character n-grams.
 
-The regression is fitted on a bounded sample of labelled documents (`MAX_TRAINING_DOCUMENTS`, drawn by a hash of the id); a third of
-the sample is kept back to calibrate its scores as probabilities. The weights have a fixed size, so they reach the tasks as
+The regression is fitted on a bounded sample of labelled documents (`MAX_TRAINING_DOCUMENTS`, half of each class where there are enough, drawn
+by a hash of the id). Tasks hash the n-grams of the sample; only the hashed counts reach the driver, never a text. A third of the sample
+is kept back to calibrate its scores as probabilities, for the share of good ones among all labels. The weights have a fixed size, so they reach the tasks as
 a broadcast of 3 MB at any scale. Texts are scored in Arrow batches, whole, in one pass over the documents."""
 
 from __future__ import annotations
@@ -10,18 +11,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martworks.llm import tokens
 from martworks.llm.common import fresh, prepare, with_results
+from martworks.session import written
 
 # The base rules.
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
 
-MAX_TRAINING_DOCUMENTS = 2_000
+MAX_TRAINING_DOCUMENTS = 3_000
+DRAW_BUCKETS = 1024
 KEEP_FROM = 0.2
 FEATURE_BITS = 18
 FAMILIES = 3  # words, word pairs, runs of four bytes
@@ -124,15 +127,24 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit(texts: pa.Array, good: np.ndarray) -> Model:
-    """Fit and calibrate on labelled texts. Two rows of three train, the third calibrates. With one class only, every text
-    gets that class's share."""
-    rows, parts = len(texts), []
+def hashed_counts(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text its distinct features and how often it has each."""
+    found = []
     for begin, end, data, offsets in tokens.chunks(texts):
         row, feature = features(data, offsets, tokens.words(data, offsets))
-        key, count = np.unique(feature * (end - begin) + row, return_counts=True)
-        parts.append(tuple(x.astype(np.int32) for x in (key % (end - begin) + begin, key // (end - begin), count)))
-    row, feature, count = (np.concatenate(x) for x in zip(*parts))
+        key, count = np.unique(row * (FAMILIES << FEATURE_BITS) + feature, return_counts=True)
+        cuts = np.searchsorted(key, np.arange(end - begin + 1) * (FAMILIES << FEATURE_BITS))
+        own = (key % (FAMILIES << FEATURE_BITS)).astype(np.int32)
+        found += [(own[i:j], count[i:j].astype(np.int32)) for i, j in zip(cuts, cuts[1:])]
+    return found
+
+
+def fit(counts: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, share: float | None = None) -> Model:
+    """Fit and calibrate on labelled texts, given as `hashed_counts`. Two rows of three train, the third calibrates; probabilities are for a
+    table with this `share` of good texts, None: the rows' own. With one class only, every text gets that class's share."""
+    rows = len(counts)
+    row = np.repeat(np.arange(rows, dtype=np.int32), [len(own) for own, _ in counts])
+    feature, count = (np.concatenate([np.zeros(0, np.int32), *x]) for x in zip(*counts))
     family = feature >> FEATURE_BITS
     many = np.bincount(family * rows + row, count, FAMILIES * rows)
     value = (SCALE * count / many[family * rows + row]).astype(np.float32)
@@ -151,7 +163,10 @@ def fit(texts: pa.Array, good: np.ndarray) -> Model:
         constant -= RATE * error.sum() / np.sqrt(constant_square)
     model = Model(weights.astype(np.float32), constant, 1.0, 0.0)
     scores = constant + np.bincount(row, weights[feature] * value, rows)
-    return Model(model.weights, constant, *_calibration(scores[~training], good[~training]))
+    slope, offset = _calibration(scores[~training], good[~training])
+    if share is not None and 0 < good.sum() < rows and 0 < share < 1:
+        offset += np.log(share / (1 - share)) - np.log(good.sum() / (~good).sum())
+    return Model(model.weights, constant, slope, offset)
 
 
 def _calibration(scores: np.ndarray, good: np.ndarray) -> tuple[float, float]:
@@ -170,23 +185,41 @@ def _calibration(scores: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return max(float(found[0]), 0.0), float(found[1])
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_DOCUMENTS) -> DataFrame:
-    """(doc_id, text, good) of at most `limit` labelled documents, an even sample by a hash of the id. Ids labelled both ways
-    or not at all are left out; the ids are drawn before any text is read."""
+def training_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_DOCUMENTS) -> tuple[DataFrame, float | None]:
+    """(doc_id, text, good) of at most `limit` labelled documents, half of it for each class, drawn by a hash of the id; and the share of good
+    ones among all labelled ids. Ids labelled both ways or not at all are left out; the ids are drawn before any text is read, by bucket
+    first, so that no task gathers a class."""
     clear = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     ids = clear.filter(F.col("low") == F.col("high")).select(F.col("doc_id").alias("_labelled"), (F.col("high") == 1).alias("good"))
-    drawn = ids.orderBy(F.xxhash64("_labelled"), "_labelled").limit(limit)
-    found = docs.select("doc_id", "text").join(drawn, F.col("doc_id") == F.col("_labelled"))
+    share = ids.agg(F.avg(F.col("good").cast("int"))).first()[0]
+    drawn = ids.withColumn("_hash", F.xxhash64("_labelled"))
+    for groups in (["good", F.pmod("_hash", F.lit(DRAW_BUCKETS))], ["good"]):
+        order = Window.partitionBy(*groups).orderBy("_hash", "_labelled")
+        drawn = drawn.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= max(limit // 2, 1)).drop("_nth")
+    drawn = written(drawn.drop("_hash"), "quality-draw")  # at most `limit` rows
+    found = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("_labelled"))
     # Repeated rows of an id count once, so that the sample stays within its bound.
-    return found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("good").alias("good")).filter(F.col("text").isNotNull())
+    sample = found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("good").alias("good")).filter(F.col("text").isNotNull())
+    return sample, share
+
+
+def _count_batches(batches):
+    for batch in batches:
+        counts = hashed_counts(batch.column("text"))
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), batch.column("good"), *(pa.array([x[i].tobytes() for x in counts], pa.binary()) for i in (0, 1))],
+            names=["doc_id", "good", "features", "counts"])
 
 
 def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_DOCUMENTS) -> Model | None:
     """The model of a training sample, None where nothing is labelled."""
-    sample = training_sample(docs, labels, limit).toArrow().sort_by("doc_id")
-    if not sample.num_rows:
+    prepare(docs.sparkSession)
+    sample, share = training_sample(docs.withColumn("doc_id", F.col("doc_id").cast("long")), labels, limit)
+    hashed = sample.mapInArrow(_count_batches, "doc_id long, good boolean, features binary, counts binary").toArrow().sort_by("doc_id")
+    if not hashed.num_rows:
         return None
-    return fit(sample["text"].combine_chunks(), sample["good"].to_numpy().astype(bool))
+    columns = [[np.frombuffer(x, np.int32) for x in hashed[name].to_pylist()] for name in ("features", "counts")]
+    return fit(list(zip(*columns)), hashed["good"].to_numpy().astype(bool), share)
 
 
 def assess(docs: DataFrame, text: str, model: Model | None) -> DataFrame:
