@@ -3,12 +3,15 @@
 A page is read tag by tag into a stack of open elements with the tags that HTML implies (a paragraph ends before a block, an
 item before the next item, a cell before the next cell, a cell without row opens one). Whatever a browser shows is emitted:
 blocks on lines of their own, blank lines around paragraphs, markers and indentation for lists, and table cells in aligned
-columns. The work per page is a loop over its tags, without recursion, so neither depth nor length of a page matters."""
+columns. Closed dialogs, and closed details but for their summary, are not shown. The work per page is a loop over its tags, without
+recursion; open elements are found by name, so it grows with the length of a page and not with its depth. A page is held by one
+task, with its text, a few times over."""
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from itertools import zip_longest
 
 import pyarrow as pa
@@ -54,19 +57,21 @@ ENDS_BEFORE = {
 PARAGRAPH_SCOPE = frozenset("table td th caption button object template".split())
 TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 
-# Columns wider than this are not padded: alignment would only multiply spaces.
-WIDEST_COLUMN = 60
-MOST_SPAN = 1000
+# The largest colspan and rowspan, and the largest number of a list item.
+MOST_ACROSS, MOST_DOWN, LARGEST_NUMBER = 1000, 65534, (1 << 31) - 1
+# Spaces that aligning one table may take, in characters: against pages that are made to fill a task's memory. Beyond it the
+# widest columns are left as they are.
+MOST_PADDING = 16 << 20
 
 _TOKEN = re.compile(
     r"<(?:!--(?:>|->|.*?(?:-->|--!>|\Z))|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _ATTRIBUTE = re.compile(r"[\s/]*+(=?[^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>]*+)))?", re.DOTALL)
-_MATTERS = re.compile(r"hidden|style|span|start|/\s*\Z", re.IGNORECASE)
+_MATTERS = re.compile(r"hidden|style|span|start|open|/\s*\Z", re.IGNORECASE)
 _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
 _DECLARATION = re.compile(r"(?:[^;\"'(]|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|\([^)]*+(?:\)|\Z))++")
-_NUMBER = re.compile(r"\s*+([+-]?\d+)")
+_NUMBER = re.compile(r"\s*+([+-]?)(\d+)")
 
 
 def attributes_of(source: str) -> tuple[dict[str, str], bool]:
@@ -98,7 +103,7 @@ def style_of(style: str) -> dict[str, str]:
 
 def _number(attributes: dict[str, str], name: str, otherwise: int) -> int:
     found = _NUMBER.match(attributes.get(name, ""))
-    return int(found[1][:9]) if found else otherwise
+    return int(found[1] + (found[2].lstrip("0")[:19] or "0")) if found else otherwise
 
 
 class Flow:
@@ -111,7 +116,7 @@ class Flow:
         self.line: list[str] = []
         self.gap, self.space, self.marker = 0, False, ""
 
-    def text(self, text: str, indent: str) -> None:
+    def text(self, text: str, indent: int) -> None:
         text = _SPACE.sub(" ", text)
         if text == " " or not text:
             self.space = self.space or text == " " and bool(self.line)
@@ -130,21 +135,21 @@ class Flow:
         self.space = text.endswith(" ")
         self.line.append(text.removesuffix(" "))
 
-    def _begin(self, indent: str) -> None:
+    def _begin(self, indent: int) -> None:
         if self.gap > 1 and self.lines:
             self.lines.append("")
         self.gap = 0
         if self.marker:
-            self.line.append(indent[:-len(self.marker)] + self.marker)
+            self.line.append(" " * (indent - len(self.marker)) + self.marker)
             self.marker = ""
         elif indent:
-            self.line.append(indent)
+            self.line.append(" " * indent)
 
     def part(self) -> None:
         """What follows stands apart on the same line."""
         self.space = self.space or bool(self.line)
 
-    def raw(self, text: str, indent: str) -> None:
+    def raw(self, text: str, indent: int) -> None:
         """Text whose spaces and line breaks count."""
         for i, part in enumerate(re.split(r"\r\n?|\n", text)):
             if i:
@@ -165,7 +170,7 @@ class Flow:
         self.end_line()
         self.gap = max(self.gap, gap)
 
-    def add_lines(self, lines: list[str], indent: str) -> None:
+    def add_lines(self, lines: list[str], indent: int) -> None:
         self.block(2)
         for line in lines:
             self._begin(indent)
@@ -176,7 +181,7 @@ class Flow:
     def finished(self) -> list[str]:
         self.end_line()
         if self.marker:
-            self._begin(self.marker)
+            self._begin(len(self.marker))
             self.end_line()
         return [line.rstrip(" ") for line in self.lines]
 
@@ -207,11 +212,16 @@ class Table:
         rows = [row for row in self.rows if any(row.values())]
         columns = sorted({c for row in rows for c, lines in row.items() if lines})
         width = {c: max((len(line) for row in rows for line in row.get(c, ())), default=0) for c in columns}
+        many = sum(max(map(len, row.values()), default=0) for row in rows)
+        for c in sorted(columns, key=lambda c: -width[c]):
+            if many * sum(width.values()) <= MOST_PADDING:
+                break
+            width[c] = 0
         found = []
         for row in rows:
             for parts in zip_longest(*(row.get(c, []) for c in columns), fillvalue=""):
                 last = max((i for i, part in enumerate(parts) if part), default=-1) + 1
-                cells = [part.ljust(width[c]) if width[c] <= WIDEST_COLUMN else part for c, part in zip(columns, parts[:last])]
+                cells = [part.ljust(width[c]) for c, part in zip(columns, parts[:last])]
                 found.append(" | ".join(cells).rstrip(" "))
         return found
 
@@ -221,6 +231,8 @@ class Page:
 
     def __init__(self):
         self.open: list[str] = []
+        self.places: dict[str, list[int]] = {}  # by name, where its open elements stand
+        self.folded: list[bool] = []   # closed details: nothing but the summary is shown
         self.hidden: list[bool] = []   # without any box, with all that is inside
         self.unseen: list[bool] = []   # invisible, but elements inside can be visible again
         self.silent: list[bool] = []   # in a drawing, outside its texts
@@ -228,8 +240,9 @@ class Page:
         self.tables: list[Table] = []
         self.lists: list[list] = []  # [next number or None for bullets, marker width]
         self.spans: list[tuple[int, int]] = []
-        self.indents = [""]
+        self.indents = [0]
         self.preformatted = 0
+        self.summaries: dict[int, bool] = {}  # places of open details that have their summary
 
     # -- start and end of elements
 
@@ -277,7 +290,16 @@ class Page:
         visibility = style.get("visibility", "hidden" if tag == "\0mphantom" else "inherit")
         if visibility in ("hidden", "collapse", "visible", "initial"):
             unseen = visibility in ("hidden", "collapse")
+        parent = len(self.open) - 1
+        if parent >= 0 and self.folded[parent] and (tag != "summary" or self.summaries.get(parent)):
+            hidden = True
+        if parent >= 0 and tag == "summary" and self.open[parent] == "details":
+            self.summaries[parent] = True
+        if tag == "dialog" and "open" not in attributes and display in ("revert", "revert-layer"):
+            hidden = True
         silent = tag == "svg" or bool(self.silent) and self.silent[-1] and tag not in ("\0text", "\0foreignobject", "math")
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.folded.append(tag == "details" and "open" not in attributes)
         self.open.append(tag)
         self.hidden.append(hidden)
         self.unseen.append(unseen)
@@ -294,27 +316,31 @@ class Page:
             if not hidden:
                 self.tables[-1].new_row()
         elif tag in CELLS:
-            across, down = (min(max(_number(attributes, name, 1), 1), MOST_SPAN) for name in ("colspan", "rowspan"))
+            across = min(max(_number(attributes, "colspan", 1), 1), MOST_ACROSS)
+            down = min(max(_number(attributes, "rowspan", 1), 1), MOST_DOWN)
             self.spans.append((across, down))
             self.flows.append(Flow())
-            self.indents.append("")
+            self.indents.append(0)
         elif tag in ("ul", "menu", "dir", "ol"):
-            self.lists.append([_number(attributes, "start", 1) if tag == "ol" else None])
+            begin = _number(attributes, "start", 1)
+            self.lists.append([(begin if abs(begin) <= LARGEST_NUMBER else 1) if tag == "ol" else None])
         elif tag == "li":
             number = self.lists[-1][0] if self.lists else None
             marker = "- " if number is None else f"{number}. "
             if number is not None and not hidden:
                 self.lists[-1][0] += 1
-            self.indents.append(self.indents[-1] + " " * len(marker))
+            self.indents.append(self.indents[-1] + len(marker))
             if not hidden:
                 self.flows[-1].marker = "" if unseen else marker
         elif tag in ("dd", "blockquote"):
-            self.indents.append(self.indents[-1] + "  ")
+            self.indents.append(self.indents[-1] + 2)
         elif tag in ("pre", "listing", "textarea"):
             self.preformatted += 1
 
     def pop(self) -> None:
-        tag, hidden, _, _ = self.open.pop(), self.hidden.pop(), self.unseen.pop(), self.silent.pop()
+        tag, hidden, _, _, _ = self.open.pop(), self.hidden.pop(), self.unseen.pop(), self.silent.pop(), self.folded.pop()
+        self.places[tag].pop()
+        self.summaries.pop(len(self.open), None)
         if tag == "\0text" and not hidden:
             self.flows[-1].part()
         if tag in BLOCKS and not hidden:
@@ -347,34 +373,31 @@ class Page:
         if tag == "br":
             self.start("br", "")
             return
-        if tag == "p" and "p" not in self.open:
+        if tag == "p" and not self.places.get("p"):
             if not self._is_hidden():
                 self.flows[-1].block(2)
             return
-        crossing = tag in TABLE_PARTS
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i]
-            if name == tag or name == "\0" + tag:
-                while len(self.open) > i:
-                    self.pop()
-                return
-            # An end tag reaches out of a cell or table only if it ends a part of that table.
-            if name == "table" or name in CELLS and not crossing:
-                return
+        # An end tag reaches out of a cell or table only if it ends a part of that table.
+        barrier = self._innermost(("table",) if tag in TABLE_PARTS else ("table", *CELLS))
+        place = self._innermost((tag, "\0" + tag))
+        if place >= max(barrier, 0):
+            self._pop_to(place)
+
+    def _innermost(self, names) -> int:
+        """Where the innermost open element of these names stands; -1 if none is open."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)
+
+    def _pop_to(self, place: int) -> None:
+        while len(self.open) > place:
+            self.pop()
 
     def _end_innermost(self, tags, stop) -> None:
-        depth = None
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i]
-            if name in stop:
-                break
-            if name in tags:
-                depth = i
-                if len(tags) == 1:
-                    break
-        if depth is not None:
-            while len(self.open) > depth:
-                self.pop()
+        """End the outermost element of several tags, or the innermost of one, that is inside the innermost one of `stop`."""
+        limit = self._innermost(stop)
+        inside = [places[bisect_right(places, limit) if len(tags) > 1 else -1]
+                  for places in (self.places.get(tag) for tag in tags) if places and places[-1] > limit]
+        if inside:
+            self._pop_to(min(inside))
 
     # -- drawings and formulas: elements within them have names that begin with a zero byte
 
@@ -393,7 +416,7 @@ class Page:
     def text(self, text: str) -> None:
         if self.open and self.open[-1] == "head" and not _SPACE.fullmatch(text):
             self.pop()
-        if self._is_hidden() or self.open and (self.unseen[-1] or self.silent[-1]):
+        if self._is_hidden() or self.open and (self.unseen[-1] or self.silent[-1] or self.folded[-1]):
             return
         if "&" in text:
             text = html.unescape(text)

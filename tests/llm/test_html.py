@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -119,3 +120,66 @@ def test_column_with_nulls_and_clashing_name(spark):
     assert found.columns == ["page_id", "html", "text"]
     assert sorted((r["page_id"], r["text"]) for r in found.collect()) == [(1, "a"), (2, ""), (2, ""), (3, "")]
     assert html_text.extract(pages.limit(0), "html").count() == 0
+
+
+def test_details_and_dialogs():
+    assert page_text("a<details><summary>s</summary>body<p>more</details>z") == "a\ns\nz"
+    assert page_text("<details open><summary>s</summary>body</details>") == "s\nbody"
+    assert page_text("<details>x<summary>one</summary><summary>two</summary></details>") == "one"
+    assert page_text("<dialog>no</dialog><dialog open>yes</dialog>") == "yes"
+
+
+def test_many_open_elements_take_linear_time():
+    for inner in ("<div>", "<p><table><tr><td><div>", "<ul><li>", "<b>"):
+        begun = time.perf_counter()
+        text = page_text(inner.join(["<p>x<table><tr><td>"] + [""] * (50_000 // inner.count("<"))) + "end")
+        assert "x" in text and "end" in text and time.perf_counter() - begun < 10
+    assert page_text("<blockquote>" * 3 + "deep").endswith("      deep")
+
+
+def brute_table(cells):
+    """Rows of one-line cells, each column as wide as its widest cell."""
+    columns = [c for c in range(max(map(len, cells))) if any(len(row) > c and row[c] for row in cells)]
+    width = {c: max(len(row[c]) for row in cells if len(row) > c) for c in columns}
+    rows = [" | ".join((row[c] if len(row) > c else "").ljust(width[c]) for c in columns) for row in cells if any(row)]
+    return "\n".join(re.sub(r"[ |]*$", "", row) for row in rows)
+
+
+def brute_list(items, depth=0):
+    """Nested lists of (marker, text, items)."""
+    lines = []
+    for marker, text, inner in items:
+        lines.append(" " * depth + marker + text)
+        lines += brute_list(inner, depth + len(marker))
+    return lines
+
+
+def test_tables_and_lists_against_brute_force():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.choice((1, 2, 5, 61, 200))))
+    for _ in range(60):
+        cells = [[word() if rng.random() < 0.8 else "" for _ in range(rng.randrange(1, 5))] for _ in range(rng.randrange(1, 5))]
+        if not any(map(any, cells)):
+            continue
+        source = "<table>" + "".join("<tr>" + "".join(f"<td>{c}" + rng.choice(("", "</td>")) for c in row) for row in cells) + "</table>"
+        assert page_text(source) == brute_table(cells)
+
+    def listed(depth):
+        ordered, start = rng.random() < 0.5, rng.choice((1, 7, 98))
+        items = [(f"{start + i}. " if ordered else "- ", word(), listed(depth + 1)[0] if depth < 3 and rng.random() < 0.5 else [])
+                 for i in range(rng.randrange(1, 4))]
+        return items, (ordered, start)
+
+    def tags(items):
+        number = items[0][0].removesuffix(". ")
+        begin = f"<ol start={number}>" if number.isdigit() else "<ul>"
+        return begin + "".join(f"<li>{text}{tags(inner) if inner else ''}" for _, text, inner in items) + ("</ol>" if number.isdigit() else "</ul>")
+
+    for _ in range(40):
+        items = listed(0)[0]
+        assert page_text(tags(items)).split("\n") == brute_list(items)
+
+
+def test_spans_and_numbers_out_of_range():
+    assert page_text("<ol start=99999999999><li>a</ol><ol start=-3><li>b</ol><ol start=x><li>c</ol>") == "1. a\n\n-3. b\n\n1. c"
+    assert page_text(f"<table><tr><td rowspan={'9' * 5000}>a<td>b<tr><td>c</table>") == "a | b\n  | c"
