@@ -31,11 +31,14 @@ def shard(docs: DataFrame, key: str, text: str, limit: int) -> DataFrame:
     narrow = written(rows.select(F.col(BITS).alias("bits"), F.col(SIZE).alias("size")), "shard-sizes")
     leaves, closed = directory(narrow.filter(F.col("size") <= limit), limit)
     if leaves is None:
-        leaves = narrow.sparkSession.createDataFrame([], "prefix long, depth int, total long, root long")
+        leaves = narrow.sparkSession.createDataFrame([], "prefix long, depth int, total long")
+    # Rows meet the directory by the bits that every leaf has; the few leaves below such a prefix are told apart by their own.
+    least = leaves.agg(F.coalesce(F.min("depth"), F.lit(0))).first()[0]
+    root = F.expr(f"shiftright(prefix, depth - {least})").alias(ROOT)
     leaf = F.struct("prefix", "depth", "total").alias(LEAF)
-    same = (F.shiftright(BITS, HASH_BITS - ROUND_BITS) == F.col(ROOT)) & (
+    same = (F.shiftright(BITS, HASH_BITS - least) == F.col(ROOT)) & (
         F.expr(f"shiftright({BITS}, {HASH_BITS} - {LEAF}.depth)") == F.col(LEAF)["prefix"])
-    found = rows.join(leaves.select(F.col("root").alias(ROOT), leaf), same & (F.col(SIZE) <= limit), "left").drop(ROOT)
+    found = rows.join(leaves.select(root, leaf), same & (F.col(SIZE) <= limit), "left").drop(ROOT)
     if closed and narrow.filter(F.col("size") > limit).isEmpty():
         return _result(found, F.lit(0).cast("long"), F.col(LEAF)["total"]).withColumnsRenamed(aside)
     alone = F.col(LEAF).isNull()
@@ -55,8 +58,7 @@ def _digits(prefix: Column, depth: Column) -> Column:
 
 def directory(narrow: DataFrame, limit: int) -> tuple[DataFrame | None, bool]:
     """Leaves of the directory over rows (bits, size), and whether they cover all rows: those of one hash that exceed the
-    limit are in no leaf. Columns: `prefix`, `depth`, `total` bytes, and `root`, the first bits of the hashes below a leaf,
-    for a join. A leaf above twelve bits stands once for every root below it."""
+    limit are in no leaf. Columns: `prefix`, `depth` and `total` bytes."""
     open_rows, leaves = narrow.select("bits", "size"), None
     for known in range(0, HASH_BITS, ROUND_BITS):
         if open_rows.isEmpty():
@@ -70,7 +72,7 @@ def directory(narrow: DataFrame, limit: int) -> tuple[DataFrame | None, bool]:
         fits = totals.filter(F.col("total") <= limit).select("depth", "prefix", "total", F.explode("cells").alias("cell"))
         shallowest = F.min(F.struct("depth", "prefix", "total")).alias("leaf")
         level = written(fits.groupBy("cell").agg(shallowest).select("cell", "leaf.*"), "shard-directory")
-        here = level.select("prefix", "depth", "total", F.shiftright("cell", low - ROUND_BITS).alias("root")).distinct()
+        here = level.select("prefix", "depth", "total").distinct()
         leaves = here if leaves is None else leaves.unionByName(here)
         rest = open_rows.withColumn("cell", F.shiftright("bits", HASH_BITS - low)).join(level.select("cell"), "cell", "left_anti")
         open_rows = written(rest.drop("cell"), "shard-open")
