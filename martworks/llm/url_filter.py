@@ -15,10 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martworks.llm.common import fresh, with_results
+from martworks.llm.common import with_results
 from martworks.session import written
 
-# A filter is read from memory by every task, so a list beyond this many keys is joined instead (about 8 MB of bits).
+# A filter is read from memory by every task (about 8 MB of bits for so many listed keys). Keys of longer lists are dealt by hash to as many
+# cascades as that takes, and pages are judged cascade by cascade.
 MAX_FILTER_KEYS = 4_000_000
 LATER_LEVEL_BITS = 6
 
@@ -127,13 +128,15 @@ def judge(pages: DataFrame, url: str, listed: DataFrame, rules: Sequence[Rule] =
     among `listed` (one column `key`), else `allow`. A null or malformed url has an empty host, which a list may hold."""
     host, path = host_and_path(F.col(f"`{url}`"))
     keyed = with_results(pages, host=host, path=path)
-    mark = fresh(keyed, "_url_key")
     found = longest_rule(F.col("host"), F.col("path"), rules)
     listed = written(listed.filter(F.col("key").isNotNull()).distinct(), "bloom-list")
-    if listed.count() <= MAX_FILTER_KEYS:
-        blocked = Cascade.build(keyed.select(F.col("host").alias("key")), listed).holds(F.col("host"))
-    else:
-        marks = listed.select(F.col("key").alias(mark))
-        keyed, blocked = keyed.join(marks, keyed["host"] == marks[mark], "left"), F.col(mark).isNotNull()
-    own = F.when(blocked, "block").otherwise("allow")
-    return with_results(keyed, rule=found["name"], verdict=F.coalesce(found["verdict"], own)).drop(mark)
+    parts = max(1, -(-listed.count() // MAX_FILTER_KEYS))
+
+    def judged(part: int) -> DataFrame:
+        ours = lambda key: F.pmod(F.xxhash64(key), F.lit(parts)) == part
+        pages, names = (keyed, listed) if parts == 1 else (keyed.filter(ours("host")), listed.filter(ours("key")))
+        cascade = Cascade.build(pages.select(F.col("host").alias("key")), names)
+        own = F.when(cascade.holds(F.col("host")), "block").otherwise("allow")
+        return with_results(pages, rule=found["name"], verdict=F.coalesce(found["verdict"], own))
+
+    return reduce(DataFrame.unionByName, map(judged, range(parts)))

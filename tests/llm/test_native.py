@@ -148,13 +148,19 @@ def test_cascade_is_exact_over_its_universe(spark, n_listed):
     assert found == expected
 
 
-def test_long_lists_are_joined(spark, monkeypatch):
-    pages = spark.createDataFrame([(1, "http://a.net/"), (2, "http://b.net/"), (3, None)], "page_id long, url string").withColumn("_url_key", F.lit(1))
-    listed = spark.createDataFrame([("a.net",)], "key string")
+def test_long_lists_make_several_cascades(spark, monkeypatch):
+    hosts = [f"h{i}.net" for i in range(60)]
+    pages = spark.createDataFrame(
+        [(i, f"http://{h}/") for i, h in enumerate(hosts)] + [(90, None), (91, "http://h1.net/"), (91, "http://h1.net/")],
+        "page_id long, url string").withColumn("_url_key", F.lit(1))
+    listed = spark.createDataFrame([(h,) for h in (*hosts[::3], "other.net", None)], "key string")
     few = url_filter.judge(pages, "url", listed).orderBy("page_id").collect()
-    monkeypatch.setattr(url_filter, "MAX_FILTER_KEYS", 0)
-    assert url_filter.judge(pages, "url", listed).orderBy("page_id").collect() == few
-    assert [r["verdict"] for r in few] == ["block", "allow", "allow"]
+    monkeypatch.setattr(url_filter, "MAX_FILTER_KEYS", 6)
+    found = url_filter.judge(pages, "url", listed)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and found.orderBy("page_id").collect() == few
+    assert [r["page_id"] for r in few if r["verdict"] == "block"] == list(range(0, 60, 3))
+    assert url_filter.judge(pages.limit(0), "url", listed).count() == 0
 
 
 # -- shards
