@@ -13,6 +13,8 @@ from martworks.entries.mapping import (
     RAW_ORDERS_OF_ITEMS,
     SQL,
     STAGING,
+    item_key,
+    lines,
     raw_orders_of_items,
     staged,
     with_tables,
@@ -28,7 +30,7 @@ TAX_CHECK = "order_total - tax_paid = subtotal"
 
 
 def _items(tables: dict[str, DataFrame]) -> DataFrame:
-    return marts.described_items(tables["stg_order_items"], tables["stg_products"], tables["stg_supplies"])
+    return marts.described_items(lines(tables["raw_items"]), tables["stg_products"], tables["stg_supplies"], late=item_key())
 
 
 def mart_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:

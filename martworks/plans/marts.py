@@ -3,9 +3,9 @@ and every join keeps its left rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks import fixed_values as fixed
@@ -24,11 +24,16 @@ def product_facts(stg_products: DataFrame, stg_supplies: DataFrame) -> DataFrame
 
 
 def described_items(
-    stg_order_items: DataFrame, stg_products: DataFrame, stg_supplies: DataFrame, store: Store | None = None
+    stg_order_items: DataFrame,
+    stg_products: DataFrame,
+    stg_supplies: DataFrame,
+    store: Store | None = None,
+    late: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Items with what their products and supplies say: all of `order_items` but the date, and all that order facts need."""
+    """Items with what their products and supplies say: all of `order_items` but the date, and all that order facts need.
+    `late` as in `order_items`."""
     facts = product_facts(stg_products, stg_supplies)
-    return stg_order_items.join(store(facts) if store else facts, "product_id", "left")
+    return stg_order_items.join(store(facts) if store else facts, "product_id", "left").withColumns(dict(late or {}))
 
 
 def order_items(
@@ -37,17 +42,23 @@ def order_items(
     stg_products: DataFrame,
     stg_supplies: DataFrame,
     store: Store | None = None,
+    late: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per item. Product and supply columns come in by one join, as both are keyed by product. The join with
     orders comes last and leaves the rows partitioned by order, as `order_facts` needs them.
 
     Items repeat products, some of them very often. Pass `store` on large data: product facts that were written are
     broadcast only when their size allows, and otherwise adaptive execution can split frequent products, which it
-    cannot do above an aggregation."""
+    cannot do above an aggregation.
+
+    `late` names columns of `stg_order_items` that are made of its other columns after the joins, which then need not carry
+    them: a key that is a hash is wider than the numbers it is made of, and does not compress. With it, the item columns are
+    those of `late`, the order and the product."""
     described = described_items(stg_order_items, stg_products, stg_supplies, store)
-    dated = described.join(stg_orders.select("order_id", "ordered_at"), "order_id", "left")
+    dated = described.join(stg_orders.select("order_id", "ordered_at"), "order_id", "left").withColumns(dict(late or {}))
+    columns = [*late, "order_id", "product_id"] if late else stg_order_items.columns
     return dated.select(
-        *stg_order_items.columns, "ordered_at", "product_name", "product_price", "is_food_item", "is_drink_item",
+        *columns, "ordered_at", "product_name", "product_price", "is_food_item", "is_drink_item",
         "supply_cost",
     )
 

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from martworks.checks import cardinality_equality, equality, orphans, run_checks
 from martworks.checks.suite import Expression, NotNull, Unique
+from martworks.entries import mapping
 from martworks.plans import marts
 from martworks.session import fresh_path, written
 
@@ -102,3 +103,19 @@ def test_frequent_products_are_split(spark):
     finally:
         for key, setting in before.items():
             spark.conf.set(key, setting)
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data here")
+def test_item_keys_are_made_after_the_joins(spark):
+    """No join carries the hash, and the items are those of the plain step."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = entry.queries()["mart_order_items"](spark, FOLDER)
+        text = plan(found)
+        assert "md5(" in text and "md5(" not in text[text.index("Join"):]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tables = mapping.staged(spark, FOLDER, "stg_order_items", "stg_orders", "stg_products", "stg_supplies")
+    plain = marts.order_items(*(tables[n] for n in ("stg_order_items", "stg_orders", "stg_products", "stg_supplies")))
+    assert found.schema == plain.schema and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
