@@ -14,8 +14,11 @@ from martworks.checks.compare import orphans
 from martworks.checks.groups import unique
 from martworks.checks.rows import expression_fails, null_fails
 from martworks.operators.columns import type_of
+from martworks.session import written
 
 PASS, ERROR, SKIP = "pass", "error", "skip"
+# Bits of the hashes by which repeated keys are looked for; up to how many repeated hashes are broadcast (8 MB) to find their keys.
+HASH_BITS, MAX_BROADCAST_HASHES = 48, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -190,10 +193,33 @@ def _count_by_key(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> D
     return _long(per_key.agg(*counts), checks)
 
 
+def _count_repeated(models: Mapping[str, DataFrame], checks: Sequence[Unique]) -> DataFrame:
+    """Uniqueness of texts. Short hashes, one narrow column, are grouped first; only keys whose hash comes twice are then compared by
+    128 bits. With very many repeated hashes that is all keys."""
+    def keys(*columns: str) -> DataFrame:
+        parts = []
+        for i, check in enumerate(checks):
+            key = F.expr(check.column)
+            first, second = _key(key, type_of(models[check.model], check.column))
+            short = F.xxhash64(F.lit(i), key).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+            parts.append(models[check.model].select(
+                short.alias("hash"), F.lit(i).alias("check"), first.alias("key"), second.alias("rest")).select(*columns))
+        return reduce(DataFrame.union, parts)
+
+    hashes = keys("hash").groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
+    repeated = written(hashes, "repeated-hashes")
+    found = keys("hash", "check", "key", "rest")
+    if repeated.count() <= MAX_BROADCAST_HASHES:
+        found = found.join(F.broadcast(repeated), "hash", "left_semi")
+    per_key = found.groupBy("check", "key", "rest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return _long(per_key.agg(*(F.count_if(F.col("check") == i).alias(f"c{i}") for i in range(len(checks)))), checks)
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Count the failures of every check: `model, check, failures, status`, one row per check.
 
-    All declared checks share one scan of each table and one grouping. Relationships between keys of different kinds, and
+    All declared checks share one scan of each table and one grouping, but for unique texts that no relationship refers to: these are
+    looked for at once, by short hashes, when this is called. Relationships between keys of different kinds, and
     checks that are queries, are counted by themselves. Tables that are expensive to compute should be written first."""
     if not checks:
         raise ValueError("run_checks: no checks given")
@@ -215,7 +241,14 @@ def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             parts.append(_long(failure_count(unique(models[check.model], check.column)).toDF("c0"), [check]))
         else:
             parts.append(_long(failure_count(check.failing(models)).toDF("c0"), [check]))
-    together = _count_by_key(models, [c for c in checks if c not in apart])
+    parents = {(c.to, c.field) for c in checks if isinstance(c, Relationship)}
+    texts = [
+        c for c in checks if isinstance(c, Unique) and c not in apart and (c.model, c.column) not in parents
+        and type_of_key(c.model, c.column) == "string"
+    ]
+    if texts:
+        parts.append(_count_repeated(models, texts))
+    together = _count_by_key(models, [c for c in checks if c not in apart and c not in texts])
     if together is not None:
         parts.append(together)
     status = F.when(F.col("failures") == 0, PASS).otherwise(ERROR)

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from martworks import checks as c
+from martworks.checks import suite
 from martworks.checks.suite import AcceptedValues, Expression, NotNull, Query, Relationship, Unique
 
 
@@ -175,3 +176,19 @@ def test_equal_tables_exchange_no_rows(spark, tmp_path):
     assert "LocalTableScan <empty>" in final or "EmptyRelation" in final or "Exchange hashpartitioning(id" not in final
     differing = c.equality(table, table.withColumn("g", F.when(F.col("id") == 5, -1).otherwise(F.col("g"))))
     assert sorted(r["which_diff"] for r in differing.collect()) == ["a_minus_b", "b_minus_a"]
+
+
+@pytest.mark.parametrize(("bits", "most"), [(48, 1_000_000), (3, 1_000_000), (3, 0)])
+def test_unique_texts_by_short_hashes(spark, monkeypatch, bits, most):
+    """Keys that only share a short hash are not repeated; a repeated null is; all keys are compared where too many hashes repeat."""
+    monkeypatch.setattr(suite, "HASH_BITS", bits)
+    monkeypatch.setattr(suite, "MAX_BROADCAST_HASHES", most)
+    once = spark.range(200).selectExpr("cast(id as string) as k", "if(id < 2, null, cast(id as string)) as n", "id as i")
+    twice = once.unionByName(once.filter("i < 3"))
+    declared = [Unique("a", "k"), NotNull("a", "n"), Unique("a", "n"), Unique("b", "k"), Unique("b", "n"), Unique("b", "i")]
+    counted = c.run_checks({"a": once, "b": twice}, declared)
+    assert {(r["model"], r["check"]): r["failures"] for r in counted.collect()} == {
+        ("a", "unique k"): 0, ("a", "not_null n"): 2, ("a", "unique n"): 1, ("b", "unique k"): 3, ("b", "unique n"): 2, ("b", "unique i"): 3}
+    if bits == 48:
+        # Only repeated keys are shuffled with their 128 bits.
+        assert "LeftSemi" in counted._jdf.queryExecution().executedPlan().toString()
