@@ -66,10 +66,10 @@ def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks. What is computed (the big marts, and supplies in this data) is written first, so that it is
     computed once for all its checks and readers."""
     tables = {name: table(spark, sf_dir) for name, table in RAW.items()}
-    tables["raw_supplies"] = written(tables["raw_supplies"], "raw_supplies")
+    tables["raw_supplies"] = written(tables["raw_supplies"], "raw_supplies", "zstd")
     for step in PROJECT:
         df = step.build(tables)
-        tables[step.name] = written(df, step.name) if step.name in BIG_MARTS else df
+        tables[step.name] = written(df, step.name, "zstd") if step.name in BIG_MARTS else df
     return run_checks(tables, CHECKS)
 
 
@@ -84,7 +84,7 @@ def broken_tax_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish(step: Step, df: DataFrame) -> DataFrame:
-    return df if step.kind == "view" else written(df, step.name)
+    return df if step.kind == "view" else written(df, step.name, "zstd")
 
 
 def gated_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,8 +103,8 @@ def gated_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_build_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build and check the whole project, on orders that add up with their items."""
     raw = {name: table(spark, sf_dir) for name, table in RAW.items()}
-    raw["raw_orders"] = written(raw_orders_of_items(spark, sf_dir), "raw_orders")
-    raw["raw_supplies"] = written(raw["raw_supplies"], "raw_supplies")
+    raw["raw_orders"] = written(raw_orders_of_items(spark, sf_dir), "raw_orders", "zstd")
+    raw["raw_supplies"] = written(raw["raw_supplies"], "raw_supplies", "zstd")
     return gated_build(spark, PROJECT, CHECKS, FIXTURES, raw, _publish)
 
 

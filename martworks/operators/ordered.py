@@ -106,7 +106,7 @@ class _Slices:
         self.groups, self.order_by = [quoted(c) for c in partition_by], [quoted(c) for c in order_by]
         self.keys = [f"_key{i}" for i in range(len(partition_by))]
         ranged = df.repartitionByRange(*self.groups, *self.order_by)
-        self.rows = written(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+        self.rows = written(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices", "zstd")
 
     def window(self):
         return Window.partitionBy(*self.groups, _SLICE).orderBy(*self.order_by)
@@ -127,8 +127,8 @@ class _Slices:
         return keyed.groupBy(*self.keys, _SLICE).agg(summary.alias(_EDGE))
 
     def attach(self, rows: DataFrame, per_slice: DataFrame) -> DataFrame:
-        """Bring a summary per group and slice to the rows."""
-        right = per_slice.withColumnRenamed(_SLICE, "_slice_r")
+        """Bring a summary per group and slice to the rows. It has about one row per slice and is broadcast, so that rows stay."""
+        right = F.broadcast(per_slice.withColumnRenamed(_SLICE, "_slice_r"))
         matches = reduce(
             Column.__and__, (group.eqNullSafe(F.col(key)) for group, key in zip(self.groups, self.keys)),
             F.col(_SLICE) == F.col("_slice_r"))

@@ -142,7 +142,7 @@ def _status(failures: int | None) -> str:
 
 
 def _publish(step: Step, df: DataFrame) -> DataFrame:
-    return as_view(df, step.name) if step.kind == "view" else written(df, step.name)
+    return as_view(df, step.name) if step.kind == "view" else written(df, step.name, "zstd")
 
 
 def to_catalog(

@@ -46,11 +46,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage, survives lost executors, and readers prune columns."""
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage, survives lost executors, and readers prune columns.
+    `zstd` as `compression` halves keys that are hashes in hexadecimal digits; the session's unless given."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     found = spark.read.schema(df.schema).parquet(path)
     setattr(found, _PATH, path)
     return found

@@ -150,3 +150,16 @@ def test_neighbours_carry_columns_that_cannot_be_compared(spark, slices):
     found = with_previous(df, ["g"], ["v"], "before", F.col("v") > 3).collect()
     assert {(r["v"], r["before"]["v"], r["m"]["k"]) for r in found} == {(v, v - 2, v) for v in range(4, 40)}
     assert with_next(df.limit(0), ["g"], ["v"], "after").count() == 0
+
+
+@pytest.mark.parametrize("slices", [16], indirect=True)
+def test_rows_stay_where_they_are_numbered(spark, slices):
+    """What slices know of each other is broadcast, whatever the limit for tables; the rows are not shuffled once more for it."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = spark.range(1000).selectExpr("id % 3 as g", "id as v")
+        text = sequence_no(df, ["g"], ["v"], "n")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text[:text.index("Window")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
