@@ -19,14 +19,15 @@ def connected_components(links: DataFrame) -> DataFrame:
     # A link leads from the larger to the smaller node.
     current = written(_directed(plain), "links")
     before = None
+    count = current.count()
     while True:
-        previous, current = current, written(_small_star(_large_star(current)), "links")
+        previous, current = current, written(_small_star(_large_star(current)), "links", at_most=2 * count)
         release(previous)
         # Both steps only lower the ends of links; once their sums stay, every node points at its component's smallest.
         state = current.agg(F.count(F.lit(1)), F.sum(F.col("b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, count = state, state[0]
     found = current.groupBy("a").agg(F.min("b").alias("b"))
     return nodes.join(found, nodes["node"] == found["a"], "left").select(
         "node", F.coalesce("b", "node").alias("component"))

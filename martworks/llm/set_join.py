@@ -364,7 +364,7 @@ def _joined_rows(docs: DataFrame, carry: list[str]) -> DataFrame:
     kinds = "".join(f"{name} {kind}, " for name, kind in rows.dtypes if name in carry)
     keys = written(rows.mapInArrow(_key_batches, f"doc_id long, {kinds}n long, node long"), "set-keys")
     classes = written(keys.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "set-classes")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "set-classes", at_most=keys.count())
     sets = _possible_sets(rows.select("doc_id", "text"), classes)
     clusters = _clusters(sets)
     joined = _joined(sets, clusters)
@@ -384,7 +384,7 @@ def _joined_rows(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 def _possible_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, copies, n, text) of the classes with enough shared shingles to be similar to another."""
-    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, count = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     bits = max(0, int(total // RANGE_SHINGLES).bit_length())
     ranged = rows.filter(F.col("text").isNotNull()).select("text").mapInArrow(
         lambda batches: _range_batches(batches, bits), "part long, low binary, many binary, flags binary, keys binary")
@@ -392,7 +392,7 @@ def _possible_sets(rows: DataFrame, classes: DataFrame) -> DataFrame:
         lambda table: _count_shared(table, bits), "bucket long, nodes binary, counts binary")
     shared = counted.groupBy("bucket").applyInArrow(_sum_shared, "node long, shared long")
     enough = F.col("shared") * SHARE[1] >= F.col("n") * SHARE[0]
-    possible = written(classes.join(shared, "node").filter(enough).select("node", "rep", "copies", "n"), "set-possible")
+    possible = written(classes.join(shared, "node").filter(enough).select("node", "rep", "copies", "n"), "set-possible", at_most=count)
     wanted = possible.select(F.col("rep").alias("doc"), "node", "copies", "n")
     if possible.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -427,7 +427,9 @@ def _clusters(sets: DataFrame) -> DataFrame:
     edges = _edge_links(chains.filter("shingle IS NOT NULL").toArrow())  # four numbers per task
     links = chains.filter("shingle IS NULL").select("a", "b").unionByName(
         sets.sparkSession.createDataFrame(edges.to_pandas(), "a long, b long")).distinct()
-    return written(connected_components(links).withColumnRenamed("component", "cluster"), "set-clusters")
+    # A cluster has sets only.
+    found = connected_components(links).withColumnRenamed("component", "cluster")
+    return written(found, "set-clusters", at_most=sets.count())
 
 
 def _joined(sets: DataFrame, clusters: DataFrame) -> DataFrame:

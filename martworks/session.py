@@ -46,11 +46,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+# Rows of a small table that one task writes, where their number is known to be bounded.
+ROWS_PER_TASK = 50_000
+
+
+def written(df: DataFrame, name: str, compression: str | None = None, at_most: int | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors, and readers prune columns.
-    `zstd` as `compression` halves keys that are hashes in hexadecimal digits; the session's unless given."""
+    `zstd` as `compression` halves keys that are hashes in hexadecimal digits; the session's unless given. `at_most`, a counted
+    bound of narrow rows, lets no more tasks write than they are worth: on a local disk Hadoop starts processes for every file,
+    and each is a copy of the executor for a moment."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if at_most is not None:
+        df = df.coalesce(max(1, -(-at_most // ROWS_PER_TASK)))
     df.write.parquet(path, compression=compression)
     found = spark.read.schema(df.schema).parquet(path)
     setattr(found, _PATH, path)

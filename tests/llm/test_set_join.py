@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from martworks.llm import set_join
+from martworks.llm import components
+from martworks.session import written
 from martworks.llm.components import connected_components
 
 
@@ -146,3 +148,27 @@ def test_index_lists_go_on_in_other_tasks():
         edge = pa.compute.is_valid(parts["shingle"])
         links = parts.filter(pa.compute.invert(edge)).to_pylist() + set_join._edge_links(parts.filter(edge)).to_pylist()
         assert expected <= {(r["a"], r["b"]) for r in links}
+
+
+def test_small_steps_write_few_files(spark, monkeypatch):
+    """Steps of few links are not written by as many tasks as there are shuffle partitions, and find the same."""
+    names = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    files = []
+
+    def counted(df, name, **options):
+        found = written(df, name, **options)
+        files.append((name, len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(components, "written", counted)
+    try:
+        for key, value in names.items():
+            spark.conf.set(key, value)
+        links = spark.range(500).selectExpr("id as a", "id - id % 10 as b")
+        found = connected_components(links).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {(r["node"], r["component"]) for r in found} == {(i, i - i % 10) for i in range(500)}
+    assert len(files) > 2 and all(n == 1 for _, n in files[1:])
