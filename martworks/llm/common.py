@@ -16,6 +16,9 @@ import martworks
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
+# Rows that the Parquet reader holds at once, of Spark's 4096.
+READER_ROWS = 256
+
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -55,9 +58,11 @@ def unit(bits: Column) -> Column:
 
 
 def prepare(spark: SparkSession) -> None:
-    """For operators with Python on executors: send them this package, and bound Arrow batches, as texts can be long."""
+    """For operators with Python on executors: send them this package, and bound batches, as texts can be long: Arrow's, and those of the
+    Parquet reader, which holds the texts of a batch in one array and doubles it as it fills."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     _send_package(spark.sparkContext)
 
 

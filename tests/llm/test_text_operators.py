@@ -157,6 +157,32 @@ def test_texts_without_letters_take_no_place_in_the_draw(spark):
         assert np.array_equal(found, expected)
 
 
+def batches_read(plan) -> int:
+    """Batches that the Parquet reader has given to the plan."""
+    own = plan.metrics().get("numInputBatches").get().value() if plan.nodeName() == "ColumnarToRow" else 0
+    children = plan.children()
+    return own + sum(batches_read(children.apply(i)) for i in range(children.size()))
+
+
+def test_texts_are_read_in_small_batches(spark, tmp_path):
+    """The reader holds all texts of a batch in one array: a few hundred, not thousands."""
+    name, path = "spark.sql.parquet.columnarReaderBatchSize", str(tmp_path / "documents.parquet")
+    ids = [i for i in range(2000) if not spark_free_held_out(i)]
+    rows = [(i, ("abra cadabra " if i % 2 else "hocus pocus ") * 50, "x" if i % 2 else "y") for i in ids]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(path)
+    documents = spark.read.parquet(path)
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        trees = language_id.fit(documents)
+        spark.conf.unset(name)
+        found = language_id.predict(documents, "text", trees)
+        assert {(r["doc_id"], r["lang_pred"]) for r in found.collect()} == {(i, lang) for i, _, lang in rows}
+        assert batches_read(found._jdf.queryExecution().executedPlan()) >= len(rows) / 256
+    finally:
+        spark.conf.set(name, before)
+
+
 # -- language models
 
 
